@@ -23,7 +23,7 @@ def week_iso(d: Column) -> Column:
 
 def parse_date(text: Column, fmt: str = "yyyy-MM-dd", default: str | None = None) -> Column:
     """Text -> date; unreadable text gives null (or ``default``)."""
-    parsed = F.try_to_date(text, F.lit(fmt)) if hasattr(F, "try_to_date") else F.to_date(text, fmt)
+    parsed = F.try_to_date(text, fmt)
     if default is None:
         return parsed
     return F.coalesce(parsed, F.to_date(F.lit(default)))

@@ -183,7 +183,8 @@ def q05_shipmode_by_value(lines: DataFrame, low: float = 100.0, high: float = 50
                   N.rnd(N.mean("profit")).alias("avg_profit"),
                   N.rnd(N.mean("shipping_cost")).alias("avg_shipping_cost")))
     w = Window.partitionBy("order_group").orderBy(F.desc("total_orders"))
-    return stats.withColumn("ranking", F.dense_rank().over(w)).where(F.col("ranking") <= k)
+    return stats.withColumn("ranking", F.dense_rank().over(w)).where(F.col("ranking") <= k) \
+        .withColumn("ranking", F.col("ranking").cast("bigint"))
 
 
 def _q05_sql(low, high, k=2):
@@ -261,6 +262,7 @@ def q07_top_products(lines: DataFrame, k: int = 5) -> DataFrame:
     w = Window.partitionBy("category").orderBy(F.desc("total_profit"))
     return (per.withColumn("rank_profit_in_category", F.dense_rank().over(w))
             .where(F.col("rank_profit_in_category") <= k)
+            .withColumn("rank_profit_in_category", F.col("rank_profit_in_category").cast("bigint"))
             .orderBy("category", "rank_profit_in_category", "product_name"))
 
 
@@ -409,7 +411,8 @@ def q10_segment_category(lines: DataFrame, segments=REFERENCE_SEGMENTS) -> DataF
                 N.money(F.sum("profit")).alias("total_profit"),
                 N.rnd(N.pct(F.sum("profit"), F.sum("sales"))).alias("profit_margin_pct")))
     w = Window.partitionBy("segment").orderBy(F.desc("total_profit"))
-    return per.withColumn("profit_rank", F.dense_rank().over(w)).orderBy("segment", "profit_rank", "category")
+    return per.withColumn("profit_rank", F.dense_rank().over(w).cast("bigint")) \
+        .orderBy("segment", "profit_rank", "category")
 
 
 def _q10_sql(segments):

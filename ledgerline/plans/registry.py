@@ -21,6 +21,9 @@ ORACLE: dict[str, str] = {}
 _MODULES = (
     "ledgerline.operators.queries",
     "ledgerline.operators.relational",
+    "ledgerline.operators.aggregates",
+    "ledgerline.operators.windows",
+    "ledgerline.operators.scalars",
     "ledgerline.operators.quality",
     "ledgerline.operators.features",
     "ledgerline.operators.metrics",
