@@ -70,8 +70,9 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list,
             local = local.withColumn(f"_l_{out}", F.lead(c).over(w))
         elif kind in ("prior_sum", "prior_count", "run_sum", "run_count"):
             frame = prior if kind.startswith("prior") else upto
-            local = local.withColumn(f"_l_{out}_s", F.sum(c).over(frame)) \
-                         .withColumn(f"_l_{out}_c", F.count(c).over(frame))
+            if kind.endswith("sum"):
+                local = local.withColumn(f"_l_{out}_s", F.sum(c).over(frame))
+            local = local.withColumn(f"_l_{out}_c", F.count(c).over(frame))
         elif kind == "prior_min":
             local = local.withColumn(f"_l_{out}", F.min(c).over(prior))
         elif kind == "prior_max":
@@ -96,8 +97,10 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list,
 
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for out, (kind, col) in spec.items():
-        if kind in ("prior_sum", "prior_count", "run_sum", "run_count"):
+        if kind in ("prior_sum", "run_sum"):
             aggs += [F.sum(col).alias(f"_t_{out}_s"), F.count(col).alias(f"_t_{out}_c")]
+        elif kind in ("prior_count", "run_count"):
+            aggs.append(F.count(col).alias(f"_t_{out}_c"))
         elif kind == "prior_min":
             aggs.append(F.min(col).alias(f"_t_{out}"))
         elif kind == "prior_max":
@@ -114,9 +117,11 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list,
     offs = [F.col(k) for k in keys] + [F.col(_PID),
                                        F.sum("_rows").over(before).alias("_o_rows")]
     for out, (kind, col) in spec.items():
-        if kind in ("prior_sum", "prior_count", "run_sum", "run_count"):
+        if kind in ("prior_sum", "run_sum"):
             offs += [F.sum(f"_t_{out}_s").over(before).alias(f"_o_{out}_s"),
                      F.sum(f"_t_{out}_c").over(before).alias(f"_o_{out}_c")]
+        elif kind in ("prior_count", "run_count"):
+            offs.append(F.sum(f"_t_{out}_c").over(before).alias(f"_o_{out}_c"))
         elif kind == "prior_min":
             offs.append(F.min(f"_t_{out}").over(before).alias(f"_o_{out}"))
         elif kind == "prior_max":
