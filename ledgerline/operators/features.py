@@ -286,10 +286,15 @@ def labeled_orders(spark, sf_dir, split_dates=TEST_SPLIT, horizon=HORIZON_DAYS,
     return censor_horizon(repurchase_label(split, horizon), split_dates, horizon)
 
 
-_SPLIT_CTE = """sp AS (
+def split_cte(source: str = "od") -> str:
+    """DuckDB text: time split, in-split labels and censoring over ``source``."""
+    return _SPLIT_CTE_T.replace("__SRC__", source)
+
+
+_SPLIT_CTE_T = """sp AS (
   SELECT *, CASE WHEN order_date < DATE '1999-01-01' THEN 'train' WHEN order_date < DATE '2000-04-01' THEN 'valid'
                  WHEN order_date <= DATE '2001-08-01' THEN 'test' END AS split
-  FROM od),
+  FROM __SRC__),
 lab AS (
   SELECT *, CASE WHEN next_order_date IS NOT NULL THEN CAST(next_order_date - order_date AS DOUBLE) END
               AS days_to_next_order
@@ -301,6 +306,7 @@ lab2 AS (SELECT *, CAST(CASE WHEN days_to_next_order IS NOT NULL AND days_to_nex
 cens AS (SELECT * FROM lab2 WHERE (split = 'train' AND order_date + 90 < DATE '1999-01-01')
                                  OR (split = 'valid' AND order_date + 90 < DATE '2000-04-01')
                                  OR (split = 'test' AND order_date + 90 <= DATE '2001-08-01'))"""
+_SPLIT_CTE = split_cte("od")
 
 
 @register("fe_repurchase_label", sql=S.with_fact(
