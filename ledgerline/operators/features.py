@@ -35,9 +35,16 @@ ROLLUP_COLS = ["customer_id", "customer_name", "order_id", "order_date", "market
 
 
 def order_rollup(lines: DataFrame) -> DataFrame:
-    """Lines -> one row per (customer, order, date) with the ML3 columns."""
-    keyed = lines.withColumn("order_key", order_key("customer_id", "order_id", "order_date"))
-    base = (keyed.groupBy("order_key", "customer_id", "customer_name", "order_id", "order_date")
+    """Lines -> one row per (customer, order, date) with the ML3 columns.
+
+    One hash aggregation keyed by the numeric order identity (the string
+    order key is derived afterwards).  Distinct counts: products with one
+    exact COUNT(DISTINCT) (planned without Expand), categories and
+    sub-categories as the size of their set -- exact, and bounded by the
+    size of the product-category dimension, not by the order size.
+    """
+    keys = ["customer_id", "customer_name", "order_id", "order_date"]
+    base = (lines.groupBy(*keys)
             .agg(F.min("market").alias("market"), F.min("country").alias("country"),
                  F.min("segment").alias("segment"), F.min("ship_mode").alias("ship_mode"),
                  F.min("order_priority").alias("order_priority"),
@@ -50,9 +57,10 @@ def order_rollup(lines: DataFrame) -> DataFrame:
                  F.round(F.sum("shipping_cost"), 2).alias("order_shipping_cost"),
                  F.count(F.lit(1)).alias("order_line_count"),
                  F.countDistinct("product_id").alias("num_products"),
-                 F.countDistinct("category").alias("num_categories"),
-                 F.countDistinct("sub_category").alias("num_sub_categories")))
-    return (base.withColumn("ship_days", F.datediff("ship_date", "order_date"))
+                 F.size(F.collect_set("category")).cast("bigint").alias("num_categories"),
+                 F.size(F.collect_set("sub_category")).cast("bigint").alias("num_sub_categories")))
+    return (base.withColumn("order_key", order_key("customer_id", "order_id", "order_date"))
+            .withColumn("ship_days", F.datediff("ship_date", "order_date"))
             .withColumn("order_year", F.year("order_date")).withColumn("order_month", F.month("order_date"))
             .withColumn("order_quarter", F.quarter("order_date"))
             .withColumn("weekday_of_order", F.dayofweek("order_date")))
@@ -61,12 +69,13 @@ def order_rollup(lines: DataFrame) -> DataFrame:
 def main_category(lines: DataFrame) -> DataFrame:
     """Best-selling (category, sub-category) of each order; ties -> smallest
     names.  An aggregation (min_by), so a huge order is combined per task."""
-    keyed = lines.withColumn("order_key", order_key("customer_id", "order_id", "order_date"))
-    per = keyed.groupBy("order_key", "category", "sub_category").agg(F.sum("sales").alias("cs"))
-    best = per.groupBy("order_key").agg(
+    keys = ["customer_id", "order_id", "order_date"]
+    per = lines.groupBy(*keys, "category", "sub_category").agg(F.sum("sales").alias("cs"))
+    best = per.groupBy(*keys).agg(
         F.min_by(F.struct("category", "sub_category"),
                  F.struct((-F.col("cs")).alias("neg"), "category", "sub_category")).alias("b"))
-    return best.select("order_key", F.col("b.category").alias("main_category"),
+    return best.select(order_key("customer_id", "order_id", "order_date").alias("order_key"),
+                       F.col("b.category").alias("main_category"),
                        F.col("b.sub_category").alias("main_sub_category"))
 
 
