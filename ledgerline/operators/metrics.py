@@ -248,16 +248,14 @@ def _labeled(spark, sf_dir) -> DataFrame:
     return labeled_orders(spark, sf_dir, TEST_SPLIT, with_history=True)
 
 
+# (model name, condition); conditions are SQL text shared with the oracle
 RULES = [
-    ("previous_order_count >= 1", F.col("previous_order_count") >= 1, "previous_order_count >= 1"),
-    ("previous_order_count >= 2", F.col("previous_order_count") >= 2, "previous_order_count >= 2"),
-    ("days_since_previous_order <= 90", F.col("days_since_previous_order") <= 90,
-     "days_since_previous_order <= 90"),
+    ("previous_order_count >= 1", "previous_order_count >= 1"),
+    ("previous_order_count >= 2", "previous_order_count >= 2"),
+    ("days_since_previous_order <= 90", "days_since_previous_order <= 90"),
     ("previous_order_count >= 2 OR days_since_previous_order <= 90",
-     (F.col("previous_order_count") >= 2) | (F.col("days_since_previous_order") <= 90),
      "previous_order_count >= 2 OR days_since_previous_order <= 90"),
     ("previous_order_count >= 2 AND days_since_previous_order <= 180",
-     (F.col("previous_order_count") >= 2) & (F.col("days_since_previous_order") <= 180),
      "previous_order_count >= 2 AND days_since_previous_order <= 180"),
 ]
 
@@ -266,18 +264,18 @@ def _rule_pred_sql(cond: str) -> str:
     return f"CASE WHEN COALESCE({cond}, FALSE) THEN 1.0 ELSE 0.0 END"
 
 
-@register("ml_eval_cls", sql=S.with_fact(_rates_sql(_cm_sql(_rule_pred_sql(RULES[1][2]), "split = 'test'")),
+@register("ml_eval_cls", sql=S.with_fact(_rates_sql(_cm_sql(_rule_pred_sql(RULES[1][1]), "split = 'test'")),
                                          *_HIST_SPLIT))
 def _ml_eval_cls(spark, sf_dir):
     df = _labeled(spark, sf_dir).where(F.col("split") == "test")
-    return confusion_metrics(df.withColumn("prediction", N.flag(RULES[1][1])))
+    return confusion_metrics(df.withColumn("prediction", N.flag(F.expr(RULES[1][1]))))
 
 
 def rule_predictions(df: DataFrame, rules=RULES) -> DataFrame:
     """All rule classifiers in one pass: each row is replicated once per rule
     (a fixed, small number) and evaluated with one grouped aggregation."""
-    arr = F.array(*[F.struct(F.lit(name).alias("model"), N.flag(cond).alias("prediction"))
-                    for name, cond, _ in rules])
+    arr = F.array(*[F.struct(F.lit(name).alias("model"), N.flag(F.expr(cond)).alias("prediction"))
+                    for name, cond in rules])
     return df.select("*", F.explode(arr).alias("_r")).select("*", "_r.model", "_r.prediction").drop("_r")
 
 
@@ -290,7 +288,7 @@ def select_rule(valid_metrics: DataFrame) -> DataFrame:
     "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{name}' AS model, split, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos FROM ("
         + _rates_sql(_cm_sql(_rule_pred_sql(sql), "split IN ('valid', 'test')", "split")) + ") r"
-        for name, _, sql in RULES) + ") t", *_HIST_SPLIT))
+        for name, sql in RULES) + ") t", *_HIST_SPLIT))
 def _ml_rules(spark, sf_dir):
     df = _labeled(spark, sf_dir).where(F.col("split").isin("valid", "test"))
     return confusion_metrics(rule_predictions(df), by=["model", "split"]) \
@@ -398,7 +396,7 @@ def _ml_threshold_apply(spark, sf_dir):
     "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{name}' AS model, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos FROM ("
         + _rates_sql(_cm_sql(_rule_pred_sql(sql), "split = 'test'")) + ") r"
-        for name, _, sql in RULES[:3]) + ") t", *_HIST_SPLIT))
+        for name, sql in RULES[:3]) + ") t", *_HIST_SPLIT))
 def _ml_compare(spark, sf_dir):
     test = _labeled(spark, sf_dir).where(F.col("split") == "test")
     return confusion_metrics(rule_predictions(test, RULES[:3]), by=["model"]) \
