@@ -80,7 +80,47 @@ def main_category(lines: DataFrame) -> DataFrame:
 
 
 def order_table(lines: DataFrame) -> DataFrame:
-    return order_rollup(lines).join(main_category(lines), "order_key", "left")
+    """Order roll-up plus main category from ONE scan of the lines.
+
+    Level 1 aggregates per (order, category, sub-category): partial sums,
+    counts, extremes and the distinct products of that group.  Level 2
+    combines them per order (decimal sums are exact, so the two-level sum
+    equals the one-level sum) and picks the best-selling group with
+    ``min_by``.  ``num_products`` adds the per-group distinct counts, which
+    is exact because category and sub-category are attributes of the
+    product (one product never falls in two groups); the roll-up alone
+    (``order_rollup``) does not rely on that.
+    """
+    keys = ["customer_id", "customer_name", "order_id", "order_date"]
+    g1 = (lines.groupBy(*keys, "category", "sub_category")
+          .agg(F.min("market").alias("market"), F.min("country").alias("country"),
+               F.min("segment").alias("segment"), F.min("ship_mode").alias("ship_mode"),
+               F.min("order_priority").alias("order_priority"), F.min("ship_date").alias("ship_date"),
+               F.sum("sales").alias("s"), F.sum("profit").alias("p"), F.sum("quantity").alias("q"),
+               F.sum("discount").alias("ds"), F.count("discount").alias("dn"), F.max("discount").alias("dm"),
+               F.sum("shipping_cost").alias("sc"), F.count(F.lit(1)).alias("n"),
+               F.countDistinct("product_id").alias("np")))
+    best = F.min_by(F.struct("category", "sub_category"),
+                    F.struct(F.when(F.col("s").isNotNull(), -F.col("s")).alias("neg"), "category", "sub_category"))
+    base = (g1.groupBy(*keys)
+            .agg(*[F.min(c).alias(c) for c in ("market", "country", "segment", "ship_mode", "order_priority",
+                                                "ship_date")],
+                 F.round(F.sum("s"), 2).alias("order_sales"), F.round(F.sum("p"), 2).alias("order_profit"),
+                 F.sum("q").cast("bigint").alias("order_quantity"),
+                 N.rnd(F.try_divide(N.dbl(F.sum("ds")), F.sum("dn")), 4).alias("order_avg_discount"),
+                 N.money(F.max("dm"), 4).alias("order_max_discount"),
+                 F.round(F.sum("sc"), 2).alias("order_shipping_cost"),
+                 F.sum("n").alias("order_line_count"), F.sum("np").alias("num_products"),
+                 F.size(F.collect_set("category")).cast("bigint").alias("num_categories"),
+                 F.size(F.collect_set("sub_category")).cast("bigint").alias("num_sub_categories"),
+                 best.alias("b")))
+    return (base.withColumn("order_key", order_key("customer_id", "order_id", "order_date"))
+            .withColumn("ship_days", F.datediff("ship_date", "order_date"))
+            .withColumn("order_year", F.year("order_date")).withColumn("order_month", F.month("order_date"))
+            .withColumn("order_quarter", F.quarter("order_date"))
+            .withColumn("weekday_of_order", F.dayofweek("order_date"))
+            .withColumn("main_category", F.col("b.category")).withColumn("main_sub_category", F.col("b.sub_category"))
+            .drop("b"))
 
 
 _ORDER_CTE = f"""ob AS (
@@ -161,10 +201,12 @@ HISTORY_SPEC = {
 }
 
 
-def order_history(orders: DataFrame, num_ranges: int | None = None) -> DataFrame:
+def order_history(orders: DataFrame, num_ranges: int | None = None, extra: dict | None = None) -> DataFrame:
     """The 17 leakage-safe history columns of each order (strictly earlier
-    orders of the same customer, ordered by date then order key)."""
-    h = ordered_scan(orders, ["customer_id"], ["order_date", "order_key"], HISTORY_SPEC, num_ranges)
+    orders of the same customer, ordered by date then order key).  ``extra``
+    adds more outputs of the same scan (e.g. the next order date)."""
+    h = ordered_scan(orders, ["customer_id"], ["order_date", "order_key"], {**HISTORY_SPEC, **(extra or {})},
+                     num_ranges)
     cnt = F.col("_cnt")
     prev = F.col("previous_order_date")
     avg = lambda s: F.try_divide(N.dbl(s), cnt)  # noqa: E731 - averages over the same prior rows
@@ -288,11 +330,31 @@ def censor_horizon(df: DataFrame, split_dates=TEST_SPLIT, horizon: int = HORIZON
 
 
 def labeled_orders(spark, sf_dir, split_dates=TEST_SPLIT, horizon=HORIZON_DAYS, with_history=False):
+    """Order table (+ history) -> time split -> in-split label -> censoring.
+
+    With history, the label reuses the history scan: splits are contiguous
+    date ranges and the scan orders by date, so the next order inside the
+    split is the customer's next order when that order is in the same split,
+    and none otherwise -- one ordered scan instead of two.
+    """
     orders = order_table(order_lines(spark, sf_dir, ROLLUP_COLS))
-    if with_history:
-        orders = order_history(orders)
-    split = time_split(orders, "order_date", *split_dates).where(F.col("split").isNotNull())
-    return censor_horizon(repurchase_label(split, horizon), split_dates, horizon)
+    if not with_history:
+        split = time_split(orders, "order_date", *split_dates).where(F.col("split").isNotNull())
+        return censor_horizon(repurchase_label(split, horizon), split_dates, horizon)
+    h = order_history(orders, extra={"_next": ("lead", "order_date")})
+    split = time_split(h, "order_date", *split_dates)
+    vs, ts, end = (F.lit(x).cast("date") for x in split_dates)
+    n = F.col("_next")
+    next_split = F.when(n < vs, "train").when(n < ts, "valid").when(n <= end, "test")
+    labeled = (split.where(F.col("split").isNotNull())
+               .withColumn("next_order_date", F.when(next_split == F.col("split"), n))
+               .drop("_next"))
+    days = F.when(F.col("next_order_date").isNotNull(),
+                  F.datediff("next_order_date", "order_date").cast("double"))
+    labeled = labeled.withColumn("days_to_next_order", days) \
+        .withColumn("label", N.flag(F.col("days_to_next_order").isNotNull()
+                                    & (F.col("days_to_next_order") <= horizon)))
+    return censor_horizon(labeled, split_dates, horizon)
 
 
 def split_cte(source: str = "od") -> str:
