@@ -6,8 +6,8 @@ depth 8, ...).  Registered forms use small models so a correctness run
 stays short; they are rows-only checks (no SQL oracle for a trained model),
 except the indexer whose label order is plain SQL.
 
-Training frames are checkpointed (reliable checkpoint in the session's
-``spark.checkpoint.dir``) before fitting: iterative learners scan their
+Training frames are written once to the session's ``spark.checkpoint.dir``
+and read back (``plans.lineage.cut``) before fitting: iterative learners scan their
 input many times and must not recompute the feature lineage on each pass.
 """
 
@@ -32,7 +32,7 @@ from ledgerline.operators.features import (TEST_CLAMP, TEST_SPLIT, clamp_fixed,
 from ledgerline.operators.relational import hash_split, positional_join
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.registry import register
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.plans.lineage import cut
 from ledgerline.sources.fact import order_lines
 from ledgerline.sources.io import scratch_path
 
@@ -56,9 +56,8 @@ REPURCHASE_CATEGORICAL = ["market", "country", "segment", "ship_mode", "order_pr
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint (shared folder on a cluster)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: written once to the shared checkpoint folder, read back."""
+    return cut(df, "train")
 
 
 # ------------------------------------------------------ training frames

@@ -10,15 +10,17 @@ When one key may hold a third of the rows, that task becomes the job.
    runs of the (k, o) order, so a hot key spreads over several partitions
    (chunks) while a cold key usually stays inside one.
 2. Local windows over ``(k, chunk)``: lag/lead, prior-row and running
-   aggregates, row number.  The local frame is then checkpointed (reliable
-   checkpoint in ``spark.checkpoint.dir``) so chunk ids stay fixed even if
-   executors are lost and stages are recomputed.
-3. Only the first and the last key of each chunk can continue into a
-   neighbouring chunk, so the fix-up table has at most 2 rows per chunk.
-   Its size is bounded by the partition count, not by the data, which is
-   what makes the broadcast safe.  A window over that tiny table gives each
-   edge chunk the totals of its key's earlier chunks; one broadcast join
-   adds them back.  No row is dropped or sampled.
+   aggregates, row number.  The local frame is then written once to the
+   shared ``spark.checkpoint.dir`` and read back (``plans.lineage.cut``), so
+   chunk ids stay fixed even if executors are lost and stages are recomputed.
+3. Only the first and the last key of a chunk can continue into a
+   neighbouring chunk.  One ``groupBy(chunk)`` gives, per chunk, its first
+   and last key, the last key's totals (read off the chunk's last row) and
+   the edge values -- one row per chunk, so its size is bounded by the
+   partition count, not by the data, which is what makes the broadcast
+   safe.  Windows over that tiny table give each chunk's first key the
+   totals of its earlier chunks; one broadcast join adds them back.  No row
+   is dropped or sampled.
 
 Output kinds (``spec`` maps output column -> (kind, input column)):
   ``lag`` / ``lead``        previous / next value of the column
@@ -35,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.plans.lineage import cut
 
 _PID = "_chunk"
 
@@ -48,7 +50,6 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list,
                  spec: dict[str, tuple[str, str | None]],
                  num_ranges: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(partition_by)
     order_cols = [_sort_key(c) for c in order_by]
@@ -82,80 +83,104 @@ def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list,
         else:
             raise ValueError(f"unknown scan kind {kind}")
 
-    # freeze chunk ids and local results (reliable checkpoint)
-    local = local.checkpoint(eager=True)
-
-    # chunk edges: first and last key of every chunk (<= 2 per chunk)
-    if keys:
-        key_struct = F.struct(*[F.col(k) for k in keys])
-        bounds = local.groupBy(_PID).agg(F.min(key_struct).alias("_kmin"),
-                                         F.max(key_struct).alias("_kmax"))
-        edge_rows = local.join(F.broadcast(bounds), _PID) \
-            .where((key_struct == F.col("_kmin")) | (key_struct == F.col("_kmax")))
-    else:
-        edge_rows = local
-
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    # freeze chunk ids and local results: written once to the shared
+    # checkpoint folder and read back (survives executor loss)
+    local = cut(local, "ordered-scan")
+
+    # One row per chunk (n rows): its first and last key, the last key's
+    # totals inside the chunk (taken from the chunk's last row, whose local
+    # frame already covers them) and the values at the chunk edges.
+    kstruct = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_all"))
+    pos = F.struct(kstruct.alias("k"), F.col("_l_rn").alias("r"))
+    last_of = lambda c: F.max_by(c, pos)  # noqa: E731 - value at the chunk's last row
+    aggs = [F.min(kstruct).alias("_fk"), F.max(kstruct).alias("_lk"), last_of(F.col("_l_rn")).alias("_t_rows")]
     for out, (kind, col) in spec.items():
+        v = F.col(col) if col else None
         if kind in ("prior_sum", "run_sum"):
-            aggs += [F.sum(col).alias(f"_t_{out}_s"), F.count(col).alias(f"_t_{out}_c")]
+            s_incl = F.col(f"_l_{out}_s") if kind == "run_sum" else \
+                F.when(v.isNull(), F.col(f"_l_{out}_s")).otherwise(F.coalesce(F.col(f"_l_{out}_s"), F.lit(0)) + v)
+            c_incl = F.col(f"_l_{out}_c") if kind == "run_sum" else \
+                F.col(f"_l_{out}_c") + F.when(v.isNotNull(), 1).otherwise(0)
+            aggs += [last_of(s_incl).alias(f"_t_{out}_s"), last_of(c_incl).alias(f"_t_{out}_c")]
         elif kind in ("prior_count", "run_count"):
-            aggs.append(F.count(col).alias(f"_t_{out}_c"))
+            c_incl = F.col(f"_l_{out}_c") if kind == "run_count" else \
+                F.col(f"_l_{out}_c") + F.when(v.isNotNull(), 1).otherwise(0)
+            aggs.append(last_of(c_incl).alias(f"_t_{out}_c"))
         elif kind == "prior_min":
-            aggs.append(F.min(col).alias(f"_t_{out}"))
+            aggs.append(last_of(F.least(F.col(f"_l_{out}"), v)).alias(f"_t_{out}"))
         elif kind == "prior_max":
-            aggs.append(F.max(col).alias(f"_t_{out}"))
+            aggs.append(last_of(F.greatest(F.col(f"_l_{out}"), v)).alias(f"_t_{out}"))
         elif kind == "lag":
-            aggs.append(F.max_by(F.col(col), F.col("_l_rn")).alias(f"_t_{out}"))
+            aggs.append(last_of(v).alias(f"_t_{out}"))
         elif kind == "lead":
-            aggs.append(F.min_by(F.col(col), F.col("_l_rn")).alias(f"_t_{out}"))
-    chunks = edge_rows.groupBy(*keys, _PID).agg(*aggs)
-
-    # totals of the earlier chunks of the same key (tiny: <= 2 rows/chunk)
-    cw = Window.partitionBy(*keys).orderBy(_PID)
-    before = cw.rowsBetween(Window.unboundedPreceding, -1)
-    offs = [F.col(k) for k in keys] + [F.col(_PID),
-                                       F.sum("_rows").over(before).alias("_o_rows")]
+            aggs.append(F.min_by(v, pos).alias(f"_t_{out}"))
+    chunks = local.groupBy(_PID).agg(*aggs)
+
+    # Offsets for each chunk's first key: totals of the earlier chunks that
+    # end with the same key (they are contiguous), via windows over the
+    # n-row chunk table -- its size is bounded by the partition count.
+    by_last = Window.partitionBy("_lk").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
+    seq = Window.orderBy(_PID)
+    cum = [F.sum("_t_rows").over(by_last).alias("_c_rows")]
     for out, (kind, col) in spec.items():
         if kind in ("prior_sum", "run_sum"):
-            offs += [F.sum(f"_t_{out}_s").over(before).alias(f"_o_{out}_s"),
-                     F.sum(f"_t_{out}_c").over(before).alias(f"_o_{out}_c")]
+            cum += [F.sum(f"_t_{out}_s").over(by_last).alias(f"_c_{out}_s"),
+                    F.sum(f"_t_{out}_c").over(by_last).alias(f"_c_{out}_c")]
         elif kind in ("prior_count", "run_count"):
-            offs.append(F.sum(f"_t_{out}_c").over(before).alias(f"_o_{out}_c"))
+            cum.append(F.sum(f"_t_{out}_c").over(by_last).alias(f"_c_{out}_c"))
         elif kind == "prior_min":
-            offs.append(F.min(f"_t_{out}").over(before).alias(f"_o_{out}"))
+            cum.append(F.min(f"_t_{out}").over(by_last).alias(f"_c_{out}"))
         elif kind == "prior_max":
-            offs.append(F.max(f"_t_{out}").over(before).alias(f"_o_{out}"))
+            cum.append(F.max(f"_t_{out}").over(by_last).alias(f"_c_{out}"))
+    chunks = chunks.select("*", *cum)
+    cont = F.lag("_lk").over(seq) == F.col("_fk")        # first key continues from the previous chunk
+    carry = F.lead("_fk").over(seq) == F.col("_lk")      # last key continues into the next chunk
+    offs = [F.col(_PID), F.col("_fk"), F.col("_lk"),
+            F.when(cont, F.lag("_c_rows").over(seq)).alias("_o_rows")]
+    for out, (kind, col) in spec.items():
+        if kind in ("prior_sum", "run_sum"):
+            offs += [F.when(cont, F.lag(f"_c_{out}_s").over(seq)).alias(f"_o_{out}_s"),
+                     F.when(cont, F.lag(f"_c_{out}_c").over(seq)).alias(f"_o_{out}_c")]
+        elif kind in ("prior_count", "run_count"):
+            offs.append(F.when(cont, F.lag(f"_c_{out}_c").over(seq)).alias(f"_o_{out}_c"))
+        elif kind in ("prior_min", "prior_max"):
+            offs.append(F.when(cont, F.lag(f"_c_{out}").over(seq)).alias(f"_o_{out}"))
         elif kind == "lag":
-            offs.append(F.lag(f"_t_{out}").over(cw).alias(f"_o_{out}"))
+            offs.append(F.when(cont, F.lag(f"_t_{out}").over(seq)).alias(f"_o_{out}"))
         elif kind == "lead":
-            offs.append(F.lead(f"_t_{out}").over(cw).alias(f"_o_{out}"))
+            offs.append(F.when(carry, F.lead(f"_t_{out}").over(seq)).alias(f"_o_{out}"))
     offsets = chunks.select(*offs)
 
-    joined = local.join(F.broadcast(offsets), [*keys, _PID], "left")
+    joined = local.join(F.broadcast(offsets), _PID, "left")
+    first_key = kstruct == F.col("_fk")
+    last_key = kstruct == F.col("_lk")
+
+    def off(c):  # offsets apply to the chunk's first key only
+        return F.when(first_key, F.col(c))
+
     result = joined
     for out, (kind, col) in spec.items():
         if kind == "row_number":
-            result = result.withColumn(out, F.col("_l_rn") + F.coalesce(F.col("_o_rows"), F.lit(0)))
+            result = result.withColumn(out, F.col("_l_rn") + F.coalesce(off("_o_rows"), F.lit(0)))
         elif kind == "lag":
-            result = result.withColumn(out, F.when(F.col("_l_rn") == 1, F.col(f"_o_{out}"))
+            result = result.withColumn(out, F.when(F.col("_l_rn") == 1, off(f"_o_{out}"))
                                        .otherwise(F.col(f"_l_{out}")))
         elif kind == "lead":
             # the next chunk's first row is the lead of this chunk's last row
-            result = result.withColumn(out, F.when(F.col("_l_last"), F.col(f"_o_{out}"))
+            result = result.withColumn(out, F.when(F.col("_l_last"), F.when(last_key, F.col(f"_o_{out}")))
                                        .otherwise(F.col(f"_l_{out}")))
         elif kind in ("prior_sum", "run_sum"):
-            cnt = F.coalesce(F.col(f"_l_{out}_c"), F.lit(0)) + F.coalesce(F.col(f"_o_{out}_c"), F.lit(0))
-            total = F.coalesce(F.col(f"_l_{out}_s"), F.lit(0)) + F.coalesce(F.col(f"_o_{out}_s"), F.lit(0))
+            cnt = F.coalesce(F.col(f"_l_{out}_c"), F.lit(0)) + F.coalesce(off(f"_o_{out}_c"), F.lit(0))
+            total = F.coalesce(F.col(f"_l_{out}_s"), F.lit(0)) + F.coalesce(off(f"_o_{out}_s"), F.lit(0))
             result = result.withColumn(out, F.when(cnt > 0, total))
         elif kind in ("prior_count", "run_count"):
             result = result.withColumn(
-                out, F.coalesce(F.col(f"_l_{out}_c"), F.lit(0)) + F.coalesce(F.col(f"_o_{out}_c"), F.lit(0)))
+                out, F.coalesce(F.col(f"_l_{out}_c"), F.lit(0)) + F.coalesce(off(f"_o_{out}_c"), F.lit(0)))
         elif kind == "prior_min":
-            result = result.withColumn(out, F.least(F.col(f"_l_{out}"), F.col(f"_o_{out}")))
+            result = result.withColumn(out, F.least(F.col(f"_l_{out}"), off(f"_o_{out}")))
         elif kind == "prior_max":
-            result = result.withColumn(out, F.greatest(F.col(f"_l_{out}"), F.col(f"_o_{out}")))
-    helper = [c for c in result.columns if c.startswith(("_l_", "_o_", "_t_")) or c == _PID]
+            result = result.withColumn(out, F.greatest(F.col(f"_l_{out}"), off(f"_o_{out}")))
+    helper = [c for c in result.columns if c.startswith(("_l_", "_o_", "_t_")) or c in (_PID, "_fk", "_lk")]
     return result.drop(*helper)
 
 
