@@ -61,7 +61,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     """
     vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"))
     ranked = ordered_scan(vals, [], ["v"], {"rk": ("row_number", None)}, num_ranges)
-    n = vals.agg(F.count(F.lit(1)).alias("n"))  # one row
+    n = ranked.agg(F.count(F.lit(1)).alias("n"))  # one row, from the scan output
     targets = F.array(*[F.lit(float(p)) for p in probs])
     grid = n.select(F.explode(targets).alias("p"), "n") \
         .withColumn("rk", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("n"))).cast("int"))

@@ -131,7 +131,8 @@ def q04_pareto(lines: DataFrame, num_ranges: int | None = None) -> DataFrame:
     ranked = ordered_scan(per, [], [F.desc("cs"), F.asc("customer_id"), F.asc("customer_name")],
                           {"running": ("run_sum", "cs"), "customer_rank": ("row_number", None)},
                           num_ranges=num_ranges)
-    grand = per.agg(F.sum("cs").alias("grand_total"))  # one row
+    # one row, read from the materialised scan output (no second pass over the lines)
+    grand = ranked.agg(F.sum("cs").alias("grand_total"))
     return ranked.crossJoin(F.broadcast(grand)).select(
         "customer_id", "customer_name",
         N.money("cs").alias("total_sales"),
@@ -363,7 +364,7 @@ def q09_loss_in_top_decile(lines: DataFrame, max_margin: float = 0.0, k: int = 1
     # number from the ordered scan, decile from the rank and the order count
     ranked = ordered_scan(orders, [], [F.desc("os"), F.asc("order_id")],
                           {"rn": ("row_number", None)}, num_ranges=num_ranges)
-    total = orders.agg(F.count(F.lit(1)).alias("n_orders"))  # one row
+    total = ranked.agg(F.count(F.lit(1)).alias("n_orders"))  # one row, from the scan output
     decile = ranked.crossJoin(F.broadcast(total)) \
         .withColumn("sales_decile", ntile_of(F.col("rn"), F.col("n_orders"), 10))
     hit = decile.where((F.col("sales_decile") == 1)

@@ -104,7 +104,7 @@ def ntile_global(df: DataFrame, order_by: list, buckets: int, out: str = "ntile"
                  num_ranges: int | None = None) -> DataFrame:
     """NTILE over the whole frame, from the skew-safe global row number."""
     ranked = ordered_scan(df, [], order_by, {"_rk": ("row_number", None)}, num_ranges)
-    total = df.agg(F.count(F.lit(1)).alias("_n"))  # one row
+    total = ranked.agg(F.count(F.lit(1)).alias("_n"))  # one row, from the scan output
     return ranked.crossJoin(F.broadcast(total)) \
         .withColumn(out, ntile_of(F.col("_rk"), F.col("_n"), buckets)).drop("_rk", "_n")
 

@@ -44,14 +44,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when it is unset (tests, local runs) a private temporary
     folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        # unset: only in tests / local runs
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
