@@ -17,7 +17,7 @@ from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.ordered import ntile_of, ordered_scan
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines
+from ledgerline.sources.fact import order_lines, order_totals
 
 # --------------------------------------------------------------------------
 # q01: per market and year, % change against the previous present year
@@ -53,7 +53,8 @@ FROM yearly ORDER BY market, order_year
 
 @register("q01_market_yoy", sql=Q01_SQL)
 def _q01(spark, sf_dir):
-    return q01_market_yoy(order_lines(spark, sf_dir, ["market", "order_date", "sales", "profit"]))
+    # order totals first: the lines never shuffle against orders/customers
+    return q01_market_yoy(order_totals(spark, sf_dir, ["market", "order_date"], ["sales", "profit"]))
 
 
 # --------------------------------------------------------------------------
@@ -118,7 +119,7 @@ FROM monthly ORDER BY order_year, order_month
 
 @register("q03_month_mom", sql=Q03_SQL)
 def _q03(spark, sf_dir):
-    return q03_month_mom(order_lines(spark, sf_dir, ["order_date", "sales", "profit"]))
+    return q03_month_mom(order_totals(spark, sf_dir, ["order_date"], ["sales", "profit"]))
 
 
 # --------------------------------------------------------------------------
@@ -161,7 +162,7 @@ ORDER BY customer_rank
 
 @register("q04_pareto", sql=Q04_SQL)
 def _q04(spark, sf_dir):
-    return q04_pareto(order_lines(spark, sf_dir, ["customer_id", "customer_name", "sales"]))
+    return q04_pareto(order_totals(spark, sf_dir, ["customer_id", "customer_name"], ["sales"]))
 
 
 # --------------------------------------------------------------------------
@@ -245,7 +246,7 @@ GROUP BY customer_group ORDER BY total_sales DESC""")
 
 @register("q06_customer_loyalty", sql=_q06_sql(7, 11))
 def _q06(spark, sf_dir):
-    return q06_customer_loyalty(order_lines(spark, sf_dir, ["customer_id", "order_id", "sales"]), 7, 11)
+    return q06_customer_loyalty(order_totals(spark, sf_dir, ["customer_id"], ["sales"]), 7, 11)
 
 
 # --------------------------------------------------------------------------
@@ -439,9 +440,11 @@ def _q10(spark, sf_dir):
 
 
 def eda_by(lines: DataFrame, dim: str, with_count: bool = True) -> DataFrame:
+    """Totals per dimension; works on lines or on order totals (``n_lines``)."""
     aggs = [N.money(F.sum("sales")).alias("total_sales"), N.money(F.sum("profit")).alias("total_profit")]
     if with_count:
-        aggs.append(F.count(F.lit(1)).alias("transaction_count"))
+        n = F.sum("n_lines") if "n_lines" in lines.columns else F.count(F.lit(1))
+        aggs.append(n.cast("bigint").alias("transaction_count"))
     return lines.groupBy(dim).agg(*aggs).orderBy(F.desc("total_sales"), dim)
 
 
@@ -454,7 +457,7 @@ FROM fact GROUP BY {dim} ORDER BY total_sales DESC, {dim}""")
 
 @register("eda_market", sql=_eda_sql("market"))
 def _eda_market(spark, sf_dir):
-    return eda_by(order_lines(spark, sf_dir, ["market", "sales", "profit"]), "market")
+    return eda_by(order_totals(spark, sf_dir, ["market"], ["sales", "profit"]), "market")
 
 
 @register("eda_category", sql=_eda_sql("category", False))
@@ -464,7 +467,7 @@ def _eda_category(spark, sf_dir):
 
 @register("eda_segment", sql=_eda_sql("segment"))
 def _eda_segment(spark, sf_dir):
-    return eda_by(order_lines(spark, sf_dir, ["segment", "sales", "profit"]), "segment")
+    return eda_by(order_totals(spark, sf_dir, ["segment"], ["sales", "profit"]), "segment")
 
 
 def eda_monthly(lines: DataFrame) -> DataFrame:
@@ -482,7 +485,7 @@ FROM fact GROUP BY 1 ORDER BY 1""")
 
 @register("eda_monthly", sql=EDA_MONTHLY_SQL)
 def _eda_monthly(spark, sf_dir):
-    return eda_monthly(order_lines(spark, sf_dir, ["order_date", "sales", "profit"]))
+    return eda_monthly(order_totals(spark, sf_dir, ["order_date"], ["sales", "profit"]))
 
 
 def discount_bands(width: float = 0.1, bands: int = 5) -> list[tuple[str, float, float]]:

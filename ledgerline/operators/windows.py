@@ -15,17 +15,17 @@ from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.ordered import ntile_of, ordered_scan
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines
+from ledgerline.sources.fact import order_lines, order_totals
 
 _ORDERS_CTE = """o AS (SELECT customer_id, order_id, MIN(order_date) AS order_date, SUM(sales) AS os
   FROM fact GROUP BY customer_id, order_id)"""
 
 
 def customer_orders(spark, sf_dir) -> DataFrame:
-    """One row per (customer, order): date and order sales (exact decimal)."""
-    return order_lines(spark, sf_dir, ["customer_id", "order_id", "order_date", "sales"]) \
-        .groupBy("customer_id", "order_id") \
-        .agg(F.min("order_date").alias("order_date"), F.sum("sales").alias("os"))
+    """One row per (customer, order): date and order sales (exact decimal),
+    summed per order before the order-side join."""
+    return order_totals(spark, sf_dir, ["customer_id", "order_date"], ["sales"]) \
+        .select("customer_id", "order_id", "order_date", F.col("sales").alias("os"))
 
 
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str], value_cols: list[str]) -> DataFrame:
