@@ -160,31 +160,49 @@ def _ml_index(spark, sf_dir):
     return model.transform(labels)
 
 
-@register("ml_onehot")
+@register("ml_onehot", sql=S.with_fact("""
+SELECT f.order_id, f.product_id, f.ship_date, f.category, CAST(i.idx AS INTEGER) AS hot_slot
+FROM fact f JOIN (SELECT category, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, category) - 1 AS idx
+                  FROM fact GROUP BY category) i ON f.category = i.category"""))
 def _ml_onehot(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["order_id", "product_id", "category"])
+    df = order_lines(spark, sf_dir, ["order_id", "product_id", "ship_date", "category"])
     idx, ohe = encoders(["category"])
     out = Pipeline(stages=[idx, ohe]).fit(df).transform(df)
-    return out.select("order_id", "product_id", vector_to_array("category_ohe").alias("category_ohe"))
-
-
-@register("ml_interaction")
+    # with the extra 'unseen' bucket kept and the last slot dropped, every
+    # known category has its own slot: report which one is hot
+    arr = vector_to_array("category_ohe")
+    return out.select("order_id", "product_id", "ship_date", "category",
+                      (F.array_position(arr, 1.0) - 1).cast("int").alias("hot_slot"))
+
+
+@register("ml_interaction", sql=S.with_fact("""
+SELECT f.order_id, f.product_id, f.ship_date, CAST(i.idx AS INTEGER) AS sub_slot,
+       CAST(f.discount AS DOUBLE) AS inter_total
+FROM fact f JOIN (SELECT sub_category, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, sub_category) - 1 AS idx
+                  FROM fact GROUP BY sub_category) i ON f.sub_category = i.sub_category"""))
 def _ml_interaction(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["order_id", "product_id", "sub_category", "discount"]) \
+    df = order_lines(spark, sf_dir, ["order_id", "product_id", "ship_date", "sub_category", "discount"]) \
         .withColumn("discount_d", N.dbl("discount"))
     idx, ohe = encoders(["sub_category"])
     inter = Interaction(inputCols=["sub_category_ohe", "discount_d"], outputCol="inter")
     out = Pipeline(stages=[idx, ohe, inter]).fit(df).transform(df)
-    return out.select("order_id", "product_id", vector_to_array("inter").alias("subcat_discount_inter"))
+    arr = vector_to_array("inter")
+    # one-hot x discount: the discount sits in the sub-category's slot
+    return out.select("order_id", "product_id", "ship_date",
+                      (F.array_position(vector_to_array("sub_category_ohe"), 1.0) - 1).cast("int").alias("sub_slot"),
+                      F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x).alias("inter_total"))
 
 
-@register("ml_assemble")
+@register("ml_assemble", sql=S.with_fact("""
+SELECT order_id, product_id, ship_date, CAST(sales AS DOUBLE) AS f0, CAST(quantity AS DOUBLE) AS f1,
+       CAST(discount AS DOUBLE) AS f2 FROM fact"""))
 def _ml_assemble(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["order_id", "product_id", "sales", "quantity", "discount"])
-    df = df.select("order_id", "product_id", N.dbl("sales").alias("s"), F.col("quantity").cast("double").alias("q"),
-                   N.dbl("discount").alias("d"))
+    df = order_lines(spark, sf_dir, ["order_id", "product_id", "ship_date", "sales", "quantity", "discount"])
+    df = df.select("order_id", "product_id", "ship_date", N.dbl("sales").alias("s"),
+                   F.col("quantity").cast("double").alias("q"), N.dbl("discount").alias("d"))
     out = VectorAssembler(inputCols=["s", "q", "d"], outputCol="v", handleInvalid="keep").transform(df)
-    return out.select("order_id", "product_id", vector_to_array("v").alias("features"))
+    arr = vector_to_array("v")
+    return out.select("order_id", "product_id", "ship_date", *[arr[i].alias(f"f{i}") for i in range(3)])
 
 
 @register("fn_vector_to_array")
@@ -204,13 +222,20 @@ def _ml_impute(spark, sf_dir):
     return imp.fit(df).transform(df)
 
 
-@register("ml_scale")
+@register("ml_scale", sql=S.with_fact(f"""
+SELECT order_id, product_id, ship_date,
+       {S.rnd('(CAST(sales AS DOUBLE) - avg(CAST(sales AS DOUBLE)) OVER ()) / stddev_samp(CAST(sales AS DOUBLE)) OVER ()', 6)} AS sales_z,
+       {S.rnd('(CAST(quantity AS DOUBLE) - avg(CAST(quantity AS DOUBLE)) OVER ()) / stddev_samp(CAST(quantity AS DOUBLE)) OVER ()', 6)} AS quantity_z
+FROM fact"""))
 def _ml_scale(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["order_id", "product_id", "sales", "quantity"])
-    df = df.select("order_id", "product_id", N.dbl("sales").alias("s"), F.col("quantity").cast("double").alias("q"))
+    df = order_lines(spark, sf_dir, ["order_id", "product_id", "ship_date", "sales", "quantity"])
+    df = df.select("order_id", "product_id", "ship_date", N.dbl("sales").alias("s"),
+                   F.col("quantity").cast("double").alias("q"))
     vec = VectorAssembler(inputCols=["s", "q"], outputCol="v").transform(df)
     out = StandardScaler(inputCol="v", outputCol="z", withMean=True, withStd=True).fit(vec).transform(vec)
-    return out.select("order_id", "product_id", vector_to_array("z").alias("scaled"))
+    z = vector_to_array("z")
+    return out.select("order_id", "product_id", "ship_date", N.rnd(z[0], 6).alias("sales_z"),
+                      N.rnd(z[1], 6).alias("quantity_z"))
 
 
 def _eval_usd(pred: DataFrame) -> DataFrame:

@@ -43,8 +43,8 @@ ml_importance_group ml_perm_importance ml_residuals ml_worst_k ml_interval ml_ri
 # streaming runs, clocks): the driver checks rows only
 ROWS_ONLY = set("""
 src_kafka model_save_load sample_fraction sample_keep_outliers split_random win_random_index fn_now fn_rand
-fn_vector_to_array st_score st_foreach_batch_dual st_checkpoint ml_onehot ml_interaction ml_assemble
-ml_impute ml_scale ml_pipeline ml_linreg ml_rf_reg ml_gbt_reg ml_cv ml_logreg ml_rf_cls ml_ablation
+fn_vector_to_array st_score st_foreach_batch_dual st_checkpoint
+ml_impute ml_pipeline ml_linreg ml_rf_reg ml_gbt_reg ml_cv ml_logreg ml_rf_cls ml_ablation
 ml_importance ml_importance_group ml_perm_importance
 """.split())
 
