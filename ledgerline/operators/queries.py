@@ -17,7 +17,7 @@ from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.ordered import ntile_of, ordered_scan
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines, order_totals
+from ledgerline.sources.fact import order_lines, order_totals, part_totals
 
 # --------------------------------------------------------------------------
 # q01: per market and year, % change against the previous present year
@@ -81,7 +81,8 @@ Q02_SQL = S.with_fact(
 
 @register("q02_subcat_extremes", sql=Q02_SQL)
 def _q02(spark, sf_dir):
-    return q02_subcat_extremes(order_lines(spark, sf_dir, ["sub_category", "profit"]))
+    # per-product totals first: the lines never shuffle against the part table
+    return q02_subcat_extremes(part_totals(spark, sf_dir, ["sub_category"], ["profit"]))
 
 
 # --------------------------------------------------------------------------
@@ -462,7 +463,7 @@ def _eda_market(spark, sf_dir):
 
 @register("eda_category", sql=_eda_sql("category", False))
 def _eda_category(spark, sf_dir):
-    return eda_by(order_lines(spark, sf_dir, ["category", "sales", "profit"]), "category", False)
+    return eda_by(part_totals(spark, sf_dir, ["category"], ["sales", "profit"]), "category", False)
 
 
 @register("eda_segment", sql=_eda_sql("segment"))

@@ -15,7 +15,7 @@ from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.ordered import ordered_scan
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines, read_table
+from ledgerline.sources.fact import order_lines, part_totals, read_table
 from ledgerline.sources.fixtures import DIRTY_CTE_SQL, RAW_CTE_SQL, dirty_lines, raw_lines
 
 # ----------------------------------------------------------------- library
@@ -171,9 +171,9 @@ SELECT COUNT(*) AS n_lines, CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS total_sales,
        CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_profit
 FROM fact WHERE category = 'PROMO'"""))
 def _filter_equal_value(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["category", "sales", "profit"])
+    df = part_totals(spark, sf_dir, ["category"], ["sales", "profit"])
     return df.where(F.col("category") == "PROMO").agg(
-        F.count(F.lit(1)).alias("n_lines"), N.money(F.sum("sales")).alias("total_sales"),
+        F.sum("n_lines").cast("bigint").alias("n_lines"), N.money(F.sum("sales")).alias("total_sales"),
         N.money(F.sum("profit")).alias("total_profit"))
 
 
@@ -445,7 +445,7 @@ UNION ALL
 SELECT * FROM (SELECT product_name, CAST(ROUND(SUM(sales), 2) AS DOUBLE) AS total_sales, 'Top Low' AS group_label
                FROM fact GROUP BY product_name ORDER BY total_sales ASC, product_name LIMIT 5) b"""))
 def _topk_subquery(spark, sf_dir):
-    per = order_lines(spark, sf_dir, ["product_name", "sales"]).groupBy("product_name") \
+    per = part_totals(spark, sf_dir, ["product_name"], ["sales"]).groupBy("product_name") \
         .agg(N.money(F.sum("sales")).alias("total_sales"))
     return top_and_bottom(per, "total_sales", "product_name", 5)
 

@@ -15,7 +15,7 @@ from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.ordered import ntile_of, ordered_scan
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines, order_totals
+from ledgerline.sources.fact import order_lines, order_totals, part_totals
 
 _ORDERS_CTE = """o AS (SELECT customer_id, order_id, MIN(order_date) AS order_date, SUM(sales) AS os
   FROM fact GROUP BY customer_id, order_id)"""
@@ -94,7 +94,7 @@ SELECT category, product_name, CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS total_pr
        DENSE_RANK() OVER (PARTITION BY category ORDER BY ROUND(SUM(profit), 2) DESC) AS profit_rank
 FROM fact GROUP BY category, product_name"""))
 def _win_dense_rank(spark, sf_dir):
-    per = order_lines(spark, sf_dir, ["category", "product_name", "profit"]) \
+    per = part_totals(spark, sf_dir, ["category", "product_name"], ["profit"]) \
         .groupBy("category", "product_name").agg(N.money(F.sum("profit")).alias("total_profit"))
     w = Window.partitionBy("category").orderBy(F.desc("total_profit"))
     return per.withColumn("profit_rank", F.dense_rank().over(w).cast("bigint"))

@@ -182,6 +182,40 @@ def order_totals(spark: SparkSession, sf_dir: str, order_cols, measures=("sales"
     return per_order.join(side, "order_id")
 
 
+_PART_SIDE = {"product_name", "category", "sub_category"}
+
+
+def part_totals(spark: SparkSession, sf_dir: str, part_cols, measures=("sales",)) -> DataFrame:
+    """One row per product: product columns plus line measures summed per
+    product BEFORE the join with ``part`` (``n_lines`` = line count).
+
+    Profit is decomposable: the sum over a product's lines of
+    sales * (1 - discount) - quantity * price equals
+    sum(sales * (1 - discount)) - price * sum(quantity), exactly in DECIMAL,
+    so the lines never shuffle against the part table -- they are combined
+    per part key map-side and only part-sized rows are joined.
+    """
+    part_cols = list(part_cols)
+    bad = [c for c in part_cols if c not in _PART_SIDE] + [m for m in measures if m not in _ADDITIVE]
+    if bad:
+        raise ValueError(f"not product columns / additive measures: {bad}")
+    li = read_table(spark, sf_dir, "lineitem")
+    aggs = [F.count(F.lit(1)).alias("n_lines")]
+    for m in measures:
+        if m == "profit":
+            aggs += [F.sum(_sales() * (F.lit(1) - _discount())).alias("_net"), F.sum(_quantity()).alias("_qty")]
+        else:
+            aggs.append(F.sum(_expr(m)).alias(m))
+    per_part = li.groupBy(F.col("l_partkey").alias("product_id")).agg(*aggs)
+    part = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), "p_retailprice", *[_expr(c).alias(c) for c in part_cols])
+    out = per_part.join(part, "product_id")
+    if "profit" in measures:
+        out = out.withColumn("profit", (F.col("_net") - F.col("_qty") * F.col("p_retailprice")
+                                        .cast("decimal(10,2)")).cast("decimal(28,4)"))
+    return out.drop("_net", "_qty", "p_retailprice")
+
+
 def order_lines_side(spark: SparkSession, sf_dir: str, order_cols) -> DataFrame:
     """The order side of the fact view (orders + customer + geography)."""
     need: set[str] = set()
