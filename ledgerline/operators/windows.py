@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
-from ledgerline.plans.ordered import ntile_of, ordered_scan
+from ledgerline.plans.ordered import dense_rank_by, ntile_of, ordered_scan
 from ledgerline.plans.registry import register
 from ledgerline.sources.fact import order_lines, order_totals, part_totals
 
@@ -96,8 +96,10 @@ FROM fact GROUP BY category, product_name"""))
 def _win_dense_rank(spark, sf_dir):
     per = part_totals(spark, sf_dir, ["category", "product_name"], ["profit"]) \
         .groupBy("category", "product_name").agg(N.money(F.sum("profit")).alias("total_profit"))
-    w = Window.partitionBy("category").orderBy(F.desc("total_profit"))
-    return per.withColumn("profit_rank", F.dense_rank().over(w).cast("bigint"))
+    # every product of a category is ranked (no limit): rank the distinct
+    # (category, profit) values with the skew-safe scan instead of a window
+    # that would hold a whole category in one task
+    return dense_rank_by(per, ["category"], "total_profit", out="profit_rank")
 
 
 def ntile_global(df: DataFrame, order_by: list, buckets: int, out: str = "ntile",

@@ -194,3 +194,20 @@ def ntile_of(rank: Column, total: Column, buckets: int) -> Column:
     big = r * (q + 1)
     return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
             .otherwise(r + F.floor((rank - big - 1) / F.greatest(q, F.lit(1))) + 1).cast("int")
+
+
+def dense_rank_by(df: DataFrame, partition_by: list[str], value: str, descending: bool = True,
+                  out: str = "dense_rank", num_ranges: int | None = None) -> DataFrame:
+    """DENSE_RANK of ``value`` inside each key, without a per-key window.
+
+    The distinct (key, value) pairs are numbered by the skew-safe ordered
+    scan (row number over distinct values = dense rank), then joined back
+    null-safely.  Ties share a rank, as with ``F.dense_rank``.
+    """
+    order = F.desc_nulls_last(value) if descending else F.asc_nulls_first(value)
+    distinct_vals = df.select(*partition_by, value).distinct()
+    ranked = ordered_scan(distinct_vals, list(partition_by), [order], {out: ("row_number", None)}, num_ranges)
+    ranked = ranked.select(*[F.col(c).alias(f"_r_{c}") for c in [*partition_by, value]],
+                           F.col(out).cast("bigint").alias(out))
+    cond = [df[c].eqNullSafe(ranked[f"_r_{c}"]) for c in [*partition_by, value]]
+    return df.join(ranked, cond).drop(*[f"_r_{c}" for c in [*partition_by, value]])

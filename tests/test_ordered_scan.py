@@ -72,3 +72,12 @@ def test_ntile_formula(spark, n):
 def test_results_are_stable_after_recompute(spark, skewed):
     got = ordered_scan(skewed, ["k"], ["d", "o"], {"rn": ("row_number", None)}, num_ranges=8)
     assert sorted(got.collect()) == sorted(got.collect())
+
+
+def test_dense_rank_by_matches_window(spark, skewed):
+    from ledgerline.plans.ordered import dense_rank_by
+    df = skewed.withColumn("v", F.col("d") % 13)  # many ties, hot key 0
+    got = dense_rank_by(df, ["k"], "v", out="r", num_ranges=11)
+    exp = df.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy(F.desc("v"))))
+    key = lambda rows: sorted((r["k"], r["o"], r["r"]) for r in rows)
+    assert key(got.collect()) == key(exp.collect())
