@@ -52,6 +52,18 @@ def describe_long(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
     return out
 
 
+def summary_long(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), accuracy: int = 10000,
+                 digits: int = 4) -> DataFrame:
+    """``describe`` plus quartiles (Spark's ``summary``), numeric and long
+    form, in one aggregation; quartiles come from a bounded-memory sketch."""
+    base = describe_long(df, cols, digits)
+    q = df.agg(*[F.percentile_approx(N.dbl(c), list(probs), accuracy).alias(c) for c in cols])
+    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
+    qs = q.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, q)").select(
+        "column_name", *[N.rnd(F.col("q")[i], digits).alias(f"p{int(p * 100)}") for i, p in enumerate(probs)])
+    return base.join(qs, "column_name")  # one row per column on both sides
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                     num_ranges: int | None = None) -> DataFrame:
     """Exact nearest-rank quantiles: value at rank max(1, ceil(p * n)).

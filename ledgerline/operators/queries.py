@@ -346,7 +346,8 @@ def _q08(spark, sf_dir):
 
 
 def order_level(lines: DataFrame) -> DataFrame:
-    """Order roll-up used by q09 (FIRST made deterministic with MIN)."""
+    """Order roll-up used by q09 (FIRST made deterministic with MIN).
+    Works on lines or on per-order totals (one row per order)."""
     return lines.groupBy("order_id").agg(
         F.min("order_date").alias("order_date"),
         F.min("customer_name").alias("customer_name"),
@@ -394,9 +395,10 @@ ORDER BY os DESC, order_id LIMIT {k}""")
 
 @register("q09_loss_in_top_decile", sql=_q09_sql(0.4))
 def _q09(spark, sf_dir):
-    cols = ["order_id", "order_date", "customer_name", "market", "segment", "ship_mode",
-            "sales", "profit", "shipping_cost", "quantity"]
-    return q09_loss_in_top_decile(order_lines(spark, sf_dir, cols), max_margin=0.4)
+    # per-order totals (and the per-order min ship mode) before the order-side join
+    totals = order_totals(spark, sf_dir, ["order_date", "customer_name", "market", "segment"],
+                          ["sales", "profit", "shipping_cost", "quantity"], line_mins=["ship_mode"])
+    return q09_loss_in_top_decile(totals, max_margin=0.4)
 
 
 # --------------------------------------------------------------------------

@@ -156,7 +156,10 @@ _ORDER_SIDE = {"customer_id", "customer_name", "segment", "country", "market", "
 _ADDITIVE = {"sales", "profit", "shipping_cost", "quantity"}
 
 
-def order_totals(spark: SparkSession, sf_dir: str, order_cols, measures=("sales",)) -> DataFrame:
+_LINE_ONLY = {"ship_mode", "ship_date", "product_id"}
+
+
+def order_totals(spark: SparkSession, sf_dir: str, order_cols, measures=("sales",), line_mins=()) -> DataFrame:
     """One row per order: order-side columns plus line measures summed per
     order (``n_lines`` = line count), aggregated BEFORE the order-side join.
 
@@ -165,17 +168,20 @@ def order_totals(spark: SparkSession, sf_dir: str, order_cols, measures=("sales"
     lines are never shuffled against orders or customers.  Sums are exact
     (DECIMAL), so re-aggregating these totals equals aggregating the lines.
     Orders without lines are absent, exactly as in the inner-joined fact view.
+    ``line_mins`` adds the per-order minimum of line-level columns.
     """
     order_cols = list(order_cols)
-    bad = [c for c in order_cols if c not in _ORDER_SIDE] + [m for m in measures if m not in _ADDITIVE]
+    bad = [c for c in order_cols if c not in _ORDER_SIDE] + [m for m in measures if m not in _ADDITIVE] \
+        + [c for c in line_mins if c not in _LINE_ONLY]
     if bad:
-        raise ValueError(f"not order-side columns / additive measures: {bad}")
+        raise ValueError(f"not order-side columns / additive measures / line columns: {bad}")
     li = read_table(spark, sf_dir, "lineitem")
     if "profit" in measures:
         part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
         li = li.join(part, li["l_partkey"] == part["p_partkey"])
     per_order = li.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        *[F.sum(_expr(m)).alias(m) for m in measures], F.count(F.lit(1)).alias("n_lines"))
+        *[F.sum(_expr(m)).alias(m) for m in measures], *[F.min(_expr(c)).alias(c) for c in line_mins],
+        F.count(F.lit(1)).alias("n_lines"))
     if not order_cols:
         return per_order
     side = order_lines_side(spark, sf_dir, order_cols)
