@@ -6,6 +6,9 @@ cluster) and reads it back.  Unlike ``Dataset.checkpoint`` on an
 unpersisted plan, the plan is computed once (an RDD checkpoint recomputes
 it to write the files), the copy is columnar and compressed, and the
 re-read frame carries file statistics that AQE uses for join planning.
+
+A cut whose rows have been consumed (by a later cut, or by an aggregate
+that was collected) is given back with ``drop_cut``.
 """
 
 from __future__ import annotations
@@ -22,4 +25,17 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/ledgerline-cut/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def drop_cut(*frames: DataFrame) -> None:
+    """Delete the files behind frames returned by ``cut`` (they must not be read again)."""
+    for df in frames:
+        path = getattr(df, "_cut_path", None)
+        if path is None:
+            raise ValueError("not a frame returned by cut()")
+        spark = df.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

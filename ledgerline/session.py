@@ -7,6 +7,7 @@ Library code never builds its own session: every operator takes the caller's
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,23 +42,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (tests, local runs) a private temporary
-    folder is created and registered.
+    as is; leaving it unset there is an error, because a folder of the
+    driver's machine is not visible to the executors.  Only a session whose
+    executors are threads of this process (``local[...]``, as in tests) gets
+    a private folder when the setting is missing.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # unset: only in tests / local runs
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the driver and the executors")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    if sc is None:
-        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
