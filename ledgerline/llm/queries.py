@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, mixing, packing, topk
+from ledgerline.llm import ann, jaccard, langid, mixing, packing, topk
 from ledgerline.llm.util import table
 
 QUERIES: dict = {}
@@ -91,3 +91,18 @@ def op10_best_fit_packing(spark, sf_dir):
     """All documents as token pieces in sequences of at most 4096."""
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    """The language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(langid.labelled_rows(docs))
+    rows = docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out"))
+    return langid.identify(rows, model).drop("text")
+
+
+@query
+def op6_jaccard_classes(spark, sf_dir):
+    """The connected class of every document under Jaccard 0.9 of its word 3-grams."""
+    return jaccard.linked_classes(table(spark, sf_dir, "documents"), 3, 90, 100)
