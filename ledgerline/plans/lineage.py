@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame
 from ledgerline.session import ensure_checkpoint_dir
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut(df: DataFrame, name: str = "cut", compression: str | None = None) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/ledgerline-cut/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
