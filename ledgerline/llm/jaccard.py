@@ -49,11 +49,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
-from ledgerline.llm.util import broadcast_if_small, byte_rows, worker_state
+from ledgerline.llm.util import broadcast_if_small, byte_rows, fresh_name, worker_state
 from ledgerline.plans.lineage import cut
 
 MAX_SLICES = 64
@@ -256,7 +256,7 @@ def _edges_of(num: int, den: int):
 
 
 def set_rows(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
-    """id, n (set size), cid (digest of the set, null if empty), keys (slices) of every document."""
+    """id, row (64-bit hash of the text), n (set size), cid (digest of the set, null if empty), keys (slices)."""
     def run(batches):
         for batch in batches:
             n, cid, keys = [], [], []
@@ -268,12 +268,12 @@ def set_rows(docs: DataFrame, id_col: str, text_col: str, width: int, num: int,
             offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cid, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "n", "cid", "keys"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "row", "n", "cid", "keys"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {id_type}, n long, cid binary, keys array<long>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("row")) \
+        .mapInArrow(run, f"id {id_type}, row long, n long, cid binary, keys array<long>")
 
 
 def token_rows(texts: DataFrame, width: int) -> DataFrame:
@@ -295,6 +295,11 @@ def token_rows(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("cluster", "cid", "text").mapInArrow(run, "cluster long, cid binary, n long, tokens binary")
 
 
+def text_hash(text: Column) -> Column:
+    """Tells rows with the same id apart."""
+    return F.xxhash64(text)
+
+
 def _short(cid):
     """A 64-bit name of a class, for grouping candidates only."""
     return F.xxhash64(cid)
@@ -414,7 +419,7 @@ def _across(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 def linked_classes(docs: DataFrame, width: int, num: int, den: int, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id of every document."""
+    """id, n_shingles, component_id, class (null for an empty set) and row (text hash) of every document."""
     rows = cut(set_rows(docs, id_col, text_col, width, num, den), "sets")
     classes = cut(rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")),
                   "classes")
@@ -428,9 +433,35 @@ def linked_classes(docs: DataFrame, width: int, num: int, den: int, id_col: str
     found = components(links(sets, num, den))
 
     joined = classes.select("cid", "rep").join(found, F.col("cid") == F.col("node"), "left") \
-        .withColumn("component", F.coalesce("component", "cid")).select("cid", "rep", "component")
-    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_class = cut(joined.join(least, "component").select(F.col("cid").alias("c_cid"), "component_id"), "components")
+        .withColumn("class", F.coalesce("component", "cid")).select("cid", "rep", "class")
+    least = joined.groupBy("class").agg(F.min("rep").alias("component_id"))
+    by_class = cut(joined.join(least, "class").select(F.col("cid").alias("c_cid"), "class", "component_id"), "components")
     return rows.join(by_class, F.col("cid") == F.col("c_cid"), "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("cid").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("cid").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "class", "row")
+
+
+def one_of_each_class(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents of which ``classes`` (of ``linked_classes``; a cut) has the first row of each class.
+
+    First is the smallest id (null last), then the smallest text hash; of
+    rows that repeat both, one stays.  Rows with an empty set all stay.
+    """
+    place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "row")
+    of_class = classes.where("class IS NOT NULL").withColumn("place", place)
+    first = of_class.groupBy("class").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = of_class.join(first, "class")
+    names = [fresh_name(docs.columns, f"_dup_{x}") for x in ("id", "row", "text")]
+    address = [F.col("place.id").alias(names[0]), F.col("place.row").alias(names[1])]
+    others = cut(shared.where("place <> first").select(*address).distinct(), "duplicates")
+    repeats = cut(shared.where("place = first").groupBy(*address).agg(F.count("*").alias("n")).where("n > 1")
+                  .drop("n"), "repeats")
+    rows = docs.withColumn(names[2], text_hash(F.col(text_col)))
+
+    def at(side):
+        return rows[id_col].eqNullSafe(side[names[0]]) & (rows[names[2]] == side[names[1]])
+
+    others, repeats = (broadcast_if_small(x, 1_000_000) for x in (others, repeats))
+    rows = rows.join(others, at(others), "left_anti")
+    once = rows.join(repeats, at(repeats), "left_semi").dropDuplicates([id_col, names[2]])
+    return rows.join(repeats, at(repeats), "left_anti").union(once).select(*docs.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, jaccard, langid, mixing, packing, topk
+from ledgerline.llm import ann, htmltext, jaccard, langid, license, mixing, packing, tokencount, toolcalls, topk
 from ledgerline.llm.util import table
 
 QUERIES: dict = {}
@@ -105,4 +105,83 @@ def op1_language_id(spark, sf_dir):
 @query
 def op6_jaccard_classes(spark, sf_dir):
     """The connected class of every document under Jaccard 0.9 of its word 3-grams."""
-    return jaccard.linked_classes(table(spark, sf_dir, "documents"), 3, 90, 100)
+    return jaccard.linked_classes(table(spark, sf_dir, "documents"), 3, 90, 100).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+@query
+def op2_license_scan(spark, sf_dir):
+    """Licence notices found in the documents."""
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
+_CHAT_TOOLS = ("system", "user")
+
+
+@query(sql="""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, role, text, role IN ('system', 'user') AS is_call FROM conversations),
+calls AS (SELECT conv_id, turn, role, text FROM turns WHERE is_call),
+levels AS (
+  SELECT conv_id, turn, 0 AS level FROM calls c
+  WHERE turn < 2 OR NOT EXISTS (SELECT 1 FROM calls d WHERE d.conv_id = c.conv_id AND d.turn = c.turn - 2)
+  UNION ALL
+  SELECT c.conv_id, c.turn, l.level + 1 FROM levels l JOIN calls c ON c.conv_id = l.conv_id AND c.turn = l.turn + 2),
+results AS (SELECT conv_id, turn, text FROM turns WHERE role = 'assistant'),
+linked AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS turn, l.level,
+         'c' || coalesce(c.turn, r.turn - 1) AS call_id, c.role AS name, c.text AS asked, r.text AS content,
+         c.turn IS NULL AS no_call, r.turn IS NULL AS no_result, c.turn >= 2 AND l.level = 0 AS unmet
+  FROM calls c JOIN levels l USING (conv_id, turn)
+  FULL JOIN results r ON r.conv_id = c.conv_id AND r.turn = c.turn + 1),
+stated AS (
+  SELECT *, CASE WHEN no_call THEN 'result without call' WHEN no_result THEN 'call without result'
+                 WHEN unmet OR asked IS NULL THEN 'invalid' ELSE 'ok' END AS status FROM linked)
+SELECT conv_id, turn, level, call_id, 'call' AS kind, status,
+       '{"arguments":' || CASE WHEN no_call THEN 'null' WHEN asked IS NULL THEN '{"turn":' || turn || '}' ELSE
+         '{"text":' || to_json(asked)::VARCHAR || ',"turn":' || turn || '}' END
+       || ',"content":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"id":"' || call_id || '","name":'
+       || coalesce('"' || name || '"', 'null') || ',"status":"' || status || '","trouble":['
+       || CASE WHEN NOT no_call AND asked IS NULL THEN '"missing text"' ELSE '' END
+       || CASE WHEN NOT no_call AND asked IS NULL AND unmet THEN ',' ELSE '' END
+       || CASE WHEN unmet THEN '"unknown dependency c' || (turn - 2) || '"' ELSE '' END || ']}' AS line
+FROM stated
+UNION ALL
+SELECT conv_id, turn, 0, NULL, 'message', 'ok',
+       '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || coalesce(to_json(role)::VARCHAR, 'null') || '}'
+FROM turns WHERE role IS NULL OR role NOT IN ('system', 'user', 'assistant')
+""")
+def op3_link_tool_calls(spark, sf_dir):
+    """All conversations as linked, ordered, validated canonical JSON lines.
+
+    Tool calls written in the messages are linked as such.  Of the other
+    messages, a system or user message is a call of the tool of that name (its
+    text and turn the arguments, depending on the call two turns before) and
+    an assistant message is the result of the call one turn before.
+    """
+    plain, calls, results = toolcalls.messages_of(table(spark, sf_dir, "conversations"))
+    asked, answer = F.col("role").isin(*_CHAT_TOOLS), F.col("role") == "assistant"
+    calls = calls.union(plain.where(asked).select(
+        "conv", "turn", F.concat(F.lit("c"), "turn"), "role", F.to_json(F.struct("text", "turn")),
+        F.when(F.col("turn") >= 2, F.array(F.concat(F.lit("c"), F.col("turn") - 2)))))
+    results = results.union(plain.where(answer).select("conv", "turn", F.concat(F.lit("c"), F.col("turn") - 1), "text"))
+    kind = F.create_map(F.lit("text"), F.struct(F.lit("string").alias("type"), F.lit(True).alias("required")),
+                        F.lit("turn"), F.struct(F.lit("integer").alias("type"), F.lit(True).alias("required")))
+    schemas = spark.range(len(_CHAT_TOOLS)).select(
+        F.element_at(F.array(*map(F.lit, _CHAT_TOOLS)), (F.col("id") + 1).cast("int")).alias("name"), kind.alias("parameters"))
+    rest = plain.where(~F.coalesce(asked | answer, F.lit(False)))
+    return toolcalls.lines(rest, toolcalls.linked(calls, results, schemas)) \
+        .withColumnRenamed("conv", "conv_id").orderBy("conv_id", "turn", "level", "kind", "call_id")
+
+
+@query
+def op4_main_text(spark, sf_dir):
+    """The article text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    """Tokens of every document, counted between the separators of flat token files."""
+    return tokencount.count_documents(table(spark, sf_dir, "documents"))

@@ -57,7 +57,7 @@ def corpus(seed, n=150, longest=120, vocabulary=400):
 
 def run(spark, rows, *args):
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
-    return sorted((tuple(r) for r in linked_classes(df, *args).collect()), key=str)
+    return sorted((tuple(r)[:3] for r in linked_classes(df, *args).collect()), key=str)
 
 
 @pytest.mark.parametrize(("seed", "width", "num", "den"), [(1, 3, 90, 100), (2, 5, 80, 100), (3, 1, 50, 100)])
@@ -111,3 +111,13 @@ def test_long_texts(spark):
     got = run(spark, rows, 3, 90, 100)
     assert got == brute(rows, 3, 90, 100)
     assert [r[2] for r in got] == [1, 1, 3]
+
+
+def test_one_of_each_class(spark):
+    rows = [(3, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (1, "z y x w v u"), (7, "z y x w v u"), (None, "a b c d e f"),
+            (None, "q r s t"), (8, None), (8, None), (9, "")]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    got = jaccard.one_of_each_class(df, linked_classes(df, 5, 80, 100))
+    assert got.columns == df.columns
+    assert sorted(((r[0], r[1]) for r in got.collect()), key=str) == sorted(
+        [(1, "a b c d e f"), (1, "z y x w v u"), (None, "q r s t"), (8, None), (8, None), (9, "")], key=str)
