@@ -1,22 +1,22 @@
-"""Scoring-time feature function shared by batch training data and the stream.
+"""Model inputs of an order line, for training and for serving alike.
 
-One function builds the model inputs for both paths, so training and
-serving cannot drift apart (H16); every difference the reference had
-between them is an explicit parameter here.
+``line_features`` is the only place that derives them: the training frame
+and the stream call it with the same ``ServingParams``, so the two cannot
+drift apart; what a serving message does not carry (a ship date, some
+categories) comes from the parameters.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
 from ledgerline.functions.dates import parse_date, week_iso, week_sunday
 
-
-# Fixed values that must equal the reference's serving defaults.
+# The serving defaults that results must agree with
 REFERENCE_SALES_P1 = 0.36
 REFERENCE_SALES_P99 = 31357.32
 REFERENCE_SHIP_P1 = 0.0
@@ -27,6 +27,8 @@ REFERENCE_DEFAULTS = {"Segment": "Consumer", "Region": "Central", "Ship_Mode": "
                       "Order_Priority": "Medium"}
 REFERENCE_MARKET_DEFAULT = "US"
 REFERENCE_HIGH_DISCOUNT = 0.2
+# Names of the profit tiers, from the lowest up
+RISK_TIERS = ("LOSS RISK", "LOW PROFIT", "MEDIUM PROFIT", "HIGH PROFIT OPPORTUNITY")
 
 
 @dataclass(frozen=True)
@@ -37,53 +39,90 @@ class ServingParams:
     ship_hi: float = REFERENCE_SHIP_P99
     delivery_days: float = REFERENCE_DELIVERY_DAYS
     fallback_date: str = REFERENCE_FALLBACK_DATE
-    week_rule: str = "iso"  # the reference serves ISO weeks but trained on Sunday weeks
+    week_rule: str = "iso"  # or "sunday"; training and serving must use the same
     high_discount: float = REFERENCE_HIGH_DISCOUNT
     market_default: str = REFERENCE_MARKET_DEFAULT
     defaults: tuple = tuple(REFERENCE_DEFAULTS.items())
 
 
-def realtime_features(df: DataFrame, p: ServingParams = ServingParams(),
-                      sales="Sales", shipping="Shipping_Cost", discount="Discount", quantity="Quantity",
-                      order_date="Order_Date", market="Market", category="Category") -> DataFrame:
-    """Defaults for missing categoricals, winsor clamp, date parts, ratios,
-    flags and the market x category cross; pure column expressions."""
-    for col, value in p.defaults:
-        if col not in df.columns:
-            df = df.withColumn(col, F.lit(value))
-        else:
-            df = df.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
-    sc = N.clamp(N.dbl(sales), p.sales_lo, p.sales_hi)
-    shc = N.clamp(N.dbl(shipping), p.ship_lo, p.ship_hi)
-    d = F.col(order_date)
-    parsed = d if dict(df.dtypes).get(order_date) == "date" else parse_date(d, "yyyy-MM-dd", p.fallback_date)
-    week = week_iso(F.col("parsed_order_date")) if p.week_rule == "iso" else week_sunday(F.col("parsed_order_date"))
-    return (df.withColumn("Sales_capped", sc).withColumn("Shipping_Cost_capped", shc)
-            .withColumn("parsed_order_date", parsed)
-            .withColumn("Year", F.year("parsed_order_date"))
-            .withColumn("weeknum", week)
-            .withColumn("discount_amount", F.col("Sales_capped") * N.dbl(discount))
-            .withColumn("shipping_ratio", F.when(F.col("Sales_capped") == 0, F.lit(0.0))
-                        .otherwise(F.col("Shipping_Cost_capped") / F.col("Sales_capped")))
-            .withColumn("avg_item_value", F.when(F.col(quantity) == 0, F.lit(0.0))
-                        .otherwise(F.col("Sales_capped") / F.col(quantity)))
-            .withColumn("delivery_days", F.lit(p.delivery_days))
-            .withColumn("is_discounted", N.flag(F.col(discount) > 0))
-            .withColumn("high_discount", N.flag(F.col(discount) >= F.lit(p.high_discount)))
-            .withColumn("Market_Category", F.concat_ws("_", F.coalesce(F.col(market), F.lit(p.market_default)),
-                                                       F.col(category))))
-
-
-def risk_tier(pred, low: float = 100.0, high: float = 500.0, explicit_null: bool = False):
-    """LOSS RISK < 0 <= LOW PROFIT <= low < MEDIUM PROFIT <= high < HIGH.
-
-    The reference lets a null prediction fall into the top tier; with
-    ``explicit_null`` it gets its own UNKNOWN tier instead.
+def per_unit(total: Column, units) -> Column:
+    """total / units, 0 where there are no units."""
+    u = F.col(units) if isinstance(units, str) else units
+    return F.when(u != 0, total / u).when(u == 0, F.lit(0.0))
+
+
+def line_features(df: DataFrame, p: ServingParams, names: dict[str, str] | None = None) -> DataFrame:
+    """Add the derived inputs to order lines.
+
+    ``names`` maps the inputs (sales, shipping_cost, discount, quantity,
+    order_date, market, category; optional ship_date, None for none) to
+    columns of ``df``; default: their own names.  The order date may be a
+    date or text.
+    """
+    col = {k: k for k in ("sales", "shipping_cost", "discount", "quantity", "order_date", "market", "category")}
+    if "ship_date" in df.columns:
+        col["ship_date"] = "ship_date"
+    col |= names or {}
+    day = F.col(col["order_date"])
+    if dict(df.dtypes)[col["order_date"]] != "date":
+        day = parse_date(day, "yyyy-MM-dd", p.fallback_date)
+    week = {"iso": week_iso, "sunday": week_sunday}[p.week_rule]
+    # first the inputs that others are made of, then what is made of them
+    df = df.withColumns({
+        "sales_capped": N.clamp(N.dbl(col["sales"]), p.sales_lo, p.sales_hi),
+        "shipping_cost_capped": N.clamp(N.dbl(col["shipping_cost"]), p.ship_lo, p.ship_hi),
+        "discount_d": N.dbl(col["discount"]), "order_day": day})
+    sales = F.col("sales_capped")
+    ship = col.get("ship_date")
+    delivery = F.datediff(ship, "order_day").cast("double") if ship else F.lit(p.delivery_days)
+    return df.withColumns({
+        "year": F.year("order_day"), "weeknum": week(F.col("order_day")), "delivery_days": delivery,
+        "discount_amount": sales * F.col("discount_d"),
+        "shipping_ratio": per_unit(F.col("shipping_cost_capped"), sales),
+        "avg_item_value": per_unit(sales, col["quantity"]),
+        "is_discounted": N.flag(F.col(col["discount"]) > 0),
+        "high_discount": N.flag(F.col(col["discount"]) >= F.lit(p.high_discount)),
+        "market_category": F.concat_ws("_", F.coalesce(F.col(col["market"]), F.lit(p.market_default)),
+                                       F.col(col["category"]))})
+
+
+#: Columns of an order message and the names the features use.
+MESSAGE_NAMES = {"Order_ID": "order_id", "Customer_ID": "customer_id", "Order_Date": "order_date",
+                 "Category": "category", "Sub_Category": "sub_category", "Sales": "sales", "Discount": "discount",
+                 "Quantity": "quantity", "Shipping_Cost": "shipping_cost", "Market": "market"}
+
+
+def message_features(orders: DataFrame, p: ServingParams) -> DataFrame:
+    """Order messages with lower-case names, missing categories filled from the defaults, and all derived inputs."""
+    names = {c.lower(): c for c in orders.columns}
+    lower = orders.select(*[F.col(c).alias(MESSAGE_NAMES.get(c, c)) for c in orders.columns])
+    filled = {c.lower(): F.coalesce(F.col(c), F.lit(v)) if c.lower() in names else F.lit(v) for c, v in p.defaults}
+    lower = lower.withColumns(filled)
+    if "country" not in names:  # a message names no country: the region's default stands for it
+        lower = lower.withColumn("country", F.lit(dict(p.defaults).get("Region")))
+    return line_features(lower, p, {"ship_date": None})  # not shipped yet
+
+
+def tier(value, upper_bounds, labels) -> Column:
+    """The label of the first bound that ``value`` does not exceed; the last label beyond all, and for null.
+
+    A bound is a number (value <= bound) or a pair (number, "<") for a strict one.
+    """
+    x = F.col(value) if isinstance(value, str) else value
+    out = None
+    for bound, label in zip(upper_bounds, labels, strict=False):
+        limit, strict = bound if isinstance(bound, tuple) else (bound, "")
+        cond = x < F.lit(limit) if strict else x <= F.lit(limit)
+        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
+    return out.otherwise(F.lit(labels[len(upper_bounds)]))
+
+
+def risk_tier(pred, low: float = 100.0, high: float = 500.0, explicit_null: bool = False) -> Column:
+    """Profit tier of a prediction: below 0, up to ``low``, up to ``high``, above.
+
+    A null prediction falls into the top tier, as the reports expect; with
+    ``explicit_null`` it is UNKNOWN instead.
     """
     x = F.col(pred) if isinstance(pred, str) else pred
-    t = F.when(x.isNull(), F.lit("UNKNOWN")) if explicit_null else None
-    chain = [(x < 0.0, "LOSS RISK"), ((x >= 0.0) & (x <= F.lit(low)), "LOW PROFIT"),
-             ((x > F.lit(low)) & (x <= F.lit(high)), "MEDIUM PROFIT")]
-    for cond, label in chain:
-        t = F.when(cond, F.lit(label)) if t is None else t.when(cond, F.lit(label))
-    return t.otherwise(F.lit("HIGH PROFIT OPPORTUNITY"))
+    t = tier(x, [(0.0, "<"), low, high], RISK_TIERS)
+    return F.when(x.isNull(), F.lit("UNKNOWN")).otherwise(t) if explicit_null else t

@@ -2,125 +2,94 @@
 repurchase labels, censoring, class weights, winsorizing, snapshots.
 
 History windows run on ORDER-level rows (lines of one order must not see
-each other, H18) with a total order (date, order key), through the
-skew-safe ``ordered_scan``: a customer with a third of all orders is split
-over many tasks.
+each other, H18) with a total order (date, order key), chunked by month
+(``chunked_scan``): a customer with a third of all orders is split over
+many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
-from ledgerline.functions.realtime import ServingParams, realtime_features
+from ledgerline.functions.realtime import ServingParams, line_features, message_features
 from ledgerline.operators.aggregates import approx_quantiles, exact_quantiles
 from ledgerline.operators.relational import time_split
 from ledgerline.operators.scalars import order_key
 from ledgerline.plans import sqltext as S
-from ledgerline.plans.ordered import ordered_scan
+from ledgerline.plans.ordered import chunked_scan, month_of
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines
+from ledgerline.sources.fact import fact_column, order_lines, order_lines_side, order_totals, read_table
 
 HORIZON_DAYS = 90
 # reference split dates (defaults) and the test split for our tables
 REFERENCE_SPLIT = ("2013-07-01", "2014-01-01", "2014-12-31")
 TEST_SPLIT = ("1999-01-01", "2000-04-01", "2001-08-01")
 
-ROLLUP_COLS = ["customer_id", "customer_name", "order_id", "order_date", "market", "country", "segment",
-               "ship_mode", "order_priority", "ship_date", "sales", "profit", "quantity", "discount",
-               "shipping_cost", "product_id", "category", "sub_category"]
-
 # ----------------------------------------------------------- order table
 
+DIMENSION_LIMIT = 1_000_000  # more than the category pairs or ship modes of any shop
 
-def order_rollup(lines: DataFrame) -> DataFrame:
-    """Lines -> one row per (customer, order, date) with the ML3 columns.
 
-    One hash aggregation keyed by the numeric order identity (the string
-    order key is derived afterwards).  Distinct counts: products with one
-    exact COUNT(DISTINCT) (planned without Expand), categories and
-    sub-categories as the size of their set -- exact, and bounded by the
-    size of the product-category dimension, not by the order size.
-    """
-    keys = ["customer_id", "customer_name", "order_id", "order_date"]
-    base = (lines.groupBy(*keys)
-            .agg(F.min("market").alias("market"), F.min("country").alias("country"),
-                 F.min("segment").alias("segment"), F.min("ship_mode").alias("ship_mode"),
-                 F.min("order_priority").alias("order_priority"),
-                 F.min("ship_date").alias("ship_date"),
-                 F.round(F.sum("sales"), 2).alias("order_sales"),
-                 F.round(F.sum("profit"), 2).alias("order_profit"),
-                 F.sum("quantity").cast("bigint").alias("order_quantity"),
-                 N.rnd(N.mean("discount"), 4).alias("order_avg_discount"),
-                 N.money(F.max("discount"), 4).alias("order_max_discount"),
-                 F.round(F.sum("shipping_cost"), 2).alias("order_shipping_cost"),
-                 F.count(F.lit(1)).alias("order_line_count"),
-                 F.countDistinct("product_id").alias("num_products"),
-                 F.size(F.collect_set("category")).cast("bigint").alias("num_categories"),
-                 F.size(F.collect_set("sub_category")).cast("bigint").alias("num_sub_categories")))
-    return (base.withColumn("order_key", order_key("customer_id", "order_id", "order_date"))
-            .withColumn("ship_days", F.datediff("ship_date", "order_date"))
-            .withColumn("order_year", F.year("order_date")).withColumn("order_month", F.month("order_date"))
-            .withColumn("order_quarter", F.quarter("order_date"))
-            .withColumn("weekday_of_order", F.dayofweek("order_date")))
-
-
-def main_category(lines: DataFrame) -> DataFrame:
-    """Best-selling (category, sub-category) of each order; ties -> smallest
-    names.  An aggregation (min_by), so a huge order is combined per task."""
-    keys = ["customer_id", "order_id", "order_date"]
-    per = lines.groupBy(*keys, "category", "sub_category").agg(F.sum("sales").alias("cs"))
-    best = per.groupBy(*keys).agg(
-        F.min_by(F.struct("category", "sub_category"),
-                 F.struct((-F.col("cs")).alias("neg"), "category", "sub_category")).alias("b"))
-    return best.select(order_key("customer_id", "order_id", "order_date").alias("order_key"),
-                       F.col("b.category").alias("main_category"),
-                       F.col("b.sub_category").alias("main_sub_category"))
-
-
-def order_table(lines: DataFrame) -> DataFrame:
-    """Order roll-up plus main category from ONE scan of the lines.
-
-    Level 1 aggregates per (order, category, sub-category): partial sums,
-    counts, extremes and the distinct products of that group.  Level 2
-    combines them per order (decimal sums are exact, so the two-level sum
-    equals the one-level sum) and picks the best-selling group with
-    ``min_by``.  ``num_products`` adds the per-group distinct counts, which
-    is exact because category and sub-category are attributes of the
-    product (one product never falls in two groups); the roll-up alone
-    (``order_rollup``) does not rely on that.
+def _numbered(values: DataFrame, name: str) -> DataFrame:
+    """The distinct rows of a small dimension, numbered in their order from 1 (raises beyond ``DIMENSION_LIMIT``)."""
+    ids = values.distinct().withColumn(name, F.row_number().over(Window.orderBy(*values.columns)))
+    n = ids.count()
+    if n >= DIMENSION_LIMIT:
+        raise ValueError(f"{n} distinct values of {values.columns}")
+    return ids
+
+
+def order_table(spark, sf_dir) -> DataFrame:
+    """Lines -> one row per order with order columns, line measures and main category.
+
+    All line aggregates are numeric, so they hash-aggregate in place and the
+    lines are never sorted: strings enter as numbers of small dimensions.
+    Per (order, category pair): decimal sums, extremes and distinct products
+    (a product has one pair, so these add up).  Per order: the sums of those,
+    and the pair with the largest sales, ties by name, as the minimum of one
+    packed number (negated cents, then the pair's number).  Orders, customers
+    and geography join once, order by order.
     """
-    keys = ["customer_id", "customer_name", "order_id", "order_date"]
-    g1 = (lines.groupBy(*keys, "category", "sub_category")
-          .agg(F.min("market").alias("market"), F.min("country").alias("country"),
-               F.min("segment").alias("segment"), F.min("ship_mode").alias("ship_mode"),
-               F.min("order_priority").alias("order_priority"), F.min("ship_date").alias("ship_date"),
-               F.sum("sales").alias("s"), F.sum("profit").alias("p"), F.sum("quantity").alias("q"),
-               F.sum("discount").alias("ds"), F.count("discount").alias("dn"), F.max("discount").alias("dm"),
-               F.sum("shipping_cost").alias("sc"), F.count(F.lit(1)).alias("n"),
-               F.countDistinct("product_id").alias("np")))
-    best = F.min_by(F.struct("category", "sub_category"),
-                    F.struct(F.when(F.col("s").isNotNull(), -F.col("s")).alias("neg"), "category", "sub_category"))
-    base = (g1.groupBy(*keys)
-            .agg(*[F.min(c).alias(c) for c in ("market", "country", "segment", "ship_mode", "order_priority",
-                                                "ship_date")],
-                 F.round(F.sum("s"), 2).alias("order_sales"), F.round(F.sum("p"), 2).alias("order_profit"),
-                 F.sum("q").cast("bigint").alias("order_quantity"),
-                 N.rnd(F.try_divide(N.dbl(F.sum("ds")), F.sum("dn")), 4).alias("order_avg_discount"),
-                 N.money(F.max("dm"), 4).alias("order_max_discount"),
-                 F.round(F.sum("sc"), 2).alias("order_shipping_cost"),
-                 F.sum("n").alias("order_line_count"), F.sum("np").alias("num_products"),
-                 F.size(F.collect_set("category")).cast("bigint").alias("num_categories"),
-                 F.size(F.collect_set("sub_category")).cast("bigint").alias("num_sub_categories"),
-                 best.alias("b")))
-    return (base.withColumn("order_key", order_key("customer_id", "order_id", "order_date"))
-            .withColumn("ship_days", F.datediff("ship_date", "order_date"))
-            .withColumn("order_year", F.year("order_date")).withColumn("order_month", F.month("order_date"))
-            .withColumn("order_quarter", F.quarter("order_date"))
-            .withColumn("weekday_of_order", F.dayofweek("order_date"))
-            .withColumn("main_category", F.col("b.category")).withColumn("main_sub_category", F.col("b.sub_category"))
-            .drop("b"))
+    part = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"), F.col("p_brand").alias("sub_category"),
+        "p_retailprice")
+    pairs = _numbered(part.select("category", "sub_category"), "pair") \
+        .withColumn("cat", F.dense_rank().over(Window.orderBy("category"))) \
+        .withColumn("sub", F.dense_rank().over(Window.orderBy("sub_category")))
+    raw = read_table(spark, sf_dir, "lineitem")
+    modes = _numbered(raw.select(fact_column("ship_mode").alias("ship_mode")), "mode")
+    lines = raw.select(
+        F.col("l_orderkey").alias("order_id"), "l_partkey", "l_extendedprice", "l_discount", "l_quantity",
+        *[fact_column(c).alias(c) for c in ("ship_mode", "ship_date", "sales", "discount", "quantity", "shipping_cost")])
+    part = part.join(F.broadcast(pairs), ["category", "sub_category"]).select("product_id", "p_retailprice", "pair", "cat", "sub")
+    lines = lines.join(F.broadcast(modes), "ship_mode").join(part, F.col("l_partkey") == F.col("product_id")) \
+        .withColumn("profit", fact_column("profit"))
+    per_pair = lines.groupBy("order_id", "pair", "cat", "sub").agg(
+        F.min("ship_date").alias("ship_date"), F.min("mode").alias("mode"), F.sum("sales").alias("s"),
+        F.sum("profit").alias("p"), F.sum("quantity").alias("q"), F.sum("discount").alias("ds"),
+        F.count("discount").alias("dn"), F.max("discount").alias("dm"), F.sum("shipping_cost").alias("sc"),
+        F.count(F.lit(1)).alias("n"), F.countDistinct("product_id").alias("np"))
+    best = F.min((F.col("s") * -100).cast("decimal(31,0)") * F.lit(DIMENSION_LIMIT) + F.col("pair"))
+    per_order = per_pair.groupBy("order_id").agg(
+        F.min("ship_date").alias("ship_date"), F.min("mode").alias("mode"),
+        F.round(F.sum("s"), 2).alias("order_sales"), F.round(F.sum("p"), 2).alias("order_profit"),
+        F.sum("q").cast("bigint").alias("order_quantity"),
+        N.rnd(F.try_divide(N.dbl(F.sum("ds")), F.sum("dn")), 4).alias("order_avg_discount"),
+        N.money(F.max("dm"), 4).alias("order_max_discount"), F.round(F.sum("sc"), 2).alias("order_shipping_cost"),
+        F.sum("n").alias("order_line_count"), F.sum("np").alias("num_products"),
+        F.countDistinct("cat").alias("num_categories"), F.countDistinct("sub").alias("num_sub_categories"),
+        F.pmod(best, F.lit(DIMENSION_LIMIT)).cast("int").alias("pair"))
+    side = order_lines_side(spark, sf_dir, ["customer_id", "customer_name", "order_date", "market", "country", "segment",
+                                            "order_priority"])
+    main = pairs.select("pair", F.col("category").alias("main_category"), F.col("sub_category").alias("main_sub_category"))
+    return (per_order.join(side, "order_id").join(F.broadcast(modes), "mode").join(F.broadcast(main), "pair", "left")
+            .drop("mode", "pair").withColumns({
+                "order_key": order_key("customer_id", "order_id", "order_date"),
+                "ship_days": F.datediff("ship_date", "order_date"), "order_year": F.year("order_date"),
+                "order_month": F.month("order_date"), "order_quarter": F.quarter("order_date"),
+                "weekday_of_order": F.dayofweek("order_date")}))
 
 
 _ORDER_CTE = f"""ob AS (
@@ -166,75 +135,65 @@ def _sel(df: DataFrame, cols) -> DataFrame:
 
 @register("fe_order_rollup", sql=S.with_fact(f"SELECT {_sel_sql(_ROLLUP_OUT)} FROM od", _ORDER_CTE))
 def _fe_order_rollup(spark, sf_dir):
-    return _sel(order_rollup(order_lines(spark, sf_dir, ROLLUP_COLS)), _ROLLUP_OUT)
+    return _sel(order_table(spark, sf_dir), _ROLLUP_OUT)
 
 
 @register("fe_main_category", sql=S.with_fact(
     "SELECT order_key, main_category, main_sub_category FROM mc", _ORDER_CTE))
 def _fe_main_category(spark, sf_dir):
-    return main_category(order_lines(spark, sf_dir, ["customer_id", "order_id", "order_date", "category",
-                                                     "sub_category", "sales"]))
+    return order_table(spark, sf_dir).select("order_key", "main_category", "main_sub_category")
 
 
 @register("join_left_equi", sql=S.with_fact(
     "SELECT order_key, order_id, CAST(order_sales AS DOUBLE) AS order_sales, main_category, main_sub_category FROM od",
     _ORDER_CTE))
 def _join_left_equi(spark, sf_dir):
-    lines = order_lines(spark, sf_dir, ROLLUP_COLS)
-    t = order_rollup(lines).join(main_category(lines), "order_key", "left")
-    return t.select("order_key", "order_id", N.dbl("order_sales").alias("order_sales"), "main_category",
-                    "main_sub_category")
+    sales = order_totals(spark, sf_dir, ["customer_id", "order_date"], ["sales"]).select(
+        order_key("customer_id", "order_id", "order_date").alias("order_key"), "order_id",
+        N.money("sales").alias("order_sales"))
+    main = order_table(spark, sf_dir).select("order_key", "main_category", "main_sub_category")
+    return sales.join(main, "order_key", "left")
 
 
 # -------------------------------------------------------------- history
 
-HISTORY_SPEC = {
-    "previous_order_date": ("lag", "order_date"),
-    "_cnt": ("prior_count", "order_key"),
-    "_sales": ("prior_sum", "order_sales"),
-    "_profit": ("prior_sum", "order_profit"),
-    "_qty": ("prior_sum", "order_quantity"),
-    "_disc": ("prior_sum", "order_avg_discount"),
-    "_disc_n": ("prior_count", "order_avg_discount"),
-    "_ship": ("prior_sum", "order_shipping_cost"),
-    "first_order_date_before_current": ("prior_min", "order_date"),
-}
+# What each history column is made of: the prior-row aggregates of one scan,
+# then totals and means of them, ratios and differences to the current order.
+_PRIOR = {"sales": "order_sales", "profit": "order_profit", "total_quantity": "order_quantity",
+          "discount": "discount_exact", "shipping_cost": "order_shipping_cost"}
+_TOTALS = {"previous_total_sales": "sales", "previous_total_profit": "profit", "previous_total_quantity": "total_quantity"}
+_MEANS = {"previous_avg_order_value": "sales", "previous_avg_profit": "profit", "previous_avg_discount": "discount",
+          "previous_avg_shipping_cost": "shipping_cost"}
+_DIFFERENCES = {"discount_vs_previous_avg": ("order_avg_discount", "previous_avg_discount"),
+                "profit_vs_previous_avg": ("order_profit", "previous_avg_profit")}
+_RATIOS = {"order_frequency_rate": ("previous_order_count", "customer_lifetime_days"),
+           "sales_vs_previous_avg": ("order_sales", "previous_avg_order_value")}
+
 
+def days_since(earlier: str) -> Column:
+    return F.datediff("order_date", earlier).cast("double")
 
-def order_history(orders: DataFrame, num_ranges: int | None = None, extra: dict | None = None) -> DataFrame:
+
+def order_history(orders: DataFrame, extra: dict | None = None) -> DataFrame:
     """The 17 leakage-safe history columns of each order (strictly earlier
     orders of the same customer, ordered by date then order key).  ``extra``
     adds more outputs of the same scan (e.g. the next order date)."""
-    h = ordered_scan(orders, ["customer_id"], ["order_date", "order_key"], {**HISTORY_SPEC, **(extra or {})},
-                     num_ranges)
-    cnt = F.col("_cnt")
-    prev = F.col("previous_order_date")
-    avg = lambda s: F.try_divide(N.dbl(s), cnt)  # noqa: E731 - averages over the same prior rows
-    h = (h.withColumn("is_first_order", N.flag(prev.isNull()))
-         .withColumn("days_since_previous_order",
-                     F.when(prev.isNotNull(), F.datediff("order_date", prev).cast("double")))
-         .withColumn("previous_order_count", cnt.cast("double"))
-         .withColumn("previous_total_sales", N.dbl(F.coalesce(F.col("_sales"), F.lit(0))))
-         .withColumn("previous_total_profit", N.dbl(F.coalesce(F.col("_profit"), F.lit(0))))
-         .withColumn("previous_total_quantity", N.dbl(F.coalesce(F.col("_qty"), F.lit(0))))
-         .withColumn("previous_avg_order_value", avg("_sales"))
-         .withColumn("previous_avg_profit", avg("_profit"))
-         .withColumn("previous_avg_discount", F.try_divide(F.col("_disc"), F.col("_disc_n")))
-         .withColumn("previous_avg_shipping_cost", avg("_ship"))
-         .withColumn("customer_lifetime_days",
-                     F.when(F.col("first_order_date_before_current").isNotNull(),
-                            F.datediff("order_date", "first_order_date_before_current").cast("double")))
-         .withColumn("order_frequency_rate", N.safe_div("previous_order_count", "customer_lifetime_days"))
-         .withColumn("sales_vs_previous_avg",
-                     F.when(F.col("previous_avg_order_value") > 0,
-                            N.dbl("order_sales") / F.col("previous_avg_order_value")))
-         .withColumn("discount_vs_previous_avg",
-                     F.when(F.col("previous_avg_discount").isNotNull(),
-                            F.col("order_avg_discount") - F.col("previous_avg_discount")))
-         .withColumn("profit_vs_previous_avg",
-                     F.when(F.col("previous_avg_profit").isNotNull(),
-                            N.dbl("order_profit") - F.col("previous_avg_profit"))))
-    return h.drop("_cnt", "_sales", "_profit", "_qty", "_disc", "_disc_n", "_ship")
+    spec = {f"_{k}": ("prior_sum", c) for k, c in _PRIOR.items()} | {f"_n_{k}": ("prior_count", c) for k, c in _PRIOR.items()}
+    spec |= {"_orders": ("prior_count", "order_key"), "previous_order_date": ("lag", "order_date"),
+             "first_order_date_before_current": ("prior_min", "order_date")}
+    # averages of averages are summed as decimals, so that no sum depends on where chunks begin
+    exact = orders.withColumn("discount_exact", F.col("order_avg_discount").cast("decimal(18,4)"))
+    h = chunked_scan(exact, ["customer_id"], ["order_date", "order_key"], month_of("order_date"), spec | (extra or {}))
+    h = h.withColumns({
+        "is_first_order": N.flag(F.col("previous_order_date").isNull()),
+        "days_since_previous_order": days_since("previous_order_date"),
+        "customer_lifetime_days": days_since("first_order_date_before_current"),
+        "previous_order_count": F.col("_orders").cast("double"),
+        **{out: N.dbl(F.coalesce(f"_{k}", F.lit(0))) for out, k in _TOTALS.items()},
+        **{out: F.try_divide(N.dbl(f"_{k}"), F.col(f"_n_{k}")) for out, k in _MEANS.items()}})
+    h = h.withColumns({**{out: N.safe_div(a, b) for out, (a, b) in _RATIOS.items()},
+                       **{out: N.dbl(a) - F.col(b) for out, (a, b) in _DIFFERENCES.items()}})
+    return h.drop(*[c for c in spec if c.startswith("_")], "discount_exact")
 
 
 HISTORY_OUT = ["previous_order_date", "is_first_order", "days_since_previous_order", "previous_order_count",
@@ -299,19 +258,18 @@ def _hist_sel_sql():
 
 @register("fe_order_history", sql=S.with_fact(f"SELECT {_hist_sel_sql()} FROM hist", _ORDER_CTE, _HIST_CTE))
 def _fe_order_history(spark, sf_dir):
-    return _hist_sel(order_history(order_table(order_lines(spark, sf_dir, ROLLUP_COLS))))
+    return _hist_sel(order_history(order_table(spark, sf_dir)))
 
 
 # ------------------------------------------------- labels and censoring
 
 
-def repurchase_label(df: DataFrame, horizon: int = HORIZON_DAYS, split_col: str | None = "split",
-                     num_ranges: int | None = None) -> DataFrame:
+def repurchase_label(df: DataFrame, horizon: int = HORIZON_DAYS, split_col: str | None = "split") -> DataFrame:
     """Next order of the same customer INSIDE the same split within
     ``horizon`` days -> 1.0, else 0.0 (labels never look across splits)."""
     keys = ([split_col] if split_col else []) + ["customer_id"]
-    out = ordered_scan(df, keys, ["order_date", "order_key"], {"next_order_date": ("lead", "order_date")},
-                       num_ranges)
+    out = chunked_scan(df, keys, ["order_date", "order_key"], month_of("order_date"),
+                       {"next_order_date": ("lead", "order_date")})
     days = F.when(F.col("next_order_date").isNotNull(),
                   F.datediff("next_order_date", "order_date").cast("double"))
     return out.withColumn("days_to_next_order", days) \
@@ -337,7 +295,7 @@ def labeled_orders(spark, sf_dir, split_dates=TEST_SPLIT, horizon=HORIZON_DAYS,
     split is the customer's next order when that order is in the same split,
     and none otherwise -- one ordered scan instead of two.
     """
-    orders = order_table(order_lines(spark, sf_dir, ROLLUP_COLS))
+    orders = order_table(spark, sf_dir)
     if not with_history:
         split = time_split(orders, "order_date", *split_dates).where(F.col("split").isNotNull())
         return censor_horizon(repurchase_label(split, horizon), split_dates, horizon)
@@ -383,7 +341,7 @@ _SPLIT_CTE = split_cte("od")
 @register("fe_repurchase_label", sql=S.with_fact(
     "SELECT order_key, split, next_order_date, days_to_next_order, label FROM lab2", _ORDER_CTE, _SPLIT_CTE))
 def _fe_repurchase_label(spark, sf_dir):
-    orders = order_table(order_lines(spark, sf_dir, ROLLUP_COLS))
+    orders = order_table(spark, sf_dir)
     split = time_split(orders, "order_date", *TEST_SPLIT).where(F.col("split").isNotNull())
     return repurchase_label(split).select("order_key", "split", "next_order_date", "days_to_next_order", "label")
 
@@ -512,17 +470,6 @@ def _fe_winsorize_fixed(spark, sf_dir):
                                               "shipping_cost_capped")
 
 
-def ratios(df: DataFrame, high_discount: float = 0.2) -> DataFrame:
-    sc = F.col("sales_capped")
-    return (df.withColumn("discount_amount", sc * N.dbl("discount"))
-            .withColumn("shipping_ratio", F.when(sc == 0, F.lit(0.0)).otherwise(F.col("shipping_cost_capped") / sc))
-            .withColumn("avg_item_value", F.when(F.col("quantity") == 0, F.lit(0.0))
-                        .otherwise(sc / F.col("quantity")))
-            .withColumn("delivery_days", F.datediff("ship_date", "order_date"))
-            .withColumn("is_discounted", N.flag(F.col("discount") > 0))
-            .withColumn("high_discount", N.flag(F.col("discount") >= F.lit(high_discount))))
-
-
 _CAPPED_SQL = """CASE WHEN CAST(sales AS DOUBLE) < 2000.0 THEN 2000.0 WHEN CAST(sales AS DOUBLE) > 100000.0
                   THEN 100000.0 ELSE CAST(sales AS DOUBLE) END"""
 _SHIPC_SQL = """CASE WHEN CAST(shipping_cost AS DOUBLE) < 0.0 THEN 0.0 WHEN CAST(shipping_cost AS DOUBLE) > 7000.0
@@ -540,8 +487,8 @@ SELECT order_id, product_id, ship_date,
 FROM fact"""))
 def _fe_ratios(spark, sf_dir):
     df = order_lines(spark, sf_dir, ["order_id", "product_id", "ship_date", "order_date", "sales",
-                                     "shipping_cost", "quantity", "discount"])
-    r = ratios(clamp_fixed(df, TEST_CLAMP), high_discount=0.06)
+                                     "shipping_cost", "quantity", "discount", "market", "category"])
+    r = line_features(df, TEST_SERVING).withColumn("delivery_days", F.col("delivery_days").cast("int"))
     return r.select("order_id", "product_id", "ship_date", N.rnd("discount_amount", 4).alias("discount_amount"),
                     N.rnd("shipping_ratio", 6).alias("shipping_ratio"),
                     N.rnd("avg_item_value", 4).alias("avg_item_value"), "delivery_days", "is_discounted",
@@ -574,11 +521,10 @@ def _fe_log_target(spark, sf_dir):
         N.rnd(F.log(N.dbl("profit") + F.col("shift")), 6).alias("log_profit"))
 
 
-def customer_history(orders: DataFrame, sales: str = "sales_capped", profit: str = "profit",
-                     num_ranges: int | None = None) -> DataFrame:
+def customer_history(orders: DataFrame, sales: str = "sales_capped", profit: str = "profit") -> DataFrame:
     """ML2 cumulative history at order level: prior sales, profit, margin."""
-    h = ordered_scan(orders, ["customer_id"], ["order_date", "order_id"],
-                     {"_s": ("prior_sum", sales), "_p": ("prior_sum", profit)}, num_ranges)
+    h = chunked_scan(orders, ["customer_id"], ["order_date", "order_id"], month_of("order_date"),
+                     {"_s": ("prior_sum", sales), "_p": ("prior_sum", profit)})
     hs = N.dbl(F.coalesce(F.col("_s"), F.lit(0)))
     hp = N.dbl(F.coalesce(F.col("_p"), F.lit(0)))
     return h.withColumn("cust_hist_sales", hs).withColumn("cust_hist_profit", hp) \
@@ -588,9 +534,16 @@ def customer_history(orders: DataFrame, sales: str = "sales_capped", profit: str
 
 def _capped_orders(spark, sf_dir) -> DataFrame:
     df = order_lines(spark, sf_dir, ["customer_id", "order_id", "order_date", "sales", "profit"])
-    capped = clamp_fixed(df, {"sales": TEST_CLAMP["sales"]})
-    return capped.groupBy("customer_id", "order_id", "order_date").agg(
-        F.sum("sales_capped").alias("sales_capped"), F.sum("profit").alias("profit"))
+    return capped_orders(df, *TEST_CLAMP["sales"])
+
+
+def capped_orders(lines: DataFrame, lo: float, hi: float) -> DataFrame:
+    """Capped sales and profit per order, summed as decimals (no sum depends on the partitioning)."""
+    low, high = (F.lit(str(x)).cast("decimal(18,2)") for x in (lo, hi))
+    x = F.col("sales")
+    capped = F.when(x < low, low).when(x > high, high).otherwise(x)
+    return lines.groupBy("customer_id", "order_id", "order_date").agg(
+        F.sum(capped).alias("sales_capped"), F.sum("profit").alias("profit"))
 
 
 _CUST_HIST_CTE = f"""co AS (SELECT customer_id, order_id, order_date, SUM({_CAPPED_SQL}) AS sales_capped,
@@ -676,9 +629,9 @@ SELECT CAST(order_id AS VARCHAR) AS "Order_ID", product_id, ship_date,
        concat_ws('_', market, category) AS "Market_Category", 'Consumer' AS "Segment"
 FROM fact"""))
 def _fe_realtime(spark, sf_dir):
-    f = realtime_features(order_requests(spark, sf_dir), TEST_SERVING)
-    return f.select("Order_ID", "product_id", "ship_date", "Year", "weeknum",
+    f = message_features(order_requests(spark, sf_dir), TEST_SERVING)
+    return f.select(F.col("order_id").alias("Order_ID"), "product_id", "ship_date", F.col("year").alias("Year"), "weeknum",
                     N.rnd("discount_amount", 4).alias("discount_amount"),
                     N.rnd("shipping_ratio", 6).alias("shipping_ratio"),
                     N.rnd("avg_item_value", 4).alias("avg_item_value"), "delivery_days", "high_discount",
-                    "Market_Category", "Segment")
+                    F.col("market_category").alias("Market_Category"), F.col("segment").alias("Segment"))

@@ -17,6 +17,7 @@ from ledgerline.functions import numeric as N
 from ledgerline.functions.realtime import risk_tier
 from ledgerline.operators.features import (_HIST_CTE, _ORDER_CTE, TEST_SPLIT, labeled_orders, split_cte)
 from ledgerline.plans import sqltext as S
+from ledgerline.plans.ordered import ordered_scan
 from ledgerline.plans.registry import register
 from ledgerline.sources.fact import order_lines
 
@@ -29,12 +30,10 @@ def _abs_err(y: str, p: str) -> Column:
 
 def bounded_rel(y: str, p: str, smaller: bool) -> Column:
     """|y - p| divided by the smaller (MBRE) or larger (MIBRE) of |y|, |p|;
-    a zero denominator becomes 1e-5."""
-    ay, ap = F.abs(F.col(y)), F.abs(F.col(p))
-    pick_y = (ay < ap) if smaller else (ay > ap)
-    den = F.when(pick_y, F.when(ay == 0, F.lit(1e-5)).otherwise(ay)) \
-           .otherwise(F.when(ap == 0, F.lit(1e-5)).otherwise(ap))
-    return _abs_err(y, p) / den
+    a zero denominator becomes 1e-5, a missing value gives null."""
+    both = F.abs(F.col(y)), F.abs(F.col(p))
+    den = F.least(*both) if smaller else F.greatest(*both)
+    return _abs_err(y, p) / F.when(den == 0, F.lit(1e-5)).otherwise(den)
 
 
 def regression_metrics(df: DataFrame, y: str = "profit", p: str = "prediction", digits: int = 4) -> DataFrame:
@@ -207,7 +206,8 @@ def _ml_risk_dist(spark, sf_dir):
 def confusion_metrics(df: DataFrame, label: str = "label", pred: str = "prediction", digits: int = 4,
                       by: list[str] | None = None) -> DataFrame:
     """TN/FP/FN/TP, accuracy, precision, recall, F1 (denominators floored at
-    1, F1's at 1e-12), in one aggregation (optionally per group)."""
+    1, F1's at 1e-12) and the F1 of both classes weighted by their rows, in
+    one aggregation (optionally per group)."""
     y, p = F.col(label), F.col(pred)
     aggs = [F.count_if((y == 0.0) & (p == 0.0)).alias("tn"), F.count_if((y == 0.0) & (p == 1.0)).alias("fp"),
             F.count_if((y == 1.0) & (p == 0.0)).alias("fn"), F.count_if((y == 1.0) & (p == 1.0)).alias("tp")]
@@ -221,7 +221,31 @@ def with_rates(cm: DataFrame, digits: int = 4) -> DataFrame:
     rec = tp / F.greatest(tp + fn, F.lit(1.0))
     return (cm.withColumn("accuracy", N.rnd((tp + tn) / F.greatest(tp + tn + fp + fn, F.lit(1.0)), digits))
             .withColumn("precision_pos", N.rnd(prec, digits)).withColumn("recall_pos", N.rnd(rec, digits))
-            .withColumn("f1_pos", N.rnd(F.lit(2.0) * prec * rec / F.greatest(prec + rec, F.lit(1e-12)), digits)))
+            .withColumn("f1_pos", N.rnd(_f1(tp, fp, fn), digits))
+            .withColumn("weighted_f1", N.rnd((_f1(tp, fp, fn) * (tp + fn) + _f1(tn, fn, fp) * (tn + fp))
+                                             / F.greatest(tp + tn + fp + fn, F.lit(1.0)), digits)))
+
+
+def _f1(hit: Column, false: Column, missed: Column) -> Column:
+    prec, rec = hit / F.greatest(hit + false, F.lit(1.0)), hit / F.greatest(hit + missed, F.lit(1.0))
+    return F.lit(2.0) * prec * rec / F.greatest(prec + rec, F.lit(1e-12))
+
+
+def ranking_metrics(scored: DataFrame, score: str = "return_score", label: str = "label", digits: int = 6) -> DataFrame:
+    """ROC-AUC and PR-AUC (average precision) of a score, ties counted as ties; one row.
+
+    Rows are reduced to one per distinct score; the running counts from the
+    highest score down come from the skew-safe global scan.
+    """
+    y = F.col(label)
+    per = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(
+        F.count_if(y == 1.0).alias("pos"), F.count_if(y == 0.0).alias("neg"))
+    run = ordered_scan(per, [], [F.desc("s")], {"tp": ("run_sum", "pos"), "fp": ("run_sum", "neg")})
+    above = F.col("tp") - F.col("pos") / F.lit(2.0)
+    sums = run.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.sum(F.col("neg") * above).alias("ranked"),
+                   F.sum(F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("precise"))
+    return sums.select(N.rnd(F.try_divide(F.col("ranked"), F.col("p") * F.col("n").cast("double")), digits).alias("roc_auc"),
+                       N.rnd(F.try_divide(F.col("precise"), F.col("p").cast("double")), digits).alias("pr_auc"))
 
 
 def _rates_sql(src: str, digits: int = 4) -> str:
@@ -229,7 +253,27 @@ def _rates_sql(src: str, digits: int = 4) -> str:
     rec = "(CAST(tp AS DOUBLE) / GREATEST(CAST(tp + fn AS DOUBLE), 1.0))"
     return (f"SELECT *, {S.rnd('CAST(tp + tn AS DOUBLE) / GREATEST(CAST(tp + tn + fp + fn AS DOUBLE), 1.0)', digits)} AS accuracy, "
             f"{S.rnd(prec, digits)} AS precision_pos, {S.rnd(rec, digits)} AS recall_pos, "
-            f"{S.rnd(f'2.0 * {prec} * {rec} / GREATEST({prec} + {rec}, 1e-12)', digits)} AS f1_pos FROM {src}")
+            f"{S.rnd(_f1_sql('tp', 'fp', 'fn'), digits)} AS f1_pos, {S.rnd(_WEIGHTED_F1_SQL, digits)} AS weighted_f1 "
+            f"FROM {src}")
+
+
+def _f1_sql(hit: str, false: str, missed: str) -> str:
+    prec = f"(CAST({hit} AS DOUBLE) / GREATEST(CAST({hit} + {false} AS DOUBLE), 1.0))"
+    rec = f"(CAST({hit} AS DOUBLE) / GREATEST(CAST({hit} + {missed} AS DOUBLE), 1.0))"
+    return f"2.0 * {prec} * {rec} / GREATEST({prec} + {rec}, 1e-12)"
+
+
+_WEIGHTED_F1_SQL = (f"(({_f1_sql('tp', 'fp', 'fn')}) * CAST(tp + fn AS DOUBLE) + ({_f1_sql('tn', 'fn', 'fp')}) "
+                    "* CAST(tn + fp AS DOUBLE)) / GREATEST(CAST(tp + tn + fp + fn AS DOUBLE), 1.0)")
+
+
+def _ranking_sql(score: str, where: str) -> str:
+    return f"""(SELECT {S.rnd('SUM(neg * (tp - pos / 2.0::DOUBLE)) / NULLIF(SUM(pos) * CAST(SUM(neg) AS DOUBLE), 0)', 6)} AS roc_auc,
+       {S.rnd('SUM(pos * (CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE))) / NULLIF(CAST(SUM(pos) AS DOUBLE), 0)', 6)} AS pr_auc
+FROM (SELECT pos, neg, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp
+      FROM (SELECT {score} AS s, COUNT(*) FILTER (WHERE label = 1.0) AS pos, COUNT(*) FILTER (WHERE label = 0.0) AS neg
+            FROM cens WHERE {where} GROUP BY 1) per
+      WINDOW w AS (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) run)"""
 
 
 def _cm_sql(pred_sql: str, where: str = "TRUE", group: str = "") -> str:
@@ -248,7 +292,7 @@ def _labeled(spark, sf_dir) -> DataFrame:
     return labeled_orders(spark, sf_dir, TEST_SPLIT, with_history=True)
 
 
-# (model name, condition); conditions are SQL text shared with the oracle
+# The rule classifiers (name, condition); the oracle uses the same text
 RULES = [
     ("previous_order_count >= 1", "previous_order_count >= 1"),
     ("previous_order_count >= 2", "previous_order_count >= 2"),
@@ -264,11 +308,16 @@ def _rule_pred_sql(cond: str) -> str:
     return f"CASE WHEN COALESCE({cond}, FALSE) THEN 1.0 ELSE 0.0 END"
 
 
-@register("ml_eval_cls", sql=S.with_fact(_rates_sql(_cm_sql(_rule_pred_sql(RULES[1][1]), "split = 'test'")),
-                                         *_HIST_SPLIT))
+_SCORE_SQL = "CASE WHEN days_since_previous_order IS NULL THEN 0.0 ELSE 90.0 / (90.0 + days_since_previous_order) END"
+
+
+@register("ml_eval_cls", sql=S.with_fact(
+    "SELECT * FROM (" + _rates_sql(_cm_sql(_rule_pred_sql(RULES[1][1]), "split = 'test'")) + ") c, "
+    + _ranking_sql(_SCORE_SQL, "split = 'test'") + " a", *_HIST_SPLIT))
 def _ml_eval_cls(spark, sf_dir):
-    df = _labeled(spark, sf_dir).where(F.col("split") == "test")
-    return confusion_metrics(df.withColumn("prediction", N.flag(F.expr(RULES[1][1]))))
+    df = return_score(_labeled(spark, sf_dir).where(F.col("split") == "test"))
+    rates = confusion_metrics(df.withColumn("prediction", N.flag(F.expr(RULES[1][1]))))
+    return rates.crossJoin(F.broadcast(ranking_metrics(df)))  # one row each
 
 
 def rule_predictions(df: DataFrame, rules=RULES) -> DataFrame:
@@ -284,15 +333,26 @@ def select_rule(valid_metrics: DataFrame) -> DataFrame:
     return valid_metrics.orderBy(F.desc("f1_pos"), F.desc("precision_pos"), "model").limit(1)
 
 
-@register("ml_rules", sql=S.with_fact(
-    "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT '{name}' AS model, split, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos FROM ("
-        + _rates_sql(_cm_sql(_rule_pred_sql(sql), "split IN ('valid', 'test')", "split")) + ") r"
-        for name, sql in RULES) + ") t", *_HIST_SPLIT))
+_ALL_RULES_SQL = "(" + " UNION ALL ".join(
+    f"SELECT '{name}' AS model, split, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos, weighted_f1 FROM ("
+    + _rates_sql(_cm_sql(_rule_pred_sql(sql), "split IN ('valid', 'test')", "split")) + ") r" for name, sql in RULES) + ")"
+_BEST_RULE_SQL = "(SELECT model FROM rules WHERE split = 'valid' ORDER BY f1_pos DESC, precision_pos DESC, model LIMIT 1)"
+
+
+def rules_report(labeled: DataFrame) -> DataFrame:
+    """All rules on validation and test; ``selected`` marks the rule that validation chooses."""
+    df = labeled.where(F.col("split").isin("valid", "test"))
+    report = confusion_metrics(rule_predictions(df), by=["model", "split"])
+    best = select_rule(report.where(F.col("split") == "valid")).select(F.col("model").alias("_best"))  # one row
+    return report.crossJoin(F.broadcast(best)).withColumn("selected", F.col("model") == F.col("_best")).select(
+        "model", "split", "selected", "tn", "fp", "fn", "tp", "accuracy", "precision_pos", "recall_pos", "f1_pos",
+        "weighted_f1")
+
+
+@register("ml_rules", sql=S.with_fact(f"SELECT *, model = {_BEST_RULE_SQL} AS selected FROM rules", *_HIST_SPLIT,
+                                      f"rules AS (SELECT * FROM {_ALL_RULES_SQL} t)"))
 def _ml_rules(spark, sf_dir):
-    df = _labeled(spark, sf_dir).where(F.col("split").isin("valid", "test"))
-    return confusion_metrics(rule_predictions(df), by=["model", "split"]) \
-        .select("model", "split", "tn", "fp", "fn", "tp", "accuracy", "precision_pos", "recall_pos", "f1_pos")
+    return rules_report(_labeled(spark, sf_dir))
 
 
 @register("ml_majority", sql=S.with_fact(_rates_sql(_cm_sql(
@@ -342,7 +402,7 @@ def threshold_sweep(scored: DataFrame, score: str = "return_score", label: str =
     cm = grid.join(cm, ["t_id", "threshold"], "left").na.fill({"tp": 0, "fp": 0}).crossJoin(F.broadcast(tot)) \
         .withColumn("fn", F.col("P") - F.col("tp")).withColumn("tn", F.col("N") - F.col("fp")).drop("P", "N")
     return with_rates(cm).drop("t_id").select("threshold", "tn", "fp", "fn", "tp", "accuracy", "precision_pos",
-                                              "recall_pos", "f1_pos")
+                                              "recall_pos", "f1_pos", "weighted_f1")
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
@@ -350,11 +410,8 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
     return sweep.orderBy(F.desc("f1_pos"), F.desc("precision_pos"), "threshold").limit(1)
 
 
-_SCORE_SQL = "CASE WHEN days_since_previous_order IS NULL THEN 0.0 ELSE 90.0 / (90.0 + days_since_previous_order) END"
-
-
 def _sweep_sql(where: str) -> str:
-    return ("SELECT threshold, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos FROM (" + _rates_sql(
+    return ("SELECT threshold, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos, weighted_f1 FROM (" + _rates_sql(
         f"""(SELECT g.threshold,
         COUNT(*) FILTER (WHERE c.label = 0.0 AND NOT (c.sc >= g.threshold)) AS tn,
         COUNT(*) FILTER (WHERE c.label = 0.0 AND c.sc >= g.threshold) AS fp,
@@ -392,12 +449,26 @@ def _ml_threshold_apply(spark, sf_dir):
     return confusion_metrics(test)
 
 
+_MAJORITY_SQL = "(SELECT label FROM cens WHERE split = 'train' GROUP BY label ORDER BY COUNT(*) DESC, label LIMIT 1)"
+_REPORT = "model, split, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos, weighted_f1"
+
+
 @register("ml_compare", sql=S.with_fact(
-    "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT '{name}' AS model, tn, fp, fn, tp, accuracy, precision_pos, recall_pos, f1_pos FROM ("
-        + _rates_sql(_cm_sql(_rule_pred_sql(sql), "split = 'test'")) + ") r"
-        for name, sql in RULES[:3]) + ") t", *_HIST_SPLIT))
+    f"SELECT {_REPORT} FROM rules UNION ALL SELECT 'best rule: ' || model, {_REPORT[7:]} FROM rules "
+    f"WHERE model = {_BEST_RULE_SQL} UNION ALL SELECT 'majority' AS {_REPORT} FROM ("
+    + _rates_sql(_cm_sql(_MAJORITY_SQL, "split IN ('valid', 'test')", "split")) + ") m", *_HIST_SPLIT,
+    f"rules AS (SELECT * FROM {_ALL_RULES_SQL} t)"))
 def _ml_compare(spark, sf_dir):
-    test = _labeled(spark, sf_dir).where(F.col("split") == "test")
-    return confusion_metrics(rule_predictions(test, RULES[:3]), by=["model"]) \
-        .select("model", "tn", "fp", "fn", "tp", "accuracy", "precision_pos", "recall_pos", "f1_pos")
+    """All rules, the rule that validation chooses and the majority class, on validation and test.
+
+    The trained classifiers are in ``ml_compare_models``, with the same columns.
+    """
+    labeled = _labeled(spark, sf_dir)
+    rules = rules_report(labeled)
+    best = rules.where("selected").withColumn("model", F.concat(F.lit("best rule: "), "model"))
+    mode = labeled.where(F.col("split") == "train").groupBy("label").agg(F.count(F.lit(1)).alias("n")) \
+        .orderBy(F.desc("n"), "label").limit(1).select(F.col("label").alias("prediction"))  # one row
+    majority = confusion_metrics(labeled.where(F.col("split").isin("valid", "test")).crossJoin(F.broadcast(mode)),
+                                 by=["split"]).withColumn("model", F.lit("majority"))
+    columns = _REPORT.split(", ")
+    return rules.select(columns).unionByName(best.select(columns)).unionByName(majority.select(columns))

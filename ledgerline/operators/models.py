@@ -1,10 +1,13 @@
 """Models (survey 2.13): MLlib pipelines for the profit regression and the
 90-day repurchase classifier, tuning, importances, save / load.
 
-Library functions take the reference's settings as defaults (100 trees,
-depth 8, ...).  Registered forms use small models so a correctness run
-stays short; they are rows-only checks (no SQL oracle for a trained model),
-except the indexer whose label order is plain SQL.
+The settings are the full ones (100 trees of depth 8, 20 boosting rounds of
+depth 5, a grid of 50 / 100 trees by depth 5 / 8).  What a trained model
+decides has no SQL oracle; the encoders, the imputer, the split and the
+reloading of a model are checked against SQL.
+
+The log shift is fitted on the training split only and travels inside the
+saved pipeline, whose last stage turns predictions back into money.
 
 Training frames are written once to the session's ``spark.checkpoint.dir``
 and read back (``plans.lineage.cut``) before fitting: iterative learners scan their
@@ -15,10 +18,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import (Imputer, Interaction, OneHotEncoder, StandardScaler, StringIndexer,
+from pyspark.ml.feature import (Imputer, Interaction, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -27,17 +30,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
-from ledgerline.operators.features import (TEST_CLAMP, TEST_SPLIT, clamp_fixed, customer_history,
-                                           fit_log_shift, labeled_orders, ratios)
-from ledgerline.operators.relational import hash_split, positional_join
+from ledgerline.functions.realtime import ServingParams, line_features
+from ledgerline.operators.features import (_HIST_CTE, _ORDER_CTE, TEST_SERVING, TEST_SPLIT, apply_class_weights,
+                                           capped_orders, class_weights, customer_history, fit_log_shift,
+                                           labeled_orders, split_cte)
+from ledgerline.operators.metrics import (best_threshold, confusion_metrics, ranking_metrics, regression_metrics,
+                                          threshold_sweep)
+from ledgerline.operators.relational import hash_split, hash_unit, hash_unit_sql
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.registry import register
 from ledgerline.plans.lineage import cut
+from ledgerline.plans.ordered import ordered_scan
 from ledgerline.sources.fact import order_lines
-from ledgerline.sources.io import scratch_path
+from ledgerline.sources.io import path_exists, scratch_path
 
 # ------------------------------------------------------- feature lists
 
+# The inputs of the two models.
 PROFIT_NUMERIC = ["sales_capped", "quantity", "discount_d", "shipping_cost_capped", "year", "weeknum",
                   "discount_amount", "shipping_ratio", "avg_item_value", "delivery_days", "is_discounted",
                   "high_discount", "cust_hist_sales", "cust_hist_profit", "cust_hist_margin"]
@@ -63,26 +72,17 @@ def freeze(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------ training frames
 
 
-def profit_frame(spark, sf_dir) -> DataFrame:
-    """ML2 line-level frame: clamped money, ratios, order-level customer
-    history (joined back), crossed market x category, log target."""
-    lines = order_lines(spark, sf_dir, ["customer_id", "order_id", "order_date", "ship_date", "product_id",
-                                        "sales", "profit", "quantity", "discount", "shipping_cost", "category",
-                                        "sub_category", "segment", "market", "country", "ship_mode",
-                                        "order_priority", "year", "weeknum"])
-    feat = ratios(clamp_fixed(lines, TEST_CLAMP), high_discount=0.06)
-    per_order = feat.groupBy("customer_id", "order_id", "order_date").agg(
-        F.sum("sales_capped").alias("sales_capped"), F.sum("profit").alias("profit"))
-    hist = customer_history(per_order).select("customer_id", "order_id", "cust_hist_sales", "cust_hist_profit",
-                                              "cust_hist_margin")
-    feat = feat.join(hist, ["customer_id", "order_id"])
-    shift = fit_log_shift(feat)  # one row
-    return (feat.crossJoin(F.broadcast(shift))
-            .withColumn("log_profit", F.log(N.dbl("profit") + F.col("shift")))
-            .withColumn("profit_d", N.dbl("profit"))
-            .withColumn("discount_d", N.dbl("discount"))
-            .withColumn("market_category", F.concat_ws("_", "market", "category"))
-            .withColumn("delivery_days", F.col("delivery_days").cast("double")))
+def profit_frame(spark, sf_dir, params: ServingParams = TEST_SERVING) -> DataFrame:
+    """ML2 line-level frame: the shared line features and the order-level
+    customer history, joined back.  The fact join is written once; history
+    and features read that copy."""
+    lines = freeze(order_lines(spark, sf_dir, ["customer_id", "order_id", "order_date", "ship_date", "product_id",
+                                               "sales", "profit", "quantity", "discount", "shipping_cost", "category",
+                                               "sub_category", "segment", "market", "country", "ship_mode",
+                                               "order_priority"]))
+    hist = customer_history(capped_orders(lines, params.sales_lo, params.sales_hi)) \
+        .select("customer_id", "order_id", "cust_hist_sales", "cust_hist_profit", "cust_hist_margin")
+    return line_features(lines, params).withColumn("profit_d", N.dbl("profit")).join(hist, ["customer_id", "order_id"])
 
 
 def repurchase_frame(spark, sf_dir) -> DataFrame:
@@ -131,23 +131,55 @@ def rf_regressor(num_trees=100, depth=8, seed=42):
                                  maxDepth=depth, seed=seed)
 
 
-def fit_profit(train: DataFrame, estimator) -> PipelineModel:
-    return Pipeline(stages=profit_stages(estimator)).fit(train)
+def money_stage(shift: float) -> Transformer:
+    """Inverts the log target; the shift is part of the saved stage."""
+    return SQLTransformer(statement=f"SELECT *, exp(prediction) - CAST({shift!r} AS DOUBLE) AS prediction_usd FROM __THIS__")
+
+
+def with_log_target(df: DataFrame, shift: float) -> DataFrame:
+    """log(profit + shift); null where that has no logarithm (never in the split the shift was fitted on)."""
+    x = F.col("profit_d") + F.lit(shift)
+    return df.withColumn("log_profit", F.when(x > 0, F.log(x)))
 
 
-def to_usd(pred: DataFrame) -> DataFrame:
-    """Invert the log target with the shift stored next to the data."""
-    return pred.withColumn("prediction_usd", F.exp("prediction") - F.col("shift"))
+def fit_profit(train: DataFrame, estimator, shift: float, **stages) -> PipelineModel:
+    pipeline = Pipeline(stages=[*profit_stages(estimator, **stages), money_stage(shift)])
+    return pipeline.fit(with_log_target(train, shift))
+
+
+SPLIT_KEY = ["order_id", "product_id", "ship_date", "sales", "quantity", "discount"]
 
 
 def split_profit(spark, sf_dir):
-    # split by a hash of the line's content (independent of partitioning);
+    """(train, test, shift): split by a hash of the line's content, the shift fitted on the training split."""
     # the row id, used only to pair rows, is materialised by the lineage cut
-    content = F.xxhash64("order_id", "product_id", "ship_date", "sales", "quantity", "discount")
-    frozen = freeze(profit_frame(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id())
-                    .withColumn("_split_key", content))
-    df = hash_split(frozen, "_split_key", (0.8, 0.2)).drop("_split_key")
-    return df.where(F.col("split_id") == 0), df.where(F.col("split_id") == 1)
+    frozen = freeze(profit_frame(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id()))
+    df = hash_split(frozen, SPLIT_KEY, (0.8, 0.2))
+    train, test = df.where(F.col("split_id") == 0), df.where(F.col("split_id") == 1)
+    return train, test, float(fit_log_shift(train).first()["shift"])
+
+
+def fit_repurchase(df: DataFrame, estimator) -> PipelineModel:
+    return Pipeline(stages=repurchase_stages(estimator)).fit(df.where(F.col("split") == "train"))
+
+
+def weighted_repurchase(spark, sf_dir) -> DataFrame:
+    """Labelled orders with the class weights of the training split (written once)."""
+    df = freeze(repurchase_frame(spark, sf_dir))
+    return apply_class_weights(df, class_weights(df.where(F.col("split") == "train")))
+
+
+def logistic() -> LogisticRegression:
+    return LogisticRegression(featuresCol="features", labelCol="label", weightCol="class_weight", maxIter=50, regParam=0.01)
+
+
+def rf_classifier(weighted: bool = True) -> RandomForestClassifier:
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, maxDepth=8, seed=42)
+    return rf.setWeightCol("class_weight") if weighted else rf
+
+
+def with_return_score(pred: DataFrame) -> DataFrame:
+    return pred.withColumn("return_score", vector_to_array("probability")[1])
 
 
 # ---------------------------------------------------------- registered
@@ -210,19 +242,23 @@ def _ml_assemble(spark, sf_dir):
 
 @register("fn_vector_to_array")
 def _fn_vector_to_array(spark, sf_dir):
-    train = freeze(repurchase_frame(spark, sf_dir).where(F.col("split") == "train"))
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=10, regParam=0.01)
-    model = Pipeline(stages=repurchase_stages(lr)).fit(train)
-    return model.transform(train).select("order_key", "label",
-                                         vector_to_array("probability")[1].alias("return_score"))
+    df = weighted_repurchase(spark, sf_dir)
+    scored = with_return_score(fit_repurchase(df, logistic()).transform(df))  # every labelled order
+    return scored.select("order_key", "split", "label", "return_score")
 
 
-@register("ml_impute")
+_IMPUTED = ["days_since_previous_order", "previous_avg_discount"]
+
+
+@register("ml_impute", sql=S.with_fact(
+    "SELECT order_key, " + ", ".join(
+        f"{S.rnd(c, 6)} AS {c}, {S.rnd(f'COALESCE({c}, (SELECT quantile_disc({c}, 0.5) FROM cens))', 6)} AS {c}_imp"
+        for c in _IMPUTED) + " FROM cens", _ORDER_CTE, _HIST_CTE, split_cte("hist")))
 def _ml_impute(spark, sf_dir):
-    df = repurchase_frame(spark, sf_dir).select("order_key", "days_since_previous_order", "previous_avg_discount")
-    imp = Imputer(inputCols=["days_since_previous_order", "previous_avg_discount"],
-                  outputCols=["days_since_previous_order_imp", "previous_avg_discount_imp"], strategy="median")
-    return imp.fit(df).transform(df)
+    df = repurchase_frame(spark, sf_dir).select("order_key", *_IMPUTED)
+    imp = Imputer(inputCols=_IMPUTED, outputCols=[f"{c}_imp" for c in _IMPUTED], strategy="median", relativeError=0.0)
+    out = imp.fit(df).transform(df)
+    return out.select("order_key", *[N.rnd(c, 6).alias(c) for x in _IMPUTED for c in (x, f"{x}_imp")])
 
 
 @register("ml_scale", sql=S.with_fact(f"""
@@ -242,80 +278,104 @@ def _ml_scale(spark, sf_dir):
 
 
 def _eval_usd(pred: DataFrame) -> DataFrame:
-    from ledgerline.operators.metrics import regression_metrics
-    return regression_metrics(to_usd(pred).withColumn("prediction", F.col("prediction_usd"))
-                              .withColumn("profit", F.col("profit_d")))
+    return regression_metrics(pred, y="profit_d", p="prediction_usd")
 
 
 @register("ml_pipeline")
 def _ml_pipeline(spark, sf_dir):
-    train, test = split_profit(spark, sf_dir)
-    model = fit_profit(train, rf_regressor(num_trees=10, depth=5))
-    return to_usd(model.transform(test)).select("row_id", "profit_d", "prediction_usd")
+    train, test, shift = split_profit(spark, sf_dir)
+    return fit_profit(train, rf_regressor(), shift).transform(test).select("row_id", "profit_d", "prediction_usd")
+
 
+def gbt_regressor() -> GBTRegressor:
+    return GBTRegressor(featuresCol="features", labelCol="log_profit", maxIter=20, maxDepth=5, seed=42)
 
-@register("ml_linreg")
-def _ml_linreg(spark, sf_dir):
-    train, test = split_profit(spark, sf_dir)
-    model = fit_profit(train, LinearRegression(featuresCol="features", labelCol="log_profit"))
-    return _eval_usd(model.transform(test)).withColumn("model", F.lit("linear_regression"))
 
+def linear_regressor() -> LinearRegression:
+    return LinearRegression(featuresCol="features", labelCol="log_profit")
 
-@register("ml_rf_reg")
-def _ml_rf_reg(spark, sf_dir):
-    train, test = split_profit(spark, sf_dir)
-    model = fit_profit(train, rf_regressor(num_trees=10, depth=5))
-    return _eval_usd(model.transform(test)).withColumn("model", F.lit("random_forest"))
 
+def _regression_query(estimator, name):
+    def run(spark, sf_dir):
+        train, test, shift = split_profit(spark, sf_dir)
+        return _eval_usd(fit_profit(train, estimator(), shift).transform(test)).withColumn("model", F.lit(name))
+    return run
 
-@register("ml_gbt_reg")
-def _ml_gbt_reg(spark, sf_dir):
-    train, test = split_profit(spark, sf_dir)
-    gbt = GBTRegressor(featuresCol="features", labelCol="log_profit", maxIter=5, maxDepth=3, seed=42)
-    return _eval_usd(fit_profit(train, gbt).transform(test)).withColumn("model", F.lit("gbt"))
 
+register("ml_linreg")(_regression_query(linear_regressor, "linear_regression"))
+register("ml_rf_reg")(_regression_query(rf_regressor, "random_forest"))
+register("ml_gbt_reg")(_regression_query(gbt_regressor, "gbt"))
 
-def cross_validate(train: DataFrame, trees=(50, 100), depths=(5, 8), folds: int = 2, seed: int = 42):
+
+def cross_validate(train: DataFrame, shift: float, trees=(50, 100), depths=(5, 8), folds: int = 2, seed: int = 42):
+    """The fitted cross validator over the grid; its best model is a whole pipeline, ready to save."""
     rf = rf_regressor()
     grid = ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths)).build()
-    cv = CrossValidator(estimator=Pipeline(stages=profit_stages(rf)), estimatorParamMaps=grid,
+    cv = CrossValidator(estimator=Pipeline(stages=[*profit_stages(rf), money_stage(shift)]), estimatorParamMaps=grid,
                         evaluator=RegressionEvaluator(labelCol="log_profit", metricName="rmse"),
                         numFolds=folds, seed=seed, parallelism=2)
-    return cv.fit(train), grid, rf
+    return cv.fit(with_log_target(train, shift)), grid, rf
 
 
 @register("ml_cv")
 def _ml_cv(spark, sf_dir):
-    train, _ = split_profit(spark, sf_dir)
-    cvm, grid, rf = cross_validate(train, trees=(5, 10), depths=(3, 5))
-    rows = [(int(pm[rf.numTrees]), int(pm[rf.maxDepth]), float(m)) for pm, m in zip(grid, cvm.avgMetrics)]
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, avg_rmse_log double")
-
-
-@register("ml_logreg")
-def _ml_logreg(spark, sf_dir):
-    from ledgerline.operators.features import apply_class_weights, class_weights
-    from ledgerline.operators.metrics import confusion_metrics
-    df = repurchase_frame(spark, sf_dir)
-    w = class_weights(df.where(F.col("split") == "train"))
-    df = freeze(apply_class_weights(df, w))
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="class_weight",
-                            maxIter=50, regParam=0.01)
-    model = Pipeline(stages=repurchase_stages(lr)).fit(df.where(F.col("split") == "train"))
-    return confusion_metrics(model.transform(df.where(F.col("split") == "test")))
-
-
-@register("ml_rf_cls")
-def _ml_rf_cls(spark, sf_dir):
-    from ledgerline.operators.features import apply_class_weights, class_weights
-    from ledgerline.operators.metrics import confusion_metrics
-    df = repurchase_frame(spark, sf_dir)
-    w = class_weights(df.where(F.col("split") == "train"))
-    df = freeze(apply_class_weights(df, w))
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="class_weight",
-                                numTrees=10, maxDepth=5, seed=42)
-    model = Pipeline(stages=repurchase_stages(rf)).fit(df.where(F.col("split") == "train"))
-    return confusion_metrics(model.transform(df.where(F.col("split") == "test")))
+    """Grid results, and the test error of the best model after saving and reloading it."""
+    train, test, shift = split_profit(spark, sf_dir)
+    cvm, grid, rf = cross_validate(train, shift)
+    path = scratch_path(spark, "cv-best")
+    save_model(cvm.bestModel, path)
+    rmse = RegressionEvaluator(labelCol="profit_d", predictionCol="prediction_usd", metricName="rmse")
+    best_rmse = float(rmse.evaluate(load_model(spark, path).transform(test)))
+    best = min(range(len(grid)), key=lambda i: cvm.avgMetrics[i])
+    rows = [(int(pm[rf.numTrees]), int(pm[rf.maxDepth]), float(m), i == best, best_rmse if i == best else None)
+            for i, (pm, m) in enumerate(zip(grid, cvm.avgMetrics, strict=True))]
+    return spark.createDataFrame(rows, "num_trees int, max_depth int, avg_rmse_log double, best boolean, "
+                                       "best_test_rmse double")
+
+
+def classifier_report(scored: DataFrame) -> DataFrame:
+    """Confusion counts, rates, weighted F1 and both areas of a scored frame (one row)."""
+    return confusion_metrics(scored).crossJoin(F.broadcast(ranking_metrics(scored)))  # one row each
+
+
+def _classifier_query(estimator):
+    def run(spark, sf_dir):
+        df = weighted_repurchase(spark, sf_dir)
+        test = df.where(F.col("split") == "test")
+        return classifier_report(with_return_score(fit_repurchase(df, estimator()).transform(test)))
+    return run
+
+
+register("ml_logreg")(_classifier_query(logistic))
+register("ml_rf_cls")(_classifier_query(rf_classifier))
+
+
+@register("ml_rf_threshold")
+def _ml_rf_threshold(spark, sf_dir):
+    """The forest's scores through the sweep on validation; its cut-off applied to the test split."""
+    df = weighted_repurchase(spark, sf_dir)
+    scored = freeze(with_return_score(fit_repurchase(df, rf_classifier()).transform(df.where(F.col("split") != "train")))
+                    .select("order_key", "split", "label", "return_score"))
+    sweep = threshold_sweep(scored.where(F.col("split") == "valid"))
+    cut_off = best_threshold(sweep).select("threshold")  # one row
+    test = scored.where(F.col("split") == "test").crossJoin(F.broadcast(cut_off)) \
+        .withColumn("prediction", N.flag(F.col("return_score") >= F.col("threshold")))
+    applied = confusion_metrics(test, by=["threshold"]).withColumn("split", F.lit("test"))
+    return sweep.withColumn("split", F.lit("valid")).unionByName(applied)
+
+
+@register("ml_compare_models")
+def _ml_compare_models(spark, sf_dir):
+    """Both trained classifiers on the validation and test splits."""
+    df = weighted_repurchase(spark, sf_dir)
+    rows = None
+    for name, estimator in (("logistic_regression", logistic), ("random_forest", rf_classifier)):
+        model = fit_repurchase(df, estimator())
+        for split in ("valid", "test"):
+            report = classifier_report(with_return_score(model.transform(df.where(F.col("split") == split)))) \
+                .select(F.lit(name).alias("model"), F.lit(split).alias("split"), "*")
+            rows = report if rows is None else rows.unionByName(report)
+    return rows
 
 
 def feature_importances(model: PipelineModel, frame: DataFrame, features_col: str = "features") -> list:
@@ -327,14 +387,14 @@ def feature_importances(model: PipelineModel, frame: DataFrame, features_col: st
     for group in meta.values():
         for a in group:
             names[a["idx"]] = a["name"]
-    imp = model.stages[-1].featureImportances
+    imp = next(x for x in model.stages if hasattr(x, "featureImportances")).featureImportances
     return [(names.get(i, f"f{i}"), float(imp[i])) for i in range(imp.size)]
 
 
 @register("ml_importance")
 def _ml_importance(spark, sf_dir):
-    train, _ = split_profit(spark, sf_dir)
-    model = fit_profit(train, rf_regressor(num_trees=10, depth=5))
+    train, _, shift = split_profit(spark, sf_dir)
+    model = fit_profit(train, rf_regressor(), shift)
     return spark.createDataFrame(feature_importances(model, train), "feature string, importance double")
 
 
@@ -370,47 +430,49 @@ def importance_group(name_col: str = "feature"):
 @register("ml_importance_group")
 def _ml_importance_group(spark, sf_dir):
     df = freeze(repurchase_frame(spark, sf_dir).where(F.col("split") == "train"))
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=10, maxDepth=5, seed=42)
-    model = Pipeline(stages=repurchase_stages(rf)).fit(df)
+    model = fit_repurchase(df, rf_classifier(weighted=False))
     imp = spark.createDataFrame(feature_importances(model, df), "feature string, importance double")
     return imp.groupBy(importance_group().alias("feature_group")).agg(F.sum("importance").alias("importance"))
 
 
-def permutation_importance(model: PipelineModel, test: DataFrame, columns: list[str], seed: int = 42) -> DataFrame:
-    """R2 drop when one column is shuffled.  The shuffle pairs row i of the
-    test frame with row i of a hash-ordered copy of the column: a global
-    numbering by the skew-safe ordered scan plus an equi-join, no
-    single-task window and no driver-side data."""
+#: The columns whose shuffling is measured.
+PERMUTED = ["sales_capped", "discount_d", "shipping_cost_capped", "cust_hist_profit", "cust_hist_sales", "cust_hist_margin"]
+
+
+def permutation_importance(model: PipelineModel, test: DataFrame, columns: list[str] = PERMUTED,
+                           seed: int = 42) -> DataFrame:
+    """R2 drop when one column is shuffled.  The rows are numbered twice, once
+    each for all columns (by row id and in hash order, by the skew-safe scan);
+    shuffling a column joins its value at one number to the row at the other."""
     ev = RegressionEvaluator(labelCol="profit_d", predictionCol="prediction_usd", metricName="r2")
-    base = ev.evaluate(to_usd(model.transform(test)))
+    numbered = ordered_scan(test, [], ["row_id"], {"place": ("row_number", None)})
+    numbered = numbered.withColumn("_h", hash_unit(["row_id"], seed))
+    numbered = freeze(ordered_scan(numbered, [], ["_h", "row_id"], {"other": ("row_number", None)}).drop("_h"))
+    base = ev.evaluate(model.transform(numbered))
     rows = []
     for c in columns:
-        left = test.drop(c)
-        right = test.select(F.col(c), F.xxhash64(F.col("row_id"), F.lit(seed)).alias("_h"),
-                            F.col("row_id").alias("_rid"))
-        paired = positional_join(left, ["row_id"], right, ["_h", "_rid"]).drop("position", "_h", "_rid")
-        r2 = ev.evaluate(to_usd(model.transform(paired)))
+        moved = numbered.select(F.col("other").alias("place"), c)
+        r2 = ev.evaluate(model.transform(numbered.drop(c).join(moved, "place")))
         rows.append((c, float(r2), float(base - r2)))
     return test.sparkSession.createDataFrame(rows, "feature string, r2_after double, r2_drop double")
 
 
 @register("ml_perm_importance")
 def _ml_perm_importance(spark, sf_dir):
-    train, test = split_profit(spark, sf_dir)
-    model = fit_profit(train, rf_regressor(num_trees=10, depth=5))
-    return permutation_importance(model, test, ["sales_capped", "discount_d", "cust_hist_profit"])
+    train, test, shift = split_profit(spark, sf_dir)
+    return permutation_importance(fit_profit(train, rf_regressor(), shift), test)
 
 
 @register("ml_ablation")
 def _ml_ablation(spark, sf_dir):
-    train, test = split_profit(spark, sf_dir)
+    train, test, shift = split_profit(spark, sf_dir)
     ev = RegressionEvaluator(labelCol="profit_d", predictionCol="prediction_usd", metricName="r2")
     sets = [("base", PROFIT_NUMERIC[:6], False), ("base+engineered", PROFIT_NUMERIC[:12], False),
             ("base+engineered+history", PROFIT_NUMERIC, False), ("full", PROFIT_NUMERIC, True)]
     rows = []
     for name, num, inter in sets:
-        model = Pipeline(stages=profit_stages(rf_regressor(10, 5), numeric=num, interaction=inter)).fit(train)
-        rows.append((name, float(ev.evaluate(to_usd(model.transform(test))))))
+        model = fit_profit(train, rf_regressor(), shift, numeric=num, interaction=inter)
+        rows.append((name, float(ev.evaluate(model.transform(test)))))
     return spark.createDataFrame(rows, "feature_set string, r2 double")
 
 
@@ -418,32 +480,23 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-_MODEL_CACHE: dict[str, PipelineModel] = {}
+def load_model(spark, path: str, fallback: str | None = None) -> PipelineModel:
+    """The model at ``path``, or at ``fallback`` if there is nothing at ``path``; a broken model is an error."""
+    for p in (path, fallback):
+        if p and path_exists(spark, f"{p}/metadata"):
+            return PipelineModel.load(p)
+    raise FileNotFoundError(f"no model at {path!r} or {fallback!r}")
 
 
-def load_model(path: str, fallback: str | None = None) -> PipelineModel:
-    """Load once per process; try ``fallback`` when ``path`` is unreadable."""
-    for p in (path, fallback):
-        if not p:
-            continue
-        if p in _MODEL_CACHE:
-            return _MODEL_CACHE[p]
-        try:
-            m = PipelineModel.load(p)
-        except Exception:  # noqa: BLE001 - fall through to the next location
-            continue
-        _MODEL_CACHE[p] = m
-        return m
-    raise FileNotFoundError(f"no readable model at {path!r} or {fallback!r}")
-
-
-@register("model_save_load")
+@register("model_save_load", sql=S.with_fact(f"""
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_equal FROM fact WHERE NOT ({hash_unit_sql(SPLIT_KEY)} < 0.8)"""))
 def _model_save_load(spark, sf_dir):
-    train, test = split_profit(spark, sf_dir)
-    model = fit_profit(train, rf_regressor(num_trees=5, depth=4))
+    train, test, shift = split_profit(spark, sf_dir)
+    model = fit_profit(train, rf_regressor(), shift)
     path = scratch_path(spark, f"model-{uuid.uuid4().hex[:6]}")
     save_model(model, path)
-    loaded = load_model(scratch_path(spark, "missing"), fallback=path)
-    a = model.transform(test).select("row_id", F.col("prediction").alias("p_fit"))
-    b = loaded.transform(test).select("row_id", F.col("prediction").alias("p_loaded"))
-    return a.join(b, "row_id").withColumn("equal", F.col("p_fit") == F.col("p_loaded"))
+    loaded = load_model(spark, scratch_path(spark, "missing"), fallback=path)
+    a = model.transform(test).select("row_id", F.col("prediction_usd").alias("p_fit"))
+    b = loaded.transform(test).select("row_id", F.col("prediction_usd").alias("p_loaded"))
+    return a.join(b, "row_id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                   F.count_if(F.col("p_fit") == F.col("p_loaded")).alias("n_equal"))

@@ -371,7 +371,7 @@ def q09_loss_in_top_decile(lines: DataFrame, max_margin: float = 0.0, k: int = 1
     decile = ranked.crossJoin(F.broadcast(total)) \
         .withColumn("sales_decile", ntile_of(F.col("rn"), F.col("n_orders"), 10))
     hit = decile.where((F.col("sales_decile") == 1)
-                       & (N.ratio("op", "os") < F.lit(max_margin)))
+                       & (N.dbl("op") < F.lit(max_margin) * N.dbl("os")))
     return hit.orderBy(F.desc("os"), "order_id").limit(k).select(
         "order_id", "customer_name", "market", "segment", "ship_mode",
         N.dbl("os").alias("order_sales"), N.dbl("op").alias("order_profit"),
@@ -389,7 +389,7 @@ FROM (SELECT *, NTILE(10) OVER (ORDER BY os DESC, order_id) AS sales_decile
                    ROUND(SUM(sales), 2) AS os, ROUND(SUM(profit), 2) AS op,
                    ROUND(SUM(shipping_cost), 2) AS osc, CAST(SUM(quantity) AS BIGINT) AS total_items
             FROM fact GROUP BY order_id) o) r
-WHERE sales_decile = 1 AND {S.ratio('op', 'os')} < {max_margin}
+WHERE sales_decile = 1 AND CAST(op AS DOUBLE) < CAST({max_margin} AS DOUBLE) * CAST(os AS DOUBLE)
 ORDER BY os DESC, order_id LIMIT {k}""")
 
 

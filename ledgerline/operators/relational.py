@@ -37,13 +37,14 @@ def dotted_to_underscore(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(".", "_") for c in df.columns])
 
 
-def split_positive(df: DataFrame, sales: str = "sales", quantity: str = "quantity"):
-    """(kept, removed): rows with sales > 0 and quantity > 0, and the rest.
+def positive_rows(sales: str = "sales", quantity: str = "quantity") -> Column:
+    """Sales > 0 and quantity > 0; never null, so its negation is the exact complement."""
+    return F.coalesce((F.col(sales) > 0) & (F.col(quantity) > 0), F.lit(False))
 
-    The two predicates are exact complements, nulls included.
-    """
-    good = (F.col(sales) > 0) & (F.col(quantity) > 0)
-    keep = F.coalesce(good, F.lit(False))
+
+def split_positive(df: DataFrame, sales: str = "sales", quantity: str = "quantity"):
+    """(kept, removed): rows with sales > 0 and quantity > 0, and the rest."""
+    keep = positive_rows(sales, quantity)
     return df.where(keep), df.where(~keep)
 
 
@@ -54,7 +55,7 @@ def top_and_bottom(df: DataFrame, value: str, key: str, k: int = 5) -> DataFrame
 
 
 def time_split(df: DataFrame, date_col: str, valid_start: str, test_start: str, end: str) -> DataFrame:
-    """Label rows train / valid / test by date; rows at or after ``end`` are out."""
+    """Label rows train / valid / test by date; rows after ``end`` get no label."""
     d = F.col(date_col)
     label = (F.when(d < F.lit(valid_start).cast("date"), "train")
              .when(d < F.lit(test_start).cast("date"), "valid")
@@ -62,10 +63,22 @@ def time_split(df: DataFrame, date_col: str, valid_start: str, test_start: str,
     return df.withColumn("split", label)
 
 
-def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 42) -> DataFrame:
-    """Deterministic split by a hash of the key (stable under recomputation,
-    unlike ``randomSplit`` on a reshuffled input)."""
-    u = (F.abs(F.xxhash64(F.col(key).cast("string"), F.lit(seed))) % 1_000_000) / 1_000_000.0
+def hash_unit(cols, seed: int = 42) -> Column:
+    """A number in [0, 1) from the MD5 of the row's key: the same on every
+    engine, cluster size and file layout."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def hash_unit_sql(cols, seed: int = 42) -> str:
+    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols]])
+    return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS UBIGINT)::DOUBLE / 4294967296.0)"
+
+
+def hash_split(df: DataFrame, key, weights=(0.8, 0.2), seed: int = 42) -> DataFrame:
+    """Split by a hash of the key column(s): stable under recomputation,
+    unlike ``randomSplit`` on a reshuffled input."""
+    u = hash_unit([key] if isinstance(key, str) else key, seed)
     total = float(sum(weights))
     label = None
     edge = 0.0
@@ -78,15 +91,14 @@ def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 42) -> D
 
 def hash_sample(df: DataFrame, key_cols: list[str], fraction: float, seed: int = 42) -> DataFrame:
     """Reproducible Bernoulli-like sample keyed on a hash of the row key."""
-    h = F.abs(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))) % 1_000_000
-    return df.where(h < F.lit(int(fraction * 1_000_000)))
+    return df.where(hash_unit(key_cols, seed) < F.lit(fraction))
 
 
-def sample_keep_outliers(df: DataFrame, value: str, threshold: float, fraction: float,
+def sample_keep_outliers(df: DataFrame, value: str, threshold: float, fraction: float, key_cols: list[str],
                          seed: int = 42) -> DataFrame:
-    """All rows with |value| > threshold plus a seeded sample of the rest."""
-    extreme = F.abs(F.col(value)) > F.lit(threshold)
-    return df.where(extreme).unionByName(df.where(~extreme).sample(False, fraction, seed))
+    """All rows with |value| > threshold plus a hash sample of the rest (a null value is no outlier)."""
+    extreme = F.coalesce(F.abs(F.col(value)) > F.lit(threshold), F.lit(False))
+    return df.where(extreme | (hash_unit(key_cols, seed) < F.lit(fraction)))
 
 
 # ------------------------------------------------------- 2.2 projections
@@ -340,10 +352,10 @@ SELECT CAST(SUM(CASE WHEN COALESCE(sales > 0 AND quantity > 0, FALSE) THEN 1 ELS
          AS removed_sales
 FROM dirty""", DIRTY_CTE_SQL))
 def _clean_positive_sales(spark, sf_dir):
-    kept, removed = split_positive(dirty_lines(spark, sf_dir))
-    k = kept.agg(F.count(F.lit(1)).alias("kept_rows"))
-    r = removed.agg(F.count(F.lit(1)).alias("removed_rows"), N.dbl(F.sum("sales")).alias("removed_sales"))
-    return k.crossJoin(r)  # two one-row aggregates
+    keep = positive_rows()
+    return dirty_lines(spark, sf_dir).agg(
+        F.count_if(keep).alias("kept_rows"), F.count_if(~keep).alias("removed_rows"),
+        N.dbl(F.sum(F.when(~keep, F.col("sales")))).alias("removed_sales"))
 
 
 @register("clean_drop_columns", sql=S.with_fact("""
@@ -462,19 +474,28 @@ def _topk_per_group(spark, sf_dir):
         .withColumn("rnk", F.col("rnk").cast("bigint"))
 
 
-@register("sample_fraction")
+_LINE_KEY = ["order_id", "product_id", "ship_date"]
+
+
+@register("sample_fraction", sql=S.with_fact(f"""
+SELECT order_id, product_id, ship_date, CAST(sales AS DOUBLE) AS sales, CAST(profit AS DOUBLE) AS profit
+FROM fact WHERE {hash_unit_sql(_LINE_KEY)} < 0.1"""))
 def _sample_fraction(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["order_id", "product_id", "sales", "profit"])
-    return df.sample(False, 0.1, seed=42)
+    df = order_lines(spark, sf_dir, [*_LINE_KEY, "sales", "profit"])
+    return hash_sample(df, _LINE_KEY, 0.1).withColumn("sales", N.dbl("sales")).withColumn("profit", N.dbl("profit"))
 
 
-@register("sample_keep_outliers")
+@register("sample_keep_outliers", sql=S.with_fact(f"""
+SELECT order_id, product_id, ship_date, CAST(profit AS DOUBLE) AS profit
+FROM fact WHERE abs(CAST(profit AS DOUBLE)) > 40000 OR {hash_unit_sql(_LINE_KEY)} < 0.05"""))
 def _sample_keep_outliers(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["order_id", "product_id", "profit"]).withColumn("profit", N.dbl("profit"))
-    return sample_keep_outliers(df, "profit", 40000.0, 0.05)
+    df = order_lines(spark, sf_dir, [*_LINE_KEY, "profit"]).withColumn("profit", N.dbl("profit"))
+    return sample_keep_outliers(df, "profit", 40000.0, 0.05, _LINE_KEY)
 
 
-@register("split_random")
+@register("split_random", sql=S.with_fact(f"""
+SELECT CASE WHEN {hash_unit_sql(["order_id"])} < 0.8 THEN 0 ELSE 1 END AS split_id, COUNT(*) AS "count"
+FROM (SELECT DISTINCT order_id FROM fact) o GROUP BY 1"""))
 def _split_random(spark, sf_dir):
     orders = order_lines(spark, sf_dir, ["order_id", "sales"]).groupBy("order_id") \
         .agg(F.sum("sales").alias("order_sales"))

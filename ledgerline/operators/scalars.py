@@ -169,10 +169,16 @@ def _fn_datediff_add(spark, sf_dir):
                      F.date_add("order_date", 90).alias("horizon_end"))
 
 
-@register("fn_now")
+@register("fn_now", sql=S.with_fact("""
+SELECT COUNT(DISTINCT order_id) AS n_orders, CAST(1 AS BIGINT) AS n_times, TRUE AS readable, TRUE AS is_now FROM fact"""))
 def _fn_now(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["order_id"]).distinct()
-    return df.withColumn("prediction_time", F.current_timestamp().cast("string"))
+    # the clock is read once per query: every row carries the same, current time
+    df = order_lines(spark, sf_dir, ["order_id"]).distinct() \
+        .withColumn("prediction_time", F.current_timestamp().cast("string"))
+    t = F.col("prediction_time").try_cast("timestamp")
+    return df.agg(F.count(F.lit(1)).alias("n_orders"), F.countDistinct("prediction_time").alias("n_times"),
+                  F.bool_and(t.isNotNull()).alias("readable"),
+                  F.bool_and(F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(t)) <= 1).alias("is_now"))
 
 
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.IntegerType())])
@@ -195,9 +201,16 @@ def _fn_to_json(spark, sf_dir):
                      F.to_json(F.struct("event_id", "event_type", "user_id")).alias("value"))
 
 
-@register("fn_rand")
+@register("fn_rand", sql=S.with_fact("""
+SELECT COUNT(DISTINCT order_id) AS n_orders, TRUE AS in_unit_interval, TRUE AS spread, TRUE AS seeded FROM fact"""))
 def _fn_rand(spark, sf_dir):
-    return order_lines(spark, sf_dir, ["order_id"]).distinct().withColumn("r", F.rand(42))
+    # values depend on the layout, so what is checked is what holds for any:
+    # range, mean and spread of a uniform variable, and that the seed decides
+    df = order_lines(spark, sf_dir, ["order_id"]).distinct().withColumn("r", F.rand(42)).withColumn("again", F.rand(42))
+    n = F.count(F.lit(1))
+    return df.agg(n.alias("n_orders"), F.bool_and((F.col("r") >= 0) & (F.col("r") < 1)).alias("in_unit_interval"),
+                  ((F.abs(F.avg("r") - 0.5) < 2 / F.sqrt(n)) & (F.abs(F.var_pop("r") - 1 / 12) < 1 / F.sqrt(n))).alias("spread"),
+                  F.bool_and(F.col("r") == F.col("again")).alias("seeded"))
 
 
 @register("fn_flags", sql=S.with_fact("""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
-from ledgerline.plans.ordered import dense_rank_by, ntile_of, ordered_scan
+from ledgerline.plans.ordered import chunked_scan, dense_rank_by, month_of, ntile_of, ordered_scan
 from ledgerline.plans.registry import register
 from ledgerline.sources.fact import order_lines, order_totals, part_totals
 
@@ -42,7 +42,7 @@ SELECT customer_id, order_id, order_date,
 FROM o""", _ORDERS_CTE))
 def _win_lag_part(spark, sf_dir):
     o = customer_orders(spark, sf_dir)
-    return ordered_scan(o, ["customer_id"], ["order_date", "order_id"],
+    return chunked_scan(o, ["customer_id"], ["order_date", "order_id"], month_of("order_date"),
                         {"previous_order_date": ("lag", "order_date")}) \
         .select("customer_id", "order_id", "order_date", "previous_order_date")
 
@@ -53,7 +53,7 @@ SELECT customer_id, order_id, order_date,
 FROM o""", _ORDERS_CTE))
 def _win_lead_part(spark, sf_dir):
     o = customer_orders(spark, sf_dir)
-    return ordered_scan(o, ["customer_id"], ["order_date", "order_id"],
+    return chunked_scan(o, ["customer_id"], ["order_date", "order_id"], month_of("order_date"),
                         {"next_order_date": ("lead", "order_date")}) \
         .select("customer_id", "order_id", "order_date", "next_order_date")
 
@@ -77,7 +77,7 @@ SELECT customer_id, order_id, order_date,
 FROM o""", _ORDERS_CTE))
 def _win_running_sum(spark, sf_dir):
     o = customer_orders(spark, sf_dir)
-    return ordered_scan(o, ["customer_id"], ["order_date", "order_id"], {"running": ("run_sum", "os")}) \
+    return chunked_scan(o, ["customer_id"], ["order_date", "order_id"], month_of("order_date"), {"running": ("run_sum", "os")}) \
         .select("customer_id", "order_id", "order_date", N.money("running").alias("running_sales"))
 
 
@@ -141,7 +141,7 @@ WINDOW w AS (PARTITION BY customer_id ORDER BY order_date, order_id ROWS BETWEEN
 """, _ORDERS_CTE))
 def _win_prior_rows(spark, sf_dir):
     o = customer_orders(spark, sf_dir)
-    h = ordered_scan(o, ["customer_id"], ["order_date", "order_id"],
+    h = chunked_scan(o, ["customer_id"], ["order_date", "order_id"], month_of("order_date"),
                      {"ps": ("prior_sum", "os"), "pc": ("prior_count", "os"),
                       "first_order_date": ("prior_min", "order_date")})
     return h.select("customer_id", "order_id", F.col("pc").cast("bigint").alias("prior_orders"),
@@ -150,10 +150,12 @@ def _win_prior_rows(spark, sf_dir):
                     "first_order_date")
 
 
-@register("win_random_index")
+@register("win_random_index", sql=S.with_fact("""
+SELECT order_id, ROW_NUMBER() OVER (ORDER BY md5('42|' || CAST(order_id AS VARCHAR)), order_id) AS perm_index
+FROM o""", _ORDERS_CTE))
 def _win_random_index(spark, sf_dir):
     # a seeded permutation numbering: order by a hash of the key (stable on
     # recomputation, unlike rand()), numbered by the skew-safe global scan
-    o = customer_orders(spark, sf_dir).withColumn("_h", F.xxhash64("order_id", F.lit(42)))
+    o = customer_orders(spark, sf_dir).withColumn("_h", F.md5(F.concat(F.lit("42|"), F.col("order_id").cast("string"))))
     return ordered_scan(o, [], ["_h", "order_id"], {"perm_index": ("row_number", None)}) \
         .select("order_id", "perm_index")

@@ -30,6 +30,14 @@ Output kinds (``spec`` maps output column -> (kind, input column)):
   ``run_sum`` / ``run_count`` same, including the current row
   ``row_number``             1-based position (input column ignored)
 ``order_by`` must be a total order inside each key (add tie-breakers).
+
+``chunked_scan`` is the cheaper form for per-key windows whose rows carry a
+column to cut them by, such as a date: the chunk is a function of the row
+(e.g. its month) that never decreases along the order, so nothing has to be
+sampled, frozen or written.  The rows are shuffled once, by (key, chunk),
+which splits a hot key; totals per (key, chunk) come from one aggregation,
+windows over those few rows per key turn them into offsets, and the offsets
+are joined on the partitioning that the rows already have.
 """
 
 from __future__ import annotations
@@ -46,6 +54,68 @@ def _sort_key(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def month_of(date: str) -> Column:
+    """A chunk for ``chunked_scan``: months counted through the years."""
+    return F.year(date) * 12 + F.month(date)
+
+
+def chunked_scan(df: DataFrame, partition_by: list[str], order_by: list[str], chunk: Column,
+                 spec: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """Windows per key, computed per (key, chunk); see the module text.
+
+    ``order_by`` are column names, ascending; ``chunk`` must not decrease
+    along them.  Kinds as in ``ordered_scan``; keys may be null.
+    """
+    rows = df.withColumn("_k", F.struct(*partition_by)).withColumn(_PID, chunk)
+    w = Window.partitionBy("_k", _PID).orderBy(*order_by)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    per_key = Window.partitionBy("_k").orderBy(_PID)
+    earlier = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    place = F.struct(*order_by)
+    n_before, n_earlier = F.row_number().over(w) - 1, F.coalesce(F.sum("_t_rows").over(earlier), F.lit(0))
+
+    local, totals, offsets, out = {"_rn": n_before}, [F.count(F.lit(1)).alias("_t_rows")], [n_earlier.alias("_o_rows")], {}
+    if any(kind == "lead" for kind, _ in spec.values()):
+        local["_end"] = F.lead(F.lit(1)).over(w).isNull()
+    for name, (kind, col) in spec.items():
+        c, t, o, here = F.col(col) if col else None, f"_t_{name}", f"_o_{name}", f"_l_{name}"
+        if kind in ("lag", "lead"):
+            at_edge = F.max if kind == "lag" else F.min
+            by_edge = F.max_by if kind == "lag" else F.min_by
+            # the edge value of the leading order column is its extreme, which aggregates in place
+            totals.append((at_edge(c) if col == order_by[0] else by_edge(c, place)).alias(t))
+            offsets.append((F.lag(t) if kind == "lag" else F.lead(t)).over(per_key).alias(o))
+            local[here] = (F.lag(c) if kind == "lag" else F.lead(c)).over(w)
+            edge = F.col("_rn") == 0 if kind == "lag" else F.col("_end")
+            out[name] = F.when(edge, F.col(o)).otherwise(F.col(here))
+        elif kind == "row_number":
+            out[name] = F.col("_rn") + 1 + F.col("_o_rows")
+        elif kind in ("prior_min", "prior_max"):
+            agg, pick = (F.min, F.least) if kind == "prior_min" else (F.max, F.greatest)
+            totals.append(agg(c).alias(t))
+            offsets.append(agg(t).over(earlier).alias(o))
+            local[here] = agg(c).over(before)
+            out[name] = pick(F.col(o), F.col(here))
+        elif kind in ("prior_sum", "run_sum", "prior_count", "run_count"):
+            frame = before if kind.startswith("prior") else upto
+            totals.append(F.count(c).alias(f"{t}_c"))
+            offsets.append(F.coalesce(F.sum(f"{t}_c").over(earlier), F.lit(0)).alias(f"{o}_c"))
+            local[f"{here}_c"] = F.count(c).over(frame)
+            count = F.col(f"{here}_c") + F.col(f"{o}_c")
+            out[name] = count
+            if kind.endswith("sum"):
+                totals.append(F.sum(c).alias(t))
+                offsets.append(F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(o))
+                local[here] = F.coalesce(F.sum(c).over(frame), F.lit(0))
+                out[name] = F.when(count > 0, F.col(here) + F.col(o))
+        else:
+            raise ValueError(f"unknown scan kind {kind}")
+    per_chunk = rows.groupBy("_k", _PID).agg(*totals).select("_k", _PID, *offsets)
+    scanned = rows.withColumns(local).join(per_chunk, ["_k", _PID])
+    return scanned.select(*df.columns, *[c.alias(name) for name, c in out.items()])
+
+
 def ordered_scan(df: DataFrame, partition_by: list[str], order_by: list,
                  spec: dict[str, tuple[str, str | None]],
                  num_ranges: int | None = None) -> DataFrame:

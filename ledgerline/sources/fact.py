@@ -68,7 +68,8 @@ def _order_date() -> Column:
     return F.col("o_orderdate").cast("date")
 
 
-def _expr(name: str) -> Column:
+def fact_column(name: str) -> Column:
+    """A column of the fact view as an expression over the star-schema tables."""
     if name == "customer_id":
         return F.col("o_custkey")
     if name == "customer_name":
@@ -148,7 +149,7 @@ def order_lines(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
         part = read_table(spark, sf_dir, "part").select(
             "p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
         df = df.join(part, df["l_partkey"] == part["p_partkey"])
-    return df.select(*[_expr(c).alias(c) for c in cols])
+    return df.select(*[fact_column(c).alias(c) for c in cols])
 
 
 _ORDER_SIDE = {"customer_id", "customer_name", "segment", "country", "market", "order_date",
@@ -179,9 +180,13 @@ def order_totals(spark: SparkSession, sf_dir: str, order_cols, measures=("sales"
     if "profit" in measures:
         part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
         li = li.join(part, li["l_partkey"] == part["p_partkey"])
-    per_order = li.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        *[F.sum(_expr(m)).alias(m) for m in measures], *[F.min(_expr(c)).alias(c) for c in line_mins],
-        F.count(F.lit(1)).alias("n_lines"))
+    # text columns are grouped first (text is fine as a hash key), so a
+    # minimum of text, which needs a sort, is taken over few rows per order
+    per_order = li.groupBy(F.col("l_orderkey").alias("order_id"), *[fact_column(c).alias(c) for c in line_mins]).agg(
+        *[F.sum(fact_column(m)).alias(m) for m in measures], F.count(F.lit(1)).alias("n_lines"))
+    if line_mins:
+        per_order = per_order.groupBy("order_id").agg(
+            *[F.sum(m).alias(m) for m in (*measures, "n_lines")], *[F.min(c).alias(c) for c in line_mins])
     if not order_cols:
         return per_order
     side = order_lines_side(spark, sf_dir, order_cols)
@@ -211,10 +216,10 @@ def part_totals(spark: SparkSession, sf_dir: str, part_cols, measures=("sales",)
         if m == "profit":
             aggs += [F.sum(_sales() * (F.lit(1) - _discount())).alias("_net"), F.sum(_quantity()).alias("_qty")]
         else:
-            aggs.append(F.sum(_expr(m)).alias(m))
+            aggs.append(F.sum(fact_column(m)).alias(m))
     per_part = li.groupBy(F.col("l_partkey").alias("product_id")).agg(*aggs)
     part = read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"), "p_retailprice", *[_expr(c).alias(c) for c in part_cols])
+        F.col("p_partkey").alias("product_id"), "p_retailprice", *[fact_column(c).alias(c) for c in part_cols])
     out = per_part.join(part, "product_id")
     if "profit" in measures:
         out = out.withColumn("profit", (F.col("_net") - F.col("_qty") * F.col("p_retailprice")
@@ -237,7 +242,7 @@ def order_lines_side(spark: SparkSession, sf_dir: str, order_cols) -> DataFrame:
                 geo = geo.join(F.broadcast(region), geo["n_regionkey"] == region["r_regionkey"])
             cust = cust.join(F.broadcast(geo), cust["c_nationkey"] == geo["n_nationkey"])
         side = side.join(cust, side["o_custkey"] == cust["c_custkey"])
-    return side.select(F.col("o_orderkey").alias("order_id"), *[_expr(c).alias(c) for c in order_cols])
+    return side.select(F.col("o_orderkey").alias("order_id"), *[fact_column(c).alias(c) for c in order_cols])
 
 
 # DuckDB text of the same view, used by the oracle SQL of every registered

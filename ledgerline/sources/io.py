@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +47,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerline-io/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
@@ -57,12 +64,14 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet at ``path``, or a typed empty frame when it cannot be read."""
+    """Parquet at ``path``, or a typed empty frame if there is no such path.
+    Any other failure (permissions, corrupt files) is raised: an empty
+    snapshot in its place would silently change every result."""
     try:
-        df = spark.read.schema(schema).parquet(path)
-        df.schema  # resolve now, so a missing path fails here
-        return df
-    except Exception:  # noqa: BLE001 - any unreadable snapshot falls back
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -195,11 +204,8 @@ def _src_range(spark, sf_dir):
     monthly = lines.groupBy(F.trunc("order_date", "month").alias("month_start")) \
         .agg(F.sum("sales").alias("ms"))
     bounds = monthly.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))
-    # month calendar from spark.range: its length is the number of months
-    # between first and last order (bounded by the calendar, not the data)
-    span = bounds.select(F.months_between("hi", "lo").cast("int").alias("n"), "lo")
-    cal = spark.range(0, 1200).crossJoin(F.broadcast(span)).where(F.col("id") <= F.col("n")) \
-        .select(F.add_months("lo", F.col("id").cast("int")).alias("month_start"))
+    # one row with the bounds becomes the whole calendar between them
+    cal = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
     return cal.join(monthly, "month_start", "left") \
         .select("month_start", N.money(F.coalesce(F.col("ms"), F.lit(0))).alias("month_sales"))
 
@@ -232,7 +238,7 @@ def _snk_collect(spark, sf_dir):
 def _snk_report_csv(spark, sf_dir):
     agg = _market_totals(spark, sf_dir)
     path = scratch_path(spark, "report")
-    write_csv(agg.coalesce(1), path, "fast")  # a small report: one file
+    write_csv(agg.repartition(1), path, "fast")  # one file of the finished report; the aggregation stays parallel
     schema = T.StructType([T.StructField("market", T.StringType()), T.StructField("total_sales", T.DoubleType()),
                            T.StructField("n_lines", T.LongType())])
     return read_csv(spark, path, schema, "fast")

@@ -5,8 +5,12 @@ files in tests) -> typed rows -> left join with the customer snapshot
 (unknown customers get 0.0) -> serving features -> model -> risk tier ->
 ``foreachBatch`` dual sink.
 
-The dual sink is restart-safe: each micro-batch is persisted once, its
-audit rows are written to ``audit/batch_id=N`` with overwrite (a replayed
+Nothing is dropped: messages that cannot be read, lack an id or lack a
+number the model needs go to ``rejects`` with the reason, so audit rows plus
+rejects are the input.
+
+The sinks are restart-safe: each micro-batch is persisted once, its audit
+rows and rejects are written to ``batch_id=N`` with overwrite (a replayed
 batch replaces its own output instead of appending a copy), and a publish
 error fails the batch so the checkpoint does not advance past it.
 
@@ -25,11 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions import numeric as N
-from ledgerline.functions.realtime import ServingParams, realtime_features, risk_tier
+from ledgerline.functions.realtime import MESSAGE_NAMES, ServingParams, message_features, risk_tier
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.registry import register
 from ledgerline.sources.fact import order_lines
+from ledgerline.sources.io import SNAPSHOT_SCHEMA, kafka_payload, path_exists, read_or_empty, scratch_path, write_kafka
 
+# The wire format of order messages, the audit columns and the
+# names in the published record.
 ORDER_SCHEMA = T.StructType([
     T.StructField("Order_ID", T.StringType()), T.StructField("Customer_ID", T.StringType()),
     T.StructField("Order_Date", T.StringType()), T.StructField("Category", T.StringType()),
@@ -45,6 +52,12 @@ AUDIT_COLS = ["Order_ID", "Customer_ID", "Order_Date", "Category", "Sub_Category
               "prediction_usd", "risk_level", "prediction_time"]
 
 
+PUBLISHED = {"Order_ID": "order_id", "Customer_ID": "customer_id", "Category": "category",
+             "Sub_Category": "sub_category", "Sales": "sales", "Discount": "discount",
+             "prediction_usd": "prediction_usd", "risk_level": "risk_level", "prediction_time": "prediction_time",
+             "Publish_Time": "publish_time"}
+REQUIRED_NUMBERS = ("Sales", "Discount", "Quantity", "Shipping_Cost")
+
 # ----------------------------------------------------------------- source
 
 def order_source(spark: SparkSession, fmt: str, options: dict, path: str | None = None,
@@ -65,15 +78,25 @@ def order_source(spark: SparkSession, fmt: str, options: dict, path: str | None
     return reader.format(fmt).schema(schema).options(**options).load(path)
 
 
-def parse_orders(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON -> typed columns; junk text gives a struct of nulls, which the
-    id filter drops (as do messages without an order or customer id)."""
+def route(raw: DataFrame, value_col: str = "value", required=REQUIRED_NUMBERS) -> DataFrame:
+    """Every message with its typed columns, its text and ``reject_reason`` (null if it can be scored)."""
     # inline(array(struct)) expands the parsed struct through a Generate
-    # node: the id filter cannot be pushed below it, so each message is
-    # parsed once (a plain ``select("data.*")`` lets the optimizer copy the
-    # parse into the pushed-down filter, parsing every message 3 times)
-    parsed = raw.select(F.inline(F.array(F.from_json(F.col(value_col), ORDER_SCHEMA))))
-    return parsed.where(F.col("Order_ID").isNotNull() & F.col("Customer_ID").isNotNull())
+    # node: no filter on its columns can be pushed below it, so each message
+    # is parsed once (a plain ``select("data.*")`` lets the optimizer copy the
+    # parse into a pushed-down filter, parsing every message 3 times)
+    parsed = raw.select(F.col(value_col).alias("message"), F.inline(F.array(F.from_json(F.col(value_col), ORDER_SCHEMA))))
+    columns = [F.col(f.name) for f in ORDER_SCHEMA.fields]
+    unreadable = F.forall(F.array(*[c.isNull() for c in columns]), lambda x: x)
+    reason = F.when(unreadable, F.lit("unreadable")) \
+        .when(F.col("Order_ID").isNull() | F.col("Customer_ID").isNull(), F.lit("no order or customer id"))
+    for c in required:
+        reason = reason.when(F.col(c).isNull(), F.lit(f"no {c}"))
+    return parsed.withColumn("reject_reason", reason)
+
+
+def parse_orders(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """The typed orders that have an order and a customer id."""
+    return route(raw, value_col, required=()).where("reject_reason IS NULL").drop("message", "reject_reason")
 
 
 def enrich(orders: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -86,45 +109,41 @@ def enrich(orders: DataFrame, snapshot: DataFrame) -> DataFrame:
     return orders.join(snap, "Customer_ID", "left").na.fill({c: 0.0 for c in SNAPSHOT_COLS})
 
 
-def score(features: DataFrame, model, shift_col: str | None = None, shift: float = 3000.0,
-          tiers=(100.0, 500.0), explicit_null_tier: bool = False) -> DataFrame:
-    """Model -> prediction_usd (inverse log) -> risk tier -> prediction time."""
-    pred = model.transform(features)
-    sh = F.col(shift_col) if shift_col else F.lit(shift)
-    return (pred.withColumn("prediction_usd", F.exp("prediction") - sh)
-            .withColumn("risk_level", risk_tier("prediction_usd", *tiers, explicit_null=explicit_null_tier))
-            .withColumn("prediction_time", F.current_timestamp().cast("string")))
+def score(features: DataFrame, model, tiers=(100.0, 500.0), explicit_null_tier: bool = False) -> DataFrame:
+    """Model (which ends in prediction_usd) -> risk tier -> prediction time."""
+    return model.transform(features) \
+        .withColumn("risk_level", risk_tier("prediction_usd", *tiers, explicit_null=explicit_null_tier)) \
+        .withColumn("prediction_time", F.current_timestamp().cast("string"))
 
 
-def reject_invalid(df: DataFrame, required=("Sales", "Discount", "Quantity", "Shipping_Cost")):
-    """(valid, rejects): numeric inputs that would make the assembler fail
-    go to a dead-letter frame instead of failing the stream (H14)."""
-    ok = None
-    for c in required:
-        cond = F.col(c).isNotNull()
-        ok = cond if ok is None else (ok & cond)
+def reject_invalid(df: DataFrame, required=REQUIRED_NUMBERS):
+    """(valid, rejects) of parsed orders: the rejects lack a number that the model needs."""
+    ok = F.forall(F.array(*[F.col(c).isNotNull() for c in required]), lambda x: x)
     return df.where(ok), df.where(~ok)
 
 
 def publish_payload(batch: DataFrame) -> DataFrame:
     """The JSON record the dashboard consumes (lower-case names)."""
-    out = batch.select(F.col("Order_ID").alias("order_id"), F.col("Customer_ID").alias("customer_id"),
-                       F.col("Category").alias("category"), F.col("Sub_Category").alias("sub_category"),
-                       F.col("Sales").alias("sales"), F.col("Discount").alias("discount"),
-                       "prediction_usd", "risk_level", "prediction_time",
-                       F.col("Publish_Time").alias("publish_time"))
-    return out.select(F.col("order_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    return kafka_payload(batch.select(*[F.col(c).alias(name) for c, name in PUBLISHED.items()]), "order_id")
 
 
-def dual_sink(audit_path: str, publish: Callable[[DataFrame, int], None]):
-    """foreachBatch function: audit parquet + published JSON, idempotent per batch."""
+def scoring_sink(snapshot: DataFrame, model, audit_path: str, reject_path: str,
+                 publish: Callable[[DataFrame, int], None], params: ServingParams, tiers):
+    """foreachBatch function over routed messages: audit, published JSON and rejects, each idempotent per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
                 return
-            batch.select(*AUDIT_COLS).write.mode("overwrite").parquet(f"{audit_path}/batch_id={batch_id}")
-            publish(publish_payload(batch), batch_id)  # errors propagate: the batch is retried
+            rejects = batch.where("reject_reason IS NOT NULL").select("message", "reject_reason")
+            rejects.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+            orders = batch.where("reject_reason IS NULL").drop("message", "reject_reason")
+            scored = score_orders(orders, snapshot, model, params, tiers).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                scored.select(*AUDIT_COLS).write.mode("overwrite").parquet(f"{audit_path}/batch_id={batch_id}")
+                publish(publish_payload(scored), batch_id)  # errors propagate: the batch is retried
+            finally:
+                scored.unpersist()
         finally:
             batch.unpersist()
     return write
@@ -138,21 +157,24 @@ def file_publisher(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def kafka_publisher(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
-    def publish(payload: DataFrame, batch_id: int) -> None:
-        payload.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
-    return publish
+    return lambda payload, batch_id: write_kafka(payload, servers, topic)
+
 
+def score_orders(orders: DataFrame, snapshot: DataFrame, model, params: ServingParams, tiers) -> DataFrame:
+    """Enriched, scored orders under the names of the messages."""
+    columns = [f.name for f in ORDER_SCHEMA.fields]
+    features = message_features(enrich(orders, snapshot), params)
+    scored = score(features, model, tiers)
+    return scored.select(*[F.col(MESSAGE_NAMES.get(c, c)).alias(c) for c in columns], *SNAPSHOT_COLS, "prediction_usd", "risk_level",
+                         "prediction_time")
 
-def start_scoring(spark: SparkSession, raw: DataFrame, snapshot: DataFrame, model, audit_path: str,
-                  checkpoint_path: str, publish: Callable[[DataFrame, int], None],
-                  params: ServingParams = ServingParams(), shift: float = 3000.0, tiers=(100.0, 500.0),
-                  available_now: bool = False):
-    """Wire the whole scoring stream and start it."""
-    orders, _rejects = reject_invalid(parse_orders(raw))
-    feats = realtime_features(enrich(orders, snapshot), params)
-    scored = score(feats, model, shift=shift, tiers=tiers)
-    writer = scored.writeStream.foreachBatch(dual_sink(audit_path, publish)) \
-        .option("checkpointLocation", checkpoint_path)
+
+def start_scoring(spark: SparkSession, raw: DataFrame, snapshot: DataFrame, model, base_path: str,
+                  publish: Callable[[DataFrame, int], None], params: ServingParams = ServingParams(),
+                  tiers=(100.0, 500.0), available_now: bool = False):
+    """Wire the whole scoring stream under ``base_path`` (audit, rejects, checkpoint) and start it."""
+    sink = scoring_sink(snapshot, model, f"{base_path}/audit", f"{base_path}/rejects", publish, params, tiers)
+    writer = route(raw).writeStream.foreachBatch(sink).option("checkpointLocation", f"{base_path}/checkpoint")
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
@@ -202,6 +224,13 @@ def _snapshot(spark, sf_dir) -> DataFrame:
     return customer_snapshot(customer_history(_capped_orders(spark, sf_dir)))
 
 
+def stored_snapshot(spark, sf_dir, path: str) -> DataFrame:
+    """The customer snapshot as an artefact: written once, then only loaded (each micro-batch reads the copy)."""
+    if not path_exists(spark, path):
+        _snapshot(spark, sf_dir).write.parquet(path)
+    return read_or_empty(spark, path, SNAPSHOT_SCHEMA)
+
+
 def _enrich_sql() -> str:
     from ledgerline.operators.features import _CUST_HIST_CTE
     snap = """snap AS (SELECT CAST(customer_id AS VARCHAR) AS cid,
@@ -321,74 +350,74 @@ def _st_latency(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-# ---------------------------------------------------- stream-run forms (R)
+# -------------------------------------------------------- stream-run forms
 
 
-def _small_profit_model(spark, sf_dir):
-    """A small pipeline trained on serving-time features of the batch data."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.regression import RandomForestRegressor
-    from ledgerline.operators.features import TEST_SERVING
-    from ledgerline.operators.models import encoders, freeze
-    e = enrich(parse_orders(order_messages(spark, sf_dir)), _snapshot(spark, sf_dir))
-    f = realtime_features(e, TEST_SERVING)
-    lines = order_lines(spark, sf_dir, ["order_id", "profit"]).groupBy("order_id") \
-        .agg(F.avg("profit").alias("p"))
-    train = freeze(f.join(lines.withColumn("Order_ID", F.col("order_id").cast("string")), "Order_ID")
-                   .withColumn("log_profit", F.log(N.dbl("p") + F.lit(60000.0))))
-    idx, ohe = encoders(["Category", "Market_Category"])
-    from pyspark.ml.feature import VectorAssembler
-    asm = VectorAssembler(inputCols=["Sales_capped", "Discount", "Quantity", "Shipping_Cost_capped", "Year",
-                                     "weeknum", "discount_amount", "shipping_ratio", "avg_item_value",
-                                     "cust_hist_sales", "cust_hist_profit", "cust_hist_margin", "Category_ohe",
-                                     "Market_Category_ohe"], outputCol="features", handleInvalid="keep")
-    rf = RandomForestRegressor(featuresCol="features", labelCol="log_profit", numTrees=5, maxDepth=4, seed=42)
-    return Pipeline(stages=[idx, ohe, asm, rf]).fit(train)
+def profit_model(spark, sf_dir):
+    """The served model: the full profit pipeline (all categories, the interaction, the fitted shift), saved and reloaded."""
+    from ledgerline.operators.models import fit_profit, load_model, rf_regressor, save_model, split_profit
+    train, _, shift = split_profit(spark, sf_dir)
+    path = scratch_path(spark, "profit-model")
+    save_model(fit_profit(train, rf_regressor(), shift), path)
+    return load_model(spark, path)
 
 
 @register("st_score")
 def _st_score(spark, sf_dir):
     from ledgerline.operators.features import TEST_SERVING
-    model = _small_profit_model(spark, sf_dir)
-    e = enrich(parse_orders(order_messages(spark, sf_dir)), _snapshot(spark, sf_dir))
-    s = score(realtime_features(e, TEST_SERVING), model, shift=60000.0, tiers=TEST_TIERS)
+    snapshot = stored_snapshot(spark, sf_dir, scratch_path(spark, "snapshot"))
+    orders, _ = reject_invalid(parse_orders(order_messages(spark, sf_dir)))
+    s = score_orders(orders, snapshot, profit_model(spark, sf_dir), TEST_SERVING, TEST_TIERS)
     return s.select("Order_ID", "Customer_ID", "prediction_usd", "risk_level", "prediction_time")
 
 
-def _run_stream_once(spark, sf_dir, base: str, runs: int = 1):
+INBOX_FILES = 6
+
+
+def run_stream(spark, sf_dir, base: str, runs: int = 1, publish=None, model=None) -> None:
+    """The scoring stream over all messages, ``INBOX_FILES`` files in micro-batches of two, ``runs`` times."""
     from ledgerline.operators.features import TEST_SERVING
-    model = _small_profit_model(spark, sf_dir)
+    model = model or profit_model(spark, sf_dir)
     inbox = f"{base}/inbox"
-    order_messages(spark, sf_dir).write.mode("overwrite").json(inbox)
-    snapshot = _snapshot(spark, sf_dir)
+    if not path_exists(spark, inbox):
+        order_messages(spark, sf_dir).repartition(INBOX_FILES).write.json(inbox)
+    snapshot = stored_snapshot(spark, sf_dir, f"{base}/snapshot")
     for _ in range(runs):  # a second run with the same checkpoint must add nothing
         raw = order_source(spark, "json", {"maxFilesPerTrigger": "2"}, inbox)
-        q = start_scoring(spark, raw, snapshot, model, f"{base}/audit", f"{base}/checkpoint",
-                          file_publisher(f"{base}/published"), TEST_SERVING, shift=60000.0, tiers=TEST_TIERS,
-                          available_now=True)
+        q = start_scoring(spark, raw, snapshot, model, base, publish or file_publisher(f"{base}/published"), TEST_SERVING,
+                          tiers=TEST_TIERS, available_now=True)
         q.awaitTermination()
-    return spark.read.parquet(f"{base}/audit")
 
 
-@register("st_foreach_batch_dual")
+@register("st_foreach_batch_dual", sql=_enrich_sql())
 def _st_foreach_batch_dual(spark, sf_dir):
-    from ledgerline.sources.io import scratch_path
-    audit = _run_stream_once(spark, sf_dir, scratch_path(spark, "stream"))
-    return audit.select("Order_ID", "Customer_ID", "prediction_usd", "risk_level", "batch_id")
-
-
-@register("st_checkpoint")
+    """Ids and enrichment of every audit row (the model's numbers are checked in the tests)."""
+    base = scratch_path(spark, "stream")
+    run_stream(spark, sf_dir, base)
+    return spark.read.parquet(f"{base}/audit").select(
+        "Order_ID", "Customer_ID", "Sales", N.rnd("cust_hist_sales", 4).alias("cust_hist_sales"),
+        N.rnd("cust_hist_profit", 4).alias("cust_hist_profit"), N.rnd("cust_hist_margin", 6).alias("cust_hist_margin"))
+
+
+@register("st_checkpoint", sql=S.with_fact("""
+SELECT 'audit' AS sink, COUNT(*) AS n, TRUE AS several_batches FROM parsed
+UNION ALL SELECT 'published', COUNT(*), TRUE FROM parsed
+UNION ALL SELECT 'rejects', COUNT(*), TRUE FROM fact WHERE quantity IN (13, 41)""", _PARSED_SQL))
 def _st_checkpoint(spark, sf_dir):
-    from ledgerline.sources.io import scratch_path
-    audit = _run_stream_once(spark, sf_dir, scratch_path(spark, "restart"), runs=2)
-    return audit.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    """Rows in each sink after two runs with one checkpoint, over several micro-batches."""
+    base = scratch_path(spark, "restart")
+    run_stream(spark, sf_dir, base, runs=2)
+    sinks = {"audit": spark.read.parquet(f"{base}/audit"), "published": spark.read.json(f"{base}/published"),
+             "rejects": spark.read.parquet(f"{base}/rejects")}
+    counts = [df.agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("n"),
+                     (F.countDistinct("batch_id") > 1).alias("several_batches")) for name, df in sinks.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-@register("src_kafka")
+@register("src_kafka", sql=S.with_fact("SELECT * FROM parsed", _PARSED_SQL))
 def _src_kafka(spark, sf_dir):
     # the Kafka connector is not on this classpath: the same source function
     # reads the identical message shape from files (batch read here)
-    from ledgerline.sources.io import scratch_path
     inbox = scratch_path(spark, "inbox")
     order_messages(spark, sf_dir).write.mode("overwrite").json(inbox)
     return parse_orders(order_source(spark, "json", {}, inbox, streaming=False))
