@@ -26,11 +26,11 @@ DEFAULT_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "ledgerline", driver_memory: str = "16g") -> SparkSession:
+                  app: str = "ledgerline", driver_memory: str = "16g", conf: dict[str, str] | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", driver_memory))
-    for k, v in DEFAULT_CONF.items():
+    for k, v in (DEFAULT_CONF | (conf or {})).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,5 +1,7 @@
 import os
+import shutil
 import sys
+import tempfile
 
 import pytest
 
@@ -13,9 +15,12 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerline.session import local_session
-    s = local_session("*", shuffle_partitions=8, app="ledgerline-tests", driver_memory="8g")
+    folder = tempfile.mkdtemp(prefix="ledgerline-tests-")
+    s = local_session("*", shuffle_partitions=8, app="ledgerline-tests", driver_memory="8g",
+                      conf={"spark.checkpoint.dir": folder})
     yield s
     s.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 @pytest.fixture(scope="session")

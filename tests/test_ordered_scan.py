@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.plans.ordered import ntile_of, ordered_scan
+from ledgerline.plans.ordered import chunked_scan, ntile_of, ordered_scan
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +49,26 @@ def test_partitioned_scan_matches_window(spark, skewed, ranges):
     assert _rows(got) == _rows(_expected(skewed, ["k"], ["d", "o"]))
 
 
+@pytest.mark.parametrize(("chunk", "partitions"), [("d div 30", 3), ("d div 7", 16), ("0", 1)])
+def test_chunked_scan_matches_window(spark, skewed, chunk, partitions):
+    """A hot key with a third of the rows, a null key, chunks from one for all to many per key."""
+    df = skewed.withColumn("k", F.when(F.col("k") != 5, F.col("k"))).repartition(partitions)
+    got = chunked_scan(df, ["k"], ["d", "o"], F.expr(chunk), SPEC)
+    exp = _expected(df, ["k"], ["d", "o"]).fillna(-1, ["k"])
+    assert _rows(got.fillna(-1, ["k"])) == _rows(exp)
+
+
+def test_chunked_scan_splits_the_hot_key_and_shuffles_the_rows_once(spark, skewed):
+    rows = skewed.withColumn("wide", F.repeat(F.lit("x"), 100))
+    got = chunked_scan(rows, ["k"], ["d", "o"], F.expr("d div 30"), SPEC)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+    assert not any("rangepartitioning" in x for x in exchanges)
+    # the rows once; the narrow totals by chunk, by key for their windows, and back by chunk
+    assert sum("hashpartitioning(_k" in x for x in exchanges) <= 4
+    assert rows.select("k", F.expr("d div 30")).where("k = 0").distinct().count() > 10
+
+
 def test_hot_key_really_spans_chunks(spark, skewed):
     # the range partitioner must split key 0 over several partitions
     ranged = skewed.repartitionByRange(16, "k", "d", "o").withColumn("p", F.spark_partition_id())

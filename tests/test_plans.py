@@ -28,6 +28,12 @@ def test_rank_filter_becomes_window_group_limit(spark):
     assert "WindowGroupLimit" in txt
 
 
+def test_order_table_never_sorts_the_lines(spark):
+    from ledgerline.operators.features import order_table
+    txt = _plan(order_table(spark, SF_SMALL))
+    assert "SortAggregate" not in txt and "ObjectHashAggregate" not in txt
+
+
 def test_history_window_is_split_by_chunk(spark):
     df = E.queries()["win_prior_rows"](spark, SF_SMALL)
     txt = df._jdf.queryExecution().optimizedPlan().toString()

@@ -39,12 +39,10 @@ ml_error_by_segment ml_metric_by_slice ml_threshold_sweep ml_threshold_apply ml_
 ml_importance_group ml_perm_importance ml_residuals ml_worst_k ml_interval ml_risk_dist
 """.split()
 
-# operators that are not expressible in plain SQL (models, randomness,
-# streaming runs, clocks): the driver checks rows only
+# results that a trained model decides: the driver checks rows only
 ROWS_ONLY = set("""
-src_kafka model_save_load sample_fraction sample_keep_outliers split_random win_random_index fn_now fn_rand
-fn_vector_to_array st_score st_foreach_batch_dual st_checkpoint
-ml_impute ml_pipeline ml_linreg ml_rf_reg ml_gbt_reg ml_cv ml_logreg ml_rf_cls ml_ablation
+fn_vector_to_array st_score
+ml_pipeline ml_linreg ml_rf_reg ml_gbt_reg ml_cv ml_logreg ml_rf_cls ml_ablation
 ml_importance ml_importance_group ml_perm_importance
 """.split())
 
