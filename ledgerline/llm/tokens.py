@@ -25,24 +25,45 @@ from ledgerline.llm.util import worker_state
 TOKENIZER = "word_bpe_49k.json"
 MAX_WORDS = 400_000
 MAX_WORD_BYTES = 48
+#: ASCII punctuation that the tokenizer splits off after a letter, and that is in no special token.
+TRAILING = b".,;:!?*%$#&()\"'"
 
 
 class WordIds(dict):
-    """Word (bytes) -> its ids as little-endian uint32 bytes."""
+    """Word (bytes) -> its ids as little-endian uint32 bytes.
+
+    A word that is not known is looked up without what does not change its
+    ids -- ASCII capitals of an ASCII word, punctuation after a last letter
+    -- before it is encoded.  When ``MAX_WORDS`` words are known, those not
+    used since the last time are forgotten.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        packed = np.array(ids, dtype="<u4").tobytes()
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self._parts(word)
         if len(word) <= MAX_WORD_BYTES:
             if len(self) >= MAX_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = packed
         return packed
 
+    def _parts(self, word: bytes) -> bytes:
+        if b"<|" not in word:  # else it may hold a special token
+            if word.isascii() and not word.islower() and (lower := word.lower()) != word:
+                return self[lower]
+            core = word.rstrip(TRAILING)
+            if core and core != word and core.decode("utf-8")[-1].lower()[-1].isalpha():
+                return self[core] + self[word[len(core):]]
+        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
 
 def word_ids(path: str) -> WordIds:
     state = worker_state()
