@@ -55,26 +55,21 @@ _TAG = np.int64(1) << np.int64(8 * (ORDER + 1))  # a string of k bytes is the nu
 
 def sample(labelled: DataFrame, segments: int, segment_chars: int) -> tuple[list[str], DataFrame]:
     """The languages, and at most ``segments`` segments (lang, text) of the labelled rows (lang, text)."""
-    labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    parts = F.ceil(F.length("text") / segment_chars)
-    counts = labelled.groupBy("lang").agg(F.sum(parts).alias("n")).orderBy("lang") \
-        .limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
+    names = [r["lang"] for r in labelled.select("lang").where("lang IS NOT NULL").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
+    labelled = labelled.where("lang IS NOT NULL AND length(text) > 0")
+    if not names:
         return [], labelled.select("lang", "text")
-    share = max(1, segments // len(counts))
-    # keep about four times the share by hash before the exact cut, so that few segments are moved
-    odds = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 4.0 * share / max(r["n"], 1))]),
-                        F.col("lang"))
-    cut = labelled.select("lang", F.explode(F.sequence(F.lit(0), F.greatest(parts.cast("int") - 1, F.lit(0)))).alias("k"),
-                          "text") \
-        .select("lang", F.substr("text", F.col("k") * segment_chars + 1, F.lit(segment_chars)).alias("text")) \
-        .withColumn("h", F.xxhash64("text"))
-    cut = cut.where(F.pmod("h", F.lit(1 << 30)) < odds * (1 << 30)).dropDuplicates(["lang", "h"])
+    share = max(1, segments // len(names))
+    # one pass over each text, however long
+    parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{segment_chars}}}"), F.lit(0))
+    cut = labelled.select("lang", F.explode(parts).alias("text")).withColumn("h", F.xxhash64("text"))
+    # hashes alone are moved and ranked; the texts of the few that are chosen are read again
     first = Window.partitionBy("lang").orderBy("h")
-    cut = cut.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= share)
-    return [r["lang"] for r in counts], cut.select("lang", "text")
+    chosen = cut.select("lang", "h").distinct().withColumn("rank", F.row_number().over(first)) \
+        .where(F.col("rank") <= share).select("lang", "h")
+    return sorted(names), cut.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
 
 
 def strings(block: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
