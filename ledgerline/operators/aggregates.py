@@ -8,6 +8,7 @@ loops), the library computes every statistic in one aggregation.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
@@ -15,9 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
-from ledgerline.plans.ordered import ordered_scan
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines, part_totals
+from ledgerline.sources.fact import fact_column, order_lines, order_lines_side, order_totals, part_totals, read_table
 from ledgerline.sources.fixtures import DIRTY_CTE_SQL, dirty_lines
 
 NUMERIC = ["sales", "profit", "quantity", "discount", "shipping_cost"]
@@ -64,21 +64,73 @@ def summary_long(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), accura
     return base.join(qs, "column_name")  # one row per column on both sides
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float],
-                    num_ranges: int | None = None) -> DataFrame:
-    """Exact nearest-rank quantiles: value at rank max(1, ceil(p * n)).
+QUANTILE_ACCURACY = 10_000
+BRACKET_ROWS = 100_000
 
-    Scales without collecting values into one group: one range-partitioned
-    global rank (``ordered_scan``), then a filter on the wanted ranks.
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = QUANTILE_ACCURACY,
+                    bracket_rows: int = BRACKET_ROWS) -> DataFrame:
+    """Exact nearest-rank quantiles (value at rank max(1, ceil(p * n))): column_name, p, value.
+
+    Nothing is sorted or written.  One sketch pass brackets all quantiles of
+    all columns; a count of the rows below and inside each bracket makes the
+    brackets exact, and while one holds more than ``bracket_rows`` rows of
+    different values it is bracketed again.  A value repeated any number of
+    times is counted, not ranked: a bracket shrinks to it.  The rows left in
+    a bracket are grouped by value and their counts summed up to the rank.
+    Columns without values give no row.
     """
-    vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("v"))
-    ranked = ordered_scan(vals, [], ["v"], {"rk": ("row_number", None)}, num_ranges)
-    n = ranked.agg(F.count(F.lit(1)).alias("n"))  # one row, from the scan output
-    targets = F.array(*[F.lit(float(p)) for p in probs])
-    grid = n.select(F.explode(targets).alias("p"), "n") \
-        .withColumn("rk", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("n"))).cast("int"))
-    # grid has len(probs) rows: a fixed, tiny broadcast
-    return ranked.join(F.broadcast(grid), "rk").select("p", F.col("v").alias("value"))
+    def around(p: float, wide: int = 1) -> list[float]:
+        return [max(0.0, p - 2.0 * wide / accuracy), min(1.0, p + 2.0 * wide / accuracy)]
+
+    grid = [q for p in probs for q in around(p)]
+    first = df.agg(*[x for c in cols for x in (
+        F.count(c).alias(f"n_{c}"), F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"),
+        F.percentile_approx(c, grid, accuracy).alias(f"q_{c}"))]).first()
+    whole = {c: (first[f"lo_{c}"], first[f"hi_{c}"]) for c in cols}
+    rank = {(c, p): max(1, math.ceil(p * first[f"n_{c}"])) for c in cols for p in probs if first[f"n_{c}"]}
+    bracket = {(c, p): tuple(first[f"q_{c}"][2 * i:2 * i + 2]) for c in cols for i, p in enumerate(probs) if (c, p) in rank}
+    below: dict = {}
+    wide = dict.fromkeys(rank, 1)
+    open_ones = list(rank)
+    while open_ones:
+        inside = {k: F.col(k[0]).between(*map(F.lit, bracket[k])) for k in open_ones}
+        counts = df.agg(*[x for i, k in enumerate(open_ones) for x in (
+            F.count_if(F.col(k[0]) < F.lit(bracket[k][0])).alias(f"b{i}"), F.count_if(inside[k]).alias(f"n{i}"))]).first()
+        again, finer = [], []
+        for i, k in enumerate(open_ones):
+            lo, hi = bracket[k]
+            if not counts[f"b{i}"] < rank[k] <= counts[f"b{i}"] + counts[f"n{i}"]:
+                bracket[k] = whole[k[0]]  # the sketch missed: start from everything, with wider brackets
+                wide[k] *= 4
+                again.append(k)
+            elif lo == hi or counts[f"n{i}"] <= bracket_rows:
+                below[k] = counts[f"b{i}"]
+            else:
+                finer.append((k, (rank[k] - counts[f"b{i}"]) / counts[f"n{i}"]))
+        if finer:
+            sketch = df.agg(*[F.percentile_approx(F.when(inside[k], F.col(k[0])), around(f, wide[k]), accuracy).alias(f"q{i}")
+                              for i, (k, f) in enumerate(finer)]).first()
+            for i, (k, _) in enumerate(finer):
+                if (found := tuple(sketch[f"q{i}"])) != bracket[k]:
+                    bracket[k] = found
+                    again.append(k)
+                else:  # the sketch cannot tell its values apart: they are ranked as they are
+                    below[k] = counts[f"b{open_ones.index(k)}"]
+        open_ones = again
+    found = list(below)
+    if not found:
+        return df.select(F.lit("").alias("column_name"), F.lit(0.0).alias("p"), F.col(cols[0]).alias("value")).where("false")
+    # rows of a bracket by value: at most bracket_rows rows per quantile, then summed up to the rank
+    pick = F.array(*[F.struct(F.lit(i).alias("i"), F.col(k[0]).alias("v")) for i, k in enumerate(found)])
+    held = F.filter(pick, lambda x: F.element_at(F.array(*[F.col(k[0]).between(*map(F.lit, bracket[k])) for k in found]),
+                                                 x["i"] + 1))
+    values = df.select(F.explode(held).alias("x")).groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    wanted = df.sparkSession.createDataFrame([(i, k[0], float(k[1]), rank[k] - below[k]) for i, k in enumerate(found)],
+                                             "i int, column_name string, p double, rank long")
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    reached = values.withColumn("upto", upto).join(F.broadcast(wanted), "i").where(F.col("upto") >= F.col("rank"))
+    return reached.groupBy("column_name", "p").agg(F.min("v").alias("value"))
 
 
 def approx_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = 10000) -> DataFrame:
@@ -127,10 +179,16 @@ SELECT COUNT(*) AS n_lines, COUNT(DISTINCT customer_id) AS n_customers, COUNT(DI
        COUNT(DISTINCT product_id) AS n_products, MIN(order_date) AS first_order, MAX(order_date) AS last_order
 FROM fact"""))
 def _agg_global(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["customer_id", "order_id", "product_id", "order_date"])
-    return df.agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("customer_id").alias("n_customers"),
-                  F.countDistinct("order_id").alias("n_orders"), F.countDistinct("product_id").alias("n_products"),
-                  F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order"))
+    # lines -> orders -> customers: each count is taken where its key is a row
+    per_customer = order_totals(spark, sf_dir, ["customer_id", "order_date"], ["quantity"]).groupBy("customer_id").agg(
+        F.sum("n_lines").alias("n_lines"), F.count(F.lit(1)).alias("n_orders"), F.min("order_date").alias("first_order"),
+        F.max("order_date").alias("last_order"))
+    per_all = per_customer.agg(F.sum("n_lines").alias("n_lines"), F.count("customer_id").alias("n_customers"),
+                               F.sum("n_orders").alias("n_orders"), F.min("first_order").alias("first_order"),
+                               F.max("last_order").alias("last_order"))
+    products = fact_distinct(spark, sf_dir, ["product_id"]).withColumnRenamed("n_product_id", "n_products")
+    return per_all.crossJoin(F.broadcast(products)).select("n_lines", "n_customers", "n_orders", "n_products", "first_order",
+                                                           "last_order")
 
 
 @register("agg_group_one", sql=S.with_fact(f"""
@@ -173,15 +231,54 @@ MULTI_DISTINCT = ["customer_id", "order_id", "product_id", "product_name", "cate
 
 
 def multi_distinct(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
-    """Distinct counts of many columns in one pass (exact, or HLL sketches)."""
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.countDistinct(c))
-    return df.agg(*[fn(c).alias(f"n_{c}") for c in cols])
+    """Distinct counts of many columns, one row: each column grouped on its own
+    (map-side combined, no row is multiplied), or all sketched in one pass."""
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c).alias(f"n_{c}") for c in cols])
+    out = None
+    for c in cols:
+        one = df.groupBy(c).agg(F.lit(1).alias("_one")).agg(F.count(c).alias(f"n_{c}"))
+        out = one if out is None else out.crossJoin(F.broadcast(one))  # one row each
+    return out
+
+
+def fact_distinct(spark, sf_dir, cols: list[str]) -> DataFrame:
+    """Exact distinct counts of fact columns without joining the lines.
+
+    The lines give their distinct keys (orders, products, ship modes), one
+    narrow scan each; attributes are counted on the rows of those keys, an
+    order's on its customer's, and dimension attributes on the few
+    combinations that occur.
+    """
+    raw = read_table(spark, sf_dir, "lineitem")
+    orders = raw.select(F.col("l_orderkey").alias("order_id")).distinct() \
+        .join(order_lines_side(spark, sf_dir, ["customer_id", "market", "country", "segment"]), "order_id")
+    customers = orders.groupBy("customer_id", "market", "country", "segment").agg(F.count(F.lit(1)).alias("n_orders"))
+    part = read_table(spark, sf_dir, "part")
+    products = raw.select(F.col("l_partkey").alias("p_partkey")).distinct().join(part, "p_partkey").select(
+        F.col("p_partkey").alias("product_id"), *[fact_column(c).alias(c) for c in ("product_name", "category", "sub_category")])
+    sources = [(["order_id", "customer_id", "market", "country", "segment"], customers),
+               (["product_id", "product_name", "category", "sub_category"], products),
+               (["ship_mode"], raw.select(fact_column("ship_mode").alias("ship_mode")))]
+    out = None
+    for names, frame in sources:
+        for c in (c for c in names if c in cols):
+            if c == "order_id":
+                one = frame.agg(F.sum("n_orders").alias("n_order_id"))
+            elif c == "customer_id":
+                one = frame.agg(F.count("customer_id").alias("n_customer_id"))
+            elif c == "product_id":
+                one = frame.agg(F.count("product_id").alias("n_product_id"))
+            else:
+                one = multi_distinct(frame, [c])
+            out = one if out is None else out.crossJoin(F.broadcast(one))  # one row each
+    return out.select(*[f"n_{c}" for c in cols])
 
 
 @register("agg_multi_distinct", sql=S.with_fact(
     "SELECT " + ", ".join(f"COUNT(DISTINCT {c}) AS n_{c}" for c in MULTI_DISTINCT) + " FROM fact"))
 def _agg_multi_distinct(spark, sf_dir):
-    return multi_distinct(order_lines(spark, sf_dir, MULTI_DISTINCT), MULTI_DISTINCT)
+    return fact_distinct(spark, sf_dir, MULTI_DISTINCT)
 
 
 @register("agg_first", sql=S.with_fact("""
@@ -342,8 +439,7 @@ FROM (SELECT sales, ROW_NUMBER() OVER (ORDER BY sales) AS rk, COUNT(*) OVER () A
 JOIN (SELECT unnest([{', '.join(str(p) for p in QUANTILE_PROBS)}]) AS p) g
   ON v.rk = GREATEST(1, CAST(ceil(g.p * v.n) AS BIGINT))"""))
 def _agg_quantile(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["sales"])
-    q = exact_quantiles(df, "sales", QUANTILE_PROBS)
+    q = exact_quantiles(order_lines(spark, sf_dir, ["sales"]), ["sales"], QUANTILE_PROBS)
     return q.select("p", N.dbl("value").alias("value"))
 
 

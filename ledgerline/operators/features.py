@@ -9,6 +9,8 @@ many tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -399,19 +401,16 @@ TEST_CLAMP = {"sales": (2000.0, 100000.0), "shipping_cost": (0.0, 7000.0)}
 
 def winsor_fit(df: DataFrame, cols: list[str], lo: float = 0.01, hi: float = 0.99,
                exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """(column, p_lo, p_hi) per column: exact nearest-rank quantiles by a
-    range-partitioned rank, or a bounded-memory sketch when ``exact=False``
-    (the reference used a 1 % sketch, which may return min/max, H15)."""
-    parts = []
-    for c in cols:
-        q = exact_quantiles(df, c, [lo, hi]) if exact else approx_quantiles(df, c, [lo, hi], accuracy)
-        parts.append(q.groupBy().agg(F.max(F.when(F.col("p") == lo, N.dbl("value"))).alias("p_lo"),
-                                     F.max(F.when(F.col("p") == hi, N.dbl("value"))).alias("p_hi"))
-                     .select(F.lit(c).alias("column_name"), "p_lo", "p_hi"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(column, p_lo, p_hi) per column: exact nearest-rank quantiles of all
+    columns at once, or a bounded-memory sketch when ``exact=False`` (a 1 %
+    sketch may return min/max, H15)."""
+    if exact:
+        q = exact_quantiles(df.select(*[N.dbl(c).alias(c) for c in cols]), cols, [lo, hi])
+    else:
+        q = reduce(DataFrame.unionByName, [approx_quantiles(df, c, [lo, hi], accuracy).select(
+            F.lit(c).alias("column_name"), "p", N.dbl("value").alias("value")) for c in cols])
+    return q.groupBy("column_name").agg(F.max(F.when(F.col("p") == lo, F.col("value"))).alias("p_lo"),
+                                        F.max(F.when(F.col("p") == hi, F.col("value"))).alias("p_hi"))
 
 
 def winsorize(df: DataFrame, fit: DataFrame, cols: list[str], suffix: str = "_capped") -> DataFrame:

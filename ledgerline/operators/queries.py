@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
+from ledgerline.functions.realtime import tier
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.ordered import ntile_of, ordered_scan
 from ledgerline.plans.registry import register
@@ -170,11 +171,12 @@ def _q04(spark, sf_dir):
 # q05: value tier per line, top-2 ship modes per tier by line count
 
 
+# Tier names in the reports, here and for the discount tiers below.
+VALUE_TIERS = ("Low Value", "Medium Value", "High Value")
+
+
 def value_tier(sales, low: float = 100.0, high: float = 500.0):
-    s = F.col(sales) if isinstance(sales, str) else sales
-    return (F.when(s < F.lit(low), F.lit("Low Value"))
-            .when(s < F.lit(high), F.lit("Medium Value"))
-            .otherwise(F.lit("High Value")))
+    return tier(sales, [(low, "<"), (high, "<")], VALUE_TIERS)
 
 
 def q05_shipmode_by_value(lines: DataFrame, low: float = 100.0, high: float = 500.0,
@@ -302,13 +304,12 @@ def discount_tiers(low: float = 0.10, mid: float = 0.30) -> list[tuple[str, int]
 
 def q08_discount_impact(lines: DataFrame, low: float = 0.10, mid: float = 0.30) -> DataFrame:
     names = discount_tiers(low, mid)
-    d = F.col("discount")
-    tier = (F.when(d == 0, F.lit(names[0][0])).when(d <= F.lit(low), F.lit(names[1][0]))
-            .when(d <= F.lit(mid), F.lit(names[2][0])).otherwise(F.lit(names[3][0])))
+    labels = [n for n, _ in names]
+    group = F.when(F.col("discount") == 0, F.lit(labels[0])).otherwise(tier("discount", [low, mid], labels[1:]))
     order = F.when(F.col("discount_group") == names[0][0], 1) \
         .when(F.col("discount_group") == names[1][0], 2) \
         .when(F.col("discount_group") == names[2][0], 3).otherwise(4)
-    return (lines.withColumn("discount_group", tier).groupBy("discount_group")
+    return (lines.withColumn("discount_group", group).groupBy("discount_group")
             .agg(F.countDistinct("order_id").alias("total_orders"),
                  N.rnd(N.mean("discount")).alias("avg_discount"),
                  N.money(F.sum("sales")).alias("total_sales"),

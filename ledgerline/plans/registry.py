@@ -28,6 +28,7 @@ _MODULES = (
     "ledgerline.operators.features",
     "ledgerline.operators.metrics",
     "ledgerline.operators.models",
+    "ledgerline.operators.reuse",
     "ledgerline.sources.io",
     "ledgerline.streaming.scorer",
 )

@@ -37,6 +37,7 @@ ml_index ml_onehot ml_interaction ml_assemble ml_impute ml_scale ml_pipeline ml_
 ml_cv ml_logreg ml_rf_cls ml_majority ml_rules ml_eval_reg ml_eval_cls ml_compare ml_error_buckets
 ml_error_by_segment ml_metric_by_slice ml_threshold_sweep ml_threshold_apply ml_ablation ml_importance
 ml_importance_group ml_perm_importance ml_residuals ml_worst_k ml_interval ml_risk_dist
+perf_cache perf_unpersist perf_lineage_cut
 """.split()
 
 # results that a trained model decides: the driver checks rows only
