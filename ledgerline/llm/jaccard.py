@@ -30,8 +30,9 @@ their texts are read a second time.  Clusters up to ``LEAF_SETS`` sets and
 ``LEAF_TOKENS`` tokens are one tree.  Larger ones are dealt by size band and
 hash to several; each tree is joined with itself, one set of every
 component found is dealt again until that stops helping, and then those
-pairs of trees that may still hold a link across components are traversed.
-No task gets more than two trees; edges and labels stay in frames.
+pairs of trees that may still hold a link across components are traversed,
+on bitmaps alone; the pairs of sets that are left are verified.  No task
+gets more than two trees; edges and labels stay in frames.
 
 Cases: null or empty text, or one without words, has an empty set that
 links with nothing, itself being its class; fewer words than n make one
@@ -54,11 +55,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
 from ledgerline.llm.util import broadcast_if_small, byte_rows, fresh_name, worker_state
-from ledgerline.plans.lineage import cut
+from ledgerline.plans.lineage import cut, drop_cut
 
 MAX_SLICES = 64
 LEAF_SETS = 1024
 LEAF_TOKENS = 1 << 20
+ACROSS_SETS = 4096
 FAN_OUT = 8
 PAIRS_AT_ONCE = 1 << 14
 MAX_WORDS = 400_000
@@ -210,47 +212,47 @@ def in_tree_order(sets: list[np.ndarray]) -> np.ndarray:
     return np.lexsort((second, first))
 
 
-def tree_links(sets: list[np.ndarray], side: np.ndarray, label: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join the components of ``sets`` (labelled as known so far): within one side if there is only
-    side 0, else between side 0 and side 1.  One link for each joining, not all links."""
-    widest = max(len(s) for s in sets)
-    width = 1 << min(16, max(10, (4 * widest).bit_length()))
-    parts = []
-    for k in range(int(side.max(initial=0)) + 1):
-        mine = np.flatnonzero(side == k)
-        mine = mine[in_tree_order([sets[i] for i in mine])]
-        own = [sets[i] for i in mine]
-        parts.append((mine, Tree(bitmaps(own, width), np.array([len(s) for s in own], np.int64))))
-    (rows, a), (columns, b) = parts[0], parts[-1]
-    i, j = surviving_pairs(a, b, num, den)
-    i, j = rows[i], columns[j]
-    order = np.argsort(i, kind="stable")
-    i, j = i[order], j[order]
-    label, found = label.copy(), []
+def width_for(largest: int) -> int:
+    """Bits of the bitmaps of sets up to this size."""
+    return 1 << min(16, max(10, (4 * largest).bit_length()))
+
+
+def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join the components of ``sets``: one for each joining, not all links."""
+    order = in_tree_order(sets)
+    sets = [sets[i] for i in order]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    tree = Tree(bitmaps(sets, width_for(int(sizes.max()))), sizes)
+    i, j = surviving_pairs(tree, tree, num, den)
+    by_first = np.argsort(i, kind="stable")
+    i, j = i[by_first], j[by_first]
+    label, found = np.arange(len(sets)), []
     ends = np.flatnonzero(np.concatenate([i[1:] != i[:-1], [True]])) + 1 if len(i) else []
     begin = 0
     for end in ends:
         x, others = i[begin], j[begin:end]
         begin = end
         for y in others[label[others] != label[x]]:
-            if label[y] == label[x]:
-                continue
-            common = np.intersect1d(sets[x], sets[y], assume_unique=True).size
-            if common * (den + num) >= num * (len(sets[x]) + len(sets[y])):
-                found.append((int(x), int(y)))
+            if label[y] != label[x] and linked(sets[x], sets[y], num, den):
+                found.append((int(order[x]), int(order[y])))
                 label[label == label[y]] = label[x]
     return found
 
 
+def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    common = np.intersect1d(x, y, assume_unique=True).size
+    return common * (den + num) >= num * (len(x) + len(y))
+
+
 def _edges_of(num: int, den: int):
-    """applyInPandas function: the joining links of one tree, or of two if there is a side 1."""
+    """applyInPandas function: the joining links of one tree."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("cid")
         cids = pdf["cid"].tolist()
         if len(cids) < 2:
             return pd.DataFrame({"a": [], "b": []})
         sets = [np.frombuffer(x, "<u8") for x in pdf["tokens"]]
-        label = pd.factorize(pdf["label"])[0]
-        found = tree_links(sets, pdf["side"].to_numpy(), label, num, den)
+        found = tree_links(sets, num, den)
         return pd.DataFrame({"a": [cids[x] for x, _ in found], "b": [cids[y] for _, y in found]})
     return run
 
@@ -305,35 +307,35 @@ def _short(cid):
     return F.xxhash64(cid)
 
 
-def candidate_clusters(classes: DataFrame) -> DataFrame:
+def candidate_clusters(rows: DataFrame) -> DataFrame:
     """(node, component): classes (by short name) that may be linked, directly or in a chain."""
-    keys = classes.select(F.explode("keys").alias("key"), _short("cid").alias("c"))
+    keys = rows.select(F.explode("keys").alias("key"), _short("cid").alias("c"))
     shared = keys.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
     return components(keys.join(shared.select("key", "least"), "key").where("c <> least")
                       .select(F.col("c").alias("a"), F.col("least").alias("b")))
 
 
 def dealt(sets: DataFrame, salt: int, num: int, den: int) -> DataFrame:
-    """Add the tree (band, slot) of each set, and how many trees its cluster has."""
-    whole = sets.groupBy("cluster").agg(F.count("*").alias("c_sets"), F.sum("n").alias("c_tokens"))
+    """Add the tree (band, slot) of each set, and whether its cluster is one tree (``whole``)."""
+    clusters = sets.groupBy("cluster").agg(
+        ((F.count("*") <= LEAF_SETS) & (F.sum("n") <= LEAF_TOKENS)).alias("whole"))
+    sets = sets.join(broadcast_if_small(cut(clusters, "clusters"), 500_000), "cluster")
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(1.000001 * math.log(den / num))).cast("int")
-    fits = (F.col("c_sets") <= LEAF_SETS) & (F.col("c_tokens") <= LEAF_TOKENS)
-    sets = sets.join(whole, "cluster").withColumn("band", F.when(fits, F.lit(-1)).otherwise(band)) \
-        .withColumn("whole", fits).drop("c_sets", "c_tokens")
-    per_band = sets.groupBy("cluster", "band").agg(
+    sets = sets.withColumn("band", F.when(F.col("whole"), F.lit(-1)).otherwise(band))
+    bands = sets.where("NOT whole").groupBy("cluster", "band").agg(
         F.greatest(F.ceil(F.count("*") / LEAF_SETS), F.ceil(F.sum("n") / LEAF_TOKENS)).alias("slots"))
-    slot = F.when(F.col("whole"), F.lit(0)).otherwise(F.pmod(F.xxhash64("cid", F.lit(salt)), F.col("slots")))
-    return sets.join(per_band, ["cluster", "band"]).withColumn("slot", slot.cast("int"))
+    sets = sets.join(broadcast_if_small(cut(bands, "bands"), 500_000), ["cluster", "band"], "left")
+    slot = F.coalesce(F.pmod(F.xxhash64("cid", F.lit(salt)), F.col("slots")), F.lit(0))
+    return sets.withColumn("slot", slot.cast("int"))
 
 
 def links(sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between the sets (cluster, cid, n, tokens; a cut) that give the components of all links."""
     find = _edges_of(num, den)
     tree = ["cluster", "band", "slot"]
-    level = cut(dealt(sets, 0, num, den), "trees")
-    plain = level.withColumn("side", F.lit(0)).withColumn("label", F.col("cid"))
-    edges = cut(plain.groupBy(*tree).applyInPandas(find, "a binary, b binary"), "links")
-    large = level.where("NOT whole").select("cluster", "cid", "n", "tokens", "band")
+    level = dealt(sets, 0, num, den)
+    edges = cut(level.groupBy(*tree).applyInPandas(find, "a binary, b binary"), "links")
+    large = cut(level.where("NOT whole").select("cluster", "cid", "n", "band").distinct(), "large")
     n_large = large.count()
     if not n_large:
         return edges
@@ -342,17 +344,15 @@ def links(sets: DataFrame, num: int, den: int) -> DataFrame:
     salt, was = 1, n_large
     while True:
         labelled = cut(_labelled(large, edges), "labelled")
-        pivots = labelled.join(labelled.groupBy("cluster", "band", "label").agg(F.min("cid").alias("cid"))
-                               .select("cluster", "cid"), ["cluster", "cid"], "left_semi")
+        pivots = cut(labelled.groupBy("cluster", "band", "label").agg(F.min("cid").alias("cid")).select("cluster", "cid"), "pivots")
         n_pivots = pivots.count()
         if n_pivots * 2 > was:
             break
         was = n_pivots
-        again = dealt(pivots.select("cluster", "cid", "n", "tokens", "label"), salt, num, den).withColumn("side", F.lit(0))
-        more = again.groupBy(*tree).applyInPandas(find, "a binary, b binary")
-        edges = cut(edges.union(more), "links")
+        again = dealt(sets.join(broadcast_if_small(pivots, 500_000), ["cluster", "cid"], "left_semi"), salt, num, den)
+        edges = cut(edges.union(again.groupBy(*tree).applyInPandas(find, "a binary, b binary")), "links")
         salt += 1
-    return cut(edges.union(_across(labelled, num, den)), "links")
+    return cut(edges.union(_across(labelled, sets, num, den)), "links")
 
 
 def _labelled(sets: DataFrame, edges: DataFrame) -> DataFrame:
@@ -362,33 +362,51 @@ def _labelled(sets: DataFrame, edges: DataFrame) -> DataFrame:
         .withColumn("label", F.coalesce("component", "cid")).drop("node", "component")
 
 
-def _across(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between different trees of the same cluster; ``sets`` has labels and bands.
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps narrowed to ``words`` 64-bit words."""
+    return np.bitwise_or.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+
+def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between different trees of the same cluster; ``labelled`` has the component and band of each set.
 
     Trees are dealt anew: a component that fills half a tree of its band
     has trees of its own, so a pair of trees of one component is skipped.
+    Bitmaps alone are moved to the pairs of trees; the pairs of sets that the
+    traversal leaves, between components, are verified on their tokens.
     """
-    own = sets.groupBy("cluster", "band", "label").agg(F.count("*").alias("own")).where(F.col("own") * 2 >= LEAF_SETS)
-    sets = sets.join(broadcast_if_small(own), ["cluster", "band", "label"], "left") \
+    unit = 1.000001 * math.log(den / num)
+    own = labelled.groupBy("cluster", "band", "label").agg(F.count("*").alias("own")).where(F.col("own") * 2 >= ACROSS_SETS)
+    narrow = labelled.join(broadcast_if_small(own), ["cluster", "band", "label"], "left") \
         .withColumn("of", F.when(F.col("own").isNotNull(), F.col("label"))).drop("own")
-    per = sets.groupBy("cluster", "band", "of").agg(
-        F.greatest(F.ceil(F.count("*") / LEAF_SETS), F.ceil(F.sum("n") / LEAF_TOKENS)).alias("slots"))
-    per = per.select(F.col("cluster").alias("p_cluster"), F.col("band").alias("p_band"), F.col("of").alias("p_of"), "slots")
-    sets = sets.join(per, (F.col("cluster") == F.col("p_cluster")) & (F.col("band") == F.col("p_band"))
-                     & F.col("of").eqNullSafe(F.col("p_of")))
+    per = narrow.groupBy("cluster", "band", "of").agg(F.ceil(F.count("*") / ACROSS_SETS).alias("slots")) \
+        .select(F.col("cluster").alias("p_cluster"), F.col("band").alias("p_band"), F.col("of").alias("p_of"), "slots")
+    narrow = narrow.join(broadcast_if_small(per), (F.col("cluster") == F.col("p_cluster")) & (F.col("band") == F.col("p_band"))
+                         & F.col("of").eqNullSafe(F.col("p_of")))
     leaf = F.xxhash64("cluster", "band", "of", F.pmod(F.xxhash64("cid"), F.col("slots")))
-    sets = cut(sets.withColumn("leaf", leaf).select("cluster", "cid", "n", "tokens", "band", "label", "of", "leaf"), "leaves")
+    narrow = cut(narrow.withColumn("leaf", leaf).select("cid", "band", "label", "of", "leaf"), "leaves")
+
+    def picture(batches):
+        for batch in batches:
+            bits = [bitmaps([np.frombuffer(x, "<u8")], width_for(math.ceil(math.exp((band + 1) * unit)))).tobytes()
+                    for band, x in zip(batch.column(1).to_pylist(), batch.column(6).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], batch.column(7), pa.array(bits, pa.binary())],
+                                             names=["cid", "band", "label", "of", "leaf", "cluster", "n", "bits"])
+
+    body = narrow.join(sets.select(F.col("cid").alias("t_cid"), "cluster", "tokens", "n"), F.col("cid") == F.col("t_cid")) \
+        .select("cid", "band", "label", "of", "leaf", "cluster", "tokens", "n")
+    body = cut(body.mapInArrow(picture, "cid binary, band int, label binary, of binary, leaf long, cluster long, n long, "
+                                        "bits binary"), "bitmaps")
 
     def root(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = [np.frombuffer(x, "<u8") for x in pdf["tokens"]]
-        bits = bitmaps(own, 1 << 16)
+        bits = np.frombuffer(b"".join(pdf["bits"]), "<u8").reshape(len(pdf), -1)
         return pd.DataFrame({
             "cluster": [pdf["cluster"].iloc[0]], "leaf": [pdf["leaf"].iloc[0]], "band": [pdf["band"].iloc[0]],
             "of": [pdf["of"].iloc[0]], "low": [int(pdf["n"].min())], "high": [int(pdf["n"].max())],
             "pop": [int(np.bitwise_count(bits).sum(axis=1, dtype=np.int64).min())],
             "bits": [np.bitwise_or.reduce(bits, axis=0).tobytes()]})
 
-    roots = cut(sets.groupBy("leaf").applyInPandas(
+    roots = cut(body.groupBy("leaf").applyInPandas(
         root, "cluster long, leaf long, band int, of binary, low long, high long, pop long, bits binary"), "roots")
     other = roots.select(*[F.col(c).alias(f"o_{c}") for c in roots.columns])
     # equal bands once in either order, the next band from below: one equality on (cluster, band)
@@ -397,39 +415,83 @@ def _across(sets: DataFrame, num: int, den: int) -> DataFrame:
         .where((F.col("band") < F.col("o_band")) | (F.col("leaf") <= F.col("o_leaf"))) \
         .where(F.col("of").isNull() | F.col("o_of").isNull() | (F.col("of") != F.col("o_of")))
 
+    def pair_trees(x: tuple, y: tuple) -> tuple[tuple, tuple]:
+        words = min(x[0].shape[1], y[0].shape[1])
+        return tuple((f, *z[1:3], np.bitwise_count(f).sum(axis=1, dtype=np.int64) if f.shape[1] < z[0].shape[1] else z[3])
+                     for z in (x, y) for f in (_folded(z[0], words),))
+
     def prune(batches):
         for batch in batches:
-            t = batch.to_pydict()
-            x, y = ((np.frombuffer(b"".join(t[p + "bits"]), "<u8").reshape(len(t["leaf"]), -1), np.array(t[p + "low"]),
-                     np.array(t[p + "high"]), np.array(t[p + "pop"])) for p in ("", "o_"))
-            at = np.arange(len(t["leaf"]))
-            keep = may_link(x, y, at, at, num, den)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(t[c], dtype=np.int64)[keep], pa.int64()) for c in ("leaf", "o_leaf")], names=["l", "r"])
+            kept = []
+            for t in batch.to_pylist():
+                x, y = ((np.frombuffer(t[p + "bits"], "<u8")[None], np.array([t[p + "low"]]), np.array([t[p + "high"]]),
+                         np.array([t[p + "pop"]])) for p in ("", "o_"))
+                # the least bit count of sets is not that of their folded bitmaps: bound by size alone then
+                if len(t["bits"]) != len(t["o_bits"]):
+                    x, y = ((_folded(z[0], 16), z[1], z[2], np.array([0])) for z in (x, y))
+                if may_link(x, y, np.array([0]), np.array([0]), num, den)[0]:
+                    kept.append((t["leaf"], t["o_leaf"]))
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], names=["l", "r"])
+
+    pairs = cut(pairs.select("leaf", "low", "high", "pop", "bits", "o_leaf", "o_low", "o_high", "o_pop", "o_bits")
+                .mapInArrow(prune, "l long, r long"), "tree-pairs")
+
+    def candidates(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = []
+        for k in (0, 1):
+            part = pdf[pdf["side"] == k].drop_duplicates("cid")
+            if len(part):
+                bits = np.frombuffer(b"".join(part["bits"]), "<u8").reshape(len(part), -1)
+                sizes = part["n"].to_numpy(np.int64)
+                sides.append((part, (bits, sizes, sizes, np.bitwise_count(bits).sum(axis=1, dtype=np.int64))))
+        if len(sides) == 2:
+            x, y = pair_trees(sides[0][1], sides[1][1])
+            a, b = Tree(x[0], x[1]), Tree(y[0], y[1])
+        else:
+            a = b = Tree(sides[0][1][0], sides[0][1][1])
+        i, j = surviving_pairs(a, b, num, den)
+        one, two = sides[0][0], sides[-1][0]
+        apart = one["label"].to_numpy()[i] != two["label"].to_numpy()[j]
+        return pd.DataFrame({"a": one["cid"].to_numpy()[i[apart]], "b": two["cid"].to_numpy()[j[apart]]})
+
+    part = body.select("leaf", "cid", "label", "n", "bits")
+    left = pairs.join(part, F.col("l") == F.col("leaf")).select("l", "r", "cid", "label", "n", "bits", F.lit(0).alias("side"))
+    right = pairs.where("l <> r").join(part, F.col("r") == F.col("leaf")) \
+        .select("l", "r", "cid", "label", "n", "bits", F.lit(1).alias("side"))
+    maybe = cut(left.union(right).groupBy("l", "r").applyInPandas(candidates, "a binary, b binary"), "candidates")
+    return _verified(maybe, sets, num, den)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of sets that are linked."""
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), num, den) for x, y in zip(a, b, strict=True)]
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
 
-    pairs = pairs.select("leaf", "low", "high", "pop", "bits", "o_leaf", "o_low", "o_high", "o_pop", "o_bits") \
-        .mapInArrow(prune, "l long, r long")
-    pairs = cut(pairs, "tree-pairs")
-    body = sets.select("leaf", "cid", "label", "tokens")
-    left = pairs.join(body, F.col("l") == F.col("leaf")).select("l", "r", "cid", "label", "tokens", F.lit(0).alias("side"))
-    right = pairs.where("l <> r").join(body, F.col("r") == F.col("leaf")) \
-        .select("l", "r", "cid", "label", "tokens", F.lit(1).alias("side"))
-    return left.union(right).groupBy("l", "r").applyInPandas(_edges_of(num, den), "a binary, b binary")
+    ends = broadcast_if_small(cut(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "ends"), 500_000)
+    tokens = sets.join(ends, "cid", "left_semi").select("cid", "tokens").dropDuplicates(["cid"])
+    one, two = (tokens.select(F.col("cid").alias(f"{k}_cid"), F.col("tokens").alias(f"{k}_tokens")) for k in "ab")
+    return pairs.join(one, F.col("a") == F.col("a_cid")).join(two, F.col("b") == F.col("b_cid")) \
+        .select("a", "b", "a_tokens", "b_tokens").mapInArrow(run, "a binary, b binary")
 
 
 def linked_classes(docs: DataFrame, width: int, num: int, den: int, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id, class (null for an empty set) and row (text hash) of every document."""
-    rows = cut(set_rows(docs, id_col, text_col, width, num, den), "sets")
-    classes = cut(rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")),
-                  "classes")
-    clusters = candidate_clusters(classes).withColumnRenamed("component", "cluster")
+    keyed = cut(set_rows(docs, id_col, text_col, width, num, den), "sets")
+    clusters = candidate_clusters(keyed).withColumnRenamed("component", "cluster")
+    rows = cut(keyed.drop("keys"), "rows")
+    drop_cut(keyed)
+    classes = cut(rows.where("cid IS NOT NULL").groupBy("cid").agg(F.min("id").alias("rep")), "classes")
     members = cut(classes.withColumn("node", _short("cid")).join(clusters, "node").select("cid", "rep", "cluster"),
                   "members")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .join(broadcast_if_small(members, 1_000_000), F.col("id").eqNullSafe(F.col("rep")))
-    # a class whose only text is found under a repeated id is matched by its digest
-    sets = cut(token_rows(texts, width).dropDuplicates(["cid"]), "tokens")
+    # under a repeated id there may be other texts: a class takes the one with its digest
+    sets = cut(token_rows(texts, width), "tokens")
     found = components(links(sets, num, den))
 
     joined = classes.select("cid", "rep").join(found, F.col("cid") == F.col("node"), "left") \

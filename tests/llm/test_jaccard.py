@@ -70,6 +70,7 @@ def test_clusters_larger_than_a_tree(spark, monkeypatch):
     """Many small trees: pivots, pairs of trees and pure trees of a large component all take part."""
     monkeypatch.setattr(jaccard, "LEAF_SETS", 8)
     monkeypatch.setattr(jaccard, "LEAF_TOKENS", 600)
+    monkeypatch.setattr(jaccard, "ACROSS_SETS", 12)
     rnd = random.Random(5)
     base = [str(rnd.randrange(500)) for _ in range(80)]
     rows = []
@@ -77,7 +78,8 @@ def test_clusters_larger_than_a_tree(spark, monkeypatch):
         text = list(base)
         for _ in range(rnd.choice([0, 1, 1, 2, 5, 8])):
             text[rnd.randrange(80)] = f"x{rnd.randrange(10_000)}"
-        rows.append((i, " ".join(text)))
+        rows.append((i, " ".join(text[:rnd.choice([80, 80, 70, 60, 50])])))
+    rows.append((3, rows[3][1]))
     assert run(spark, rows, 3, 80, 100) == brute(rows, 3, 80, 100)
 
 
