@@ -184,6 +184,36 @@ def with_return_score(pred: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------- registered
 
+_FITTED: dict = {}
+
+
+def fitted(spark, sf_dir: str, what: str, fit):
+    """What ``fit()`` returns, made once per application and data folder: several
+    registered queries report on the same full-size model.  For queries over
+    tables that do not change; library callers fit and pass models themselves."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
+def profit_split(spark, sf_dir):
+    return fitted(spark, sf_dir, "profit split", lambda: split_profit(spark, sf_dir))
+
+
+def profit_forest(spark, sf_dir) -> PipelineModel:
+    train, _, shift = profit_split(spark, sf_dir)
+    return fitted(spark, sf_dir, "profit forest", lambda: fit_profit(train, rf_regressor(), shift))
+
+
+def repurchase_data(spark, sf_dir) -> DataFrame:
+    return fitted(spark, sf_dir, "repurchase data", lambda: weighted_repurchase(spark, sf_dir))
+
+
+def repurchase_model(spark, sf_dir, name: str) -> PipelineModel:
+    estimator = {"logistic_regression": logistic, "random_forest": rf_classifier}[name]
+    return fitted(spark, sf_dir, name, lambda: fit_repurchase(repurchase_data(spark, sf_dir), estimator()))
+
 
 @register("ml_index", sql=S.with_fact("""
 SELECT category, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, category) - 1 AS DOUBLE) AS category_idx
@@ -242,8 +272,8 @@ def _ml_assemble(spark, sf_dir):
 
 @register("fn_vector_to_array")
 def _fn_vector_to_array(spark, sf_dir):
-    df = weighted_repurchase(spark, sf_dir)
-    scored = with_return_score(fit_repurchase(df, logistic()).transform(df))  # every labelled order
+    model = repurchase_model(spark, sf_dir, "logistic_regression")
+    scored = with_return_score(model.transform(repurchase_data(spark, sf_dir)))  # every labelled order
     return scored.select("order_key", "split", "label", "return_score")
 
 
@@ -283,8 +313,8 @@ def _eval_usd(pred: DataFrame) -> DataFrame:
 
 @register("ml_pipeline")
 def _ml_pipeline(spark, sf_dir):
-    train, test, shift = split_profit(spark, sf_dir)
-    return fit_profit(train, rf_regressor(), shift).transform(test).select("row_id", "profit_d", "prediction_usd")
+    test = profit_split(spark, sf_dir)[1]
+    return profit_forest(spark, sf_dir).transform(test).select("row_id", "profit_d", "prediction_usd")
 
 
 def gbt_regressor() -> GBTRegressor:
@@ -297,16 +327,22 @@ def linear_regressor() -> LinearRegression:
 
 def _regression_query(estimator, name):
     def run(spark, sf_dir):
-        train, test, shift = split_profit(spark, sf_dir)
-        return _eval_usd(fit_profit(train, estimator(), shift).transform(test)).withColumn("model", F.lit(name))
+        train, test, shift = profit_split(spark, sf_dir)
+        model = fit_profit(train, estimator(), shift)
+        return _eval_usd(model.transform(test)).withColumn("model", F.lit(name))
     return run
 
 
 register("ml_linreg")(_regression_query(linear_regressor, "linear_regression"))
-register("ml_rf_reg")(_regression_query(rf_regressor, "random_forest"))
 register("ml_gbt_reg")(_regression_query(gbt_regressor, "gbt"))
 
 
+@register("ml_rf_reg")
+def _ml_rf_reg(spark, sf_dir):
+    pred = profit_forest(spark, sf_dir).transform(profit_split(spark, sf_dir)[1])
+    return _eval_usd(pred).withColumn("model", F.lit("random_forest"))
+
+
 def cross_validate(train: DataFrame, shift: float, trees=(50, 100), depths=(5, 8), folds: int = 2, seed: int = 42):
     """The fitted cross validator over the grid; its best model is a whole pipeline, ready to save."""
     rf = rf_regressor()
@@ -320,7 +356,7 @@ def cross_validate(train: DataFrame, shift: float, trees=(50, 100), depths=(5, 8
 @register("ml_cv")
 def _ml_cv(spark, sf_dir):
     """Grid results, and the test error of the best model after saving and reloading it."""
-    train, test, shift = split_profit(spark, sf_dir)
+    train, test, shift = profit_split(spark, sf_dir)
     cvm, grid, rf = cross_validate(train, shift)
     path = scratch_path(spark, "cv-best")
     save_model(cvm.bestModel, path)
@@ -338,23 +374,22 @@ def classifier_report(scored: DataFrame) -> DataFrame:
     return confusion_metrics(scored).crossJoin(F.broadcast(ranking_metrics(scored)))  # one row each
 
 
-def _classifier_query(estimator):
+def _classifier_query(name):
     def run(spark, sf_dir):
-        df = weighted_repurchase(spark, sf_dir)
-        test = df.where(F.col("split") == "test")
-        return classifier_report(with_return_score(fit_repurchase(df, estimator()).transform(test)))
+        test = repurchase_data(spark, sf_dir).where(F.col("split") == "test")
+        return classifier_report(with_return_score(repurchase_model(spark, sf_dir, name).transform(test)))
     return run
 
 
-register("ml_logreg")(_classifier_query(logistic))
-register("ml_rf_cls")(_classifier_query(rf_classifier))
+register("ml_logreg")(_classifier_query("logistic_regression"))
+register("ml_rf_cls")(_classifier_query("random_forest"))
 
 
 @register("ml_rf_threshold")
 def _ml_rf_threshold(spark, sf_dir):
     """The forest's scores through the sweep on validation; its cut-off applied to the test split."""
-    df = weighted_repurchase(spark, sf_dir)
-    scored = freeze(with_return_score(fit_repurchase(df, rf_classifier()).transform(df.where(F.col("split") != "train")))
+    df = repurchase_data(spark, sf_dir).where(F.col("split") != "train")
+    scored = freeze(with_return_score(repurchase_model(spark, sf_dir, "random_forest").transform(df))
                     .select("order_key", "split", "label", "return_score"))
     sweep = threshold_sweep(scored.where(F.col("split") == "valid"))
     cut_off = best_threshold(sweep).select("threshold")  # one row
@@ -367,10 +402,10 @@ def _ml_rf_threshold(spark, sf_dir):
 @register("ml_compare_models")
 def _ml_compare_models(spark, sf_dir):
     """Both trained classifiers on the validation and test splits."""
-    df = weighted_repurchase(spark, sf_dir)
+    df = repurchase_data(spark, sf_dir)
     rows = None
-    for name, estimator in (("logistic_regression", logistic), ("random_forest", rf_classifier)):
-        model = fit_repurchase(df, estimator())
+    for name in ("logistic_regression", "random_forest"):
+        model = repurchase_model(spark, sf_dir, name)
         for split in ("valid", "test"):
             report = classifier_report(with_return_score(model.transform(df.where(F.col("split") == split)))) \
                 .select(F.lit(name).alias("model"), F.lit(split).alias("split"), "*")
@@ -393,8 +428,7 @@ def feature_importances(model: PipelineModel, frame: DataFrame, features_col: st
 
 @register("ml_importance")
 def _ml_importance(spark, sf_dir):
-    train, _, shift = split_profit(spark, sf_dir)
-    model = fit_profit(train, rf_regressor(), shift)
+    train, model = profit_split(spark, sf_dir)[0], profit_forest(spark, sf_dir)
     return spark.createDataFrame(feature_importances(model, train), "feature string, importance double")
 
 
@@ -459,13 +493,12 @@ def permutation_importance(model: PipelineModel, test: DataFrame, columns: list[
 
 @register("ml_perm_importance")
 def _ml_perm_importance(spark, sf_dir):
-    train, test, shift = split_profit(spark, sf_dir)
-    return permutation_importance(fit_profit(train, rf_regressor(), shift), test)
+    return permutation_importance(profit_forest(spark, sf_dir), profit_split(spark, sf_dir)[1])
 
 
 @register("ml_ablation")
 def _ml_ablation(spark, sf_dir):
-    train, test, shift = split_profit(spark, sf_dir)
+    train, test, shift = profit_split(spark, sf_dir)
     ev = RegressionEvaluator(labelCol="profit_d", predictionCol="prediction_usd", metricName="r2")
     sets = [("base", PROFIT_NUMERIC[:6], False), ("base+engineered", PROFIT_NUMERIC[:12], False),
             ("base+engineered+history", PROFIT_NUMERIC, False), ("full", PROFIT_NUMERIC, True)]
@@ -491,8 +524,7 @@ def load_model(spark, path: str, fallback: str | None = None) -> PipelineModel:
 @register("model_save_load", sql=S.with_fact(f"""
 SELECT COUNT(*) AS n_rows, COUNT(*) AS n_equal FROM fact WHERE NOT ({hash_unit_sql(SPLIT_KEY)} < 0.8)"""))
 def _model_save_load(spark, sf_dir):
-    train, test, shift = split_profit(spark, sf_dir)
-    model = fit_profit(train, rf_regressor(), shift)
+    test, model = profit_split(spark, sf_dir)[1], profit_forest(spark, sf_dir)
     path = scratch_path(spark, f"model-{uuid.uuid4().hex[:6]}")
     save_model(model, path)
     loaded = load_model(spark, scratch_path(spark, "missing"), fallback=path)

@@ -355,10 +355,9 @@ def _st_latency(spark, sf_dir):
 
 def profit_model(spark, sf_dir):
     """The served model: the full profit pipeline (all categories, the interaction, the fitted shift), saved and reloaded."""
-    from ledgerline.operators.models import fit_profit, load_model, rf_regressor, save_model, split_profit
-    train, _, shift = split_profit(spark, sf_dir)
+    from ledgerline.operators.models import load_model, profit_forest, save_model
     path = scratch_path(spark, "profit-model")
-    save_model(fit_profit(train, rf_regressor(), shift), path)
+    save_model(profit_forest(spark, sf_dir), path)
     return load_model(spark, path)
 
 
