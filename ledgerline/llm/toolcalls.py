@@ -72,23 +72,26 @@ def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """
     known = schemas.select(F.col("name").alias("s_name"), "parameters")
     rows = calls.join(known, F.col("name") == F.col("s_name"), "left")
-    kind = F.regexp_replace(F.schema_of_variant(F.try_parse_json("arguments")), r"[<(].*", "")
-    given = F.when(kind == "OBJECT", F.from_json("arguments", "map<string, string>"))
+    # each is parsed once per row: columns of their own, not expressions inside the loops over keys
+    rows = rows.withColumn("_kind", F.regexp_replace(F.schema_of_variant(F.try_parse_json("arguments")), r"[<(].*", ""))
+    rows = rows.withColumn("_given", F.when(F.col("_kind") == "OBJECT", F.from_json("arguments", "map<string, string>")))
     # types come from the parsed value: text parsed again on its own is no string, so quoted values are told apart
-    typed = F.when(kind == "OBJECT", F.from_json("arguments", "map<string, variant>"))
+    types = F.transform_values(F.from_json("arguments", "map<string, variant>"),
+                               lambda k, v: F.regexp_replace(F.schema_of_variant(v), r"[<(].*", ""))
+    rows = rows.withColumn("_types", F.when(F.col("_kind") == "OBJECT", types))
+    kind, given, typed = F.col("_kind"), F.map_keys("_given"), F.col("_types")
     allowed = F.create_map(*[x for t, v in JSON_TYPES.items() for x in (F.lit(t), F.array(*map(F.lit, v)))])
     declared = F.coalesce("parameters", F.map_from_arrays(F.array(), F.array()).cast(
         "map<string, struct<type: string, required: boolean>>"))
-    missing = F.filter(F.map_keys(declared), lambda p: F.element_at(declared, p)["required"] & ~F.map_contains_key(given, p))
-    unknown = F.filter(F.map_keys(given), lambda p: ~F.map_contains_key(declared, p))
-    wrong = F.filter(F.map_keys(given), lambda p: F.map_contains_key(declared, p) & ~F.array_contains(
-        F.element_at(allowed, F.element_at(declared, p)["type"]),
-        F.regexp_replace(F.schema_of_variant(F.element_at(typed, p)), r"[<(].*", "")))
+    missing = F.filter(F.map_keys(declared), lambda p: F.element_at(declared, p)["required"] & ~F.array_contains(given, p))
+    unknown = F.filter(given, lambda p: ~F.map_contains_key(declared, p))
+    wrong = F.filter(given, lambda p: F.map_contains_key(declared, p) & ~F.array_contains(
+        F.element_at(allowed, F.element_at(declared, p)["type"]), F.element_at(typed, p)))
     named = lambda found, what: F.transform(found, lambda p: F.concat(F.lit(what), p))
     found = F.when(kind.isNull() | (kind != "OBJECT"), F.array(F.lit("arguments are no object"))) \
         .when(F.col("s_name").isNull(), F.array(F.lit("unknown tool"))) \
         .otherwise(F.array_sort(F.concat(named(missing, "missing "), named(unknown, "undeclared "), named(wrong, "type of "))))
-    return rows.withColumn("problems", found).drop("s_name", "parameters")
+    return rows.withColumn("problems", found).drop("s_name", "parameters", "_kind", "_given", "_types")
 
 
 def levels(calls: DataFrame) -> DataFrame:
