@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.util import row_groups
+
 SHARE = 0.7          # of the content text that a container must hold for the walk to go on into it
 NEIGHBOURS = 2       # paths on each side that take part in smoothing
 THRESHOLD = 0.5      # of the standard deviation of the fused scores
@@ -272,7 +274,7 @@ def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") ->
     kept = [c for c in pages.columns if c.lower() not in (html_col.lower(), out_col.lower())]
 
     def run(batches):
-        for batch in batches:
+        for batch in row_groups(batches):
             texts = [main_text(x) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*kept, out_col])
 

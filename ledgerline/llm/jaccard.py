@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
-from ledgerline.llm.util import broadcast_if_small, byte_rows, fresh_name, worker_state
+from ledgerline.llm.util import broadcast_if_small, byte_rows, fresh_name, row_groups, worker_cache
 from ledgerline.plans.lineage import cut, drop_cut
 
 MAX_SLICES = 64
@@ -62,8 +62,9 @@ LEAF_SETS = 1024
 LEAF_TOKENS = 1 << 20
 ACROSS_SETS = 4096
 FAN_OUT = 8
-PAIRS_AT_ONCE = 1 << 14
-MAX_WORDS = 400_000
+PAIRS_AT_ONCE = 1 << 12   # node pairs opened at a time
+BYTES_AT_ONCE = 1 << 22   # of bitmaps compared at a time
+MAX_WORDS = 150_000
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = np.array([0x9E3779B97F4A7C15 + 2 * 0xD1B54A32D192ED03 * k & 0xFFFFFFFFFFFFFFFF | 1 for k in range(64)], np.uint64)
@@ -92,10 +93,8 @@ def shingle_set(text: bytes | None, width: int) -> np.ndarray:
     words = text.translate(_LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    state = worker_state()
-    if not hasattr(state, "word_hashes"):
-        state.word_hashes = WordHashes()
-    h = np.fromiter(map(state.word_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = worker_cache("word hashes", WordHashes)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = len(words) - width + 1
     if n < 1:  # the whole sequence as one n-gram
         return _mix((h * _ODD[:len(h)]).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(h)))
@@ -164,8 +163,9 @@ class Tree:
 def may_link(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
     """Whether nodes i of one level and j of another can hold two linked sets."""
     common = np.empty(len(i), np.int64)
-    for at in range(0, len(i), PAIRS_AT_ONCE):
-        part = slice(at, at + PAIRS_AT_ONCE)
+    step = max(1, BYTES_AT_ONCE // (8 * x[0].shape[1]))
+    for at in range(0, len(i), step):
+        part = slice(at, at + step)
         common[part] = np.bitwise_count(x[0][i[part]] & y[0][j[part]]).sum(axis=1, dtype=np.int64)
     outside_y = np.maximum(0, x[3][i] - common)
     outside_x = np.maximum(0, y[3][j] - common)
@@ -179,22 +179,27 @@ def surviving_pairs(a: Tree, b: Tree, num: int, den: int) -> tuple[np.ndarray, n
     height = max(a.height, b.height)
     a.grow(height)
     b.grow(height)
-    i = j = np.zeros(1, np.int64)
-    for level in range(height - 1, -1, -1):
+    found, child = [], np.arange(FAN_OUT)
+    # depth first in parts of PAIRS_AT_ONCE, so few pairs are open at any time
+    todo = [(height - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))] if not same or height > 1 else []
+    while todo:
+        level, i, j = todo.pop()
         keep = may_link(a.levels[level], b.levels[level], i, j, num, den)
         i, j = i[keep], j[keep]
-        if level == 0 or not len(i):
-            break
-        child = np.arange(FAN_OUT)
-        i2 = np.repeat(i[:, None] * FAN_OUT + child, FAN_OUT, axis=1).ravel()
-        j2 = np.tile(j[:, None] * FAN_OUT + child, (1, FAN_OUT)).ravel()
-        ok = (i2 < len(a.levels[level - 1][1])) & (j2 < len(b.levels[level - 1][1]))
-        if same:
-            ok &= i2 <= j2 if level > 1 else i2 < j2
-        i, j = i2[ok], j2[ok]
-    if same and height == 1:
-        return i[:0], j[:0]
-    return i, j
+        if level == 0:
+            found.append((i, j))
+            continue
+        for at in range(0, len(i), PAIRS_AT_ONCE):
+            one, two = i[at:at + PAIRS_AT_ONCE], j[at:at + PAIRS_AT_ONCE]
+            one = np.repeat(one[:, None] * FAN_OUT + child, FAN_OUT, axis=1).ravel()
+            two = np.tile(two[:, None] * FAN_OUT + child, (1, FAN_OUT)).ravel()
+            ok = (one < len(a.levels[level - 1][1])) & (two < len(b.levels[level - 1][1]))
+            if same:
+                ok &= one <= two if level > 1 else one < two
+            todo.append((level - 1, one[ok].astype(np.int32), two[ok].astype(np.int32)))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
 
 
 def bitmaps(sets: list[np.ndarray], width: int) -> np.ndarray:
@@ -260,7 +265,7 @@ def _edges_of(num: int, den: int):
 def set_rows(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
     """id, row (64-bit hash of the text), n (set size), cid (digest of the set, null if empty), keys (slices)."""
     def run(batches):
-        for batch in batches:
+        for batch in row_groups(batches):
             n, cid, keys = [], [], []
             for text in byte_rows(batch.column(1)):
                 tokens = shingle_set(text, width)
@@ -281,7 +286,7 @@ def set_rows(docs: DataFrame, id_col: str, text_col: str, width: int, num: int,
 def token_rows(texts: DataFrame, width: int) -> DataFrame:
     """cluster, cid, n, tokens of the rows (cluster, cid, text) whose text has that digest."""
     def run(batches):
-        for batch in batches:
+        for batch in row_groups(batches):
             keep, n, packed = [], [], []
             for at, (cid, text) in enumerate(zip(batch.column(1).to_pylist(), byte_rows(batch.column(2)), strict=True)):
                 tokens = shingle_set(text, width)

@@ -40,14 +40,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.util import byte_rows, fresh_name
+from ledgerline.llm.util import byte_rows, fresh_name, row_groups
 
 ORDER = 4
 SAMPLE_SEGMENTS = 1024
 SEGMENT_CHARS = 4096
 MAX_LANGUAGES = 200
 UNDETERMINED = "und"
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 REJECT_BITS = 64
 
 _TAG = np.int64(1) << np.int64(8 * (ORDER + 1))  # a string of k bytes is the number k * _TAG + its bytes
@@ -235,7 +235,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", names
 
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in row_groups(batches):
             fit = np.array(batch.column(batch.num_columns - 1).to_pylist(), dtype=bool)
             if model is None:
                 fit[:] = False

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.util import row_groups
+
 THRESHOLD = 0.8
 WORDS = re.compile(r"[^\W_]+")
 
@@ -175,7 +177,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
 
     def run(batches):
         scanner = Scanner(templates, threshold)
-        for batch in batches:
+        for batch in row_groups(batches):
             rows = [(i, *hit) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
                     for hit in scanner.scan(text)]
             cols = list(zip(*rows, strict=True)) or [[]] * 6

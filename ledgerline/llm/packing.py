@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import tokens
-from ledgerline.llm.util import byte_rows
+from ledgerline.llm.util import byte_rows, row_groups
 from ledgerline.plans.lineage import cut
 
 RANK_BUCKETS = 1024
@@ -121,7 +121,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, capacity: int, closin
     """One row per piece: id, piece, start, length, ids_crc32."""
     def run(batches):
         cache = tokens.word_ids(path)
-        for batch in batches:
+        for batch in row_groups(batches):
             out, ids = [], []
             for doc, text in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1)), strict=True):
                 for row in tokens.pieces(tokens.encode(cache, text, closing_id), capacity):

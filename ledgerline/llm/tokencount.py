@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import tokens
-from ledgerline.llm.util import byte_rows
+from ledgerline.llm.util import byte_rows, row_groups
 from ledgerline.plans.lineage import cut, drop_cut
 
 SEPARATOR = 49407
@@ -54,7 +54,7 @@ def write_flat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         cache = tokens.word_ids(path)
         task = TaskContext.get()
         file, block, first, rest = task.partitionId() if task else 0, 0, 0, b""
-        for batch in batches:
+        for batch in row_groups(batches):
             ids = batch.column(0)
             yield row(file, None, None, first, ids.to_pylist(), ids.type)
             first += len(ids)

@@ -20,10 +20,10 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from ledgerline.llm.util import worker_state
+from ledgerline.llm.util import worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
-MAX_WORDS = 600_000
+MAX_WORDS = 400_000
 MAX_WORD_BYTES = 48
 #: ASCII punctuation that the tokenizer splits off after a letter, and that is in no special token.
 TRAILING = b".,;:!?*%$#&()\"'"
@@ -66,10 +66,7 @@ class WordIds(dict):
 
 
 def word_ids(path: str) -> WordIds:
-    state = worker_state()
-    if getattr(state, "word_ids_path", None) != path:
-        state.word_ids, state.word_ids_path = WordIds(path), path
-    return state.word_ids
+    return worker_cache(("word ids", path), lambda: WordIds(path))
 
 
 def _kinds() -> bytes:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import types
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +25,16 @@ def byte_rows(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def worker_state() -> types.ModuleType:
-    """A place that outlives a task in a reused Python worker (for caches that only save time)."""
-    return sys.modules.setdefault("_ledgerline_worker_state", types.ModuleType("_ledgerline_worker_state"))
+def worker_cache(key, make):
+    """What ``make()`` returned for this key in an earlier task of a reused Python worker, else its result now.
+
+    A worker keeps one such cache, that of the last key; it only saves time.
+    """
+    state = sys.modules.setdefault("_ledgerline_worker_state", types.ModuleType("_ledgerline_worker_state"))
+    if getattr(state, "key", None) != key:
+        state.cache = None  # before the next one is made
+        state.cache, state.key = make(), key
+    return state.cache
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -34,6 +42,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def row_groups(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that a worker unpacks few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts as an empty text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
