@@ -10,11 +10,14 @@ of an article whatever their ratios -- navigation, page header and footer,
 asides, forms, scripts, styles, hidden parts, and elements whose class, id
 or role names an advert, notice, menu, sidebar or comments -- score zero.
 
-The content paths locate the article: from the root the walk goes down as
-long as one container holds most of the content paths' text.  All text
-blocks of that container are returned, short or long, but for those in
-excluded elements and lists made of links only; so a one-word paragraph of
-the article stays and a long advert does not come in.
+The article is the lowest common container of its text: from the root the
+walk goes down into a container only if no text that would be returned stays
+outside.  An article or main element is where the walk ends; on the way to it
+plain text beside it does not count, but content paths, other articles and a
+first heading that the articles lack do.  All text blocks of that container
+are returned, short or long, but for those in excluded elements and lists
+made of links only; so a one-word paragraph of the article stays and a long
+advert does not come in.
 
 Rows are independent: one narrow scan, no shuffle.  Per page the work and
 memory are linear in its length.
@@ -39,7 +42,6 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.util import row_groups
 
-SHARE = 0.7          # of the content text that a container must hold for the walk to go on into it
 NEIGHBOURS = 2       # paths on each side that take part in smoothing
 THRESHOLD = 0.5      # of the standard deviation of the fused scores
 
@@ -220,21 +222,33 @@ class Page:
         positive = [x for x in scores if x > 0]
         mean = sum(positive) / len(positive) if positive else 0.0
         least = THRESHOLD * math.sqrt(sum((x - mean) ** 2 for x in positive) / len(positive)) if positive else 0.0
-        mass = [0] * len(self.parent)
+        n = len(self.parent)
+        link, heading, marked = [False] * n, [False] * n, [False] * n
+        for e in range(1, n):
+            link[e] = link[self.parent[e]] or self.tag[e] == "a"
+            heading[e] = heading[self.parent[e]] or self.tag[e] == "h1"
+            marked[e] = not self.out[e] and self.tag[e] in ("article", "main")
+        titled = any(self.tag[e] == "h1" and self.article[e] and not self.out[e] for e in range(n))
+        every, of_article = [0] * n, [0] * n
         for e, text in self.texts:
-            if e >= 0 and not self.out[e] and scores[self.path[e]] >= least:
-                mass[e] += len(text.strip())
+            if e < 0 or self.out[e] or not (size := len(text.strip())) or link[e] and self._in_item(e):
+                continue
+            every[e] += size
+            if self.article[e] or heading[e] and not titled or not link[e] and 0 < scores[self.path[e]] >= least:
+                of_article[e] += size
         children: dict[int, list[int]] = {}
-        for e in range(len(self.parent) - 1, 0, -1):
-            mass[self.parent[e]] += mass[e]
-            if mass[e] and self.tag[e] in CONTAINERS:
-                children.setdefault(self.parent[e], []).append(e)
-        at = 0
-        while self.tag[at] not in ("article", "main") and at in children:
-            best = max(children[at], key=mass.__getitem__)
-            if mass[best] < SHARE * mass[at]:
-                break
-            at = best
+        for e in range(n - 1, 0, -1):
+            up = self.parent[e]
+            every[up] += every[e]
+            of_article[up] += of_article[e]
+            marked[up] = marked[up] or marked[e]
+            if every[e] and self.tag[e] in CONTAINERS:
+                children.setdefault(up, []).append(e)
+        at, down = 0, 0
+        while down is not None:
+            at = down
+            down = None if at and self.tag[at] in ("article", "main") else next(
+                (e for e in children.get(at, ()) if every[e] == every[at] or marked[e] and 0 < of_article[e] == of_article[at]), None)
         return at
 
     def text(self) -> str:

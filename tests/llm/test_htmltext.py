@@ -47,6 +47,31 @@ def test_layouts(name):
     assert main_text(page(body)) == want
 
 
+BESIDE = {
+    "title, intro and end beside a long section": (
+        "<div id=content><h1>T</h1><p>Intro</p><div class=section>" + LONG * 9 + "</div><p>End</p></div>",
+        "T\nIntro\n" + (LONG * 9).strip() + "\nEnd"),
+    "losses on several levels": (
+        "<div><p>" + LONG + "</p><section><p>" + LONG * 2 + "</p><table><tr><td>" + LONG * 9 + "</table></section></div>",
+        LONG.strip() + "\n" + (LONG * 2).strip() + "\n" + (LONG * 9).strip()),
+    "quotation that dominates": ("<h1>T</h1><blockquote>" + LONG * 9 + "</blockquote>Fin.", "T\n" + (LONG * 9).strip() + "\nFin."),
+    "a long and a short article": (
+        "<article><p>" + LONG * 9 + "</p></article><article><p>Short one.</p></article>", (LONG * 9).strip() + "\nShort one."),
+    "title and text beside the article element": (
+        "<div><h1>T</h1><p>" + LONG + "</p><article><p>" + LONG * 9 + "</p></article></div>",
+        "T\n" + LONG.strip() + "\n" + (LONG * 9).strip()),
+    "other lines beside the article element": (
+        "<div>Call us</div><div><a href=x>menu</a></div><article><h1>T</h1><p>" + LONG * 2 + "</p></article><div>Made by x</div>",
+        "T\n" + (LONG * 2).strip()),
+}
+
+
+@pytest.mark.parametrize("name", BESIDE)
+def test_text_beside_a_dominant_part(name):
+    body, want = BESIDE[name]
+    assert main_text(page(body)) == want
+
+
 @pytest.mark.parametrize(("text", "want"), [
     (None, ""), ("", ""), ("plain  text\n here", "plain text here"), ("<p>a<p>b", "a\nb"), ("a < b & c &amp d &am", "a < b & c & d &am"),
     ("<a \"", ""), ("<script>x", ""), ("<!-- open", ""), ("</p></div>x", "x"), ("<nav>only a menu</nav>", "")])
