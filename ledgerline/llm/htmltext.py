@@ -7,8 +7,13 @@ ratios are smoothed over neighbouring paths (in page order, weighted by how
 much of the path they share), fused into one score and thresholded; the
 paths above are the content paths.  Paths through elements that are no part
 of an article whatever their ratios -- navigation, page header and footer,
-asides, forms, scripts, styles, hidden parts, and elements whose class, id
-or role names an advert, notice, menu, sidebar or comments -- score zero.
+asides, forms, scripts, styles, hidden parts -- score zero, and so do elements
+whose class, id or role names an advert, notice, menu, sidebar or comments.
+Such a name is overruled if the element holds most of the page's text, or the
+only article, main or h1 element; words after has-, no-, with- or layout- are
+no names.  Words that are as often boxes of an article (notice, toc, ...)
+exclude only outside an article element, and where there is none only
+elements without a content path.
 
 The article is the lowest common container of its text: from the root the
 walk goes down into a container only if no text that would be returned stays
@@ -43,6 +48,7 @@ from pyspark.sql import types as T
 from ledgerline.llm.util import row_groups
 
 NEIGHBOURS = 2       # paths on each side that take part in smoothing
+MOST = 0.8           # of the page's text that makes an element the article whatever its name
 THRESHOLD = 0.5      # of the standard deviation of the fused scores
 
 TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*+(?:>|$)
@@ -71,6 +77,10 @@ OTHER_PARTS = frozenset("""ad ads advert adverts advertisement advertising adsen
   subscribe subscription signup popup modal overlay dialog social share sharing related recommended recommendations
   comment comments commentlist disqus respond reply replies widget widgets toolbar pagination pager login search
   skip toc copyright disclaimer""".split())
+#: Those of them that name boxes of an article as well.
+BOXES = frozenset("notice notices alert alerts widget widgets toc copyright disclaimer".split())
+#: Words that say what an element has, lacks or how it is laid out: what follows them does not name it.
+MODIFIERS = frozenset("has no with without layout".split())
 #: The same for elements that are usually the article itself.
 OTHER_ARTICLES = frozenset("comment reply ad advert advertisement promo related sponsored".split())
 
@@ -80,7 +90,14 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _names(attrs: dict[str, str]) -> set[str]:
-    return {p.lower() for k in ("class", "id", "role") for p in NAME_PART.findall(attrs.get(k, ""))}
+    out = set()
+    for k in ("class", "id", "role"):
+        for word in attrs.get(k, "").split():
+            for p in NAME_PART.findall(word.removeprefix("elementor-widget")):
+                if p.lower() in MODIFIERS:
+                    break
+                out.add(p.lower())
+    return out
 
 
 class Page:
@@ -88,12 +105,15 @@ class Page:
 
     def __init__(self, html: str):
         self.parent, self.tag, self.path, self.out, self.article = [-1], [""], [0], [False], [False]
+        self.named = [""]                   # "box" or "part" for elements excluded by name only
         self.paths = {(): 0}                # (path of the parent, label) -> path
         self.depth_of = [0]
         self.up_of = [-1]
         self.texts: list[tuple[int, str]] = []   # (element, text); an element of -1 ends a block
         self.stack = [0]
         self._read(html)
+        if any(self.named):
+            self._exclude_named()
 
     def _path(self, parent: int, label: str) -> int:
         key = (parent, label)
@@ -129,10 +149,14 @@ class Page:
         inside = self.article[up]
         own = tag in EXCLUDED or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" \
             or "display:none" in attrs.get("style", "").replace(" ", "").lower()
+        parts = set()
         if tag in ("article", "main"):
-            own = own or bool(names & OTHER_ARTICLES)
+            parts = names & OTHER_ARTICLES
         elif tag not in ("html", "body"):
-            own = own or bool(names & OTHER_PARTS) or (tag == "header" or "header" in names) and not inside
+            parts = names & OTHER_PARTS
+            if not inside:
+                parts |= names & {"header"}
+                own = own or tag == "header"
         out = self.out[up] or own
         if self.tag[up] == "header" and inside and tag not in HEADINGS and tag not in INLINE:
             out = True  # of an article's own header only headings belong to its text
@@ -140,6 +164,7 @@ class Page:
         self.tag.append(tag)
         self.path.append(self._path(self.path[up], f"{tag}.{attrs['class']}" if attrs.get("class") else tag))
         self.out.append(out)
+        self.named.append("" if not parts else "box" if parts <= BOXES else "part")
         self.article.append(inside or tag in ("article", "main"))
         self.stack.append(len(self.parent) - 1)
 
@@ -178,6 +203,47 @@ class Page:
                     self._close(*CLOSES[tag])
             self._open(tag, _attributes(m["attrs"] or m["attrs2"] or ""))
 
+    def _exclude_named(self) -> None:
+        """Exclude the elements that are named as other parts, but for those that hold the article."""
+        n = len(self.parent)
+        size, articles, titles = [0] * n, [0] * n, [0] * n          # in the whole element
+        within, link, covered = [0] * n, [False] * n, [False] * n   # within: article elements around it
+        free_articles = free_titles = 0
+        for e in range(1, n):
+            up = self.parent[e]
+            link[e] = link[up] or self.tag[e] == "a"
+            covered[e] = covered[up] or self.out[e] or bool(self.named[e])
+            articles[e] = not self.out[e] and self.tag[e] in ("article", "main") and not self.named[e]
+            titles[e] = not self.out[e] and self.tag[e] == "h1"
+            within[e] = within[up] + (articles[e] and not covered[e])
+            free_articles += articles[e] and not covered[e]
+            free_titles += titles[e] and not covered[e]
+        for e, text in self.texts:
+            if e >= 0 and not self.out[e] and not link[e]:
+                size[e] += len(text.strip())
+        for e in range(n - 1, 0, -1):
+            for held in (size, articles, titles):
+                held[self.parent[e]] += held[e]
+        content = self._in_content(link) if not free_articles and "box" in self.named else [False] * n
+        for e in range(1, n):
+            if self.named[e] and not self.out[e]:
+                self.out[e] = not (
+                    articles[e] and not free_articles or titles[e] and not free_titles
+                    or within[e] == free_articles and size[e] > 0 and size[e] >= MOST * size[0]
+                    or self.named[e] == "box" and (self.article[e] or content[e]))
+            self.out[e] = self.out[e] or self.out[self.parent[e]]
+
+    def _in_content(self, link: list[bool]) -> list[bool]:
+        """Whether an element holds text of a content path outside links."""
+        scores = self.scores()
+        least, out = self._least(scores), [False] * len(self.parent)
+        for e, _ in self.texts:
+            if e >= 0 and not self.out[e] and not link[e] and 0 < scores[self.path[e]] >= least:
+                out[e] = True
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] = out[self.parent[e]] or out[e]
+        return out
+
     def scores(self) -> list[float]:
         """The fused, smoothed score of each path."""
         n = len(self.depth_of)
@@ -217,12 +283,15 @@ class Page:
                 q = self.up_of[q]
         return (1 + self.depth_of[p]) / (1 + longest)
 
-    def container(self, scores: list[float]) -> int:
-        """The element that holds the article."""
+    def _least(self, scores: list[float]) -> float:
+        """The score from which a path is a content path."""
         positive = [x for x in scores if x > 0]
         mean = sum(positive) / len(positive) if positive else 0.0
-        least = THRESHOLD * math.sqrt(sum((x - mean) ** 2 for x in positive) / len(positive)) if positive else 0.0
-        n = len(self.parent)
+        return THRESHOLD * math.sqrt(sum((x - mean) ** 2 for x in positive) / len(positive)) if positive else 0.0
+
+    def container(self, scores: list[float]) -> int:
+        """The element that holds the article."""
+        least, n = self._least(scores), len(self.parent)
         link, heading, marked = [False] * n, [False] * n, [False] * n
         for e in range(1, n):
             link[e] = link[self.parent[e]] or self.tag[e] == "a"

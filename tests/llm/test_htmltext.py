@@ -72,6 +72,34 @@ def test_text_beside_a_dominant_part(name):
     assert main_text(page(body)) == want
 
 
+NAMED = {
+    "wrapper that has a sidebar": ("<div class='content has-sidebar'><p>One, two.</p><p>Three.</p></div>", "One, two.\nThree."),
+    "layout and missing comments": (
+        "<div id=layout-sidebar-right><section class=no-comments><p>One, two.</p></section></div><footer>End</footer>", "One, two."),
+    "page builder": (
+        "<div class='elementor-widget elementor-widget-heading'><h2>T</h2></div>"
+        "<div class='elementor-widget elementor-widget-text-editor'><p>" + LONG + "</p></div>", "T\n" + LONG.strip()),
+    "boxes of an article": (
+        "<article><h1>T</h1><div class=toc><p>Parts: one.</p></div><p>" + LONG + "</p><div class=notice>Note.</div><p class='alert'>Beware.</p>"
+        "<p class=copyright>By x.</p><div class=ad>" + LONG + "</div></article>", "T\nParts: one.\n" + LONG.strip() + "\nNote.\nBeware.\nBy x."),
+    "box with long text and no article element": (
+        "<div><p>" + LONG + "</p><div class=notice><p>" + LONG * 2 + "</p></div><div class=copyright><a href=x>x</a></div></div>",
+        LONG.strip() + "\n" + (LONG * 2).strip()),
+    "named wrapper of the article element": (
+        "<div class=promo>Buy</div><div class='page sidebar'><article><p>Short.</p></article></div>", "Short."),
+    "named wrapper of the title": ("<div class=banner><h1>T</h1></div><article><p>" + LONG + "</p></article>", "T\n" + LONG.strip()),
+    "named wrapper of most of the text": ("<div class='post sidebar'><p>" + LONG * 5 + "</p></div><p>End.</p>", (LONG * 5).strip() + "\nEnd."),
+    "teasers after the article stay out": (
+        "<article><h1>T</h1><p>Short.</p></article><div class=related><article><h1>Other</h1><p>" + LONG * 9 + "</p></article></div>", "T\nShort."),
+}
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_ratios_overrule_names(name):
+    body, want = NAMED[name]
+    assert main_text(page(body)) == want
+
+
 @pytest.mark.parametrize(("text", "want"), [
     (None, ""), ("", ""), ("plain  text\n here", "plain text here"), ("<p>a<p>b", "a\nb"), ("a < b & c &amp d &am", "a < b & c & d &am"),
     ("<a \"", ""), ("<script>x", ""), ("<!-- open", ""), ("</p></div>x", "x"), ("<nav>only a menu</nav>", "")])
