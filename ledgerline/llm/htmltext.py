@@ -30,7 +30,8 @@ memory are linear in its length.
 Cases: null or empty html, or html without text outside excluded elements,
 gives an empty text; text without any tag is one block; unclosed and
 misnested tags are closed as browsers do (a new paragraph ends the last,
-a list item its sibling); character references are decoded, with or without
+a list item its sibling); formulas are text; an embedded element (svg, object,
+canvas, video, ...) without an end tag in its parent excludes nothing; character references are decoded, with or without
 semicolon; repeated rows are extracted one by one; other columns are kept.
 """
 
@@ -39,6 +40,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,11 +62,15 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 # Element names of the HTML standard by what they mean here
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg math canvas object "
-                "audio video select".split())
-EXCLUDED = frozenset("nav footer aside form button menu dialog head fieldset label datalist output".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+EMBEDDED = frozenset("template svg canvas object audio video select".split())
+MATH = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub "
+                 "msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd maction semantics "
+                 "annotation annotation-xml".split())
+EXCLUDED = frozenset("nav footer aside form button menu dialog head fieldset label datalist output "
+                     "annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr br img".split())
+                   "small span strike strong sub sup time tt u var wbr br img".split()) | MATH
 CONTAINERS = frozenset("html body main article div section center table tbody tr td blockquote".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -100,11 +106,51 @@ def _names(attrs: dict[str, str]) -> set[str]:
     return out
 
 
+def _tags(html: str) -> list[tuple[int, int, str, bool, str]]:
+    """Start, end, name, whether it is an end tag, attributes; comments and script-like elements have no name."""
+    out, at, drawn = [], 0, 0
+    while m := TAG.search(html, at):
+        at = m.end()
+        tag, end, attrs = (m["tag"] or m["tag2"] or "").lower(), bool(m["end"] or m["end2"]), m["attrs"] or m["attrs2"] or ""
+        if tag in ("svg", "math") and not attrs.endswith("/"):
+            drawn = max(0, drawn + (-1 if end else 1))
+        if tag in RAW and not end:
+            if not (drawn and attrs.endswith("/")):
+                last = re.compile(rf"</{re.escape(tag)}\b", re.I).search(html, at)
+                at = (html.find(">", last.start()) + 1 or len(html)) if last else len(html)
+            tag = ""
+        out.append((m.start(), at, tag, end, attrs))
+    return out
+
+
+def _ends(tags: list[tuple[int, int, str, bool, str]]) -> dict[int, int]:
+    """The numbers of the embedded elements' start tags -> the tag at which they end, if that is in the same parent."""
+    out, stack, opened = {}, [], Counter()
+    for k, (_, _, tag, end, attrs) in enumerate(tags):
+        if not tag or tag in VOID or tag in INLINE:
+            continue
+        if not end:
+            if tag == "svg" and attrs.endswith("/"):
+                out[k] = k
+            else:
+                stack.append((tag, k))
+                opened[tag] += 1
+        elif opened[tag]:
+            last = None
+            while last != tag:
+                last, start = stack.pop()
+                opened[last] -= 1
+            if tag in EMBEDDED:
+                out[start] = k
+    return out
+
+
 class Page:
     """Elements and text nodes of a page; an element's parent has a smaller number."""
 
     def __init__(self, html: str):
         self.parent, self.tag, self.path, self.out, self.article = [-1], [""], [0], [False], [False]
+        self.list_of = [-1]                 # the outermost list around an element
         self.named = [""]                   # "box" or "part" for elements excluded by name only
         self.paths = {(): 0}                # (path of the parent, label) -> path
         self.depth_of = [0]
@@ -164,32 +210,28 @@ class Page:
         self.tag.append(tag)
         self.path.append(self._path(self.path[up], f"{tag}.{attrs['class']}" if attrs.get("class") else tag))
         self.out.append(out)
+        self.list_of.append(len(self.parent) - 1 if self.list_of[up] < 0 and tag in ("ul", "ol") else self.list_of[up])
         self.named.append("" if not parts else "box" if parts <= BOXES else "part")
         self.article.append(inside or tag in ("article", "main"))
         self.stack.append(len(self.parent) - 1)
 
     def _read(self, html: str) -> None:
-        at, size = 0, len(html)
-        while at < size:
-            m = TAG.search(html, at)
-            if m is None:
-                self._text(html[at:])
-                break
-            self._text(html[at:m.start()])
-            at = m.end()
-            tag = (m["tag"] or m["tag2"] or "").lower()
-            if not tag:
+        tags = _tags(html)
+        ends = _ends(tags) if any(t[2] in EMBEDDED for t in tags) else {}
+        at, k = 0, 0
+        while k < len(tags):
+            start, _, tag, end, attrs = tags[k]
+            self._text(html[at:start])
+            k = ends.get(k, k)
+            at = tags[k][1]
+            k += 1
+            if not tag or tag in EMBEDDED or tag in MATH and not end and attrs.endswith("/"):
                 continue
-            if m["end"] or m["end2"]:
+            if end:
                 if tag not in INLINE:
                     self._block()
                 self._close({tag}, {"table"} if tag in INLINE or tag in ("p", "li") else set())
                 continue
-            if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b", re.I).search(html, at)
-                at = end.start() if end else size
-                at = (html.find(">", at) + 1 or size) if end else size
-                continue
             if tag == "br":
                 self._text(" ")
             if tag in VOID:
@@ -201,7 +243,8 @@ class Page:
                 self._close({"p"}, CONTAINERS | {"li", "dd", "button"})
                 if tag in CLOSES:
                     self._close(*CLOSES[tag])
-            self._open(tag, _attributes(m["attrs"] or m["attrs2"] or ""))
+            self._open(tag, _attributes(attrs))
+        self._text(html[at:])
 
     def _exclude_named(self) -> None:
         """Exclude the elements that are named as other parts, but for those that hold the article."""
@@ -297,10 +340,11 @@ class Page:
             link[e] = link[self.parent[e]] or self.tag[e] == "a"
             heading[e] = heading[self.parent[e]] or self.tag[e] == "h1"
             marked[e] = not self.out[e] and self.tag[e] in ("article", "main")
+        lists = self.link_lists(link)
         titled = any(self.tag[e] == "h1" and self.article[e] and not self.out[e] for e in range(n))
         every, of_article = [0] * n, [0] * n
         for e, text in self.texts:
-            if e < 0 or self.out[e] or not (size := len(text.strip())) or link[e] and self._in_item(e):
+            if e < 0 or self.out[e] or not (size := len(text.strip())) or lists.get(self.list_of[e]) and self._in_item(e):
                 continue
             every[e] += size
             if self.article[e] or heading[e] and not titled or not link[e] and 0 < scores[self.path[e]] >= least:
@@ -327,13 +371,14 @@ class Page:
         for e in range(1, len(self.parent)):
             inside[e] = inside[e] or inside[self.parent[e]]
             link.append(link[self.parent[e]] or self.tag[e] == "a")
+        lists = self.link_lists(link)
         blocks, parts, item, linked = [], [], False, True
         for e, text in [*self.texts, (-1, "")]:
             if e >= 0:
                 if inside[e] and not self.out[e]:
                     parts.append(text)
                     if text.strip():
-                        linked = linked and link[e]
+                        linked = linked and link[e] and lists.get(self.list_of[e], True)
                         item = item or self._in_item(e)
                 continue
             block = " ".join("".join(parts).split())
@@ -342,6 +387,14 @@ class Page:
             parts, item, linked = [], False, True
         return "\n".join(blocks)
 
+    def link_lists(self, link: list[bool]) -> dict[int, bool]:
+        """Of each outermost list, whether all of its text is links."""
+        out: dict[int, bool] = {}
+        for e, text in self.texts:
+            if e >= 0 and not self.out[e] and self.list_of[e] >= 0 and text.strip():
+                out[self.list_of[e]] = out.get(self.list_of[e], True) and link[e]
+        return out
+
     def _in_item(self, e: int) -> bool:
         while e > 0 and (self.tag[e] in INLINE):
             e = self.parent[e]

@@ -100,6 +100,34 @@ def test_ratios_overrule_names(name):
     assert main_text(page(body)) == want
 
 
+INSIDE = {
+    "self-closed drawings": ("<article><p>A <svg class=x/>b.</p><p>C <math/>d.</p></article><div class=ad><svg><title/><text>x</text></svg></div>",
+                             "A b.\nC d."),
+    "formulas": ("<article><p>Where <math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/><annotation>x=1</annotation></math>, so.</p></article>",
+                 "Where x=1, so."),
+    "embedded with end tags": (
+        "<article><p>A <svg><path d=x><text>no</text></svg>b<video src=x><p>no</p></video>.</p><select><option>no</select><p>C.</p></article>",
+        "A b.\nC."),
+    **{f"{tag} without an end tag": (f"<article><p>A.</p><div><{tag} data=x><p>B.</p></div><p>C.</p></article>"
+                                     f"<div class=ad><{tag}>x</{tag}></div>", "A.\nB.\nC.")
+       for tag in ("object", "canvas", "audio", "video", "select", "svg")},
+    "lists with some links": (
+        "<article><ul><li><a href=x>A</a></li><li>plain</li></ul><ol><li>B<ul><li><a href=y>C</a></li></ul></li></ol>"
+        "<ul><li><a href=x>Other</a></li><li><a href=x>story</a></li></ul></article>", "A\nplain\nB\nC"),
+}
+
+
+@pytest.mark.parametrize("name", INSIDE)
+def test_parts_inside_an_article(name):
+    body, want = INSIDE[name]
+    assert main_text(page(body)) == want
+
+
+def test_many_embedded_elements():
+    assert main_text("<video>" * 50_000 + "x" + "</div></video>" * 50_000) == ""
+    assert main_text("<div><object>" * 50_000 + "x") == "x"
+
+
 @pytest.mark.parametrize(("text", "want"), [
     (None, ""), ("", ""), ("plain  text\n here", "plain text here"), ("<p>a<p>b", "a\nb"), ("a < b & c &amp d &am", "a < b & c & d &am"),
     ("<a \"", ""), ("<script>x", ""), ("<!-- open", ""), ("</p></div>x", "x"), ("<nav>only a menu</nav>", "")])
