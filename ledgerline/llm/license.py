@@ -10,7 +10,13 @@ bigrams (size bound), and a window only if at least t * m of its bigrams
 occur in the template at all, which running sums tell for every window at
 once; only such windows are compared in full, the most promising first.
 
-The result has one row per document and template that reach the threshold,
+Templates are short notices in their usual wordings, file headers and full
+texts (``licenses``).  Licences of one family share most of their words, so
+of a family's templates, and of all notices, only the best is reported per window: one that has
+half or more of its window in that of a better one, or is a notice within a
+longer text, is looked for in the rest of the text.
+
+The result has one row per document and licence that reach the threshold,
 with the best window (the first of equals): id, license, dice, first word,
 words, and the words themselves.  Documents without a match give no row.
 
@@ -18,8 +24,9 @@ Rows are independent: one narrow scan, no shuffle; templates travel with
 the code.  Every whole text is read.
 
 Cases: null or empty text, or one of a single word, has no bigrams and no
-match; repeated rows are scanned one by one; templates may overlap in a
-text and are reported each; other columns are not read.
+match; repeated rows are scanned one by one; templates of several families
+may overlap in a text and are reported each, as are given templates; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +34,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from math import ceil
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +101,28 @@ TEMPLATES = {
         option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY
         WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
         General Public License for more details.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+        option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+        General Public License for more details.""",
+    "LGPL-2.1": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or
+        (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT
+        ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+        GNU Lesser General Public License for more details.""",
+    "LGPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT
+        ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+        GNU Lesser General Public License for more details.""",
+    "AGPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT
+        ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+        GNU Affero General Public License for more details.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/.""",
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
         MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
     "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
@@ -104,6 +134,62 @@ TEMPLATES = {
         to the following restrictions:""",
 }
 
+#: How short notices begin, and what they call a licence ({0}: the version).
+VERBS = ("Licensed under", "Released under", "Distributed under", "Available under")
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_GNU = {"GPL": "General", "LGPL": "Lesser General", "AGPL": "Affero General"}
+CALLED = {
+    "MIT": ["MIT", "MIT License"], "ISC": ["ISC License"], "Unlicense": ["Unlicense"], "Zlib": ["zlib License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License"], "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License"],
+    "BSD": ["BSD License"], "Apache": ["Apache License"],
+    "Apache-2.0": ["Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License"],
+    "MPL": ["Mozilla Public License"], "EPL": ["Eclipse Public License"],
+    **{f"MPL-{v}": [f"Mozilla Public License {v}", f"Mozilla Public License, version {v}", f"Mozilla Public License, v. {v}", f"MPL {v}"]
+       for v in ("1.1", "2.0")},
+    **{f"EPL-{v}": [f"Eclipse Public License {v}", f"Eclipse Public License, version {v}", f"Eclipse Public License v{v}", f"EPL {v}"]
+       for v in ("1.0", "2.0")},
+    "GFDL": ["GNU Free Documentation License"], "GFDL-1.3": ["GNU Free Documentation License, Version 1.3"],
+    **{k: [f"GNU {name} Public License", f"GNU {k}"] for k, name in _GNU.items()},
+    **{f"{k}-{v}": [f"GNU {name} Public License, version {n}", f"GNU {name} Public License v{n}", f"GNU {k} version {n}", f"GNU {k} v{n}",
+                    f"{k} version {n}", f"{k} v{n}", f"{k}v{n}", f"{k}-{v}"]
+       for k, name, v in [("GPL", "General", "2.0"), ("GPL", "General", "3.0"), ("LGPL", "Lesser General", "2.1"),
+                          ("LGPL", "Lesser General", "3.0"), ("AGPL", "Affero General", "3.0")] for n in {v, v.removesuffix(".0")}},
+    **{f"CC-{k}-{v}": [f"CC {k} {v}", f"Creative Commons {k} {v}", f"Creative Commons {name} {v}",
+                       f"Creative Commons {name} {v} {scope} License"]
+       for k, name in _CC.items() for v, scope in (("3.0", "Unported"), ("4.0", "International"))},
+    **{f"CC-{k}": [f"CC {k}", f"Creative Commons {k}", f"Creative Commons {name}", f"Creative Commons {name} License"]
+       for k, name in _CC.items()},
+    "CC0-1.0": ["CC0", "CC0 1.0", "CC0 1.0 Universal"],
+}
+LICENSES = Path(__file__).parent / "licenses"
+
+
+def all_templates() -> dict[str, str]:
+    """``TEMPLATES``, the wordings of notices (name-notice/number) and the full texts (name-text)."""
+    out = dict(TEMPLATES)
+    for name, called in CALLED.items():
+        articles = ("", "the ", "a ", "the terms of the ", "the terms of a ") if name.startswith("CC") else \
+            ("", "the ", "the terms of the ")
+        # a name of one word after a long opening would be matched by the opening alone
+        wordings = [f"{verb} {article}{x}" for verb in VERBS for article in articles for x in called
+                    if len(words_of(x)) > 1 or "terms" not in article]
+        wordings += [f"terms of the {x}" for x in called if len(words_of(x)) == 1]
+        out |= {f"{name}-notice/{i}": x for i, x in enumerate(wordings)}
+    return out | {f"{f.stem}-text": f.read_text(encoding="utf-8") for f in sorted(LICENSES.glob("*.txt"))}
+
+
+def family_of(name: str) -> str:
+    """GPL for the GNU licences, otherwise what stands before the first hyphen or digit."""
+    first = re.split(r"[-\d/]", name)[0]
+    return "GPL" if first in ("LGPL", "AGPL", "GFDL") else first
+
+
+def rivals(a: str, b: str) -> bool:
+    """Whether only the better of two templates is reported for a window: those of a family, and notices."""
+    return family_of(a) == family_of(b) or "-notice" in a and "-notice" in b
+
 
 def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text.lower()) if text else []
@@ -123,9 +209,13 @@ class Scanner:
         codes = [self._bigrams(np.array([self.number[w] for w in t])) for t in words]
         self.bags = [Counter(c.tolist()) for c in codes]
         self.counts = [len(c) for c in codes]
+        self.every = np.unique(np.concatenate(codes))
         self.known = np.zeros(self.size * self.size, bool)
-        self.known[np.concatenate(codes)] = True
-        self.sets = [np.array(sorted(b)) for b in self.bags]
+        self.known[self.every] = True
+        self.member = np.zeros((len(codes), len(self.every)), bool)
+        for t, c in enumerate(codes):
+            self.member[t, np.searchsorted(self.every, c)] = True
+        self.sizes = np.array(self.counts)
 
     def _bigrams(self, ids: np.ndarray) -> np.ndarray:
         return np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] * self.size + ids[1:], 0)
@@ -135,51 +225,95 @@ class Scanner:
         common = sum(min(n, bag[x]) for x, n in Counter(window.tolist()).items() if x in bag)
         return 2 * common / (len(window) + self.counts[t])
 
-    def scan(self, text: str | None) -> list[tuple[str, float, int, int, str]]:
-        """(template, dice, first word, words, matched words) of each template that reaches the threshold."""
+    def _read(self, text: str | None):
+        """Words, codes, positions of known bigrams, their numbers, and the templates that are possible by size and hits."""
         words = words_of(text)
         get = self.number.get
         ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
-        if len(ids) < 2:
-            return []
-        codes = self._bigrams(ids)
+        codes = self._bigrams(ids) if len(ids) > 1 else ids[:0]
         hits = np.flatnonzero(self.known[codes] & (codes > 0))
-        if not len(hits):
-            return []
-        out, n, seen = [], len(codes), set(codes[hits].tolist())
-        for t, m in enumerate(self.counts):
-            if n < m * self.threshold / (2 - self.threshold) or seen.isdisjoint(self.bags[t]):
+        found = np.searchsorted(self.every, codes[hits])
+        n = len(codes)
+        span = np.minimum(self.sizes, n)
+        possible = self.sizes * self.threshold / (2 - self.threshold) <= n
+        if len(hits):
+            numbers, times = np.unique(found, return_counts=True)
+            enough = np.ceil(self.threshold * (span + self.sizes) / 2 - 1e-9)
+            possible &= (len(hits) >= enough)
+            left = np.flatnonzero(possible)
+            left = left[self.member[np.ix_(left, numbers)].astype(np.float32) @ times.astype(np.float32) >= enough[left]]
+        else:
+            left = hits
+        return words, codes, hits, found, left.tolist()
+
+    def _best(self, t: int, codes, hits, found, taken=()) -> tuple[float, int, int] | None:
+        """Dice, place and bigrams of the template's best window that is not the same as one of ``taken``."""
+        n, m = len(codes), self.counts[t]
+        span = min(n, m)
+        inside = np.zeros(n + 1, np.int64)
+        inside[hits + 1] = self.member[t, found]
+        inside = np.cumsum(inside)
+        hit = inside[span:] - inside[:-span]
+        least = ceil(self.threshold * (span + m) / 2 - 1e-9)
+        at = np.flatnonzero(hit >= least)
+        for start, length in taken:
+            shared = np.minimum(at + span, start + length) - np.maximum(at, start)
+            at = at[2 * shared < span]
+        best, where = 0.0, -1
+        for k in at[np.argsort(-hit[at], kind="stable")].tolist():
+            bound = 2 * int(hit[k]) / (span + m)
+            if bound < best or bound == best and k > where:
+                if bound < best:
+                    break
                 continue
-            span = min(n, m)
-            inside = np.concatenate([[0], np.cumsum(np.isin(codes, self.sets[t]))])
-            hit = inside[span:] - inside[:-span]
-            least = ceil(self.threshold * (span + m) / 2 - 1e-9)
-            at = np.flatnonzero(hit >= least)
-            best, where = 0.0, -1
-            for k in at[np.argsort(-hit[at], kind="stable")].tolist():
-                bound = 2 * int(hit[k]) / (span + m)
-                if bound < best or bound == best and k > where:
-                    if bound < best:
-                        break
-                    continue
-                found = self.dice(t, codes[k:k + span])
-                if found > best or found == best and k < where:
-                    best, where = found, k
-            if best >= self.threshold:
-                out.append((self.names[t], best, where, span + 1, " ".join(words[where:where + span + 1])))
-        return out
+            d = self.dice(t, codes[k:k + span])
+            if d > best or d == best and k < where:
+                best, where = d, k
+        return (best, where, span) if best >= self.threshold else None
+
+    def _row(self, words: list[str], name: str, hit: tuple[float, int, int]) -> tuple[str, float, int, int, str]:
+        best, where, span = hit
+        return name, best, where, span + 1, " ".join(words[where:where + span + 1])
+
+    def scan(self, text: str | None) -> list[tuple[str, float, int, int, str]]:
+        """(template, dice, first word, words, matched words) of each template that reaches the threshold."""
+        words, codes, hits, found, left = self._read(text)
+        return [self._row(words, self.names[t], hit) for t in left if (hit := self._best(t, codes, hits, found))]
+
+    def report(self, text: str | None) -> list[tuple[str, float, int, int, str]]:
+        """The same for each licence, with the best template of a family for the same window."""
+        words, codes, hits, found, left = self._read(text)
+        todo = {t: hit for t in left if (hit := self._best(t, codes, hits, found))}
+        out, taken = [], []
+        while todo:
+            t = min(todo, key=lambda t: (-todo[t][0], -todo[t][2], todo[t][1], t))
+            full, name, hit = self.names[t], self.names[t].split("/")[0], todo.pop(t)
+            out.append((t, self._row(words, name, hit)))
+            taken.append((full, hit[1:]))
+            for u, (_, at, span) in list(todo.items()):
+                other = self.names[u]
+                if other.split("/")[0] == name:
+                    del todo[u]
+                elif rivals(full, other) and 2 * (min(at + span, hit[1] + hit[2]) - max(at, hit[1])) >= span:
+                    if found_else := self._best(u, codes, hits, found, [w for n, w in taken if rivals(n, other)]):
+                        todo[u] = found_else
+                    else:
+                        del todo[u]
+        return [row for _, row in sorted(out)]
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, license, dice, first_word, n_words, matched."""
-    templates = dict(TEMPLATES if templates is None else templates)
+    own = templates is not None
+    templates = dict(templates) if own else all_templates()
 
     def run(batches):
         scanner = Scanner(templates, threshold)
+        rows_of = scanner.scan if own else scanner.report
         for batch in row_groups(batches):
             rows = [(i, *hit) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for hit in scanner.scan(text)]
+                    for hit in rows_of(text)]
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = (batch.column(0).type, pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
