@@ -35,8 +35,8 @@ DIMENSION_LIMIT = 1_000_000  # more than the category pairs or ship modes of any
 
 
 def _numbered(values: DataFrame, name: str) -> DataFrame:
-    """The distinct rows of a small dimension, numbered in their order from 1 (raises beyond ``DIMENSION_LIMIT``)."""
-    ids = values.distinct().withColumn(name, F.row_number().over(Window.orderBy(*values.columns)))
+    """The distinct rows of a small dimension, numbered in their order from 1, nulls last (raises beyond ``DIMENSION_LIMIT``)."""
+    ids = values.distinct().withColumn(name, F.row_number().over(Window.orderBy(*[F.asc_nulls_last(c) for c in values.columns])))
     n = ids.count()
     if n >= DIMENSION_LIMIT:
         raise ValueError(f"{n} distinct values of {values.columns}")
@@ -52,28 +52,31 @@ def order_table(spark, sf_dir) -> DataFrame:
     (a product has one pair, so these add up).  Per order: the sums of those,
     and the pair with the largest sales, ties by name, as the minimum of one
     packed number (negated cents, then the pair's number).  Orders, customers
-    and geography join once, order by order.
+    and geography join once, order by order.  Lines without a ship mode,
+    category or sub-category count in all but those columns.
     """
     part = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"), F.col("p_brand").alias("sub_category"),
         "p_retailprice")
     pairs = _numbered(part.select("category", "sub_category"), "pair") \
-        .withColumn("cat", F.dense_rank().over(Window.orderBy("category"))) \
-        .withColumn("sub", F.dense_rank().over(Window.orderBy("sub_category")))
+        .withColumn("cat", F.when(F.col("category").isNotNull(), F.dense_rank().over(Window.orderBy("category")))) \
+        .withColumn("sub", F.when(F.col("sub_category").isNotNull(), F.dense_rank().over(Window.orderBy("sub_category"))))
     raw = read_table(spark, sf_dir, "lineitem")
-    modes = _numbered(raw.select(fact_column("ship_mode").alias("ship_mode")), "mode")
+    modes = _numbered(raw.select(fact_column("ship_mode").alias("ship_mode")).where("ship_mode IS NOT NULL"), "mode")
     lines = raw.select(
         F.col("l_orderkey").alias("order_id"), "l_partkey", "l_extendedprice", "l_discount", "l_quantity",
         *[fact_column(c).alias(c) for c in ("ship_mode", "ship_date", "sales", "discount", "quantity", "shipping_cost")])
-    part = part.join(F.broadcast(pairs), ["category", "sub_category"]).select("product_id", "p_retailprice", "pair", "cat", "sub")
-    lines = lines.join(F.broadcast(modes), "ship_mode").join(part, F.col("l_partkey") == F.col("product_id")) \
+    part = part.alias("p").join(F.broadcast(pairs.alias("n")), F.col("p.category").eqNullSafe(F.col("n.category")) & F.col(
+        "p.sub_category").eqNullSafe(F.col("n.sub_category")), "left").select("product_id", "p_retailprice", "pair", "cat", "sub")
+    lines = lines.join(F.broadcast(modes), "ship_mode", "left").join(part, F.col("l_partkey") == F.col("product_id")) \
         .withColumn("profit", fact_column("profit"))
     per_pair = lines.groupBy("order_id", "pair", "cat", "sub").agg(
         F.min("ship_date").alias("ship_date"), F.min("mode").alias("mode"), F.sum("sales").alias("s"),
         F.sum("profit").alias("p"), F.sum("quantity").alias("q"), F.sum("discount").alias("ds"),
         F.count("discount").alias("dn"), F.max("discount").alias("dm"), F.sum("shipping_cost").alias("sc"),
         F.count(F.lit(1)).alias("n"), F.countDistinct("product_id").alias("np"))
-    best = F.min((F.col("s") * -100).cast("decimal(31,0)") * F.lit(DIMENSION_LIMIT) + F.col("pair"))
+    place = (F.col("s") * -100).cast("decimal(31,0)") * F.lit(DIMENSION_LIMIT) + F.col("pair")
+    best = lambda c: F.pmod(F.min(F.when(F.col(c).isNotNull(), place)), F.lit(DIMENSION_LIMIT)).cast("int")
     per_order = per_pair.groupBy("order_id").agg(
         F.min("ship_date").alias("ship_date"), F.min("mode").alias("mode"),
         F.round(F.sum("s"), 2).alias("order_sales"), F.round(F.sum("p"), 2).alias("order_profit"),
@@ -82,12 +85,14 @@ def order_table(spark, sf_dir) -> DataFrame:
         N.money(F.max("dm"), 4).alias("order_max_discount"), F.round(F.sum("sc"), 2).alias("order_shipping_cost"),
         F.sum("n").alias("order_line_count"), F.sum("np").alias("num_products"),
         F.countDistinct("cat").alias("num_categories"), F.countDistinct("sub").alias("num_sub_categories"),
-        F.pmod(best, F.lit(DIMENSION_LIMIT)).cast("int").alias("pair"))
+        best("cat").alias("cat_pair"), best("sub").alias("sub_pair"))
     side = order_lines_side(spark, sf_dir, ["customer_id", "customer_name", "order_date", "market", "country", "segment",
                                             "order_priority"])
-    main = pairs.select("pair", F.col("category").alias("main_category"), F.col("sub_category").alias("main_sub_category"))
-    return (per_order.join(side, "order_id").join(F.broadcast(modes), "mode").join(F.broadcast(main), "pair", "left")
-            .drop("mode", "pair").withColumns({
+    main = pairs.select(F.col("pair").alias("cat_pair"), F.col("category").alias("main_category"))
+    main_sub = pairs.select(F.col("pair").alias("sub_pair"), F.col("sub_category").alias("main_sub_category"))
+    return (per_order.join(side, "order_id").join(F.broadcast(modes), "mode", "left")
+            .join(F.broadcast(main), "cat_pair", "left").join(F.broadcast(main_sub), "sub_pair", "left")
+            .drop("mode", "cat_pair", "sub_pair").withColumns({
                 "order_key": order_key("customer_id", "order_id", "order_date"),
                 "ship_days": F.datediff("ship_date", "order_date"), "order_year": F.year("order_date"),
                 "order_month": F.month("order_date"), "order_quarter": F.quarter("order_date"),

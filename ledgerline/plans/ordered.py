@@ -64,9 +64,10 @@ def chunked_scan(df: DataFrame, partition_by: list[str], order_by: list[str], ch
     """Windows per key, computed per (key, chunk); see the module text.
 
     ``order_by`` are column names, ascending; ``chunk`` must not decrease
-    along them.  Kinds as in ``ordered_scan``; keys may be null.
+    along them.  Kinds as in ``ordered_scan``; keys may be null, and so may
+    the chunk of rows that come first (a struct with a null equals another).
     """
-    rows = df.withColumn("_k", F.struct(*partition_by)).withColumn(_PID, chunk)
+    rows = df.withColumn("_k", F.struct(*partition_by)).withColumn(_PID, F.struct(chunk.alias("c")))
     w = Window.partitionBy("_k", _PID).orderBy(*order_by)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

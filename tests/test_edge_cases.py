@@ -123,3 +123,44 @@ def test_week_rules(spark):
     got = [(r["iso"], r["sun"]) for r in df.select(week_iso(F.col("d")).alias("iso"),
                                                      week_sunday(F.col("d")).alias("sun")).collect()]
     assert got == [(52, 1), (1, 53), (52, 54)]
+
+
+def test_order_table_keeps_lines_without_mode_or_category(spark, tmp_path):
+    """Null flags, types and brands: whole orders without a ship mode, and parts without category or sub-category."""
+    import os
+    from collections import defaultdict
+
+    from conftest import SF_SMALL
+    from ledgerline.operators.features import order_table
+    from ledgerline.sources.fact import order_lines, read_table
+    changed = {
+        "lineitem": {"l_returnflag": "CASE WHEN l_orderkey % 7 <> 0 AND l_partkey % 3 <> 0 THEN l_returnflag END"},
+        "part": {"p_type": "CASE WHEN p_partkey % 5 <> 0 THEN p_type END", "p_brand": "CASE WHEN p_partkey % 2 <> 0 THEN p_brand END"}}
+    for name in os.listdir(SF_SMALL):
+        table = name.removesuffix(".parquet")
+        if table in changed:
+            read_table(spark, SF_SMALL, table).withColumns({c: F.expr(x) for c, x in changed[table].items()}) \
+                .write.parquet(str(tmp_path / name))
+        else:
+            os.symlink(os.path.join(SF_SMALL, name), tmp_path / name)
+    want = defaultdict(list)
+    for r in order_lines(spark, str(tmp_path), ["order_id", "ship_mode", "category", "sub_category", "product_id", "sales"]).collect():
+        want[r["order_id"]].append(r)
+
+    def main(rows, column):
+        sales = defaultdict(int)
+        for r in rows:
+            sales[r["category"], r["sub_category"]] += r["sales"]
+        last = lambda x: (x is None, x or "")
+        left = [((-s, last(c), last(b)), c if column == "category" else b) for (c, b), s in sales.items()]
+        return min((x for x in left if x[1] is not None), default=(0, None))[1]
+
+    got = {r["order_id"]: r for r in order_table(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and any(all(r["ship_mode"] is None for r in rows) for rows in want.values())
+    for k, rows in want.items():
+        distinct = lambda c: {r[c] for r in rows} - {None}  # noqa: B023, E731
+        g = got[k]
+        assert (g["order_line_count"], g["order_sales"], g["num_products"], g["num_categories"], g["num_sub_categories"], g["ship_mode"],
+                g["main_category"], g["main_sub_category"]) == (
+            len(rows), round(sum(r["sales"] for r in rows), 2), len(distinct("product_id")), len(distinct("category")),
+            len(distinct("sub_category")), min(distinct("ship_mode"), default=None), main(rows, "category"), main(rows, "sub_category"))

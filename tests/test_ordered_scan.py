@@ -58,6 +58,14 @@ def test_chunked_scan_matches_window(spark, skewed, chunk, partitions):
     assert _rows(got.fillna(-1, ["k"])) == _rows(exp)
 
 
+@pytest.mark.parametrize(("chunk", "partitions"), [("d div 30", 3), ("cast(d div 7 as string)", 4)])
+def test_chunked_scan_keeps_rows_without_a_chunk(spark, skewed, chunk, partitions):
+    df = skewed.withColumn("d", F.when(F.col("o") % 11 != 0, F.col("d") + 7_000)).repartition(partitions)
+    got = chunked_scan(df, ["k"], ["d", "o"], F.expr(chunk), SPEC)
+    exp = _expected(df, ["k"], ["d", "o"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, exp.collect()))
+
+
 def test_chunked_scan_splits_the_hot_key_and_shuffles_the_rows_once(spark, skewed):
     rows = skewed.withColumn("wide", F.repeat(F.lit("x"), 100))
     got = chunked_scan(rows, ["k"], ["d", "o"], F.expr("d div 30"), SPEC)
