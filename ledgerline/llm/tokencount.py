@@ -16,7 +16,8 @@ the last separator before and the one after it.
 file per input partition, as rows (file, block, data), and beside it the
 ids of the documents in file order.  ``read_flat`` reads plain binary files.
 
-Cases: null or empty text has 0 tokens; documents follow one another in the
+Cases: null or empty text has 0 tokens; special strings of the tokenizer, such
+as a literal '<|endoftext|>', are tokens like others; documents follow one another in the
 order of their rows; ids after the last separator of a file are a last
 document marked as not closed (``closed`` false); blocks may be empty or
 missing at the end; empty tables give no rows; other columns are not read.
@@ -34,7 +35,7 @@ from ledgerline.llm import tokens
 from ledgerline.llm.util import byte_rows, row_groups
 from ledgerline.plans.lineage import cut, drop_cut
 
-SEPARATOR = 49407
+SEPARATOR = 49408  # the first 16-bit id beyond the tokenizer's: no text can hold it
 BLOCK_IDS = 1 << 16
 RUN_BLOCKS = 1024
 

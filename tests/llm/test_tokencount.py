@@ -65,5 +65,14 @@ def test_counts_are_the_tokenizers(spark):
             at += r["n_tokens"] + 1
 
 
+def test_special_strings_are_tokens(spark):
+    texts = ["a<|endoftext|>b <|startoftext|> c", "<|endoftext|><|endoftext|>", "<|endoftext|>", "plain", "<|endof text|>"]
+    t = Tokenizer.from_file(tokens.tokenizer_path())
+    assert max(t.get_vocab().values()) < C.SEPARATOR < 1 << 16
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["n_tokens"] for r in C.count_documents(df).collect()}
+    assert got == {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in enumerate(texts)}
+
+
 def test_empty_table(spark):
     assert C.count_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
