@@ -16,12 +16,13 @@ skipped, so a large group of near copies costs about one verification each.
 
 Sets meet in one tree only if they can be linked.  The hash range is cut
 into slices, and two sets share a tree if they agree on a whole slice that
-is not empty.  For sets of up to ``MAX_SLICES`` / (1 - t) * (1 + t) / 2
-n-grams (t: the threshold; about 600 at 0.9) this loses nothing: sets with
-that similarity differ in d tokens at most and there are more than d
-slices, so one is the same in both (empty slices count where a set is too
-small to have more than d full ones).  Longer sets use ``MAX_SLICES`` of
-their slices, each the same in both with a chance of at least about a
+is not empty.  The number of slices is chosen per power of two of the size.
+As long as ``MAX_SLICES`` are enough for the largest set of that range (up
+to 511 n-grams at 0.9, 255 at 0.8) this loses nothing: sets with that
+similarity differ in d tokens at most and there are more than d slices, so
+one is the same in both (empty slices count where a set is too small to
+have more than d full ones).  If either set is longer, ``MAX_SLICES`` of
+their slices are used, each the same in both with a chance of at least about a
 third at the threshold: a link is missed with a chance below 2e-11.
 
 At scale: slices that only one class has are dropped after one aggregation

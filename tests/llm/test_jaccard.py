@@ -101,6 +101,21 @@ def test_linked_sets_share_a_slice():
                 assert len(np.intersect1d(slices(a, num, 100), slices(b, num, 100)))
 
 
+def test_stated_exact_range():
+    """All slices of a set are used up to the stated sizes, and not beyond."""
+    from ledgerline.llm import jaccard
+    rng = np.random.default_rng(1)
+    for num, most in ((90, 511), (80, 255)):
+        assert f"{most} " in jaccard.__doc__ and f"at 0.{num // 10}" in jaccard.__doc__
+        for n in (most, most + 1):
+            a = np.sort(rng.choice(1 << 62, n, replace=False).astype(np.uint64) * np.uint64(4))
+            a[-1] = np.uint64(2**64 - 2)                # in the last slice of any number
+            b = a.copy()
+            b[-1] += np.uint64(1)
+            own = set(slices(a, num, 100).tolist())
+            assert (own != set(slices(b, num, 100).tolist())) == (n == most)  # a change in the last slice shows
+
+
 def test_long_texts(spark):
     rnd = random.Random(3)
     base = [str(rnd.randrange(10**6)) for _ in range(30_000)]
