@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, htmltext, jaccard, langid, license, mixing, packing, tokencount, toolcalls, topk
+from ledgerline.llm import ann, htmltext, jaccard, langid, license, mixing, packing, spelling, tokencount, toolcalls, topk, \
+    turntrie
 from ledgerline.llm.util import table
 
 QUERIES: dict = {}
@@ -185,3 +186,57 @@ def op4_main_text(spark, sf_dir):
 def op8_token_counts(spark, sf_dir):
     """Tokens of every document, counted between the separators of flat token files."""
     return tokencount.count_documents(table(spark, sf_dir, "documents"))
+
+
+#: crc32 of a list of bytes as unsigned number, in SQL: a table of 256 steps, then one step a byte.
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z:
+    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS steps
+  FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], {bytes}), lambda a, b:
+    xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+
+@query(sql=rf"""
+WITH {_CRC_TABLE},
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+named AS (
+  SELECT conv_id, turn, sha256(strlen(role)::VARCHAR || ':' || role || text)[1:32] AS id,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM turns),
+words AS (SELECT id, any_value(words) AS words FROM named GROUP BY id),
+own AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids FROM named GROUP BY conv_id),
+dealt AS (
+  SELECT o.conv_id, o.ids, b.ids AS base,
+         {_CRC.format(bytes="[ord(x)::BIGINT FOR x IN string_split(o.conv_id::VARCHAR, '')]")} % 4 AS h
+  FROM crc_table, own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+rebuilt AS (SELECT conv_id, list_concat(coalesce(base[1:h], []), ids[h + 1:]) AS ids FROM dealt),
+steps AS (SELECT conv_id, ids, unnest(range(len(ids) + 1)) AS depth FROM rebuilt),
+nodes AS (
+  SELECT array_to_string(ids[1:depth], '') AS p, any_value(ids[1:depth]) AS ids, depth, min(conv_id) AS conv_id,
+         count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(ids)), '')) AS ends
+  FROM steps GROUP BY p, depth),
+kids AS (SELECT array_to_string(ids[1:depth - 1], '') AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+worth AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * w.words END AS saved
+  FROM nodes n LEFT JOIN kids k USING (p) LEFT JOIN words w ON w.id = n.ids[n.depth]),
+above AS (SELECT *, unnest(range(depth + 1)) AS top FROM worth),
+sums AS (
+  SELECT array_to_string(ids[1:top], '') AS p, sum(saved)::BIGINT AS saved_tokens,
+         count(*) FILTER (n_children = 0)::BIGINT AS n_leaves
+  FROM above GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens,
+       n.ends AS ends_sha256
+FROM worth n JOIN sums s USING (p)
+LEFT JOIN nodes u ON n.depth > 0 AND u.p = array_to_string(n.ids[1:n.depth - 1], '')
+""")
+def op11_turn_trie(spark, sf_dir):
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return turntrie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    """Words of all documents with the far more frequent word one edit away."""
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
