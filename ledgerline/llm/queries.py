@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, htmltext, jaccard, langid, license, mixing, packing, spelling, tokencount, toolcalls, topk, \
+from ledgerline.llm import ann, htmltext, jaccard, langid, license, lmscore, mixing, packing, spelling, tokencount, toolcalls, topk, \
     turntrie
 from ledgerline.llm.util import table
 
@@ -240,3 +240,12 @@ def op11_turn_trie(spark, sf_dir):
 def op12_spelling_variants(spark, sf_dir):
     """Words of all documents with the far more frequent word one edit away."""
     return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_lm_scores(spark, sf_dir):
+    """Language-model scores of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = lmscore.held_out(F.col("doc_id"))
+    return lmscore.score(docs, ~fold).withColumn("held_out", fold).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
