@@ -19,9 +19,9 @@ text's code length is then the sum over its positions of
 gather each, exactly the step-by-step code.
 
 Training uses at most ``SAMPLE_SEGMENTS`` segments of ``SEGMENT_CHARS``
-characters over all languages (an equal share for each; those with the
-smallest text hash, repeated segments once): that bounds the model, which
-is collected once and broadcast.  Scoring reads every whole text.
+characters over all languages (an equal share for each, less of each beyond
+four languages; those with the smallest text hash, repeated segments once):
+that bounds the model, which is built in a task, collected once and broadcast.  Scoring reads every whole text.
 
 Cases: null or empty text, or one without any letter, is ``und`` with score
 0, as is every text if nothing was learned; ties go to the language first
@@ -32,6 +32,7 @@ ValueError; other columns are kept as they are.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.util import byte_rows, fresh_name, row_groups
+from ledgerline.plans.lineage import cut, drop_cut
 
 ORDER = 4
 SAMPLE_SEGMENTS = 1024
@@ -48,11 +50,23 @@ SEGMENT_CHARS = 4096
 MAX_LANGUAGES = 200
 UNDETERMINED = "und"
 BLOCK_BYTES = 1 << 18
+PART_BYTES = 1 << 23
 REJECT_BITS = 64
 
 _TAG = np.int64(1) << np.int64(8 * (ORDER + 1))  # a string of k bytes is the number k * _TAG + its bytes
 
 
+def sample_size(languages: int, segments: int, segment_chars: int) -> tuple[int, int]:
+    """Segments per language and characters per segment.
+
+    The model has a table of strings by languages: beyond four languages the
+    sample shrinks as their number grows, so that characters times languages stay below
+    4 * ``segments`` * ``segment_chars``.
+    """
+    chars = max(1, min(segments * segment_chars // languages, 4 * segments * segment_chars // languages ** 2))
+    return max(1, chars // segment_chars), min(segment_chars, chars)
+
+
 def sample(labelled: DataFrame, segments: int, segment_chars: int) -> tuple[list[str], DataFrame]:
     """The languages, and at most ``segments`` segments (lang, text) of the labelled rows (lang, text)."""
     names = [r["lang"] for r in labelled.select("lang").where("lang IS NOT NULL").distinct().limit(MAX_LANGUAGES + 1).collect()]
@@ -61,15 +75,25 @@ def sample(labelled: DataFrame, segments: int, segment_chars: int) -> tuple[list
     labelled = labelled.where("lang IS NOT NULL AND length(text) > 0")
     if not names:
         return [], labelled.select("lang", "text")
-    share = max(1, segments // len(names))
+    share, segment_chars = sample_size(len(names), segments, segment_chars)
     # one pass over each text, however long
     parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{segment_chars}}}"), F.lit(0))
-    cut = labelled.select("lang", F.explode(parts).alias("text")).withColumn("h", F.xxhash64("text"))
+    segs = labelled.select("lang", F.explode(parts).alias("text")).withColumn("h", F.xxhash64("text"))
     # hashes alone are moved and ranked; the texts of the few that are chosen are read again
+    hashes = cut(segs.select("lang", "h").distinct(), "segment-hashes")
+    # of a language with many segments only those below a hash that leaves about four shares are ranked
+    limits = []
+    for r in hashes.groupBy("lang").agg(F.count("*").alias("n")).collect():
+        few = 4 * share + 256
+        limits += [F.lit(r["lang"]), F.lit((1 << 63) - 1 if r["n"] <= few else -(1 << 63) + (few << 64) // r["n"])]
+    limit = F.element_at(F.create_map(*limits), F.col("lang")) if limits else F.lit(0)
     first = Window.partitionBy("lang").orderBy("h")
-    chosen = cut.select("lang", "h").distinct().withColumn("rank", F.row_number().over(first)) \
+    chosen = hashes.where(F.col("h") <= limit).withColumn("rank", F.row_number().over(first)) \
         .where(F.col("rank") <= share).select("lang", "h")
-    return sorted(names), cut.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
+    texts = segs.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
+    texts = cut(texts.coalesce(4), "training-segments")
+    drop_cut(hashes)
+    return sorted(names), texts
 
 
 def strings(block: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
@@ -86,20 +110,19 @@ def strings(block: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
 def count_strings(segments: DataFrame, order: int = ORDER) -> DataFrame:
     """How often each byte string of 1 to ``order`` + 1 bytes occurs in each language: lang, string, n."""
     def run(batches):
+        texts: dict = {}  # a task holds its part of the sample, so a string is one row per task and language
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), dtype=object)
-            texts = byte_rows(batch.column(1))
-            for lang in sorted(set(langs)):
-                mine = [texts[i] for i in np.flatnonzero(langs == lang) if texts[i]]
-                if not mine:
-                    continue
-                block = np.frombuffer(b"".join(mine), np.uint8)
-                starts = np.cumsum([0, *map(len, mine[:-1])])
-                for k in range(1, order + 2):
-                    found, n = np.unique(strings(block, starts, k), return_counts=True)
-                    found, n = found[found > 0], n[found > 0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()),
-                                                      pa.array(n, pa.int64())], names=["lang", "string", "n"])
+            for lang, text in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1)), strict=True):
+                if text:
+                    texts.setdefault(lang, []).append(text)
+        for lang, mine in sorted(texts.items()):
+            block = np.frombuffer(b"".join(mine), np.uint8)
+            starts = np.cumsum([0, *map(len, mine[:-1])])
+            for k in range(1, order + 2):
+                found, n = np.unique(strings(block, starts, k), return_counts=True)
+                found, n = found[found > 0], n[found > 0]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()),
+                                                  pa.array(n, pa.int64())], names=["lang", "string", "n"])
 
     return segments.mapInArrow(run, "lang string, string long, n long") \
         .groupBy("lang", "string").agg(F.sum("n").alias("n"))
@@ -214,15 +237,31 @@ def build(langs: list[str], lang: np.ndarray, string: np.ndarray, n: np.ndarray,
 
 
 def train(labelled: DataFrame, segments: int = SAMPLE_SEGMENTS, segment_chars: int = SEGMENT_CHARS) -> Model | None:
-    """The model of labelled rows (lang, text); None if there is nothing to learn from."""
-    langs, chosen = sample(labelled, segments, segment_chars)
-    counts = count_strings(chosen).toPandas() if langs else []  # bounded by the sample
-    if not len(counts):
-        return None
-    # languages whose texts are all empty teach nothing
-    langs = sorted(set(counts["lang"]), key=lambda x: x.encode())
-    number = {x: i for i, x in enumerate(langs)}
-    return build(langs, counts["lang"].map(number).to_numpy(), counts["string"].to_numpy(), counts["n"].to_numpy())
+    """The model of labelled rows (lang, text); None if there is nothing to learn from.
+
+    It is built in a task, from counts that the sample bounds, and comes to the driver as the arrays that are broadcast.
+    """
+    _, chosen = sample(labelled, segments, segment_chars)
+
+    def run(batches):
+        langs, string, n = [], [], []
+        for batch in batches:
+            langs += batch.column(0).to_pylist()
+            string.append(batch.column(1).to_numpy())
+            n.append(batch.column(2).to_numpy())
+        if langs:
+            # languages whose texts are all empty teach nothing
+            names = sorted(set(langs), key=lambda x: x.encode())
+            number = {x: i for i, x in enumerate(names)}
+            model = build(names, np.array([number[x] for x in langs]), np.concatenate(string), np.concatenate(n), order=ORDER)
+            data = pickle.dumps(vars(model))
+            for at in range(0, len(data), PART_BYTES):
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([data[at:at + PART_BYTES]], pa.binary())],
+                                                 names=["at", "data"])
+
+    parts = sorted(count_strings(chosen).coalesce(1).mapInArrow(run, "at long, data binary").collect())
+    drop_cut(*[x for x in [chosen] if hasattr(x, "_cut_path")])
+    return Model(**pickle.loads(b"".join(bytes(r["data"]) for r in parts))) if parts else None
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", names: tuple[str, str, str] =

@@ -120,3 +120,30 @@ def test_too_many_languages(spark, monkeypatch):
     docs = spark.range(5).select(F.lit("abc").alias("text"), F.col("id").cast("string").alias("lang"))
     with pytest.raises(ValueError):
         langid.train(docs)
+
+
+@pytest.mark.parametrize("n", [1, 200])
+def test_counted_rows_do_not_depend_on_partitions(spark, n):
+    docs = spark.range(3000).select(F.concat_ws(" ", F.lit("word"), F.col("id"), F.repeat(F.lit("more text "), 20)).alias("text"),
+                                    F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("lang")).repartition(n)
+    _, chosen = langid.sample(docs, 256, 64)
+    assert chosen.rdd.getNumPartitions() <= 8
+    seen = spark.sparkContext.accumulator(0)
+    raw = langid.strings
+
+    def counted(block, starts, k):
+        seen.add(1)
+        return raw(block, starts, k)
+    langid.strings = counted
+    try:
+        rows = langid.count_strings(chosen).collect()
+    finally:
+        langid.strings = raw
+    assert rows and seen.value <= 8 * 2 * (langid.ORDER + 1)  # per task and language, not per batch or partition of docs
+
+
+def test_sample_shrinks_with_languages():
+    for languages in (1, 2, 4, 5, 50, 200):
+        share, chars = langid.sample_size(languages, langid.SAMPLE_SEGMENTS, langid.SEGMENT_CHARS)
+        assert share * chars * languages * max(4, languages) <= 4 * langid.SAMPLE_SEGMENTS * langid.SEGMENT_CHARS
+        assert share * chars > 400
