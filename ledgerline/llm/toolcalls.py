@@ -6,9 +6,10 @@ third of all rows is spread over the tasks).  Arguments are parsed as JSON
 and validated against the parameters of the tool's schema: a parameter that
 is required must be there, one that is there must be declared and have the
 declared type.  Calls are ordered so that each follows the calls it depends
-on: the level of a call is one more than that of the deepest of these, found
-in rounds, one join each, until no call is left that can be placed.  Every
-message, call and result becomes one line of canonical JSON (keys sorted at
+on: the level of a call is one more than that of the deepest of these.  Chains
+of calls that need one other each are shortened by doubling their pointers;
+the calls that need several are placed in rounds, those whose needs are all
+met in each, and each round reads what is still open only.  Every message, call and result becomes one line of canonical JSON (keys sorted at
 every depth, no white space), and (conversation, turn, level, kind, call id)
 sorts a conversation into an order in which nothing comes before what it
 depends on.
@@ -18,8 +19,12 @@ message that is a JSON object with ``tool_calls`` (``id``, ``name``,
 ``arguments``, optional ``after``: ids it depends on), and a tool message
 that is a JSON object with ``tool_call_id`` and ``content``.
 
-Cases: a call without result, a result without call, a repeated id (every
-result is linked to every call of that id; the line says so), arguments
+Text beside the calls of a message is a message of its own; an empty list of
+calls makes an ordinary message: there is a line for every message.
+
+Cases: a call without result, a result without call, a repeated id (its nth
+result by turn belongs to its nth call, the rest is reported; what depends
+on the id comes after all of its calls), arguments
 that are not a JSON object, a tool without schema, an unknown dependency
 (counts as met, is reported) and a circle of dependencies (level null,
 reported) each get their status; a message that is null or not JSON is an
@@ -29,11 +34,13 @@ id links with nothing; empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.plans.lineage import cut
 
+#: Turns of one id that are numbered together.
+RUN_TURNS = 1024
 CALLS = "array<struct<id: string, name: string, arguments: string, after: array<string>>>"
 #: JSON type names and the variant types that they allow (fixed values).
 JSON_TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"],
@@ -55,7 +62,11 @@ def messages_of(chat: DataFrame, conv: str = "conv_id", turn: str = "turn", role
     rows = rows.withColumn("calls", F.when(F.col("role") == "assistant",
                                            F.from_json(json, f"tool_calls {CALLS}")["tool_calls"])) \
         .withColumn("result_of", F.when(F.col("role") == "tool", F.get_json_object(json, "$.tool_call_id")))
-    plain = rows.where("calls IS NULL AND result_of IS NULL").select("conv", "turn", "role", "text")
+    plain = rows.where("coalesce(size(calls), 0) < 1 AND result_of IS NULL").select("conv", "turn", "role", "text")
+    # what a calling message says beside its calls
+    said = rows.where("size(calls) > 0").select("conv", "turn", "role", F.get_json_object("text", "$.content").alias("text")) \
+        .where("text IS NOT NULL")
+    plain = plain.union(said)
     calls = rows.where("calls IS NOT NULL").select("conv", "turn", F.explode("calls").alias("c")) \
         .select("conv", "turn", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"),
                 F.col("c.arguments").alias("arguments"), F.col("c.after").alias("after"))
@@ -94,51 +105,141 @@ def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     return rows.withColumn("problems", found).drop("s_name", "parameters", "_kind", "_given", "_types")
 
 
+def group_name(conv: Column, call_id: Column) -> Column:
+    """Names the calls of one id in one conversation; null for a null id."""
+    return F.md5(F.concat(F.coalesce(F.concat(F.lit("c"), conv.cast("string")), F.lit("n")), F.lit(":"), call_id))
+
+
+def chain_ends(steps: DataFrame) -> DataFrame:
+    """g, stop, far of every step (g, to) of chains, one step per g: where its chain ends and how many steps away.
+
+    Pointers are doubled, so a chain of d steps costs log2(d) rounds; ``stop``
+    is null for what runs into a circle.
+    """
+    at = cut(steps.select("g", F.col("to").alias("stop"), F.lit(1).cast("long").alias("far")), "chain")
+    n, longest, done = at.count(), 1, []
+    todo = at
+    while n and longest <= 2 * n:
+        onward = at.select(F.col("g").alias("o_g"), F.col("stop").alias("o_stop"), F.col("far").alias("o_far"))
+        both = cut(todo.join(onward, F.col("stop") == F.col("o_g"), "left"), "chain")
+        done.append(both.where("o_g IS NULL").select("g", "stop", "far"))
+        moved = both.where("o_g IS NOT NULL").select("g", F.col("o_stop").alias("stop"), (F.col("far") + F.col("o_far")).alias("far"))
+        if not moved.limit(1).count():
+            todo = None
+            break
+        # the pointers of the next round: those that moved, and those at their end
+        todo = moved
+        at = cut(both.select("g", F.coalesce("o_stop", "stop").alias("stop"),
+                             (F.col("far") + F.coalesce("o_far", F.lit(0))).alias("far"))
+                 .union(at.join(both.select("g"), "g", "left_anti")), "chain")
+        longest *= 2
+    out = at.limit(0)
+    for part in done:
+        out = out.union(part)
+    if todo is not None and n:
+        out = out.union(todo.select("g", F.lit(None).cast("string").alias("stop"), "far"))
+    return out
+
+
+def group_levels(edges: DataFrame) -> DataFrame:
+    """g, level of every g of the distinct edges (g, to; a cut): 1 more than the deepest ``to``, null in or behind circles.
+
+    What has no edges is at level 0 and not returned.  Groups with one edge
+    are chains; the groups with several, and only they, are placed in rounds.
+    """
+    many = edges.groupBy("g").agg(F.count("*").alias("n"))
+    single = edges.join(many.where("n = 1").select("g"), "g")
+    ends = cut(chain_ends(single), "chain-ends")
+    joints = cut(many.where("n > 1").select("g", F.lit(0).cast("long").alias("level")), "joints")
+    out = []
+    if joints.limit(1).count():
+        e = ends.select(F.col("g").alias("e_g"), "stop", "far")
+        needs = edges.join(joints.select("g"), "g").join(e, F.col("to") == F.col("e_g"), "left").select(
+            "g", F.when(F.col("e_g").isNull(), F.col("to")).otherwise(F.col("stop")).alias("to"),
+            (F.coalesce("far", F.lit(0)) + 1).alias("more"))
+        # an end that is no joint is at level 0, a circle is never reached
+        top = joints.select(F.col("g").alias("to"), F.lit(True).alias("joint"))
+        needs = cut(needs.join(top, "to", "left"), "joint-needs")
+        base = needs.where("to IS NOT NULL AND joint IS NULL").groupBy("g").agg(F.max("more").alias("base"))
+        waiting = cut(joints.join(base, "g", "left").select("g", F.coalesce("base", "level").alias("level")), "joints")
+        open_needs = cut(needs.where("to IS NULL OR joint").select("g", "to", "more"), "joint-needs")
+        while True:
+            now = cut(waiting.join(open_needs.select("g").distinct(), "g", "left_anti"), "placed")
+            if not now.limit(1).count():
+                break
+            out.append(now)
+            reached = now.select(F.col("g").alias("to"), F.col("level").alias("reached"))
+            given = open_needs.join(reached, "to").groupBy("g").agg(F.max(F.col("reached") + F.col("more")).alias("given"))
+            waiting = cut(waiting.join(now.select("g"), "g", "left_anti").join(given, "g", "left")
+                          .select("g", F.greatest("level", "given").alias("level")), "joints")
+            open_needs = cut(open_needs.join(reached, "to", "left_anti").select("g", "to", "more"), "joint-needs")
+        out.append(waiting.select("g", F.lit(None).cast("long").alias("level")))
+    placed = joints.limit(0)
+    for part in out:
+        placed = placed.union(part)
+    placed = cut(placed, "placed")
+    # a chain goes on from where it ends: a joint, a circle (null), or level 0
+    p = placed.select(F.col("g").alias("p_g"), "level")
+    chains = ends.join(p, F.col("stop") == F.col("p_g"), "left").select(
+        "g", F.when(F.col("stop").isNotNull(), F.when(F.col("p_g").isNull(), F.col("far")).otherwise(F.col("level") + F.col("far")))
+        .alias("level"))
+    return placed.union(chains)
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``calls`` with ``level`` (0: depends on nothing; null: in or behind a circle) and ``unmet`` (unknown ids).
 
-    One round per level: the calls whose last open dependency was placed in
-    the round before are placed in this one.
+    The calls of one id are one group: what needs the id comes after all of them.
+    """
+    calls = cut(calls.withColumn("row", F.monotonically_increasing_id())
+                .withColumn("g", group_name(F.col("conv"), F.col("call_id"))), "calls")
+    needs = calls.select("row", "conv", "g", F.explode(F.array_distinct("after")).alias("need")).where("need IS NOT NULL") \
+        .withColumn("to", group_name(F.col("conv"), F.col("need")))
+    known = calls.where("g IS NOT NULL").select(F.col("g").alias("to"), F.lit(True).alias("known")).distinct()
+    needs = cut(needs.join(known, "to", "left"), "needs")
+    unmet = needs.where("known IS NULL").groupBy("row").agg(F.array_sort(F.collect_set("need")).alias("unmet"))
+    edges = cut(needs.where("known AND g IS NOT NULL").select("g", "to").distinct(), "edges")
+    deep = group_levels(edges).select(F.col("g").alias("to"), "level", F.lit(True).alias("deep"))
+    own = needs.where("known").join(deep, "to", "left").groupBy("row").agg(
+        F.bool_or(F.col("deep").isNotNull() & F.col("level").isNull()).alias("circle"),
+        (F.max(F.coalesce("level", F.lit(0))) + 1).alias("placed"))
+    return calls.join(own, "row", "left").join(unmet, "row", "left") \
+        .withColumn("level", F.when(F.col("circle").isNull(), 0).when(~F.col("circle"), F.col("placed")).cast("int")) \
+        .withColumn("unmet", F.coalesce("unmet", F.array().cast("array<string>"))).drop("row", "g", "circle", "placed")
+
+
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` with ``nth``: their place among the rows of their conversation and call id, by turn.
+
+    Counted in runs of ``RUN_TURNS`` turns first, so an id that holds many rows is many small windows.
     """
-    calls = cut(calls.withColumn("row", F.monotonically_increasing_id()), "calls")
-    ids = calls.select("conv", "call_id").where("call_id IS NOT NULL").distinct()
-    needs = calls.select("row", "conv", F.explode(F.array_distinct("after")).alias("need")).where("need IS NOT NULL")
-    needs = needs.join(ids.select(F.col("conv").alias("i_conv"), "call_id"),
-                       F.col("conv").eqNullSafe(F.col("i_conv")) & (F.col("need") == F.col("call_id")), "left")
-    needs = cut(needs.select("row", "conv", "need", F.col("call_id").isNotNull().alias("known")), "needs")
-    unmet = needs.where("NOT known").groupBy("row").agg(F.array_sort(F.collect_set("need")).alias("unmet"))
-    open_needs = needs.where("known").select("row", "conv", "need")
-    placed = cut(calls.join(open_needs.select("row").distinct(), "row", "left_anti")
-                 .select("row", "conv", "call_id", F.lit(0).alias("level")), "placed")
-    level, left = 0, open_needs.count()
-    while left:
-        # a call may be placed when every call that carries a needed id is
-        ready = placed.groupBy("conv", "call_id").agg(F.count("*").alias("n"))
-        whole = calls.groupBy(F.col("conv").alias("a_conv"), F.col("call_id").alias("a_id")).agg(F.count("*").alias("all"))
-        done = ready.join(whole, F.col("conv").eqNullSafe(F.col("a_conv")) & (F.col("call_id") == F.col("a_id"))) \
-            .where(F.col("n") == F.col("all")).select(F.col("conv").alias("d_conv"), F.col("call_id").alias("d_id"))
-        still = open_needs.join(done, F.col("conv").eqNullSafe(F.col("d_conv")) & (F.col("need") == F.col("d_id")), "left_anti")
-        level += 1
-        now = open_needs.join(still.select("row").distinct(), "row", "left_anti").select("row").distinct()
-        now = now.join(calls.select("row", "conv", "call_id"), "row").withColumn("level", F.lit(level))
-        open_needs = cut(open_needs.join(now.select("row"), "row", "left_anti"), "needs")
-        was, left = left, open_needs.count()
-        if left == was:
-            break  # the rest are in or behind circles
-        placed = cut(placed.union(now.select("row", "conv", "call_id", "level")), "placed")
-    return calls.join(placed.select("row", "level"), "row", "left").join(unmet, "row", "left") \
-        .withColumn("unmet", F.coalesce("unmet", F.array().cast("array<string>"))).drop("row")
+    rows = rows.withColumn("_run", F.coalesce(F.floor(F.col("turn") / RUN_TURNS), F.lit(-1)))
+    inside = F.row_number().over(Window.partitionBy("conv", "call_id", "_run").orderBy("turn", *order))
+    runs = rows.groupBy("conv", "call_id", "_run").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("conv", "call_id").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col("conv").alias("_conv"), F.col("call_id").alias("_id"), F.col("_run").alias("_r"),
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.withColumn("_in", inside).join(
+        runs, F.col("conv").eqNullSafe(F.col("_conv")) & F.col("call_id").eqNullSafe(F.col("_id")) & (F.col("_run") == F.col("_r"))) \
+        .withColumn("nth", F.col("_in") + F.col("_before")).drop("_run", "_in", "_conv", "_id", "_r", "_before")
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Calls with their results: conv, turn, call_id, name, arguments, level, problems, result_turn, content, n_results."""
-    checked = levels(problems(calls, schemas))
-    r = results.select(F.col("conv").alias("r_conv"), F.col("turn").alias("result_turn"), F.col("call_id").alias("r_id"), "content")
-    both = checked.join(r, F.col("conv").eqNullSafe(F.col("r_conv")) & (F.col("call_id") == F.col("r_id")), "full")
-    return both.select(F.coalesce("conv", "r_conv").alias("conv"), F.coalesce("turn", "result_turn").alias("turn"),
+    """Calls with their results: conv, turn, call_id, name, arguments, level, problems, result_turn, content, status.
+
+    The nth result of an id, by turn, belongs to the nth call of it.
+    """
+    checked = numbered(cut(levels(problems(calls, schemas)), "checked-calls"), "name", "arguments")
+    r = numbered(results, "content").select(F.col("conv").alias("r_conv"), F.col("turn").alias("result_turn"),
+                                            F.col("call_id").alias("r_id"), "content", F.col("nth").alias("r_nth"))
+    both = checked.join(r, F.col("conv").eqNullSafe(F.col("r_conv")) & (F.col("call_id") == F.col("r_id"))
+                        & (F.col("nth") == F.col("r_nth")), "full")
+    is_result = F.col("nth").isNull()
+    return both.select(F.when(is_result, F.col("r_conv")).otherwise(F.col("conv")).alias("conv"),
+                       F.when(is_result, F.col("result_turn")).otherwise(F.col("turn")).alias("turn"),
                        F.coalesce("call_id", "r_id").alias("call_id"), "name", "arguments", "level", "problems", "unmet",
-                       "result_turn", "content", F.when(F.col("turn").isNull(), F.lit("result without call"))
-                       .when(F.col("result_turn").isNull(), F.lit("call without result"))
+                       "result_turn", "content", F.when(is_result, F.lit("result without call"))
+                       .when(F.col("r_nth").isNull(), F.lit("call without result"))
                        .when(F.col("level").isNull(), F.lit("circle"))
                        .when(F.col("result_turn") < F.col("turn"), F.lit("result before call"))
                        .when((F.size("problems") > 0) | (F.size("unmet") > 0), F.lit("invalid")).otherwise(F.lit("ok")).alias("status"))

@@ -1,6 +1,7 @@
 """Operator 3: linking, order, validation and canonical lines on hand-made chats (the query itself has SQL)."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,12 +84,67 @@ def test_levels_circles_and_unknown(spark):
 
 
 def test_repeated_ids_and_empty_tables(spark):
-    got = lines(spark, [(1, 0, "assistant", {"tool_calls": [call("a"), call("a")]}), (1, 1, "tool", {"tool_call_id": "a", "content": "r"}),
-                        (1, 1, "tool", {"tool_call_id": "a", "content": "r"})])
-    assert len(got) == 4 and {x[4] for x in got} == {"ok"}
+    """The nth result of an id belongs to its nth call; the surplus is reported."""
+    result = lambda turn, x: (1, turn, "tool", {"tool_call_id": "a", "content": x})
+    got = lines(spark, [(1, 0, "assistant", {"tool_calls": [call("a", arguments='{"query": "1"}'), call("a", arguments='{"query": "2"}')]}),
+                        result(1, "r1"), result(2, "r2"), result(2000, "r4"), result(3, "r3"),
+                        (1, 2500, "assistant", {"tool_calls": [call("a", arguments='{"query": "3"}')]}), result(None, "r0")])
+    assert sorted((x[5]["arguments"] or {}).get("query", "-") + x[5]["content"] + x[4] for x in got) == [
+        "-r3result without call", "-r4result without call", "1r0ok", "2r1ok", "3r2result before call"]
+    many = [(1, t, "assistant", {"tool_calls": [call("a")]}) for t in range(60)] + [result(100 + t, "r") for t in range(70)]
+    got = lines(spark, many)
+    assert len(got) == 70 and [x[4] for x in got].count("ok") == 60
     assert lines(spark, []) == []
 
 
+def test_no_message_is_lost(spark):
+    rows = [(1, 0, "assistant", {"tool_calls": [], "content": "hello"}),
+            (1, 1, "assistant", {"tool_calls": [call("a")], "content": "let me see"}), (1, 2, "assistant", {"tool_calls": None}),
+            (1, 3, "tool", {"tool_call_id": "a", "content": "x"}), (1, 4, "tool", "no json"), (1, 5, None, "hi"), (1, 6, "user", None)]
+    got = lines(spark, rows)
+    assert len(got) >= len(rows)
+    assert [(t, json.loads(x["content"])["content"] if t == 0 else x["content"]) for _, t, _, kind, _, x in got
+            if kind == "message" and t < 2] == [(0, "hello"), (1, "let me see")]
+
+
+def brute_levels(calls):
+    ids = {i for i, _ in calls if i is not None}
+    level = [None] * len(calls)
+    changed = True
+    while changed:
+        changed = False
+        for k, (_, after) in enumerate(calls):
+            if level[k] is None:
+                needed = [level[j] for x in after if x in ids for j, (i, _) in enumerate(calls) if i == x]
+                if None not in needed:
+                    level[k], changed = max(needed, default=-1) + 1, True
+    return level
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_levels_as_brute_force(spark, seed):
+    """Chains, joints, circles and repeated ids, mixed."""
+    rng = random.Random(seed)
+    calls = [(rng.choice([f"i{k}", f"i{k}", f"i{k // 2}", None]) if k else "i0",
+              [f"i{max(0, k - rng.randrange(1, 4)) if rng.random() < .97 else rng.randrange(70)}" for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))])
+             for k in range(60)]
+    df = spark.createDataFrame([(None, k, i, after) for k, (i, after) in enumerate(calls)],
+                               "conv long, k int, call_id string, after array<string>")
+    got = {r["k"]: r["level"] for r in T.levels(df.repartition(3)).collect()}
+    assert [got[k] for k in range(60)] == brute_levels(calls)
+
+
+def test_long_chain_costs_few_jobs(spark):
+    rows = [(1, f"n{i}", [f"n{i - 1}"] if i else []) for i in range(200)]
+    df = spark.createDataFrame(rows, "conv long, call_id string, after array<string>")
+    sc = spark.sparkContext
+    sc.setJobGroup("chain", "chain")
+    got = {r["call_id"]: r["level"] for r in T.levels(df).collect()}
+    jobs = len(sc.statusTracker().getJobIdsForGroup("chain"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {f"n{i}": i for i in range(200)} and jobs < 150
+
+
 def test_no_python_in_the_plan(spark):
     plan = T.format_chats(chat(spark, [(1, 0, "user", "x")]), schemas(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
