@@ -550,6 +550,18 @@ def capped_orders(lines: DataFrame, lo: float, hi: float) -> DataFrame:
         F.sum(capped).alias("sales_capped"), F.sum("profit").alias("profit"))
 
 
+def order_sums(spark, sf_dir, lo: float, hi: float) -> DataFrame:
+    """Capped sales and profit per order, summed before the orders join: the lines never meet the orders."""
+    low, high = (F.lit(str(x)).cast("decimal(18,2)") for x in (lo, hi))
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_quantity")
+    x = fact_column("sales")
+    per = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.sum(F.when(x < low, low).when(x > high, high).otherwise(x)).alias("sales_capped"),
+        F.sum(fact_column("profit")).alias("profit"))
+    return per.join(order_lines_side(spark, sf_dir, ["customer_id", "order_date"]), "order_id")
+
+
 _CUST_HIST_CTE = f"""co AS (SELECT customer_id, order_id, order_date, SUM({_CAPPED_SQL}) AS sales_capped,
                           SUM(profit) AS profit FROM fact GROUP BY ALL),
 ch AS (SELECT customer_id, order_id, order_date,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +33,21 @@ def _orders(spark, sf_dir) -> DataFrame:
     return order_totals(spark, sf_dir, ["segment"], ["sales"])
 
 
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """``df`` kept in memory, and on disk what does not fit, until the block is left, also by an error."""
+    df = df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 @register("perf_cache", sql=_SHARES_SQL)
 def _perf_cache(spark, sf_dir):
-    """The frame is kept in memory, and on disk what does not fit, for both of its uses."""
-    return segment_shares(_orders(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK))
+    """The frame is kept for both of its uses, and given back once their result is written."""
+    with cached(_orders(spark, sf_dir)) as orders:
+        return cut(segment_shares(orders), "shares")
 
 
 @register("perf_unpersist", sql=_SHARES_SQL)

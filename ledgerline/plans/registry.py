@@ -29,8 +29,11 @@ _MODULES = (
     "ledgerline.operators.metrics",
     "ledgerline.operators.models",
     "ledgerline.operators.reuse",
+    "ledgerline.operators.snapshot",
     "ledgerline.sources.io",
+    "ledgerline.sources.bucketed",
     "ledgerline.streaming.scorer",
+    "ledgerline.streaming.stateful",
 )
 
 

@@ -220,8 +220,9 @@ def _st_parse_orders(spark, sf_dir):
 
 
 def _snapshot(spark, sf_dir) -> DataFrame:
-    from ledgerline.operators.features import _capped_orders, customer_history, customer_snapshot
-    return customer_snapshot(customer_history(_capped_orders(spark, sf_dir)))
+    from ledgerline.operators.features import TEST_CLAMP, order_sums
+    from ledgerline.operators.snapshot import snapshot_of, state_of
+    return snapshot_of(state_of(order_sums(spark, sf_dir, *TEST_CLAMP["sales"])))
 
 
 def stored_snapshot(spark, sf_dir, path: str) -> DataFrame:
