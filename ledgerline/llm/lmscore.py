@@ -55,9 +55,9 @@ from ledgerline.llm.util import byte_rows, row_groups, worker_cache
 
 STRENGTH = 200.0
 STEPS = 2048
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 HOT_SHARE = 0.1
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 PIECE_BYTES = 1 << 22
 CONTEXT_BITS = 44
 MAX_WORDS = 300_000
@@ -103,7 +103,7 @@ def packed_ints(values: np.ndarray) -> bytes:
 
 
 def unpacked_ints(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
 
 
 def blocks(batches, block_tokens: int):
@@ -120,7 +120,7 @@ def blocks(batches, block_tokens: int):
     size, first = 0, number
 
     def block():
-        slots = np.repeat(np.arange(len(count)), count)
+        slots = np.repeat(np.arange(len(count), dtype=np.int32), count)
         return (made, first, ids, np.array(learn, bool), np.array(count), np.concatenate(words), np.concatenate(contexts), slots)
 
     for batch in row_groups(batches):
@@ -257,9 +257,9 @@ def scored(pairs: DataFrame, tokens: int, kinds: int, hot: np.ndarray, hot_n: np
             key = Sequence(r.pairs).all()
             learn = np.unpackbits(np.frombuffer(r.learn, np.uint8), count=r.slots)
             n_rows, slot, times = (unpacked_ints(x) for x in (r.n_rows, r.rows, r.times))
-            begin = np.cumsum(n_rows) - n_rows
+            begin = np.cumsum(n_rows, dtype=np.int64) - n_rows
             parts.append((Sequence(r.words).all(), (key >> np.uint64(CONTEXT_BITS)).astype(np.int64),
-                          key << np.uint64(64 - CONTEXT_BITS), np.add.reduceat(times * learn[slot], begin), n_rows, slot, times))
+                          key << np.uint64(64 - CONTEXT_BITS), np.add.reduceat(times * learn[slot], begin, dtype=np.int64), n_rows, slot, times))
         # the trie of what is learned from
         words = np.unique(np.concatenate([w[np.bincount(at, n, len(w)) > 0] for w, at, _, n, *_ in parts]))
         sides = []

@@ -47,7 +47,7 @@ from ledgerline.llm.util import byte_rows, row_groups
 from ledgerline.plans.lineage import cut, drop_cut
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
-TILE_WORDS = 20_000
+TILE_WORDS = 10_000
 MAX_TILES = 20_000
 EDGE = 64
 FLUSH_WORDS = 200_000
@@ -266,7 +266,8 @@ def neighbours(words: DataFrame, tile_words: int = TILE_WORDS) -> DataFrame:
                          pa.array(pair[1], pa.string()), pa.array([ns[j] for _, j in part], pa.int64())],
                         names=["word", "n", "near", "near_n"])
 
-    pairs = cut(work.repartition("tile").sortWithinPartitions("tile", "sent").mapInArrow(
+    # a tile is little data and much work: as many tasks as tiles, not fewer by their bytes
+    pairs = cut(work.repartition(max(1, len(edges)), "tile").sortWithinPartitions("tile", "sent").mapInArrow(
         run, "word string, n long, near string, near_n long"), "near-words")
     board.destroy()
     drop_cut(packed)
