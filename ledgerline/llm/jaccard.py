@@ -16,14 +16,12 @@ skipped, so a large group of near copies costs about one verification each.
 
 Sets meet in one tree only if they can be linked.  The hash range is cut
 into slices, and two sets share a tree if they agree on a whole slice that
-is not empty.  The number of slices is chosen per power of two of the size.
-As long as ``MAX_SLICES`` are enough for the largest set of that range (up
-to 511 n-grams at 0.9, 255 at 0.8) this loses nothing: sets with that
-similarity differ in d tokens at most and there are more than d slices, so
-one is the same in both (empty slices count where a set is too small to
-have more than d full ones).  If either set is longer, ``MAX_SLICES`` of
-their slices are used, each the same in both with a chance of at least about a
-third at the threshold: a link is missed with a chance below 2e-11.
+is not empty.  The number of slices is chosen per power of two of the size,
+and grows with it, so this loses nothing: sets with that similarity differ in
+d tokens at most and there are more than d slices, so one is the same in
+both (empty slices count where a set has no more than d full ones).  A set of n
+n-grams has about n / 9 slices at 0.9 and n / 4 at 0.8, of nine and four
+n-grams each.
 
 At scale: slices that only one class has are dropped after one aggregation
 of (slice, class) rows; what is left forms candidate clusters, and only
@@ -58,7 +56,6 @@ from ledgerline.llm.components import components
 from ledgerline.llm.util import broadcast_if_small, byte_rows, fresh_name, row_groups, worker_cache
 from ledgerline.plans.lineage import cut, drop_cut
 
-MAX_SLICES = 64
 LEAF_SETS = 1024
 LEAF_TOKENS = 1 << 20
 ACROSS_SETS = 4096
@@ -116,25 +113,19 @@ def slices(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
     d = most_different(n, num, den)
     if d == 0:
         return np.zeros(0, np.int64)  # linked with equal sets only
-    tokens_at_most = max(2, int(math.log(0.34) / math.log(num / den)))
     out = []
     octave = n.bit_length()
     for o in (octave, octave + 1) if n * den // num >= 1 << octave else (octave,):
         largest = (1 << o) - 1
         pieces = 2 * largest * (den - num) // (den + num) + 1
         pieces += max(1, pieces // 16)  # some may be empty
-        exact = pieces <= MAX_SLICES
-        if not exact:
-            pieces = max(MAX_SLICES, largest // tokens_at_most)
         at = ((tokens >> np.uint64(32)) * np.uint64(pieces)) >> np.uint64(32)
-        used = at[:np.searchsorted(at, MAX_SLICES)]
         label = np.uint64(o) * np.uint64(1 << 32)
-        starts = np.flatnonzero(np.concatenate([[True], used[1:] != used[:-1]])) if len(used) else np.zeros(0, np.int64)
-        if len(starts):
-            content = np.add.reduceat(_mix(tokens[:len(used)] ^ np.uint64(0xA5A5A5A5)), starts)
-            out.append(_mix(content ^ _mix(label + used[starts])))
-        if exact and len(starts) <= d:
-            empty = np.setdiff1d(np.arange(pieces, dtype=np.uint64), used[starts])
+        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        content = np.add.reduceat(_mix(tokens ^ np.uint64(0xA5A5A5A5)), starts)
+        out.append(_mix(content ^ _mix(label + at[starts])))
+        if len(starts) <= d:
+            empty = np.setdiff1d(np.arange(pieces, dtype=np.uint64), at[starts])
             out.append(_mix(_mix(label + empty)))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 

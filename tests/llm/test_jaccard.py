@@ -87,33 +87,65 @@ def test_empty_table(spark):
     assert run(spark, [], 3, 90, 100) == []
 
 
+def linked_pair(a, b, num):
+    i = len(np.intersect1d(a, b))
+    return 100 * i >= num * (len(a) + len(b) - i) and not np.array_equal(a, b)
+
+
 def test_linked_sets_share_a_slice():
-    """Exhaustive guarantee for sets within MAX_SLICES: any two linked different sets have a key in common."""
+    """Guarantee at every size: any two linked different sets have a key in common."""
     rng = np.random.default_rng(0)
     for num in (80, 90):
         for _ in range(600):
-            n = int(rng.integers(4, 280 if num == 80 else 600))
+            n = int(rng.choice([rng.integers(4, 600), rng.integers(500, 6000)], p=[.9, .1]))
             a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
             drop = int(rng.integers(0, most_different(len(a), num, 100) + 1))
             b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**63, int(rng.integers(0, 3))).astype(np.uint64)]))
-            i = len(np.intersect1d(a, b))
-            if 100 * i >= num * (len(a) + len(b) - i) and not np.array_equal(a, b):
+            if linked_pair(a, b, num):
                 assert len(np.intersect1d(slices(a, num, 100), slices(b, num, 100)))
 
 
-def test_stated_exact_range():
-    """All slices of a set are used up to the stated sizes, and not beyond."""
-    from ledgerline.llm import jaccard
-    rng = np.random.default_rng(1)
-    for num, most in ((90, 511), (80, 255)):
-        assert f"{most} " in jaccard.__doc__ and f"at 0.{num // 10}" in jaccard.__doc__
-        for n in (most, most + 1):
-            a = np.sort(rng.choice(1 << 62, n, replace=False).astype(np.uint64) * np.uint64(4))
-            a[-1] = np.uint64(2**64 - 2)                # in the last slice of any number
-            b = a.copy()
-            b[-1] += np.uint64(1)
-            own = set(slices(a, num, 100).tolist())
-            assert (own != set(slices(b, num, 100).tolist())) == (n == most)  # a change in the last slice shows
+@pytest.mark.parametrize("num", [80, 90])
+def test_adversary_spreads_its_edits(num):
+    """Each edit spoils a slice that no other edit touches, from the lowest hashes up, down, or at random."""
+    rng = np.random.default_rng(num)
+    for n in (300, 511, 512, 1000, 6000, 20_000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        most = most_different(len(a), num, 100) // 2
+        places = (a >> np.uint64(32)).astype(float) / 2**32
+        for order in (np.arange(len(a)), np.arange(len(a))[::-1], rng.permutation(len(a))):
+            for pieces in (64, most, 2 * most, 4 * most):
+                hit, spoilt = set(), []
+                for k in order:
+                    s = int(places[k] * pieces)
+                    if s not in hit and len(spoilt) < most:
+                        hit.add(s)
+                        spoilt.append(k)
+                b = a.copy()
+                b[spoilt] ^= np.uint64(2)
+                b = np.unique(b)
+                if linked_pair(a, b, num):
+                    assert len(np.intersect1d(slices(a, num, 100), slices(b, num, 100))), (n, pieces)
+
+
+def test_long_pair_with_an_edit_in_each_low_slice(spark):
+    """6,000 words, 20 edits whose n-grams lie in the 60 lowest of 64 parts of the range of hashes used before: still linked."""
+    rnd = random.Random(11)
+    base = [str(rnd.randrange(10**7)) for _ in range(6002)]
+    grams = jaccard.shingle_set(" ".join(base).encode(), 3)
+    assert len(grams) == 6000
+    of_gram = {}
+    for k in range(len(base) - 2):
+        of_gram[int(jaccard.shingle_set(" ".join(base[k:k + 3]).encode(), 3)[0])] = k
+    near, hit = list(base), set()
+    for g in grams[:700]:  # the lowest hashes
+        part, k = int(int(g) * 600 >> 64), of_gram[int(g)]
+        if part not in hit and len(hit) < 60:
+            hit.add(part)
+            near[k] = f"x{k}"
+    rows = [(1, " ".join(base)), (2, " ".join(near))]
+    got = run(spark, rows, 3, 90, 100)
+    assert got == brute(rows, 3, 90, 100) and [r[2] for r in got] == [1, 1]
 
 
 def test_long_texts(spark):
