@@ -13,16 +13,20 @@ Such a name is overruled if the element holds most of the page's text, or the
 only article, main or h1 element; words after has-, no-, with- or layout- are
 no names.  Words that are as often boxes of an article (notice, toc, ...)
 exclude only outside an article element, and where there is none only
-elements without a content path.
+elements without a content path.  Inside an article a name excludes only if
+no other word in it names a subject (ad-slot, not ad-hoc), and a paragraph or
+heading only if it is an advert.  Exclusion acts through the scores: what is
+excluded shares one path that has none, and only text with a score is taken.
 
 The article is the lowest common container of its text: from the root the
 walk goes down into a container only if no text that would be returned stays
 outside.  An article or main element is where the walk ends; on the way to it
 plain text beside it does not count, but content paths, other articles and a
-first heading that the articles lack do.  All text blocks of that container
-are returned, short or long, but for those in excluded elements and lists
-made of links only; so a one-word paragraph of the article stays and a long
-advert does not come in.
+first heading that the articles lack do.  Text blocks of that container are
+returned, short or long, but for lists made of links only and for the boxes
+that the threshold cuts: a div or section, outside an article element, that
+holds no content path while its neighbours do.  So a one-word paragraph of the
+article stays, and neither a long advert nor a "follow us" box comes in.
 
 Rows are independent: one narrow scan, no shuffle.  Per page the work and
 memory are linear in its length.
@@ -51,7 +55,7 @@ from ledgerline.llm.util import row_groups
 
 NEIGHBOURS = 2       # paths on each side that take part in smoothing
 MOST = 0.8           # of the page's text that makes an element the article whatever its name
-THRESHOLD = 0.5      # of the standard deviation of the fused scores
+THRESHOLD = 0.75      # of the standard deviation of the fused scores
 
 TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*+(?:>|$)
   |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
@@ -87,6 +91,15 @@ OTHER_PARTS = frozenset("""ad ads advert adverts advertisement advertising adsen
 BOXES = frozenset("notice notices alert alerts widget widgets toc copyright disclaimer".split())
 #: Words that say what an element has, lacks or how it is laid out: what follows them does not name it.
 MODIFIERS = frozenset("has no with without layout".split())
+#: Words beside such a word in a compound that name no subject: an article's "ad-slot" is an advert, its "ad-hoc" is not.
+GENERIC = frozenset("""a article area articles bar block body bottom box button buttons col container content count footer
+  form group header heading holder icon icons inline inner item items js label left link links list main media more page
+  panel post posts reader right row section site slot text title top unit user wrap wrapper zone""".split())
+#: Words that make a text block of an article (a paragraph, a heading) an advert; no other word does.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion".split())
+TEXT_BLOCKS = frozenset("p pre blockquote li dt dd td th tr figure figcaption".split()) | HEADINGS
+#: Elements that a low score cuts as a whole.
+BOX_TAGS = frozenset("div section center".split())
 #: The same for elements that are usually the article itself.
 OTHER_ARTICLES = frozenset("comment reply ad advert advertisement promo related sponsored".split())
 
@@ -95,14 +108,18 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(text)} if text.strip(" /") else {}
 
 
-def _names(attrs: dict[str, str]) -> set[str]:
+def _names(attrs: dict[str, str], strict: bool = False) -> set[str]:
+    """The words of an element's class, id and role; if ``strict`` only of names made of such words and generic ones."""
     out = set()
     for k in ("class", "id", "role"):
         for word in attrs.get(k, "").split():
+            parts = []
             for p in NAME_PART.findall(word.removeprefix("elementor-widget")):
                 if p.lower() in MODIFIERS:
                     break
-                out.add(p.lower())
+                parts.append(p.lower())
+            if not strict or all(p in OTHER_PARTS or p in GENERIC for p in parts):
+                out.update(parts)
     return out
 
 
@@ -160,6 +177,10 @@ class Page:
         self._read(html)
         if any(self.named):
             self._exclude_named()
+        # what is excluded shares one path without a score
+        self.depth_of.append(0)
+        self.up_of.append(-1)
+        self.path = [len(self.up_of) - 1 if out else p for p, out in zip(self.path, self.out, strict=True)]
 
     def _path(self, parent: int, label: str) -> int:
         key = (parent, label)
@@ -191,21 +212,21 @@ class Page:
 
     def _open(self, tag: str, attrs: dict[str, str]) -> None:
         up = self.stack[-1]
-        names = _names(attrs)
         inside = self.article[up]
+        names = _names(attrs, strict=inside)
         own = tag in EXCLUDED or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" \
             or "display:none" in attrs.get("style", "").replace(" ", "").lower()
         parts = set()
         if tag in ("article", "main"):
             parts = names & OTHER_ARTICLES
         elif tag not in ("html", "body"):
-            parts = names & OTHER_PARTS
+            parts = names & (ADVERTS if inside and tag in TEXT_BLOCKS else OTHER_PARTS)
             if not inside:
                 parts |= names & {"header"}
                 own = own or tag == "header"
         out = self.out[up] or own
-        if self.tag[up] == "header" and inside and tag not in HEADINGS and tag not in INLINE:
-            out = True  # of an article's own header only headings belong to its text
+        if self.tag[up] == "header" and inside and tag not in TEXT_BLOCKS and tag not in INLINE:
+            out = True  # of an article's own header headings and paragraphs belong to its text
         self.parent.append(up)
         self.tag.append(tag)
         self.path.append(self._path(self.path[up], f"{tag}.{attrs['class']}" if attrs.get("class") else tag))
@@ -289,12 +310,9 @@ class Page:
 
     def scores(self) -> list[float]:
         """The fused, smoothed score of each path."""
-        n = len(self.depth_of)
+        n, link = len(self.depth_of), self._links()
         length, points, nodes = [0.0] * n, [0.0] * n, [0] * n
         order = []
-        link = [False]
-        for e in range(1, len(self.parent)):
-            link.append(link[self.parent[e]] or self.tag[e] == "a")
         for e, text in self.texts:
             if e < 0 or self.out[e] or not text.strip():
                 continue
@@ -332,22 +350,28 @@ class Page:
         mean = sum(positive) / len(positive) if positive else 0.0
         return THRESHOLD * math.sqrt(sum((x - mean) ** 2 for x in positive) / len(positive)) if positive else 0.0
 
-    def container(self, scores: list[float]) -> int:
+    def _links(self) -> list[bool]:
+        link = [False]
+        for e in range(1, len(self.parent)):
+            link.append(link[self.parent[e]] or self.tag[e] == "a")
+        return link
+
+    def container(self, scores: list[float], least: float, link: list[bool]) -> int:
         """The element that holds the article."""
-        least, n = self._least(scores), len(self.parent)
-        link, heading, marked = [False] * n, [False] * n, [False] * n
+        n = len(self.parent)
+        heading, marked = [False] * n, [False] * n
         for e in range(1, n):
-            link[e] = link[self.parent[e]] or self.tag[e] == "a"
             heading[e] = heading[self.parent[e]] or self.tag[e] == "h1"
-            marked[e] = not self.out[e] and self.tag[e] in ("article", "main")
-        lists = self.link_lists(link)
-        titled = any(self.tag[e] == "h1" and self.article[e] and not self.out[e] for e in range(n))
+            marked[e] = scores[self.path[e]] > 0 and self.tag[e] in ("article", "main")
+        lists = self.link_lists(scores, link)
+        titled = any(self.tag[e] == "h1" and self.article[e] and scores[self.path[e]] > 0 for e in range(n))
         every, of_article = [0] * n, [0] * n
         for e, text in self.texts:
-            if e < 0 or self.out[e] or not (size := len(text.strip())) or lists.get(self.list_of[e]) and self._in_item(e):
+            if e < 0 or scores[self.path[e]] <= 0 or not (size := len(text.strip())) \
+                    or lists.get(self.list_of[e]) and self._in_item(e):
                 continue
             every[e] += size
-            if self.article[e] or heading[e] and not titled or not link[e] and 0 < scores[self.path[e]] >= least:
+            if self.article[e] or heading[e] and not titled or not link[e] and scores[self.path[e]] >= least:
                 of_article[e] += size
         children: dict[int, list[int]] = {}
         for e in range(n - 1, 0, -1):
@@ -364,18 +388,44 @@ class Page:
                 (e for e in children.get(at, ()) if every[e] == every[at] or marked[e] and 0 < of_article[e] == of_article[at]), None)
         return at
 
-    def text(self) -> str:
-        inside = [False] * len(self.parent)
-        inside[self.container(self.scores())] = True
-        link = [False]
-        for e in range(1, len(self.parent)):
-            inside[e] = inside[e] or inside[self.parent[e]]
-            link.append(link[self.parent[e]] or self.tag[e] == "a")
-        lists = self.link_lists(link)
+    def chosen(self, scores: list[float]) -> list[bool]:
+        """Which elements' own text belongs to the article.
+
+        That is text with a score, in the container, and outside the boxes
+        that the threshold cuts: those beside content that hold more than
+        headings, but neither a content path nor an article or first heading, if the container is no article itself.
+        """
+        n, link, least = len(self.parent), self._links(), self._least(scores)
+        top = self.container(scores, least, link)
+        held, plain, title = [False] * n, [False] * n, [False] * n  # plain: text that is no heading
+        for e in range(1, n):
+            title[e] = title[self.parent[e]] or self.tag[e] in HEADINGS
+        for e, text in self.texts:
+            if e >= 0 and text.strip() and scores[self.path[e]] > 0:
+                held[e] = held[e] or not link[e] and scores[self.path[e]] >= least
+                plain[e] = plain[e] or not title[e]
+        for e in range(n - 1, 0, -1):
+            up = self.parent[e]
+            held[e] = held[e] or scores[self.path[e]] > 0 and self.tag[e] in ("article", "main", "h1")
+            held[up] = held[up] or held[e]
+            plain[up] = plain[up] or plain[e]
+        inside = [False] * n
+        inside[top] = True
+        for e in range(1, n):
+            up = self.parent[e]
+            low = not held[e] and plain[e] and held[up] and self.tag[e] in BOX_TAGS and not self.article[e]
+            inside[e] = inside[e] or inside[up] and not low
+        return [inside[e] and scores[self.path[e]] > 0 for e in range(n)]
+
+    def text(self, scores: list[float] | None = None) -> str:
+        """The article by these path scores (the page's own if none are given)."""
+        scores = self.scores() if scores is None else scores
+        chosen, link = self.chosen(scores), self._links()
+        lists = self.link_lists(scores, link)
         blocks, parts, item, linked = [], [], False, True
         for e, text in [*self.texts, (-1, "")]:
             if e >= 0:
-                if inside[e] and not self.out[e]:
+                if chosen[e]:
                     parts.append(text)
                     if text.strip():
                         linked = linked and link[e] and lists.get(self.list_of[e], True)
@@ -387,11 +437,11 @@ class Page:
             parts, item, linked = [], False, True
         return "\n".join(blocks)
 
-    def link_lists(self, link: list[bool]) -> dict[int, bool]:
+    def link_lists(self, scores: list[float], link: list[bool]) -> dict[int, bool]:
         """Of each outermost list, whether all of its text is links."""
         out: dict[int, bool] = {}
         for e, text in self.texts:
-            if e >= 0 and not self.out[e] and self.list_of[e] >= 0 and text.strip():
+            if e >= 0 and scores[self.path[e]] > 0 and self.list_of[e] >= 0 and text.strip():
                 out[self.list_of[e]] = out.get(self.list_of[e], True) and link[e]
         return out
 

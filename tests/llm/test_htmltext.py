@@ -1,12 +1,14 @@
 """Operator 4: hand-made pages of many layouts, and every given page against its article element."""
 
 import html
+import math
+import random
 import re
 
 import pytest
 
 from conftest import SF_MID
-from ledgerline.llm.htmltext import Page, extract, main_text
+from ledgerline.llm.htmltext import CONTAINERS, HEADINGS, INLINE, Page, extract, main_text
 
 LONG = "This is a sentence of the article, with some words; and more of them. "
 
@@ -167,3 +169,103 @@ def test_columns(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, [r for r in got.collect()]))
     assert sorted(r["text"] for r in got.collect()) == ["", "a", "a"]
     assert extract(df.where("false")).count() == 0
+
+
+FOLLOW = "<div class=c2><p>Follow us on all channels</p></div>"
+
+
+@pytest.mark.parametrize(("body", "want"), [
+    ("<div class=c1><p>" + LONG * 4 + "</p></div>" + FOLLOW, (LONG * 4).strip()),
+    (FOLLOW + "<div class=c1><p>" + LONG * 4 + "</p><div><p>" + LONG * 3 + "</p></div></div><div class=x1><p>More like this</p></div>",
+     (LONG * 4).strip() + "\n" + (LONG * 3).strip()),
+    ("<article><header><h1>T</h1><p>Lead paragraph.</p></header><p>" + LONG + "</p></article>", "T\nLead paragraph.\n" + LONG.strip()),
+    ("<article><p class=comment>C.</p><p class='ad-hoc'>A.</p><div class=related-work>R.</div><p class=share-price>S.</p><p class=ad>Buy</p>"
+     "<div class=post-comments><p>No</p></div><div class='ad-slot top'>No</div></article>", "C.\nA.\nR.\nS."),
+])
+def test_the_threshold_cuts_boxes_and_names_drop_no_text(body, want):
+    assert main_text(page(body)) == want
+
+
+def slow_chosen(p):
+    """The path decision once more, from its definition: every sum is taken over all texts again."""
+    n = len(p.parent)
+    up = lambda e: [e, *up(p.parent[e])] if e > 0 else [0]
+    chain = [set(up(e)) for e in range(n)]
+    trail = lambda q: [*trail(p.up_of[q]), q] if q >= 0 else []
+    link = ["a" in {p.tag[x] for x in chain[e]} for e in range(n)]
+    texts = [(e, t) for e, t in p.texts if e >= 0 and t.strip()]
+    live = [(e, t) for e, t in texts if not p.out[e]]
+    order = list(dict.fromkeys(p.path[e] for e, _ in live))
+
+    def ratio(q, of):
+        mine = [(e, t) for e, t in live if p.path[e] == q]
+        return sum(of(t) for e, t in mine if not link[e]) / len(mine)
+
+    def shared(a, b):
+        a, b = trail(a), trail(b)
+        same = sum(x == y for x, y in zip(a, b, strict=False))
+        return same / max(len(a), len(b), 2)
+    raw = {q: (ratio(q, lambda t: len(" ".join(t.split()))), ratio(q, lambda t: len(re.findall("[.,;:!?…。、，！？；：]", t)))) for q in order}
+    score = {}
+    for k, q in enumerate(order):
+        near = [(math.exp(-(j - k) ** 2 / 2) * shared(q, order[j]), raw[order[j]]) for j in range(len(order)) if abs(j - k) <= 2]
+        w = sum(x for x, _ in near)
+        score[q] = sum(x * r[0] for x, r in near) / w * (1 + sum(x * r[1] for x, r in near) / w)
+    positive = [x for x in score.values() if x > 0]
+    mean = sum(positive) / max(1, len(positive))
+    least = .75 * math.sqrt(sum((x - mean) ** 2 for x in positive) / max(1, len(positive)))
+    s = [0 if p.out[e] else score.get(p.path[e], 0) for e in range(n)]
+
+    def in_item(e):
+        return next((p.tag[x] for x in up(e) if p.tag[x] not in INLINE), "") == "li"
+
+    def links_only(e):
+        return p.list_of[e] >= 0 and in_item(e) and all(link[x] for x, _ in live if s[x] > 0 and p.list_of[x] == p.list_of[e])
+    counted = [(e, len(t.strip())) for e, t in live if s[e] > 0 and not links_only(e)]
+    alive = lambda e: p.tag[e] in ("article", "main") and not p.out[e]
+    titled = any(p.tag[e] == "h1" and p.article[e] and s[e] > 0 for e in range(n))
+    counts_for = lambda e: p.article[e] or not titled and any(p.tag[x] == "h1" for x in chain[e]) or not link[e] and s[e] >= least
+    every = lambda c: sum(size for e, size in counted if c in chain[e])
+    own = lambda c: sum(size for e, size in counted if c in chain[e] and counts_for(e))
+    top = 0
+    while not top or p.tag[top] not in ("article", "main"):
+        for e in range(n - 1, 0, -1):
+            if p.parent[e] == top and p.tag[e] in CONTAINERS and every(e):
+                holds = any(e in chain[x] and alive(x) and s[x] > 0 for x in range(n))
+                if every(e) == every(top) or holds and 0 < own(e) == own(top):
+                    top = e
+                    break
+        else:
+            break
+    good = {e for e, _ in live if not link[e] and s[e] >= least and s[e] > 0} | {
+        e for e in range(n) if s[e] > 0 and p.tag[e] in ("article", "main", "h1")}
+    holds = [any(e in chain[x] for x in good) for e in range(n)]
+    title = [any(p.tag[x] in HEADINGS for x in chain[e]) for e in range(n)]
+    cut = {e for e in range(1, n) if p.tag[e] in ("div", "section", "center") and not p.article[e] and not holds[e]
+           and holds[p.parent[e]] and any(e in chain[x] and not title[x] and s[x] > 0 for x, _ in live)}
+    return [e for e, _ in live if top in chain[e] and s[e] > 0
+            and not any(x in cut and top in chain[p.parent[x]] for x in chain[e])]
+
+
+def test_decision_as_the_slow_version(spark):
+    given = [r["html"] for r in spark.read.parquet(f"{SF_MID}/pages.parquet").limit(25).collect()]
+    made = [page(body) for group in (CASES, BESIDE, NAMED, INSIDE) for body, _ in group.values()]
+    rng = random.Random(4)
+    for _ in range(60):
+        parts = [f"<div class=k{rng.randrange(4)}>" + "".join(
+            rng.choice(["<p>" + LONG * rng.randrange(1, 4) + "</p>", "<p>Short</p>", "<ul><li><a href=x>link</a></li></ul>", "<h2>H</h2>",
+                        "<div class=w><p>Box</p></div>"]) for _ in range(rng.randrange(1, 4))) + "</div>" for _ in range(rng.randrange(1, 6))]
+        made.append(page("".join(parts)))
+    for text in filter(None, given + made):
+        p = Page(text)
+        chosen = p.chosen(p.scores())
+        assert [e for e, t in p.texts if e >= 0 and t.strip() and chosen[e]] == slow_chosen(p)
+
+
+def test_the_result_comes_through_the_scores(spark):
+    """With all scores 0 there is no text, with all 1 menus and adverts come in."""
+    rows = spark.read.parquet(f"{SF_MID}/pages.parquet").where("html IS NOT NULL").collect()
+    for r in rows:
+        p = Page(r["html"])
+        n, own = len(p.depth_of), p.text()
+        assert p.text([0.0] * n) == "" != own and p.text([1.0] * n) != own
