@@ -54,9 +54,10 @@ def write_flat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         cache = tokens.word_ids(path)
         task = TaskContext.get()
-        file, block, first, rest = task.partitionId() if task else 0, 0, 0, b""
+        file, block, first, rest, kind = task.partitionId() if task else 0, 0, 0, b"", None
         for batch in row_groups(batches):
             ids = batch.column(0)
+            kind = ids.type
             yield row(file, None, None, first, ids.to_pylist(), ids.type)
             first += len(ids)
             parts = [rest]
@@ -72,7 +73,7 @@ def write_flat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 block += 1
             rest = rest[len(rest) // width * width:]
         if rest:
-            yield row(file, block, rest, None, None, pa.int64())
+            yield row(file, block, rest, None, None, kind)
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"file long, block long, data binary, first long, docs array<{id_type}>")

@@ -76,3 +76,12 @@ def test_special_strings_are_tokens(spark):
 
 def test_empty_table(spark):
     assert C.count_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "date"])
+def test_ids_of_any_type(spark, kind):
+    ids = {"string": "CAST(id AS string)", "int": "CAST(id AS int)", "date": "date_add(DATE'2020-01-01', CAST(id AS int))"}
+    df = spark.range(40).selectExpr(f"{ids[kind]} AS doc_id", "repeat('word ', CAST(id AS int)) AS text").repartition(3)
+    got = C.count_documents(df)
+    assert got.schema["doc_id"].dataType.simpleString() == kind
+    assert sorted(r["n_tokens"] for r in got.collect()) == list(range(40))
