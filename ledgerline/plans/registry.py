@@ -30,8 +30,11 @@ _MODULES = (
     "ledgerline.operators.models",
     "ledgerline.operators.reuse",
     "ledgerline.operators.snapshot",
+    "ledgerline.operators.sketches",
+    "ledgerline.operators.observed",
     "ledgerline.sources.io",
     "ledgerline.sources.bucketed",
+    "ledgerline.sources.rejects",
     "ledgerline.streaming.scorer",
     "ledgerline.streaming.stateful",
 )

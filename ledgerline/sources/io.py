@@ -28,6 +28,7 @@ CSV_PROFILES = {
     "fast": {"header": "true", "dateFormat": "yyyy-MM-dd"},
     "quoted": {"header": "true", "dateFormat": "yyyy-MM-dd", "multiLine": "true", "quote": '"',
                "escape": '"', "mode": "PERMISSIVE"},
+    "headless": {"dateFormat": "yyyy-MM-dd"},
 }
 
 
