@@ -187,16 +187,31 @@ def with_return_score(pred: DataFrame) -> DataFrame:
 _FITTED: dict = {}
 
 
+def data_version(spark, sf_dir: str) -> tuple:
+    """Path, size and time of every file of the tables under ``sf_dir``: changes when they do."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def fitted(spark, sf_dir: str, what: str, fit):
-    """What ``fit()`` returns, made once per application and data folder: several
-    registered queries report on the same full-size model.  For queries over
-    tables that do not change; library callers fit and pass models themselves."""
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+    """What ``fit()`` returns, made once per application and state of the data folder: several registered
+    queries report on the same full-size model.  Library callers fit and pass models themselves; ``forget``
+    drops what was made, so that a timed query does all of its work."""
+    key = (spark.sparkContext.applicationId, data_version(spark, sf_dir), what)
     if key not in _FITTED:
         _FITTED[key] = fit()
     return _FITTED[key]
 
 
+def forget() -> None:
+    _FITTED.clear()
+
+
 def profit_split(spark, sf_dir):
     return fitted(spark, sf_dir, "profit split", lambda: split_profit(spark, sf_dir))
 
@@ -277,6 +292,16 @@ def _fn_vector_to_array(spark, sf_dir):
     return scored.select("order_key", "split", "label", "return_score")
 
 
+@register("fn_vector_to_array_rows", sql=S.with_fact("""
+SELECT order_key, split, CAST(label AS INTEGER) AS label, TRUE AS is_share FROM cens""", _ORDER_CTE, _HIST_CTE, split_cte("hist")))
+def _fn_vector_to_array_rows(spark, sf_dir):
+    """The labelled orders that get a score, with whether it is the second of two shares that sum to 1."""
+    scored = repurchase_model(spark, sf_dir, "logistic_regression").transform(repurchase_data(spark, sf_dir))
+    p = vector_to_array("probability")
+    return scored.select("order_key", "split", F.col("label").cast("int").alias("label"), (
+        (F.size(p) == 2) & (p[1] >= 0) & (p[1] <= 1) & (F.abs(p[0] + p[1] - 1) < 1e-9)).alias("is_share"))
+
+
 _IMPUTED = ["days_since_previous_order", "previous_avg_discount"]
 
 
@@ -311,6 +336,17 @@ def _eval_usd(pred: DataFrame) -> DataFrame:
     return regression_metrics(pred, y="profit_d", p="prediction_usd")
 
 
+@register("ml_pipeline_rows", sql=S.with_fact(f"""
+SELECT order_id, product_id, ship_date, COUNT(*) AS n, TRUE AS predicted FROM fact
+WHERE NOT ({hash_unit_sql(SPLIT_KEY)} < 0.8) GROUP BY order_id, product_id, ship_date"""))
+def _ml_pipeline_rows(spark, sf_dir):
+    """The rows that the served pipeline predicts: every test row, once, with a number."""
+    pred = profit_forest(spark, sf_dir).transform(profit_split(spark, sf_dir)[1])
+    p = F.col("prediction_usd")
+    return pred.groupBy("order_id", "product_id", "ship_date").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(p.isNotNull() & ~F.isnan(p)).alias("predicted"))
+
+
 @register("ml_pipeline")
 def _ml_pipeline(spark, sf_dir):
     test = profit_split(spark, sf_dir)[1]
@@ -325,16 +361,40 @@ def linear_regressor() -> LinearRegression:
     return LinearRegression(featuresCol="features", labelCol="log_profit")
 
 
-def _regression_query(estimator, name):
+REGRESSORS = {"linear_regression": linear_regressor, "random_forest": rf_regressor, "gbt": gbt_regressor}
+
+
+def profit_model(spark, sf_dir, name: str) -> PipelineModel:
+    if name == "random_forest":
+        return profit_forest(spark, sf_dir)
+    train, _, shift = profit_split(spark, sf_dir)
+    return fitted(spark, sf_dir, f"profit {name}", lambda: fit_profit(train, REGRESSORS[name](), shift))
+
+
+def compare_regressors(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
+    """Errors of several models on the same rows, one row each, with their place by RMSE."""
+    rows = None
+    for name, model in models.items():
+        one = _eval_usd(model.transform(test)).withColumn("model", F.lit(name))
+        rows = one if rows is None else rows.unionByName(one)
+    best = rows.agg(F.array_sort(F.collect_list("rmse")).alias("order"))  # a value per model
+    return rows.crossJoin(F.broadcast(best)).withColumn("place", F.array_position("order", F.col("rmse")).cast("int")).drop("order")
+
+
+@register("ml_compare_regressors")
+def _ml_compare_regressors(spark, sf_dir):
+    """Linear regression, forest and boosted trees on the same test split."""
+    return compare_regressors({name: profit_model(spark, sf_dir, name) for name in REGRESSORS}, profit_split(spark, sf_dir)[1])
+
+
+def _regression_query(name):
     def run(spark, sf_dir):
-        train, test, shift = profit_split(spark, sf_dir)
-        model = fit_profit(train, estimator(), shift)
-        return _eval_usd(model.transform(test)).withColumn("model", F.lit(name))
+        return _eval_usd(profit_model(spark, sf_dir, name).transform(profit_split(spark, sf_dir)[1])).withColumn("model", F.lit(name))
     return run
 
 
-register("ml_linreg")(_regression_query(linear_regressor, "linear_regression"))
-register("ml_gbt_reg")(_regression_query(gbt_regressor, "gbt"))
+register("ml_linreg")(_regression_query("linear_regression"))
+register("ml_gbt_reg")(_regression_query("gbt"))
 
 
 @register("ml_rf_reg")
@@ -496,17 +556,23 @@ def _ml_perm_importance(spark, sf_dir):
     return permutation_importance(profit_forest(spark, sf_dir), profit_split(spark, sf_dir)[1])
 
 
-@register("ml_ablation")
-def _ml_ablation(spark, sf_dir):
-    train, test, shift = profit_split(spark, sf_dir)
+FEATURE_SETS = [("base", PROFIT_NUMERIC[:6], False), ("base+engineered", PROFIT_NUMERIC[:12], False),
+                ("base+engineered+history", PROFIT_NUMERIC, False), ("full", PROFIT_NUMERIC, True)]
+
+
+def ablation(train: DataFrame, test: DataFrame, shift: float, estimator=rf_regressor, sets=FEATURE_SETS) -> DataFrame:
+    """R2 on the test rows of one model per set of features."""
     ev = RegressionEvaluator(labelCol="profit_d", predictionCol="prediction_usd", metricName="r2")
-    sets = [("base", PROFIT_NUMERIC[:6], False), ("base+engineered", PROFIT_NUMERIC[:12], False),
-            ("base+engineered+history", PROFIT_NUMERIC, False), ("full", PROFIT_NUMERIC, True)]
     rows = []
     for name, num, inter in sets:
-        model = fit_profit(train, rf_regressor(), shift, numeric=num, interaction=inter)
+        model = fit_profit(train, estimator(), shift, numeric=num, interaction=inter)
         rows.append((name, float(ev.evaluate(model.transform(test)))))
-    return spark.createDataFrame(rows, "feature_set string, r2 double")
+    return train.sparkSession.createDataFrame(rows, "feature_set string, r2 double")
+
+
+@register("ml_ablation")
+def _ml_ablation(spark, sf_dir):
+    return ablation(*profit_split(spark, sf_dir))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -10,15 +10,17 @@ tie-breaker, so results are deterministic and engine independent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
 from ledgerline.functions.realtime import tier
+from ledgerline.operators.aggregates import exact_quantiles
 from ledgerline.plans import sqltext as S
-from ledgerline.plans.ordered import ntile_of, ordered_scan
+from ledgerline.plans.lineage import cut
+from ledgerline.plans.ordered import ordered_scan
 from ledgerline.plans.registry import register
-from ledgerline.sources.fact import order_lines, order_totals, part_totals
+from ledgerline.sources.fact import order_lines, order_lines_side, order_totals, part_totals
 
 # --------------------------------------------------------------------------
 # q01: per market and year, % change against the previous present year
@@ -361,22 +363,44 @@ def order_level(lines: DataFrame) -> DataFrame:
         F.sum("quantity").cast("bigint").alias("total_items"))
 
 
-def q09_loss_in_top_decile(lines: DataFrame, max_margin: float = 0.0, k: int = 10,
-                           num_ranges: int | None = None) -> DataFrame:
-    orders = order_level(lines)
-    # NTILE(10) over all orders without a single-task window: global row
-    # number from the ordered scan, decile from the rank and the order count
-    ranked = ordered_scan(orders, [], [F.desc("os"), F.asc("order_id")],
-                          {"rn": ("row_number", None)}, num_ranges=num_ranges)
-    total = ranked.agg(F.count(F.lit(1)).alias("n_orders"))  # one row, from the scan output
-    decile = ranked.crossJoin(F.broadcast(total)) \
-        .withColumn("sales_decile", ntile_of(F.col("rn"), F.col("n_orders"), 10))
-    hit = decile.where((F.col("sales_decile") == 1)
-                       & (N.dbl("op") < F.lit(max_margin) * N.dbl("os")))
-    return hit.orderBy(F.desc("os"), "order_id").limit(k).select(
-        "order_id", "customer_name", "market", "segment", "ship_mode",
-        N.dbl("os").alias("order_sales"), N.dbl("op").alias("order_profit"),
-        N.dbl("osc").alias("order_shipping_cost"), "total_items")
+def in_top_tenth(orders: DataFrame) -> Column:
+    """Whether an order (os: sales, order_id) is in the first of ten equal parts by sales, ties by id.
+
+    ``orders`` is read a few times, narrowly; nothing is sorted.  The part ends
+    at one value of sales, found as an exact quantile; of the orders with
+    that value those with the smallest ids belong to it, up to one id.
+    """
+    n = orders.count()
+    first = -(-n // 10)
+    if not n:
+        return F.lit(False)
+    border = exact_quantiles(orders, ["os"], [(n - first + 0.5) / n]).first()["value"]
+    counts = orders.agg(F.count_if(F.col("os") > F.lit(border)).alias("above"), F.count_if(F.col("os") == F.lit(border)).alias("at")).first()
+    need = first - counts["above"]
+    at = F.col("os") == F.lit(border)
+    if need < counts["at"]:
+        at &= F.col("order_id") <= exact_quantiles(orders.where(at), ["order_id"], [(need - 0.5) / counts["at"]]).first()["value"]
+    return (F.col("os") > F.lit(border)) | at
+
+
+def top_losses(orders: DataFrame, max_margin: float, k: int) -> DataFrame:
+    """The first ``k`` orders (os, op: sales and profit; a cut) of the top tenth with a margin below ``max_margin``."""
+    low = N.dbl("op") < F.lit(max_margin) * N.dbl("os")
+    return orders.where(in_top_tenth(orders) & low).orderBy(F.desc("os"), "order_id").limit(k)
+
+
+_Q09_OUT = ["order_id", "customer_name", "market", "segment", "ship_mode", "order_sales", "order_profit", "order_shipping_cost",
+            "total_items"]
+
+
+def _q09_named(hit: DataFrame) -> DataFrame:
+    return hit.withColumns({"order_sales": N.dbl("os"), "order_profit": N.dbl("op"), "order_shipping_cost": N.dbl("osc")}) \
+        .orderBy(F.desc("os"), "order_id").select(*_Q09_OUT)
+
+
+def q09_loss_in_top_decile(lines: DataFrame, max_margin: float = 0.0, k: int = 10) -> DataFrame:
+    """From order lines, or from totals with one row per order."""
+    return _q09_named(top_losses(cut(order_level(lines), "orders"), max_margin, k))
 
 
 def _q09_sql(max_margin, k=10):
@@ -395,11 +419,16 @@ ORDER BY os DESC, order_id LIMIT {k}""")
 
 
 @register("q09_loss_in_top_decile", sql=_q09_sql(0.4))
-def _q09(spark, sf_dir):
-    # per-order totals (and the per-order min ship mode) before the order-side join
-    totals = order_totals(spark, sf_dir, ["order_date", "customer_name", "market", "segment"],
-                          ["sales", "profit", "shipping_cost", "quantity"], line_mins=["ship_mode"])
-    return q09_loss_in_top_decile(totals, max_margin=0.4)
+def _q09(spark, sf_dir, k: int = 10):
+    # numbers per order only; what names an order is looked up for the k rows of the result
+    totals = order_totals(spark, sf_dir, [], ["sales", "profit", "shipping_cost", "quantity"]).select(
+        "order_id", F.round("sales", 2).alias("os"), F.round("profit", 2).alias("op"), F.round("shipping_cost", 2).alias("osc"),
+        F.col("quantity").cast("bigint").alias("total_items"))
+    hit = F.broadcast(cut(top_losses(cut(totals, "orders"), 0.4, k), "top-losses"))  # k rows
+    modes = order_lines(spark, sf_dir, ["order_id", "ship_mode"]).join(hit.select("order_id"), "order_id", "left_semi") \
+        .groupBy("order_id").agg(F.min("ship_mode").alias("ship_mode"))
+    side = order_lines_side(spark, sf_dir, ["customer_name", "market", "segment"])
+    return _q09_named(side.join(hit, "order_id").join(modes, "order_id"))
 
 
 # --------------------------------------------------------------------------
