@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import vectors as V
 from ledgerline.plans.lineage import cut
 
-CODE_ROWS, QUERY_ROWS = 4096, 256
+CODE_ROWS, QUERY_ROWS = 4096, 8192
 QUERY_BITS = 8
 EPSILON = 3.0
 SEED = 20240

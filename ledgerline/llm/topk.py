@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import vectors as V
 from ledgerline.plans.lineage import cut
 
-CANDIDATE_ROWS, QUERY_ROWS = 4096, 512
+CANDIDATE_ROWS, QUERY_ROWS = 4096, 8192
 LONG = (1 << 63) - 1
 
 

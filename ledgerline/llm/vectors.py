@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 BLOCK = "dim int, n int, block long, ids binary, data binary"
 MERGE_FAN_IN = 16
+#: Bytes of one block of vectors at most, and blocks that meet in one key of the grid.
+BLOCK_BYTES = 4 << 20
+PER_SHARD = 4
 
 
 def dense(ids: pa.Array, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -32,20 +35,21 @@ def dense(ids: pa.Array, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndar
 
 def blocks(df: DataFrame, id_col: str, vector_col: str, rows: int,
            prepare: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """Pack the usable vectors, as ``prepare(ids, matrix)`` leaves them, into blocks of at most ``rows`` rows."""
+    """Pack the usable vectors, as ``prepare(ids, matrix)`` leaves them, into blocks of at most ``rows`` rows and ``BLOCK_BYTES``."""
     def run(batches):
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 32
         for batch in batches:
             for ids, matrix in dense(batch.column(0), batch.column(1)):
                 ids, matrix = prepare(ids, matrix)
-                for i in range(0, len(ids), rows):
-                    part = matrix[i:i + rows]
+                step = max(1, min(rows, BLOCK_BYTES // (8 * max(1, matrix.shape[1]))))
+                for i in range(0, len(ids), step):
+                    part = matrix[i:i + step]
                     number += 1
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([part.shape[1]], pa.int32()), pa.array([len(part)], pa.int32()),
                          pa.array([number], pa.int64()),
-                         pa.array([ids[i:i + rows].astype("<i8").tobytes()], pa.binary()),
+                         pa.array([ids[i:i + step].astype("<i8").tobytes()], pa.binary()),
                          pa.array([part.astype("<f8").tobytes()], pa.binary())],
                         names=["dim", "n", "block", "ids", "data"])
 
@@ -67,10 +71,11 @@ def tiles(candidates: DataFrame, queries: DataFrame) -> tuple[DataFrame, int]:
     Both frames must be cuts.  Candidate blocks are dealt to shards, query
     blocks to rows of shards; block (q, s) of that grid is one join key, so
     each key has a bounded number of blocks and any task can take any tile.
+    A candidate block is sent once per ``PER_SHARD`` blocks of queries, so
+    these are as large as a task may hold.
     """
-    per_shard = 4
-    n_shards = max(1, -(-candidates.count() // per_shard))
-    n_rows = max(1, -(-queries.count() // per_shard))
+    n_shards = max(1, -(-candidates.count() // PER_SHARD))
+    n_rows = max(1, -(-queries.count() // PER_SHARD))
     c = candidates.select(
         F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("q"),
         F.pmod(F.xxhash64("block"), F.lit(n_shards)).cast("int").alias("s"), "dim", "n", "ids", "data")

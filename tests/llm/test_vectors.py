@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import ann, topk
 from ledgerline.llm import vectors as V
+from ledgerline.plans.lineage import cut
 
 SCHEMA = "vec_id long, embedding array<float>, ids string, SCORE int"
 NAN, INF = float("nan"), float("inf")
@@ -111,3 +112,15 @@ def test_merging_in_a_tree(spark):
     got = [tuple(r) for r in V.merged(df, 4, 300, F.col("score").asc()).orderBy("query_id", "rank").collect()]
     want = [(q, r + 1, v, x) for q in range(3) for r, (x, v) in enumerate(sorted((x, v) for a, _, v, x in rows if a == q)[:4])]
     assert got == want
+
+
+def test_candidates_are_sent_once_per_large_group_of_queries(spark):
+    """100 candidate blocks and 40,000 queries of 64 dimensions: two copies, and 16 MB of queries in a task at most."""
+    rows = min(topk.QUERY_ROWS, V.BLOCK_BYTES // (8 * 64))
+    n_queries = -(-40_000 // rows)
+    make = lambda n, data: cut(spark.range(n).selectExpr(
+        "64 AS dim", "1 AS n", "id AS block", "CAST('i' AS binary) AS ids", f"CAST('{data}' AS binary) AS data"))
+    tiles, shards = V.tiles(make(100, "c"), make(n_queries, "q"))
+    copies = tiles.groupBy("ids", "s").count()
+    assert tiles.count() == 100 * n_queries and shards == 25 and copies.count() == 25
+    assert n_queries == 5 and V.PER_SHARD * V.BLOCK_BYTES == 16 << 20
