@@ -43,8 +43,25 @@ def _numbered(values: DataFrame, name: str) -> DataFrame:
     return ids
 
 
-def order_table(spark, sf_dir) -> DataFrame:
-    """Lines -> one row per order with order columns, line measures and main category.
+MASK_BITS = 60
+
+
+def _set_size(number: str, most: int) -> Column:
+    """How many different numbers from 1 to ``most`` (a small dimension's) a group holds, nulls aside.
+
+    The numbers are bits of a few longs, so the aggregate stays numeric and no row is multiplied.
+    """
+    n = F.col(number)
+    masks = [F.bit_or(F.when((n > k) & (n <= k + MASK_BITS), F.expr(f"shiftleft(CAST(1 AS bigint), CAST({number} - {k + 1} AS int))")))
+             for k in range(0, max(1, most), MASK_BITS)]
+    return reduce(lambda a, b: a + b, [F.coalesce(F.bit_count(m), F.lit(0)) for m in masks]).cast("bigint")
+
+
+SIDE = ("customer_id", "customer_name", "order_date", "market", "country", "segment", "order_priority")
+
+
+def order_table(spark, sf_dir, side=SIDE) -> DataFrame:
+    """Lines -> one row per order with order columns (those in ``side``), line measures and main category.
 
     All line aggregates are numeric, so they hash-aggregate in place and the
     lines are never sorted: strings enter as numbers of small dimensions.
@@ -61,6 +78,8 @@ def order_table(spark, sf_dir) -> DataFrame:
     pairs = _numbered(part.select("category", "sub_category"), "pair") \
         .withColumn("cat", F.when(F.col("category").isNotNull(), F.dense_rank().over(Window.orderBy("category")))) \
         .withColumn("sub", F.when(F.col("sub_category").isNotNull(), F.dense_rank().over(Window.orderBy("sub_category"))))
+    most = pairs.agg(F.max("cat").alias("cat"), F.max("sub").alias("sub")).first()
+    sizes = {c: _set_size(c, most[c] or 0) if (most[c] or 0) <= 32 * MASK_BITS else F.countDistinct(c) for c in ("cat", "sub")}
     raw = read_table(spark, sf_dir, "lineitem")
     modes = _numbered(raw.select(fact_column("ship_mode").alias("ship_mode")).where("ship_mode IS NOT NULL"), "mode")
     lines = raw.select(
@@ -84,10 +103,9 @@ def order_table(spark, sf_dir) -> DataFrame:
         N.rnd(F.try_divide(N.dbl(F.sum("ds")), F.sum("dn")), 4).alias("order_avg_discount"),
         N.money(F.max("dm"), 4).alias("order_max_discount"), F.round(F.sum("sc"), 2).alias("order_shipping_cost"),
         F.sum("n").alias("order_line_count"), F.sum("np").alias("num_products"),
-        F.countDistinct("cat").alias("num_categories"), F.countDistinct("sub").alias("num_sub_categories"),
+        sizes["cat"].alias("num_categories"), sizes["sub"].alias("num_sub_categories"),
         best("cat").alias("cat_pair"), best("sub").alias("sub_pair"))
-    side = order_lines_side(spark, sf_dir, ["customer_id", "customer_name", "order_date", "market", "country", "segment",
-                                            "order_priority"])
+    side = order_lines_side(spark, sf_dir, list(side))
     main = pairs.select(F.col("pair").alias("cat_pair"), F.col("category").alias("main_category"))
     main_sub = pairs.select(F.col("pair").alias("sub_pair"), F.col("sub_category").alias("main_sub_category"))
     return (per_order.join(side, "order_id").join(F.broadcast(modes), "mode", "left")
@@ -145,10 +163,14 @@ def _fe_order_rollup(spark, sf_dir):
     return _sel(order_table(spark, sf_dir), _ROLLUP_OUT)
 
 
+#: What the order key is made of: orders alone, no customer or geography.
+KEY_SIDE = ("customer_id", "order_date")
+
+
 @register("fe_main_category", sql=S.with_fact(
     "SELECT order_key, main_category, main_sub_category FROM mc", _ORDER_CTE))
 def _fe_main_category(spark, sf_dir):
-    return order_table(spark, sf_dir).select("order_key", "main_category", "main_sub_category")
+    return order_table(spark, sf_dir, KEY_SIDE).select("order_key", "main_category", "main_sub_category")
 
 
 @register("join_left_equi", sql=S.with_fact(
@@ -158,8 +180,9 @@ def _join_left_equi(spark, sf_dir):
     sales = order_totals(spark, sf_dir, ["customer_id", "order_date"], ["sales"]).select(
         order_key("customer_id", "order_id", "order_date").alias("order_key"), "order_id",
         N.money("sales").alias("order_sales"))
-    main = order_table(spark, sf_dir).select("order_key", "main_category", "main_sub_category")
-    return sales.join(main, "order_key", "left")
+    # by the order's number: both sides are grouped by it already
+    main = order_table(spark, sf_dir, KEY_SIDE).select("order_id", "main_category", "main_sub_category")
+    return sales.join(main, "order_id", "left").select("order_key", "order_id", "order_sales", "main_category", "main_sub_category")
 
 
 # -------------------------------------------------------------- history

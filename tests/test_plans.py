@@ -31,7 +31,23 @@ def test_rank_filter_becomes_window_group_limit(spark):
 def test_order_table_never_sorts_the_lines(spark):
     from ledgerline.operators.features import order_table
     txt = _plan(order_table(spark, SF_SMALL))
-    assert "SortAggregate" not in txt and "ObjectHashAggregate" not in txt
+    assert "SortAggregate" not in txt and "ObjectHashAggregate" not in txt and "Expand" not in txt
+
+
+def test_main_category_joins_orders_only(spark):
+    for name in ("fe_main_category", "join_left_equi"):
+        txt = _plan(E.queries()[name](spark, SF_SMALL))
+        assert "customer.parquet" not in txt and "nation.parquet" not in txt and "Expand" not in txt
+
+
+def test_set_sizes_by_masks(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.features import _set_size
+    rows = [(g, n) for g, ns in enumerate([[1, 1, 60], [61, 60, None, 120, 121], [], [None], list(range(1, 181)) * 2]) for n in ns]
+    got = spark.createDataFrame(rows, "g int, n int").groupBy("g").agg(_set_size("n", 180).alias("a"), F.countDistinct("n").alias("b"))
+    assert all(r["a"] == r["b"] for r in got.collect()) and got.count() == 4
+    assert spark.createDataFrame([(1, None)], "g int, n int").groupBy("g").agg(_set_size("n", 0).alias("a")).first()["a"] == 0
 
 
 def test_history_window_is_split_by_chunk(spark):
