@@ -19,6 +19,12 @@ COLUMNS = {
     "op9_nearest_neighbours": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op10_best_fit_packing": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
                               "sequence_id": "bigint", "offset": "bigint"},
+    "op11_turn_trie": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint",
+                       "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
+    "op12_spelling_variants": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint",
+                               "form_n": "bigint"},
+    "op13_lm_scores": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint",
+                       "base_score": "double", "score": "double"},
 }
 
 
@@ -32,7 +38,7 @@ def test_columns(spark, name):
 
 def test_one_query_per_operator():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(names) == set(COLUMNS)
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and set(names) == set(COLUMNS)
 
 
 def test_jaccard_classes_of_the_given_documents(spark):
