@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import numeric as N
 from ledgerline.plans import sqltext as S
+from ledgerline.plans.ordered import ordered_scan
 from ledgerline.plans.registry import register
 from ledgerline.sources.fact import fact_column, order_lines, order_lines_side, order_totals, part_totals, read_table
 from ledgerline.sources.fixtures import DIRTY_CTE_SQL, dirty_lines
@@ -91,6 +92,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
     rank = {(c, p): max(1, math.ceil(p * first[f"n_{c}"])) for c in cols for p in probs if first[f"n_{c}"]}
     bracket = {(c, p): tuple(first[f"q_{c}"][2 * i:2 * i + 2]) for c in cols for i, p in enumerate(probs) if (c, p) in rank}
     below: dict = {}
+    crowded = False  # whether a bracket may hold any number of different values
     wide = dict.fromkeys(rank, 1)
     open_ones = list(rank)
     while open_ones:
@@ -115,7 +117,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
                 if (found := tuple(sketch[f"q{i}"])) != bracket[k]:
                     bracket[k] = found
                     again.append(k)
-                else:  # the sketch cannot tell its values apart: they are ranked as they are
+                else:  # the sketch cannot tell its values apart: all of them are ranked, in ranges
+                    crowded = True
                     below[k] = counts[f"b{open_ones.index(k)}"]
         open_ones = again
     found = list(below)
@@ -128,8 +131,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
     values = df.select(F.explode(held).alias("x")).groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n"))
     wanted = df.sparkSession.createDataFrame([(i, k[0], float(k[1]), rank[k] - below[k]) for i, k in enumerate(found)],
                                              "i int, column_name string, p double, rank long")
-    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    reached = values.withColumn("upto", upto).join(F.broadcast(wanted), "i").where(F.col("upto") >= F.col("rank"))
+    if crowded:
+        values = ordered_scan(values, ["i"], ["v"], {"upto": ("run_sum", "n")})
+    else:
+        upto = F.sum("n").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        values = values.withColumn("upto", upto)
+    reached = values.join(F.broadcast(wanted), "i").where(F.col("upto") >= F.col("rank"))
     return reached.groupBy("column_name", "p").agg(F.min("v").alias("value"))
 
 

