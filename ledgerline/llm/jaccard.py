@@ -23,8 +23,8 @@ both (empty slices count where a set has no more than d full ones).  A set of n
 n-grams has about n / 9 slices at 0.9 and n / 4 at 0.8, of nine and four
 n-grams each.
 
-At scale: slices that only one class has are dropped after one aggregation
-of (slice, class) rows; what is left forms candidate clusters, and only
+At scale: (slice, class) rows are shuffled once and read in order of the
+slices, which gives candidate clusters of classes that share one, and only
 their texts are read a second time.  Clusters up to ``LEAF_SETS`` sets and
 ``LEAF_TOKENS`` tokens are one tree.  Larger ones are dealt by size band and
 hash to several; each tree is joined with itself, one set of every
@@ -305,11 +305,29 @@ def _short(cid):
 
 
 def candidate_clusters(rows: DataFrame) -> DataFrame:
-    """(node, component): classes (by short name) that may be linked, directly or in a chain."""
+    """(node, component): classes (by short name) that may be linked, directly or in a chain.
+
+    The keys are shuffled once and read in order: each class under a key is
+    linked to the first one there, in passing, so a key of any number of classes
+    needs no memory.
+    """
+    def run(batches):
+        last = first = None
+        for batch in batches:
+            key, c = (batch.column(i).to_numpy() for i in (0, 1))
+            if not len(key):
+                continue
+            fresh = np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]])
+            at = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
+            least = np.where(at >= 0, c[np.maximum(at, 0)], 0 if first is None else first)
+            last, first = key[-1], least[-1]
+            apart = c != least
+            if apart.any():
+                pairs = np.unique(np.stack([c[apart], least[apart]], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
     keys = rows.select(F.explode("keys").alias("key"), _short("cid").alias("c"))
-    shared = keys.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
-    return components(keys.join(shared.select("key", "least"), "key").where("c <> least")
-                      .select(F.col("c").alias("a"), F.col("least").alias("b")))
+    return components(keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"))
 
 
 def dealt(sets: DataFrame, salt: int, num: int, den: int) -> DataFrame:
