@@ -157,3 +157,31 @@ def test_fits_follow_the_data_and_can_be_forgotten(spark):
     M.forget()
     assert M.fitted(spark, base, "x", fit) == 3
     M._FITTED.update(kept)
+
+
+def test_frozen_rows_are_dealt_over_all_cores(spark):
+    """Rows of a single task, or of one file with one row group, are read by at least a task per core."""
+    cores = spark.sparkContext.defaultParallelism
+    frozen = M.freeze(spark.range(0, 64 * cores, 1, 1))
+    sizes = frozen.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 64 * cores and sum(n > 0 for n in sizes) >= cores / 2 and max(sizes) <= 64 * 4
+
+
+def test_training_split_is_dealt_over_all_cores(split):
+    sizes = split[0].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(sizes) < sum(sizes) / 2
+
+
+def test_a_report_scores_each_row_once(spark):
+    """The counts and the ranking read the same scores."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        seen.add(1)
+        return x / 100
+
+    scored = spark.range(0, 100, 1, 4).select(
+        F.udf(score, "double")("id").alias("return_score"), (F.col("id") % 2).cast("double").alias("label")) \
+        .withColumn("prediction", F.lit(1.0))
+    report = M.classifier_report(scored).first()
+    assert (report["tp"], report["fp"]) == (50, 50) and seen.value == 100
