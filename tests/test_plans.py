@@ -55,3 +55,24 @@ def test_history_window_is_split_by_chunk(spark):
     txt = df._jdf.queryExecution().optimizedPlan().toString()
     # the large frame is never windowed by customer alone
     assert "_chunk" in txt
+
+
+def test_shuffles_grow_with_their_rows(spark, monkeypatch):
+    """Lines are dealt by order, and compared rows by all columns, into parts of bounded size."""
+    from ledgerline.operators.features import order_table
+    from ledgerline.operators.quality import duplicate_summary
+    from ledgerline.plans import lineage
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(lineage, "PART_ROWS", n // 17)
+    assert lineage.parts_for(0, spark) == 8 and lineage.parts_for(n, spark) in (17, 18)
+    plan = order_table(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_id" in plan and f", {lineage.parts_for(n, spark)}), REPARTITION_BY_NUM" in plan
+    twice = spark.range(100).union(spark.range(40))
+    assert tuple(duplicate_summary(twice, 5).first()) == (140, 100, 40)
+
+
+def test_history_reads_stored_orders(spark):
+    """The two sides of the scan read one copy of the order table."""
+    from ledgerline.operators.features import order_history, order_table
+    files = order_history(order_table(spark, SF_SMALL)).inputFiles()
+    assert files and all("/ledgerline-cut/orders-" in f for f in files)
