@@ -11,8 +11,8 @@ saved pipeline, whose last stage turns predictions back into money.
 
 Training frames are written once to the session's ``spark.checkpoint.dir``
 and read back (``plans.lineage.cut``) before fitting: iterative learners scan their
-input many times and must not recompute the feature lineage on each pass.  Their
-rows are dealt evenly first, so that every pass runs on all cores.
+input many times and must not recompute the feature lineage on each pass.  They
+are written in even parts, so that every pass runs on all cores.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from ledgerline.operators.metrics import (best_threshold, confusion_metrics, ran
 from ledgerline.operators.relational import hash_split, hash_unit, hash_unit_sql
 from ledgerline.plans import sqltext as S
 from ledgerline.plans.registry import register
-from ledgerline.plans.lineage import cut, dealt
+from ledgerline.plans.lineage import cut, cut_evenly
 from ledgerline.plans.ordered import ordered_scan
 from ledgerline.sources.fact import order_lines
 from ledgerline.sources.io import path_exists, scratch_path
@@ -66,8 +66,8 @@ REPURCHASE_CATEGORICAL = ["market", "country", "segment", "ship_mode", "order_pr
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Cut the lineage: dealt evenly, written once to the shared checkpoint folder, read back."""
-    return cut(dealt(df), "train")
+    """Cut the lineage: written to the shared checkpoint folder in even parts, read back."""
+    return cut_evenly(df, "train")
 
 
 # ------------------------------------------------------ training frames

@@ -167,6 +167,17 @@ def test_frozen_rows_are_dealt_over_all_cores(spark):
     assert sum(sizes) == 64 * cores and sum(n > 0 for n in sizes) >= cores / 2 and max(sizes) <= 64 * 4
 
 
+def test_a_large_frame_is_written_where_it_is(spark, monkeypatch):
+    """Rows that come out of many tasks, or fill many files, are read evenly without being shuffled first."""
+    from ledgerline.plans import lineage
+    monkeypatch.setattr(lineage, "dealt", lambda df: pytest.fail("dealt"))
+    monkeypatch.setattr(lineage, "FILE_ROWS", 100)
+    cores = spark.sparkContext.defaultParallelism
+    one_task = M.freeze(spark.range(0, 400 * cores, 1, 1))
+    assert len(one_task.inputFiles()) == 4 * cores and one_task.count() == one_task.distinct().count() == 400 * cores
+    assert M.freeze(spark.range(0, 50 * cores, 1, 2 * cores)).count() == 50 * cores
+
+
 def test_training_split_is_dealt_over_all_cores(split):
     sizes = split[0].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert max(sizes) < sum(sizes) / 2
