@@ -46,8 +46,8 @@ import hashlib
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +59,8 @@ from ledgerline.plans.lineage import cut, drop_cut
 LEAF_SETS = 1024
 LEAF_TOKENS = 1 << 20
 ACROSS_SETS = 4096
+ACROSS_BYTES = 1 << 23      # of the bitmaps of a tree that is joined with others
+TOKEN_ROWS = 64             # rows with token sets that a worker unpacks at a time
 FAN_OUT = 8
 PAIRS_AT_ONCE = 1 << 12   # node pairs opened at a time
 BYTES_AT_ONCE = 1 << 22   # of bitmaps compared at a time
@@ -241,16 +243,32 @@ def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return common * (den + num) >= num * (len(x) + len(y))
 
 
+def _once(rows: pa.Table) -> pa.Table:
+    """The first row of each class."""
+    first = {}
+    for at, cid in enumerate(rows.column("cid").to_pylist()):
+        first.setdefault(cid, at)
+    return rows.take(pa.array(list(first.values()), pa.int64())) if len(first) < rows.num_rows else rows
+
+
+def _matrix(bits: pa.ChunkedArray) -> np.ndarray:
+    """Bitmaps of one width as the rows of a matrix."""
+    return np.frombuffer(b"".join(x.as_buffer() for x in bits), "<u8").reshape(len(bits), -1)
+
+
+def _pairs(a: list | pa.ChunkedArray, b: list | pa.ChunkedArray) -> pa.Table:
+    return pa.table({"a": a, "b": b}, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+
 def _edges_of(num: int, den: int):
-    """applyInPandas function: the joining links of one tree."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cid")
-        cids = pdf["cid"].tolist()
+    """applyInArrow function: the joining links of one tree."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = _once(rows.select(["cid", "tokens"]))
+        cids = rows.column("cid").to_pylist()
         if len(cids) < 2:
-            return pd.DataFrame({"a": [], "b": []})
-        sets = [np.frombuffer(x, "<u8") for x in pdf["tokens"]]
-        found = tree_links(sets, num, den)
-        return pd.DataFrame({"a": [cids[x] for x, _ in found], "b": [cids[y] for _, y in found]})
+            return _pairs([], [])
+        found = tree_links([np.frombuffer(x.as_buffer(), "<u8") for x in rows.column("tokens")], num, den)
+        return _pairs([cids[x] for x, _ in found], [cids[y] for _, y in found])
     return run
 
 
@@ -349,7 +367,7 @@ def links(sets: DataFrame, num: int, den: int) -> DataFrame:
     find = _edges_of(num, den)
     tree = ["cluster", "band", "slot"]
     level = dealt(sets, 0, num, den)
-    edges = cut(level.groupBy(*tree).applyInPandas(find, "a binary, b binary"), "links")
+    edges = cut(level.groupBy(*tree).applyInArrow(find, "a binary, b binary"), "links")
     large = cut(level.where("NOT whole").select("cluster", "cid", "n", "band").distinct(), "large")
     n_large = large.count()
     if not n_large:
@@ -365,7 +383,7 @@ def links(sets: DataFrame, num: int, den: int) -> DataFrame:
             break
         was = n_pivots
         again = dealt(sets.join(broadcast_if_small(pivots, 500_000), ["cluster", "cid"], "left_semi"), salt, num, den)
-        edges = cut(edges.union(again.groupBy(*tree).applyInPandas(find, "a binary, b binary")), "links")
+        edges = cut(edges.union(again.groupBy(*tree).applyInArrow(find, "a binary, b binary")), "links")
         salt += 1
     return cut(edges.union(_across(labelled, sets, num, den)), "links")
 
@@ -385,16 +403,19 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
 def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links between different trees of the same cluster; ``labelled`` has the component and band of each set.
 
-    Trees are dealt anew: a component that fills half a tree of its band
-    has trees of its own, so a pair of trees of one component is skipped.
+    Trees are dealt anew, of sets whose bitmaps take up to ``ACROSS_BYTES``: a
+    component that fills half a tree of its band has trees of its own, so a
+    pair of trees of one component is skipped.
     Bitmaps alone are moved to the pairs of trees; the pairs of sets that the
     traversal leaves, between components, are verified on their tokens.
     """
     unit = 1.000001 * math.log(den / num)
-    own = labelled.groupBy("cluster", "band", "label").agg(F.count("*").alias("own")).where(F.col("own") * 2 >= ACROSS_SETS)
+    bits = F.least(F.lit(16), F.greatest(F.lit(10), F.length(F.bin(4 * F.ceil(F.exp((F.col("band") + 1) * unit))))))
+    most = F.least(F.lit(ACROSS_SETS), F.floor(8 * ACROSS_BYTES / F.pow(F.lit(2), bits)))
+    own = labelled.groupBy("cluster", "band", "label").agg(F.count("*").alias("own")).where(F.col("own") * 2 >= most)
     narrow = labelled.join(broadcast_if_small(own), ["cluster", "band", "label"], "left") \
         .withColumn("of", F.when(F.col("own").isNotNull(), F.col("label"))).drop("own")
-    per = narrow.groupBy("cluster", "band", "of").agg(F.ceil(F.count("*") / ACROSS_SETS).alias("slots")) \
+    per = narrow.groupBy("cluster", "band", "of").agg(F.ceil(F.count("*") / F.first(most)).alias("slots")) \
         .select(F.col("cluster").alias("p_cluster"), F.col("band").alias("p_band"), F.col("of").alias("p_of"), "slots")
     narrow = narrow.join(broadcast_if_small(per), (F.col("cluster") == F.col("p_cluster")) & (F.col("band") == F.col("p_band"))
                          & F.col("of").eqNullSafe(F.col("p_of")))
@@ -402,7 +423,7 @@ def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     narrow = cut(narrow.withColumn("leaf", leaf).select("cid", "band", "label", "of", "leaf"), "leaves")
 
     def picture(batches):
-        for batch in batches:
+        for batch in row_groups(batches, TOKEN_ROWS):
             bits = [bitmaps([np.frombuffer(x, "<u8")], width_for(math.ceil(math.exp((band + 1) * unit)))).tobytes()
                     for band, x in zip(batch.column(1).to_pylist(), batch.column(6).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:6], batch.column(7), pa.array(bits, pa.binary())],
@@ -413,15 +434,14 @@ def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     body = cut(body.mapInArrow(picture, "cid binary, band int, label binary, of binary, leaf long, cluster long, n long, "
                                         "bits binary"), "bitmaps")
 
-    def root(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = np.frombuffer(b"".join(pdf["bits"]), "<u8").reshape(len(pdf), -1)
-        return pd.DataFrame({
-            "cluster": [pdf["cluster"].iloc[0]], "leaf": [pdf["leaf"].iloc[0]], "band": [pdf["band"].iloc[0]],
-            "of": [pdf["of"].iloc[0]], "low": [int(pdf["n"].min())], "high": [int(pdf["n"].max())],
-            "pop": [int(np.bitwise_count(bits).sum(axis=1, dtype=np.int64).min())],
-            "bits": [np.bitwise_or.reduce(bits, axis=0).tobytes()]})
+    def root(rows: pa.Table) -> pa.Table:
+        bits, n = _matrix(rows.column("bits")), rows.column("n").to_numpy()
+        first = rows.select(["cluster", "leaf", "band", "of"]).slice(0, 1)
+        for name, value in (("low", n.min()), ("high", n.max()), ("pop", np.bitwise_count(bits).sum(axis=1, dtype=np.int64).min())):
+            first = first.append_column(name, pa.array([int(value)], pa.int64()))
+        return first.append_column("bits", pa.array([np.bitwise_or.reduce(bits, axis=0).tobytes()], pa.binary()))
 
-    roots = cut(body.groupBy("leaf").applyInPandas(
+    roots = cut(body.groupBy("leaf").applyInArrow(
         root, "cluster long, leaf long, band int, of binary, low long, high long, pop long, bits binary"), "roots")
     other = roots.select(*[F.col(c).alias(f"o_{c}") for c in roots.columns])
     # equal bands once in either order, the next band from below: one equality on (cluster, band)
@@ -436,7 +456,7 @@ def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
                      for z in (x, y) for f in (_folded(z[0], words),))
 
     def prune(batches):
-        for batch in batches:
+        for batch in row_groups(batches):
             kept = []
             for t in batch.to_pylist():
                 x, y = ((np.frombuffer(t[p + "bits"], "<u8")[None], np.array([t[p + "low"]]), np.array([t[p + "high"]]),
@@ -451,13 +471,12 @@ def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     pairs = cut(pairs.select("leaf", "low", "high", "pop", "bits", "o_leaf", "o_low", "o_high", "o_pop", "o_bits")
                 .mapInArrow(prune, "l long, r long"), "tree-pairs")
 
-    def candidates(pdf: pd.DataFrame) -> pd.DataFrame:
+    def candidates(rows: pa.Table) -> pa.Table:
         sides = []
         for k in (0, 1):
-            part = pdf[pdf["side"] == k].drop_duplicates("cid")
-            if len(part):
-                bits = np.frombuffer(b"".join(part["bits"]), "<u8").reshape(len(part), -1)
-                sizes = part["n"].to_numpy(np.int64)
+            part = _once(rows.filter(pc.equal(rows.column("side"), k)))
+            if part.num_rows:
+                bits, sizes = _matrix(part.column("bits")), part.column("n").to_numpy()
                 sides.append((part, (bits, sizes, sizes, np.bitwise_count(bits).sum(axis=1, dtype=np.int64))))
         if len(sides) == 2:
             x, y = pair_trees(sides[0][1], sides[1][1])
@@ -466,21 +485,23 @@ def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
             a = b = Tree(sides[0][1][0], sides[0][1][1])
         i, j = surviving_pairs(a, b, num, den)
         one, two = sides[0][0], sides[-1][0]
-        apart = one["label"].to_numpy()[i] != two["label"].to_numpy()[j]
-        return pd.DataFrame({"a": one["cid"].to_numpy()[i[apart]], "b": two["cid"].to_numpy()[j[apart]]})
+        labels = {x: k for k, x in enumerate({*one.column("label").to_pylist(), *two.column("label").to_pylist()})}
+        at, to = (np.array([labels[x] for x in side.column("label").to_pylist()]) for side in (one, two))
+        apart = at[i] != to[j]
+        return _pairs(one.column("cid").take(pa.array(i[apart])), two.column("cid").take(pa.array(j[apart])))
 
     part = body.select("leaf", "cid", "label", "n", "bits")
     left = pairs.join(part, F.col("l") == F.col("leaf")).select("l", "r", "cid", "label", "n", "bits", F.lit(0).alias("side"))
     right = pairs.where("l <> r").join(part, F.col("r") == F.col("leaf")) \
         .select("l", "r", "cid", "label", "n", "bits", F.lit(1).alias("side"))
-    maybe = cut(left.union(right).groupBy("l", "r").applyInPandas(candidates, "a binary, b binary"), "candidates")
+    maybe = cut(left.union(right).groupBy("l", "r").applyInArrow(candidates, "a binary, b binary"), "candidates")
     return _verified(maybe, sets, num, den)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of sets that are linked."""
     def run(batches):
-        for batch in batches:
+        for batch in row_groups(batches, TOKEN_ROWS):
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             keep = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), num, den) for x, y in zip(a, b, strict=True)]
             kept = batch.filter(pa.array(keep, pa.bool_()))

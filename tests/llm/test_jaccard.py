@@ -83,6 +83,31 @@ def test_clusters_larger_than_a_tree(spark, monkeypatch):
     assert run(spark, rows, 3, 80, 100) == brute(rows, 3, 80, 100)
 
 
+def test_trees_of_wide_bitmaps_hold_fewer_sets(spark, monkeypatch):
+    """What a task holds of two trees is bounded in bytes, whatever the number and size of their sets."""
+    monkeypatch.setattr(jaccard, "LEAF_SETS", 4)
+    monkeypatch.setattr(jaccard, "ACROSS_BYTES", 1 << 9)  # four bitmaps of 1024 bits
+    sizes, real = [], jaccard.cut
+
+    def spy(df, name, *args):
+        out = real(df, name, *args)
+        if name == "leaves":
+            sizes.extend(r["count"] for r in out.groupBy("leaf").count().collect())
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", spy)
+    rnd = random.Random(5)
+    text = [str(rnd.random()) for _ in range(60)]
+    rows = []
+    for i in range(200):
+        near = list(text)
+        near[rnd.randrange(60)] = f"w{i}"
+        near[rnd.randrange(60)] = f"v{i}"
+        rows.append((i, " ".join(near)))
+    assert run(spark, rows, 1, 93, 100) == brute(rows, 1, 93, 100)
+    assert len(sizes) > 10 and max(sizes) < 40  # dealt by hash: some above the average
+
+
 def test_empty_table(spark):
     assert run(spark, [], 3, 90, 100) == []
 
