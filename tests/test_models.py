@@ -196,3 +196,15 @@ def test_a_report_scores_each_row_once(spark):
         .withColumn("prediction", F.lit(1.0))
     report = M.classifier_report(scored).first()
     assert (report["tp"], report["fp"]) == (50, 50) and seen.value == 100
+
+
+def test_a_pass_of_the_forest_fills_few_statistics(split):
+    """A pass of the registered forest keeps within a core's cache, and passes of a node each grow whole trees."""
+    assert M.rf_regressor().getMaxMemoryInMB() <= 8
+    train, test, shift = split
+    one_pass = M.fit_profit(train, M.rf_regressor(4, 3).setMaxMemoryInMB(256), shift)
+    parts = M.fit_profit(train, M.rf_regressor(4, 3).setMaxMemoryInMB(0), shift)
+    trees = lambda m: next(x for x in m.stages if hasattr(x, "featureImportances"))
+    assert trees(parts).getNumTrees == trees(one_pass).getNumTrees == 4
+    assert [t.depth for t in trees(parts).trees] == [t.depth for t in trees(one_pass).trees] == [3] * 4
+    assert r2(parts, test) == pytest.approx(r2(one_pass, test), abs=0.15)
