@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
-from ledgerline.llm.util import broadcast_if_small, byte_rows, fresh_name, row_groups, worker_cache
+from ledgerline.llm.util import broadcast_if_small, byte_rows, few_rows_at_once, forget_worker_cache, fresh_name, row_groups, worker_cache
 from ledgerline.plans.lineage import cut, drop_cut
 
 LEAF_SETS = 1024
@@ -263,6 +263,7 @@ def _pairs(a: list | pa.ChunkedArray, b: list | pa.ChunkedArray) -> pa.Table:
 def _edges_of(num: int, den: int):
     """applyInArrow function: the joining links of one tree."""
     def run(rows: pa.Table) -> pa.Table:
+        forget_worker_cache()  # of the words: trees hold token sets
         rows = _once(rows.select(["cid", "tokens"]))
         cids = rows.column("cid").to_pylist()
         if len(cids) < 2:
@@ -517,7 +518,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def linked_classes(docs: DataFrame, width: int, num: int, den: int, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id, class (null for an empty set) and row (text hash) of every document."""
-    keyed = cut(set_rows(docs, id_col, text_col, width, num, den), "sets")
+    with few_rows_at_once(docs.sparkSession):
+        keyed = cut(set_rows(docs, id_col, text_col, width, num, den), "sets")
     clusters = candidate_clusters(keyed).withColumnRenamed("component", "cluster")
     rows = cut(keyed.drop("keys"), "rows")
     drop_cut(keyed)
@@ -527,8 +529,10 @@ def linked_classes(docs: DataFrame, width: int, num: int, den: int, id_col: str
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .join(broadcast_if_small(members, 1_000_000), F.col("id").eqNullSafe(F.col("rep")))
     # under a repeated id there may be other texts: a class takes the one with its digest
-    sets = cut(token_rows(texts, width), "tokens")
-    found = components(links(sets, num, den))
+    with few_rows_at_once(docs.sparkSession):
+        sets = cut(token_rows(texts, width), "tokens")
+        joining = links(sets, num, den)
+    found = components(joining)
 
     joined = classes.select("cid", "rep").join(found, F.col("cid") == F.col("node"), "left") \
         .withColumn("class", F.coalesce("component", "cid")).select("cid", "rep", "class")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import tokens
-from ledgerline.llm.util import byte_rows, row_groups
+from ledgerline.llm.util import byte_rows, few_rows_at_once, row_groups
 from ledgerline.plans.lineage import cut
 
 RANK_BUCKETS = 1024
@@ -178,5 +178,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
          path: str | None = None) -> DataFrame:
     """Pack all documents: id, piece, start, length, ids_crc32, sequence_id, offset."""
     path = path or tokens.tokenizer_path()
-    parts = cut(tokenized(docs, id_col, text_col, capacity, closing_id, path), "pieces")
+    with few_rows_at_once(docs.sparkSession):
+        parts = cut(tokenized(docs, id_col, text_col, capacity, closing_id, path), "pieces")
     return assign(parts, capacity).withColumnRenamed("id", id_col)

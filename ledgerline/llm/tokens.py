@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from ledgerline.llm.util import worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 MAX_WORD_BYTES = 48
 #: ASCII punctuation that the tokenizer splits off after a letter, and that is in no special token.
 TRAILING = b".,;:!?*%$#&()\"'"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,28 +27,66 @@ def byte_rows(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+_STATE = "_ledgerline_worker_state"
+
+
 def worker_cache(key, make):
     """What ``make()`` returned for this key in an earlier task of a reused Python worker, else its result now.
 
     A worker keeps one such cache, that of the last key; it only saves time.
     """
-    state = sys.modules.setdefault("_ledgerline_worker_state", types.ModuleType("_ledgerline_worker_state"))
+    state = sys.modules.setdefault(_STATE, types.ModuleType(_STATE))
     if getattr(state, "key", None) != key:
-        state.cache = None  # before the next one is made
+        forget_worker_cache()  # before the next one is made
         state.cache, state.key = make(), key
     return state.cache
 
 
+def forget_worker_cache() -> None:
+    """Drop what ``worker_cache`` keeps, for steps that need the memory and not the cache."""
+    state = sys.modules.get(_STATE)
+    if getattr(state, "cache", None) is not None:
+        state.cache = state.key = None
+        give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return memory that this worker has freed to the system: an idle worker lives on beside the next steps."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count of its rows allows it, else as it is (a shuffle join)."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def row_groups(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most ``rows`` rows, so that a worker unpacks few texts at a time."""
+    """The batches in parts of at most ``rows`` rows, so that a worker unpacks few texts at a time; after the last one
+    what was freed goes back to the system."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    batch = None
+    give_back_memory()
+
+
+#: Rows that are sent to a Python worker at a time where rows hold whole texts.
+TEXT_ROWS = 1_000
+
+
+@contextmanager
+def few_rows_at_once(spark: SparkSession, rows: int = TEXT_ROWS):
+    """Frames written inside send their Python workers at most ``rows`` rows at a time, so that neither side of the
+    socket holds many texts; the session's number is set again afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(was)) if int(was) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
 
 
 def word_count(text: Column) -> Column:
