@@ -30,8 +30,12 @@ their texts are read a second time.  Clusters up to ``LEAF_SETS`` sets and
 hash to several; each tree is joined with itself, one set of every
 component found is dealt again until that stops helping, and then those
 pairs of trees that may still hold a link across components are traversed,
-on bitmaps alone; the pairs of sets that are left are verified.  No task
-gets more than two trees; edges and labels stay in frames.
+on bitmaps alone; the pairs of sets that are left are verified.  Two large
+components can have very many links between them and one is enough, so each
+pair of trees first gives ``FEW_PAIRS`` pairs of sets for each two components;
+where there were more, it is traversed again with the components found by
+then, for ``FEW_PAIRS`` times as many, until none is left out.  No task gets
+more than two trees; edges and labels stay in frames.
 
 Cases: null or empty text, or one without words, has an empty set that
 links with nothing, itself being its class; fewer words than n make one
@@ -60,6 +64,7 @@ LEAF_SETS = 1024
 LEAF_TOKENS = 1 << 20
 ACROSS_SETS = 4096
 ACROSS_BYTES = 1 << 23      # of the bitmaps of a tree that is joined with others
+FEW_PAIRS = 16              # of sets of two components, verified first
 TOKEN_ROWS = 64             # rows with token sets that a worker unpacks at a time
 FAN_OUT = 8
 PAIRS_AT_ONCE = 1 << 12   # node pairs opened at a time
@@ -167,13 +172,42 @@ def may_link(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, num: int, den: in
         & (den * y[2][j] - num * x[1][i] >= outside_x * (den + num))
 
 
+def some_of_each(i: np.ndarray, j: np.ndarray, of_i: np.ndarray, of_j: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """At most ``most`` of the pairs for each two labels, by a hash of the pair, and whether some are left out."""
+    labels = np.minimum(of_i[i], of_j[j]) * np.int64(1 << 32) + np.maximum(of_i[i], of_j[j])
+    order = np.lexsort((_mix(i.astype(np.uint64) * np.uint64(1 << 32) + j.astype(np.uint64)), labels))
+    labels = labels[order]
+    fresh = np.concatenate([[True], labels[1:] != labels[:-1]])[:len(labels)]
+    at = np.arange(len(labels))
+    keep = order[at - np.maximum.accumulate(np.where(fresh, at, 0)) < most]
+    return i[keep], j[keep], len(keep) < len(i)
+
+
 def surviving_pairs(a: Tree, b: Tree, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Dual traversal: the pairs of sets that no bound rules out (of one tree with itself: i < j)."""
+    found = list(_surviving(a, b, num, den))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def pairs_apart(a: Tree, b: Tree, of_a: np.ndarray, of_b: np.ndarray, most: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Of the surviving pairs with different labels at most ``most`` for each two labels, and whether there are more."""
+    i = j = np.zeros(0, np.int64)
+    more = False
+    for one, two in _surviving(a, b, num, den):
+        apart = of_a[one] != of_b[two]
+        i, j, left_out = some_of_each(np.concatenate([i, one[apart]]), np.concatenate([j, two[apart]]), of_a, of_b, most)
+        more |= left_out
+    return i, j, more
+
+
+def _surviving(a: Tree, b: Tree, num: int, den: int):
     same = a is b
     height = max(a.height, b.height)
     a.grow(height)
     b.grow(height)
-    found, child = [], np.arange(FAN_OUT)
+    child = np.arange(FAN_OUT)
     # depth first in parts of PAIRS_AT_ONCE, so few pairs are open at any time
     todo = [(height - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))] if not same or height > 1 else []
     while todo:
@@ -181,7 +215,7 @@ def surviving_pairs(a: Tree, b: Tree, num: int, den: int) -> tuple[np.ndarray, n
         keep = may_link(a.levels[level], b.levels[level], i, j, num, den)
         i, j = i[keep], j[keep]
         if level == 0:
-            found.append((i, j))
+            yield i, j
             continue
         for at in range(0, len(i), PAIRS_AT_ONCE):
             one, two = i[at:at + PAIRS_AT_ONCE], j[at:at + PAIRS_AT_ONCE]
@@ -191,9 +225,6 @@ def surviving_pairs(a: Tree, b: Tree, num: int, den: int) -> tuple[np.ndarray, n
             if same:
                 ok &= one <= two if level > 1 else one < two
             todo.append((level - 1, one[ok].astype(np.int32), two[ok].astype(np.int32)))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
 
 
 def bitmaps(sets: list[np.ndarray], width: int) -> np.ndarray:
@@ -472,47 +503,73 @@ def _across(labelled: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     pairs = cut(pairs.select("leaf", "low", "high", "pop", "bits", "o_leaf", "o_low", "o_high", "o_pop", "o_bits")
                 .mapInArrow(prune, "l long, r long"), "tree-pairs")
 
-    def candidates(rows: pa.Table) -> pa.Table:
-        sides = []
-        for k in (0, 1):
-            part = _once(rows.filter(pc.equal(rows.column("side"), k)))
-            if part.num_rows:
-                bits, sizes = _matrix(part.column("bits")), part.column("n").to_numpy()
-                sides.append((part, (bits, sizes, sizes, np.bitwise_count(bits).sum(axis=1, dtype=np.int64))))
-        if len(sides) == 2:
-            x, y = pair_trees(sides[0][1], sides[1][1])
-            a, b = Tree(x[0], x[1]), Tree(y[0], y[1])
-        else:
-            a = b = Tree(sides[0][1][0], sides[0][1][1])
-        i, j = surviving_pairs(a, b, num, den)
-        one, two = sides[0][0], sides[-1][0]
-        labels = {x: k for k, x in enumerate({*one.column("label").to_pylist(), *two.column("label").to_pylist()})}
-        at, to = (np.array([labels[x] for x in side.column("label").to_pylist()]) for side in (one, two))
-        apart = at[i] != to[j]
-        return _pairs(one.column("cid").take(pa.array(i[apart])), two.column("cid").take(pa.array(j[apart])))
+    def candidates(most: int):
+        def run(rows: pa.Table) -> pa.Table:
+            sides = []
+            for k in (0, 1):
+                part = _once(rows.filter(pc.equal(rows.column("side"), k)))
+                if part.num_rows:
+                    bits, sizes = _matrix(part.column("bits")), part.column("n").to_numpy()
+                    sides.append((part, (bits, sizes, sizes, np.bitwise_count(bits).sum(axis=1, dtype=np.int64))))
+            if len(sides) == 2:
+                x, y = pair_trees(sides[0][1], sides[1][1])
+                a, b = Tree(x[0], x[1]), Tree(y[0], y[1])
+            else:
+                a = b = Tree(sides[0][1][0], sides[0][1][1])
+            one, two = sides[0][0], sides[-1][0]
+            labels = {x: k for k, x in enumerate({*one.column("label").to_pylist(), *two.column("label").to_pylist()})}
+            at, to = (np.array([labels[x] for x in side.column("label").to_pylist()]) for side in (one, two))
+            i, j, more = pairs_apart(a, b, at, to, most, num, den)
+            i, j = pa.array(i, pa.int64()), pa.array(j, pa.int64())
+            pairs = pa.table({"a": one.column("cid").take(i), "b": two.column("cid").take(j),
+                              "a_label": one.column("label").take(i), "b_label": two.column("label").take(j),
+                              "l": pa.nulls(len(i), pa.int64()), "r": pa.nulls(len(i), pa.int64())})
+            again = rows.select(["l", "r"]).slice(0, int(more))  # a row that names the trees
+            return pa.concat_tables([pairs, again], promote_options="default")
+        return run
 
     part = body.select("leaf", "cid", "label", "n", "bits")
-    left = pairs.join(part, F.col("l") == F.col("leaf")).select("l", "r", "cid", "label", "n", "bits", F.lit(0).alias("side"))
-    right = pairs.where("l <> r").join(part, F.col("r") == F.col("leaf")) \
-        .select("l", "r", "cid", "label", "n", "bits", F.lit(1).alias("side"))
-    maybe = cut(left.union(right).groupBy("l", "r").applyInArrow(candidates, "a binary, b binary"), "candidates")
-    return _verified(maybe, sets, num, den)
+    edges = joined = None
+    most = FEW_PAIRS
+    while True:
+        now = part
+        if joined is not None:
+            now = part.join(broadcast_if_small(components(joined), 500_000), F.col("label") == F.col("node"), "left") \
+                .withColumn("label", F.coalesce("component", "label")).drop("node", "component")
+        left = pairs.join(now, F.col("l") == F.col("leaf")).select("l", "r", "cid", "label", "n", "bits", F.lit(0).alias("side"))
+        right = pairs.where("l <> r").join(now, F.col("r") == F.col("leaf")) \
+            .select("l", "r", "cid", "label", "n", "bits", F.lit(1).alias("side"))
+        maybe = cut(left.union(right).groupBy("l", "r").applyInArrow(
+            candidates(most), "a binary, b binary, a_label binary, b_label binary, l long, r long"), "candidates")
+        found = cut(_verified(maybe.where("l IS NULL").drop("l", "r"), sets, num, den), "links")
+        edges = found if edges is None else edges.union(found)
+        pairs = maybe.where("l IS NOT NULL").select("l", "r")
+        if pairs.isEmpty():
+            return edges.select("a", "b")
+        joined = edges.select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+        most *= FEW_PAIRS
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of sets that are linked."""
+    """Of the pairs (a, b, a_label, b_label) of sets those that are linked; a task gives one of each two labels."""
     def run(batches):
+        seen = set()
         for batch in row_groups(batches, TOKEN_ROWS):
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), num, den) for x, y in zip(a, b, strict=True)]
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
+            keep = []
+            for at, (one, two, x, y) in enumerate(zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)):
+                labels = (min(one, two), max(one, two))
+                if labels not in seen and linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), num, den):
+                    seen.add(labels)
+                    keep.append(at)
+            kept = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays(kept.columns[:4], names=["a", "b", "a_label", "b_label"])
 
     ends = broadcast_if_small(cut(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "ends"), 500_000)
     tokens = sets.join(ends, "cid", "left_semi").select("cid", "tokens").dropDuplicates(["cid"])
     one, two = (tokens.select(F.col("cid").alias(f"{k}_cid"), F.col("tokens").alias(f"{k}_tokens")) for k in "ab")
     return pairs.join(one, F.col("a") == F.col("a_cid")).join(two, F.col("b") == F.col("b_cid")) \
-        .select("a", "b", "a_tokens", "b_tokens").mapInArrow(run, "a binary, b binary")
+        .select("a", "b", "a_label", "b_label", "a_tokens", "b_tokens") \
+        .mapInArrow(run, "a binary, b binary, a_label binary, b_label binary")
 
 
 def linked_classes(docs: DataFrame, width: int, num: int, den: int, id_col: str = "doc_id",

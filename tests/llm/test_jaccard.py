@@ -195,3 +195,42 @@ def test_one_of_each_class(spark):
     assert got.columns == df.columns
     assert sorted(((r[0], r[1]) for r in got.collect()), key=str) == sorted(
         [(1, "a b c d e f"), (1, "z y x w v u"), (None, "q r s t"), (8, None), (8, None), (9, "")], key=str)
+
+
+def test_many_links_between_components_give_few_rows(spark, monkeypatch):
+    """Near copies that link in half of all pairs: trees of 8 leave large components with many links between them."""
+    monkeypatch.setattr(jaccard, "LEAF_SETS", 8)
+    monkeypatch.setattr(jaccard, "ACROSS_SETS", 64)
+    counts, verified = [], jaccard._verified
+
+    def counted(*args):
+        out = verified(*args)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    rnd = random.Random(5)
+    text = [f"t{k}" for k in range(100)]
+    rows = []
+    for i in range(300):
+        near = list(text)
+        for k in rnd.sample(range(11), 6):
+            near[k] = f"v{k}"
+        rows.append((i, " ".join(near)))
+    assert run(spark, rows, 1, 90, 100) == brute(rows, 1, 90, 100)
+    assert counts and sum(counts) < 3 * len(rows), counts
+
+
+@pytest.mark.parametrize("most", [1, 4, 1000])
+def test_some_pairs_of_each_two_labels(most):
+    rng = np.random.default_rng(most)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(50), indexing="ij"))
+    of_i, of_j = rng.integers(0, 3, 40), rng.integers(0, 3, 50)
+    a, b, more = jaccard.some_of_each(i, j, of_i, of_j, most)
+    got, every = ({}, {})
+    for one, two, into in ((a, b, got), (i, j, every)):
+        for x, y in zip(one.tolist(), two.tolist()):
+            key = tuple(sorted((int(of_i[x]), int(of_j[y]))))
+            into[key] = into.get(key, 0) + 1
+    assert got == {k: min(most, n) for k, n in every.items()} and more == any(n > most for n in every.values())
+    assert [len(x) for x in jaccard.some_of_each(i[:0], j[:0], of_i, of_j, most)[:2]] == [0, 0]
