@@ -123,8 +123,9 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, capacity: int, closin
         cache = tokens.word_ids(path)
         for batch in row_groups(batches):
             out, ids = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1)), strict=True):
-                for row in tokens.pieces(tokens.encode(cache, text, closing_id), capacity):
+            texts = byte_rows(batch.column(1))
+            for doc, packed in zip(batch.column(0).to_pylist(), tokens.encode_all(cache, texts, closing_id), strict=True):
+                for row in tokens.pieces(packed, capacity):
                     ids.append(doc)
                     out.append(row)
             cols = list(zip(*out, strict=True)) if out else [[], [], [], []]

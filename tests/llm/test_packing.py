@@ -96,3 +96,29 @@ def test_one_length_for_all(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=14).map("".join) | st.none(), max_size=8))
+def test_words_learned_together_have_the_tokenizers_ids(texts):
+    fresh = tokens.WordIds.__new__(tokens.WordIds)
+    fresh.tokenizer, fresh.older = TOKENIZER, {}
+    got = tokens.encode_all(fresh, [x if x is None else x.encode() for x in texts], 1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids_of(x) for x in texts]
+
+
+def test_new_words_take_few_calls():
+    calls = []
+
+    class Counted:
+        def encode(self, text, **settings):
+            calls.append(text)
+            return TOKENIZER.encode(text, **settings)
+
+    fresh = tokens.WordIds(PATH)
+    fresh.tokenizer = Counted()
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}qué" for k in range(2000)]
+    texts = [" ".join(words[k:k + 20]) for k in range(0, 2000, 20)]
+    got = list(tokens.encode_all(fresh, [x.encode() for x in texts], 1))
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids_of(x) for x in texts]
+    assert len(calls) <= 10
