@@ -197,28 +197,36 @@ def test_one_of_each_class(spark):
         [(1, "a b c d e f"), (1, "z y x w v u"), (None, "q r s t"), (8, None), (8, None), (9, "")], key=str)
 
 
-def test_many_links_between_components_give_few_rows(spark, monkeypatch):
-    """Near copies that link in half of all pairs: trees of 8 leave large components with many links between them."""
-    monkeypatch.setattr(jaccard, "LEAF_SETS", 8)
-    monkeypatch.setattr(jaccard, "ACROSS_SETS", 64)
-    counts, verified = [], jaccard._verified
-
-    def counted(*args):
-        out = verified(*args)
-        counts.append(out.count())
-        return out
-
-    monkeypatch.setattr(jaccard, "_verified", counted)
-    rnd = random.Random(5)
-    text = [f"t{k}" for k in range(100)]
-    rows = []
-    for i in range(300):
-        near = list(text)
-        for k in rnd.sample(range(11), 6):
-            near[k] = f"v{k}"
-        rows.append((i, " ".join(near)))
-    assert run(spark, rows, 1, 90, 100) == brute(rows, 1, 90, 100)
-    assert counts and sum(counts) < 3 * len(rows), counts
+def across(spark, left, right):
+    """The links that ``_across`` finds between two components of sets of 100 tokens, as pairs of places in left and right."""
+    cids = [bytes([side]) * 8 + k.to_bytes(8, "big") for side, sets in enumerate((left, right)) for k in range(len(sets))]
+    band = int(np.floor(np.log(100) / (1.000001 * np.log(100 / 90))))
+    sets = spark.createDataFrame([(1, bytearray(c), 100, bytearray(np.unique(np.array(x, np.uint64)).tobytes()))
+                                  for c, x in zip(cids, left + right, strict=True)], "cluster long, cid binary, n long, tokens binary")
+    labelled = spark.createDataFrame([(1, bytearray(c), 100, band, bytearray(c[:8])) for c in cids],
+                                     "cluster long, cid binary, n long, band int, label binary")
+    return [tuple(sorted(bytes(x) for x in r)) for r in jaccard._across(labelled, sets, 90, 100).collect()], cids
+
+
+def random_tokens(count):
+    return np.random.default_rng(9).integers(1, 2**63, count).tolist()
+
+
+def test_many_links_between_components_give_few_rows(spark):
+    base, own = random_tokens(100), random_tokens(220)[100:]
+    sets = [base[:k % 100] + [own[k]] + base[k % 100 + 1:] for k in range(120)]
+    links, _ = across(spark, sets[:60], sets[60:])  # all 3,600 pairs are linked
+    assert 1 <= len(links) <= 60
+
+
+def test_one_link_among_many_near_misses_is_found(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FEW_PAIRS", 2, raising=False)
+    base, own = random_tokens(100), random_tokens(400)[100:]
+    left = [own[3 * k:3 * k + 3] + base[3:] for k in range(40)]
+    right = [base[:3] + own[120 + 3 * k:123 + 3 * k] + base[6:] for k in range(40)]
+    right[17][0] = left[29][0]  # now 95 tokens in common, the others have 94
+    links, cids = across(spark, left, right)
+    assert links == [(cids[29], cids[57])]
 
 
 @pytest.mark.parametrize("most", [1, 4, 1000])
