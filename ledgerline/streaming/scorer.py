@@ -373,6 +373,8 @@ def _st_score(spark, sf_dir):
 
 
 INBOX_FILES = 6
+#: Messages in a packed file.
+MESSAGE_FILE_ROWS = 500_000
 
 
 def run_stream(spark, sf_dir, base: str, runs: int = 1, publish=None, model=None) -> None:
@@ -420,5 +422,6 @@ def _src_kafka(spark, sf_dir):
     # the Kafka connector is not on this classpath: the same source function
     # reads the identical message shape from files (batch read here)
     inbox = scratch_path(spark, "inbox")
-    order_messages(spark, sf_dir).write.mode("overwrite").json(inbox)
+    # messages repeat their field names: packed, they take a fraction of the disk; a packed file is read by one task, so it is bounded
+    order_messages(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", MESSAGE_FILE_ROWS).json(inbox, compression="gzip")
     return parse_orders(order_source(spark, "json", {}, inbox, streaming=False))
